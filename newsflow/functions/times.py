@@ -39,7 +39,8 @@ def lenient_timestamp(text: Column) -> Column:
     sign = F.regexp_extract(text, LENIENT_ISO, 3)
     hours = F.coalesce(F.regexp_extract(text, LENIENT_ISO, 4).try_cast("int"), F.lit(0))
     minutes = F.coalesce(F.regexp_extract(text, LENIENT_ISO, 5).try_cast("int"), F.lit(0))
-    local = F.when(time == "", day).otherwise(F.concat(day, F.lit(" "), time, F.lit("Z"))).try_cast("timestamp")
+    seconds = F.when(F.length(time) == 5, F.lit(":00Z")).otherwise(F.lit("Z"))
+    local = F.when(time == "", day).otherwise(F.concat(day, F.lit(" "), time, seconds)).try_cast("timestamp")
     offset_seconds = (hours * 60 + minutes) * 60 * F.when(sign == "+", 1).otherwise(-1)
     shifted = F.timestamp_micros(F.unix_micros(local) - offset_seconds.cast("bigint") * 1_000_000)
     parsed = F.when(text.rlike(UTC_ISO), text.try_cast("timestamp")).when(text.rlike(LENIENT_ISO), shifted)

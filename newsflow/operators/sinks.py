@@ -15,6 +15,10 @@ from .records import to_ndjson
 from .windows import DEFAULT_MAX_OBJECT_BYTES, PARTITION_COLUMNS, assign_windows, rotate_files
 
 
+# One layout for every writer, so that batch jobs and streams can share a root.
+LEVELS = (*PARTITION_COLUMNS, "seq")
+
+
 def write_windowed(
     records: DataFrame,
     uri: str,
@@ -23,34 +27,36 @@ def write_windowed(
     minutes: int = times.DEFAULT_WINDOW_MINUTES,
     max_object_bytes: int | None = DEFAULT_MAX_OBJECT_BYTES,
     batch_id: int | None = None,
-    mode: str = "append",
 ) -> None:
-    """Write records under ``uri/ingest_dt=../hour=../part=../file_seq=..``; ``uri`` decides the store.
+    """Append records under ``uri/ingest_dt=../hour=../part=../seq=..``; ``uri`` decides the store.
 
-    ``max_object_bytes=None`` writes without rotation and without a shuffle. With ``batch_id`` every
-    path gets a ``batch=`` level and the write replaces that batch's partitions, so that a replayed
-    micro-batch leaves no duplicates.
+    ``seq`` is the file number from the size rotation. ``max_object_bytes=None`` writes without
+    rotation and without a shuffle, one file per task and window.
+
+    With ``batch_id`` there is no rotation either, ``seq`` names the micro-batch, and the write replaces
+    what an earlier run of the same batch left there. A task's file is then no larger than its input
+    partition makes it, far below the usual object size.
     """
     placed = assign_windows(to_ndjson(records), ingest_ts, minutes)
-    levels = list(PARTITION_COLUMNS)
     order = (ingest_ts, "news_id", "pos")
-    if max_object_bytes:
-        placed = rotate_files(placed, max_object_bytes, order)
-        levels.append("file_seq")
+    mode = "append"
     if batch_id is not None:
-        placed = placed.withColumn("batch", F.lit(batch_id))
-        levels.append("batch")
+        placed = placed.withColumn("seq", F.lit(f"batch-{batch_id}"))
         mode = "overwrite"
-    placed = placed.sortWithinPartitions(*levels, *order).select(*levels, "line")
-    writer = placed.write.mode(mode).option("lineSep", "\n").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*levels).text(uri)
+    elif max_object_bytes:
+        rotated = rotate_files(placed, max_object_bytes, order)
+        placed = rotated.withColumn("seq", F.format_string("%06d", "file_seq"))
+    else:
+        placed = placed.withColumn("seq", F.lit("000000"))
+    lines = placed.sortWithinPartitions(*LEVELS, *order).select(*LEVELS, "line")
+    writer = lines.write.mode(mode).option("lineSep", "\n").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*LEVELS).text(uri)
 
 
 def read_records(spark: SparkSession, uri: str) -> DataFrame:
     """Read written records back, with the partition keys as text columns."""
-    keys = ", ".join(f"{name} STRING" for name in PARTITION_COLUMNS)
-    declared = spark.read.schema(f"{_ddl()}, {keys}")
-    return declared.option("lineSep", "\n").json(uri)
+    keys = ", ".join(f"{name} STRING" for name in LEVELS)
+    return spark.read.schema(f"{_ddl()}, {keys}").option("lineSep", "\n").json(uri)
 
 
 def _ddl() -> str:
@@ -58,11 +64,7 @@ def _ddl() -> str:
 
 
 def write_quarantine(rejects: DataFrame, uri: str, batch_id: int | None = None) -> None:
-    """Append rejected messages as Parquet, partitioned by reason."""
-    levels = ["reason"]
-    mode = "append"
-    if batch_id is not None:
-        rejects = rejects.withColumn("batch", F.lit(batch_id))
-        levels.append("batch")
-        mode = "overwrite"
-    rejects.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(uri)
+    """Append rejected messages as Parquet under ``reason=../batch=..``; a replayed batch is replaced."""
+    batch = "none" if batch_id is None else str(batch_id)
+    writer = rejects.withColumn("batch", F.lit(batch)).write.option("partitionOverwriteMode", "dynamic")
+    writer.mode("append" if batch_id is None else "overwrite").partitionBy("reason", "batch").parquet(uri)

@@ -55,13 +55,14 @@ def run_batch(
 
     Only the parse runs for both outputs. The service is called for the records alone and once per
     article: with rotation the content is stored before the rows are range-partitioned, without it
-    (``max_object_bytes=None``) the whole branch is one map-only write.
+    (``max_object_bytes=None``, or a ``batch_id``) the whole branch is one map-only write.
     """
     if "ingest_ts" not in messages.columns:
         messages = messages.withColumn("ingest_ts", F.current_timestamp())
+    rotate = bool(max_object_bytes) and batch_id is None
     parsed = ingest.parse_messages(messages)
     sinks.write_quarantine(ingest.quarantine(parsed), rejects, batch_id)
     rows = articles_to_records(
-        ingest.accepted(parsed), factory, policy, ("ingest_ts",), store_content=bool(max_object_bytes), **options
+        ingest.accepted(parsed), factory, policy, ("ingest_ts",), store_content=rotate, **options
     )
     sinks.write_windowed(rows, output, minutes=minutes, max_object_bytes=max_object_bytes, batch_id=batch_id)

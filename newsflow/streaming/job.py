@@ -27,21 +27,18 @@ def start(
     policy: enrich.CallPolicy | None = None,
     *,
     available_now: bool = False,
-    max_object_bytes: int | None = None,
     interval: str = "30 seconds",
     **options,
 ) -> StreamingQuery:
     """Start the job on a stream with a ``raw`` column; stop it with ``query.stop()``.
 
-    ``available_now`` handles what is there and ends. Every batch writes files of its own, none larger
-    than one task's input, so size rotation is off by default and the write needs no shuffle.
+    ``available_now`` handles what is there and ends. Every batch writes files of its own without size
+    rotation, so the write needs no shuffle.
     """
     timed = messages.withColumn("ingest_ts", F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run_batch(
-            batch, output, rejects, factory, policy, batch_id=batch_id, max_object_bytes=max_object_bytes, **options
-        )
+        run_batch(batch, output, rejects, factory, policy, batch_id=batch_id, **options)
 
     writer = timed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

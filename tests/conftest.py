@@ -1,0 +1,20 @@
+import pytest
+
+from newsflow.session import build_session
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "newsflow-tests",
+        "local[4]",
+        **{
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()

@@ -1,0 +1,146 @@
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from newsflow.functions import prompts
+from newsflow.operators import enrich, ingest, records
+from newsflow.operators.enrich import CallPolicy, LeadingSentences, Request, ServiceError, call_service
+
+from .messages import frame, message
+
+THROTTLE = ServiceError("ThrottlingException")
+NO_ON_DEMAND = ServiceError("ValidationException", "no on-demand throughput for this model")
+
+# Script of the service, then the outcome and the waits.
+SCRIPTS = [
+    (["ok"], ("ok", 1, None, "primary"), []),
+    ([" ok \n"], ("ok", 1, None, "primary"), []),
+    ([THROTTLE, "ok"], ("ok", 2, None, "primary"), [1]),
+    ([ServiceError("ServiceUnavailableException"), ServiceError("TooManyRequestsException"), "ok"], ("ok", 3, None, "primary"), [1, 2]),
+    ([THROTTLE] * 3, (None, 3, "ThrottlingException", None), [1, 2]),
+    ([ServiceError("AccessDeniedException")], (None, 1, "AccessDeniedException", None), []),
+    ([ServiceError("ValidationException", "bad input")], (None, 1, "ValidationException", None), []),
+    ([NO_ON_DEMAND, "second"], ("second", 1, None, "fallback"), []),
+    ([NO_ON_DEMAND, ServiceError("AccessDeniedException")], (None, 1, "AccessDeniedException", None), []),
+    ([THROTTLE, NO_ON_DEMAND, "second"], ("second", 2, None, "fallback"), [1]),
+    (["", "ok"], ("ok", 2, None, "primary"), []),
+    (["", " ", ""], (None, 3, "EmptyResponse", None), []),
+    ([RuntimeError("x")] * 3, (None, 3, "RuntimeError", None), [1, 2]),
+    ([RuntimeError("x"), "ok"], ("ok", 2, None, "primary"), [1]),
+]
+
+
+@pytest.mark.parametrize("script,outcome,waits", SCRIPTS)
+def test_retry_policy(script, outcome, waits):
+    steps, slept = iter(script), []
+
+    def invoke(request: Request) -> str:
+        step = next(steps)
+        if isinstance(step, Exception):
+            raise step
+        return step
+
+    found = call_service(invoke, "text", CallPolicy(sleep=slept.append))
+    assert tuple(found) == outcome and slept == waits and next(steps, None) is None
+
+
+class Recorder:
+    """Service that leaves one file per call, so that calls in any task can be counted."""
+
+    def __init__(self, folder):
+        self.folder = str(folder)
+
+    def __call__(self):
+        def invoke(request):
+            with open(os.path.join(self.folder, uuid.uuid4().hex), "w") as out:
+                out.write(request.text)
+            return f"summary of {len(request.text)}"
+
+        return invoke
+
+    def calls(self):
+        return len(os.listdir(self.folder))
+
+
+def cleaned(spark, *raws):
+    return records.clean_articles(ingest.accepted(ingest.parse_messages(frame(spark, *raws))))
+
+
+def by_id(done):
+    """Rows in order, sorted here: a Spark sort samples its input first and so would call twice."""
+    return sorted(done.collect(), key=lambda r: r.id)
+
+
+def test_one_call_per_article(spark, tmp_path):
+    service = Recorder(tmp_path)
+    articles = cleaned(
+        spark,
+        message({"id": 1}, securities=["A", "B", "C"]),
+        message({"id": 2}, securities=["A"]),
+        message({"id": 3}, securities=[]),
+        message({"id": 4}, body="<p> </p>"),
+        message({"id": 5}, body=None, teaser=None),
+    )
+    done = enrich.summarize_articles(articles, service, max_concurrent_calls=2)
+    rows = records.explode_tickers(records.choose_content(done, F.col("summary"))).collect()
+    assert service.calls() == 2
+    content = {r.news_id: r.content for r in rows}
+    assert len(rows) == 6 and content[1].startswith("summary of")
+    assert content[4].startswith("Tesla beats") and content[5].startswith("Tesla Announces")
+
+
+def test_blank_body_outcome(spark, tmp_path):
+    service = Recorder(tmp_path)
+    articles = cleaned(spark, message({"id": 1}, body=""), message({"id": 2}, body="", teaser=""))
+    rows = by_id(enrich.summarize_articles(articles, service))
+    assert [(r.summary, r.attempts, r.model_used) for r in rows] == [
+        ("Tesla beats Q4 estimates with strong deliveries", 0, None),
+        (None, 0, None),
+    ]
+    assert service.calls() == 0
+
+
+def test_stored_summaries_are_reused(spark, tmp_path):
+    service = Recorder(tmp_path)
+    articles = cleaned(spark, message({"id": 1}), message({"id": 2}, body="other"))
+    prompt = prompts.article_prompt(
+        F.col("primary_ticker"), F.col("title"), F.col("body_clean"), F.col("teaser_clean")
+    )
+    first = enrich.summarize_articles(articles.where("id = 1"), service)
+    store = spark.createDataFrame(enrich.summary_store(first, prompt).collect(), "news_id bigint, prompt_hash string, summary string")
+    assert service.calls() == 1
+    rows = by_id(enrich.summarize_articles(articles, service, stored=store))
+    assert service.calls() == 2
+    assert [r.attempts for r in rows] == [0, 1] and rows[0].summary.startswith("summary of")
+
+
+def test_html_entry(spark, tmp_path):
+    service = Recorder(tmp_path)
+    articles = cleaned(spark, message({"id": 1}), message({"id": 2}, body="  "))
+    rows = by_id(enrich.summarize_html(articles, service))
+    assert service.calls() == 1
+    assert rows[0].summary.startswith("summary of") and rows[1].summary is None
+
+
+def test_failing_service_falls_back(spark):
+    class Broken:
+        def __call__(self):
+            def invoke(request):
+                raise ServiceError("AccessDeniedException")
+
+            return invoke
+
+    done = enrich.summarize_articles(cleaned(spark, message()), Broken())
+    row = records.choose_content(done, F.col("summary")).first()
+    assert row.error_code == "AccessDeniedException" and row.content == row.body_clean
+
+
+def test_leading_sentences():
+    def lead(text, words):
+        return LeadingSentences.invoke(Request(text, "m", words, 0))
+
+    assert lead("One two. Three four! Five six", 5) == "One two. Three four!"
+    assert lead("One two three four", 2) == "One two"
+    assert lead(" One\n two ", 5) == "One two"
