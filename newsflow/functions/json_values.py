@@ -1,11 +1,13 @@
 """Typed values out of semi-structured (VARIANT) fields with lax, loss-free coercion.
 
-Every ``lax_*`` function returns NULL both for an absent field and for a value it rejects; combine it
-with ``rejected`` to tell the two apart.
+Every ``lax_*`` function returns NULL both for an absent field and for a value it rejects; ``rejected``
+tells the two apart.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ from .text import strip
 from .times import MAX_EPOCH_MILLIS, MIN_EPOCH_MILLIS, lenient_timestamp
 
 # --- fixed values -----------------------------------------------------------------------------
-INTEGER_TEXT = r"^[+-]?[0-9]++(_[0-9]++)*+(\.0++)?$"
-NUMBER_TEXT = r"^[+-]?([0-9]++(\.[0-9]*+)?|\.[0-9]++)$"
+INTEGER_TEXT = r"^[+-]?[0-9]++(_[0-9]++)*+(\.0++)?\z"
+NUMBER_TEXT = r"^[+-]?([0-9]++(\.[0-9]*+)?|\.[0-9]++)\z"
 # Epoch numbers beyond this magnitude count milliseconds, up to it seconds.
 EPOCH_SECONDS_LIMIT = 20_000_000_000
 # ----------------------------------------------------------------------------------------------
@@ -39,6 +41,21 @@ def _has_lone_surrogate(raw: Column) -> Column:
     return F.when(escaped, F.regexp_replace(plain, _SURROGATE_PAIR, "").rlike(_SURROGATE)).otherwise(False)
 
 
+class Sent(NamedTuple):
+    """What was sent for a field: type name and text of its VARIANT. Both are NULL if it is absent.
+
+    Keep the two as columns of their own. Spelled out inside every reading they make the generated code
+    too large for the JVM to compile.
+    """
+
+    kind: Column
+    text: Column
+
+
+def sent(value: Column) -> Sent:
+    return Sent(kind(value), F.try_variant_get(value, "$", "string"))
+
+
 def field(value: Column, name: str) -> Column:
     return F.try_variant_get(value, f"$.{name}", "variant")
 
@@ -60,75 +77,59 @@ def is_present(value: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
-def rejected(value: Column, typed: Column) -> Column:
+def rejected(item: Sent, typed: Column) -> Column:
     """A value was sent but could not be taken as the wanted type."""
-    return F.coalesce(is_present(value), F.lit(False)) & typed.isNull()
+    return item.kind.isNotNull() & (item.kind != "VOID") & typed.isNull()
 
 
-def _as(value: Column, type_name: str) -> Column:
-    return F.try_variant_get(value, "$", type_name)
+def _is_number(type_name: Column) -> Column:
+    return type_name.isin("BIGINT", "DOUBLE") | type_name.startswith("DECIMAL")
 
 
-def lax_string(value: Column) -> Column:
-    return F.when(is_string(value), _as(value, "string"))
+def lax_string(item: Sent) -> Column:
+    return F.when(item.kind == "STRING", item.text)
 
 
-def lax_bigint(value: Column) -> Column:
+def lax_bigint(item: Sent) -> Column:
     """Integers, integral floats, booleans and integer text; 64-bit range."""
-    number = _as(value, "double")
-    text = strip(_as(value, "string"))
-    digits = F.regexp_replace(F.regexp_replace(text, r"\.0+$", ""), "_", "")
-    type_name = kind(value)
+    digits = strip(item.text)
+    digits = F.when(digits.rlike(INTEGER_TEXT), F.regexp_replace(digits, r"_|\.0+$", ""))
+    number = item.text.try_cast("double")
     return (
-        F.when(type_name == "BIGINT", _as(value, "bigint"))
-        .when(type_name == "STRING", F.when(text.rlike(INTEGER_TEXT), digits.try_cast("bigint")))
-        .when(type_name == "BOOLEAN", _as(value, "boolean").cast("bigint"))
-        .when(type_name.startswith("DECIMAL") | (type_name == "DOUBLE"), F.when(number == F.floor(number), _as(value, "bigint")))
+        F.when(item.kind == "BIGINT", item.text.try_cast("bigint"))
+        .when(item.kind == "STRING", digits.try_cast("bigint"))
+        .when(item.kind == "BOOLEAN", F.when(item.text == "true", F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
+        .when(_is_number(item.kind), F.when(number == F.floor(number), number.try_cast("bigint")))
     )
 
 
-def _epoch_integer(number: Column) -> Column:
-    is_seconds = F.abs(number) <= EPOCH_SECONDS_LIMIT
-    in_range = number.between(MIN_EPOCH_MILLIS, MAX_EPOCH_MILLIS)
-    return F.when(is_seconds, F.timestamp_micros(number * 1_000_000)).when(in_range, F.timestamp_micros(number * 1_000))
-
+def epoch_number(item: Sent) -> Column:
+    """The number, or number in text form, that may stand for a time."""
+    numeric = _is_number(item.kind) | ((item.kind == "STRING") & item.text.rlike(NUMBER_TEXT))
+    return F.when(numeric, item.text.try_cast("decimal(30,9)"))
 
-def _epoch_double(number: Column) -> Column:
-    is_seconds = F.abs(number) <= float(EPOCH_SECONDS_LIMIT)
-    in_range = number.between(float(MIN_EPOCH_MILLIS), float(MAX_EPOCH_MILLIS))
-    return F.when(is_seconds, F.timestamp_micros(F.round(number * 1e6).cast("bigint"))).when(
-        in_range, F.timestamp_micros(F.round(number * 1e3).cast("bigint"))
-    )
 
+def lax_timestamp(item: Sent, number: Column) -> Column:
+    """ISO text (``T``, ``t``, space or underscore; date only; any offset) and epoch seconds or ms.
 
-def lax_timestamp(value: Column) -> Column:
-    """ISO text (``T``, ``t``, space or underscore; date only; any offset) and epoch seconds or ms."""
-    text = _as(value, "string")
-    type_name = kind(value)
-    from_text = (
-        F.when(~text.rlike(NUMBER_TEXT), lenient_timestamp(text))
-        .when(F.contains(text, F.lit(".")), _epoch_double(text.try_cast("double")))
-        .otherwise(_epoch_integer(text.try_cast("bigint")))
-    )
-    return (
-        F.when(type_name == "STRING", from_text)
-        .when(type_name == "BIGINT", _epoch_integer(_as(value, "bigint")))
-        .when(type_name.startswith("DECIMAL") | (type_name == "DOUBLE"), _epoch_double(_as(value, "double")))
+    ``number`` is the column with ``epoch_number`` of the same field.
+    """
+    per_unit = F.when(F.abs(number) <= EPOCH_SECONDS_LIMIT, 1_000_000).when(
+        number.between(MIN_EPOCH_MILLIS, MAX_EPOCH_MILLIS), 1_000
     )
+    from_number = F.timestamp_micros(F.round(number * per_unit).cast("bigint"))
+    return F.when(number.isNotNull(), from_number).when(item.kind == "STRING", lenient_timestamp(item.text))
 
 
 def coerce_list(value: Column) -> Column:
     """A list as it is, nothing or null as an empty list, any other value as a list of one."""
     empty = F.array().cast("array<variant>")
     return F.when(~F.coalesce(is_present(value), F.lit(False)), empty).otherwise(
-        F.coalesce(_as(value, "array<variant>"), F.array(value))
+        F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
     )
 
 
 def lax_strings(value: Column) -> Column:
     """List of strings after ``coerce_list``; NULL if any element is not a string."""
-    items = coerce_list(value)
-    return F.when(
-        F.forall(items, lambda e: F.coalesce(is_string(e), F.lit(False))),
-        F.transform(items, lambda e: _as(e, "string")),
-    )
+    texts = F.transform(coerce_list(value), lambda e: lax_string(sent(e)))
+    return F.when(~F.exists(texts, lambda t: t.isNull()), texts)

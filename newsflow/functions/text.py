@@ -56,10 +56,11 @@ def is_blank(c: Column | str) -> Column:
 
 def drop_markup(c: Column | str) -> Column:
     """Turn paragraph, line, block and list markup into line breaks, then drop all other tags."""
-    text = F.coalesce(_col(c), F.lit(""))
+    plain = F.coalesce(_col(c), F.lit(""))
+    text = plain
     for pattern, replacement in MARKUP_RULES:
         text = F.regexp_replace(text, pattern, replacement)
-    return text
+    return F.when(F.contains(plain, F.lit("<")), text).otherwise(plain)
 
 
 @F.pandas_udf(T.StringType())

@@ -11,11 +11,10 @@ from .text import strip
 
 def symbol_of(security: Column) -> Column:
     """Symbol of one element: trimmed text, or an object's non-empty ``symbol`` text as it stands."""
-    text = jv.lax_string(security)
-    inner = jv.lax_string(jv.field(security, "symbol"))
-    return F.when(jv.is_string(security), F.nullif(strip(text), F.lit(""))).when(
-        jv.is_object(security), F.nullif(inner, F.lit(""))
-    )
+    item = jv.sent(security)
+    inner = jv.lax_string(jv.sent(jv.field(security, "symbol")))
+    found = F.when(item.kind == "STRING", strip(item.text)).when(item.kind.startswith("OBJECT"), inner)
+    return F.nullif(found, F.lit(""))
 
 
 def tickers_of(securities: Column) -> Column:

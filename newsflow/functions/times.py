@@ -13,10 +13,10 @@ MAX_EPOCH_MILLIS = 253_402_300_799_999
 LENIENT_ISO = (
     r"^([0-9]{4}-[0-9]{2}-[0-9]{2})"
     r"(?:[Tt _]((?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]++)?)?)"
-    r"(?:[Zz]|([+\-−])([01][0-9]|2[0-3]):?([0-5][0-9]))?)?$"
+    r"(?:[Zz]|([+\-−])([01][0-9]|2[0-3]):?([0-5][0-9]))?)?\z"
 )
 # The frequent exact form of the above.
-UTC_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-5][0-9](?:\.[0-9]{1,6})?Z$"
+UTC_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-5][0-9](?:\.[0-9]{1,6})?Z\z"
 WINDOW_LABEL = "yyyyMMdd_HHmm"
 DEFAULT_WINDOW_MINUTES = 30
 # ----------------------------------------------------------------------------------------------
@@ -34,15 +34,14 @@ def epoch_millis(ts: Column) -> Column:
 
 def lenient_timestamp(text: Column) -> Column:
     """Timestamp of ISO text in any of the accepted spellings; no offset means UTC; else NULL."""
-    day = F.regexp_extract(text, LENIENT_ISO, 1)
-    time = F.regexp_replace(F.regexp_extract(text, LENIENT_ISO, 2), ",", ".")
-    sign = F.regexp_extract(text, LENIENT_ISO, 3)
-    hours = F.coalesce(F.regexp_extract(text, LENIENT_ISO, 4).try_cast("int"), F.lit(0))
-    minutes = F.coalesce(F.regexp_extract(text, LENIENT_ISO, 5).try_cast("int"), F.lit(0))
-    seconds = F.when(F.length(time) == 5, F.lit(":00Z")).otherwise(F.lit("Z"))
-    local = F.when(time == "", day).otherwise(F.concat(day, F.lit(" "), time, seconds)).try_cast("timestamp")
-    offset_seconds = (hours * 60 + minutes) * 60 * F.when(sign == "+", 1).otherwise(-1)
-    shifted = F.timestamp_micros(F.unix_micros(local) - offset_seconds.cast("bigint") * 1_000_000)
+    local = F.replace(F.rtrim(F.regexp_replace(text, LENIENT_ISO, "$1 $2")), F.lit(","), F.lit("."))
+    local = F.when(F.length(local) == 16, F.concat(local, F.lit(":00"))).otherwise(local).try_cast("timestamp")
+    offset = F.regexp_replace(text, LENIENT_ISO, "$3$4$5")
+    minutes = F.substring(offset, 2, 2).cast("bigint") * 60 + F.substring(offset, 4, 2).cast("bigint")
+    signed = F.when(F.substring(offset, 1, 1) == "+", minutes).otherwise(-minutes)
+    shifted = F.when(offset == "", local).otherwise(
+        F.timestamp_micros(F.unix_micros(local) - signed * 60_000_000)
+    )
     parsed = F.when(text.rlike(UTC_ISO), text.try_cast("timestamp")).when(text.rlike(LENIENT_ISO), shifted)
     return F.when(~text.startswith("0000"), parsed)
 

@@ -21,6 +21,7 @@ from ..functions import text as tx
 from ..functions import times
 from ..sources.files import ARCHIVE_GLOB, parse_lines, read_archive
 from . import enrich
+from .ingest import read_fields, seal
 from .records import choose_content, clean_articles, explode_tickers
 
 _KEY = r'(?<!\\)"timestamp"\s*+:'
@@ -28,7 +29,7 @@ _KEY_WITH_TEXT = rf'(?<key>{_KEY}\s*+)"(?<iso>[^"\\]*+)"'
 # ISO spellings that Spark and Python's datetime read alike.
 _PLAIN_ISO = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ](?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:\.[0-9]{1,6})?"
-    r"(?:Z|[+-](?:0[0-9]|1[0-7]):[0-5][0-9])?$"
+    r"(?:Z|[+-](?:0[0-9]|1[0-7]):[0-5][0-9])?\z"
 )
 
 
@@ -135,36 +136,27 @@ def read_legacy(lines: DataFrame) -> DataFrame:
 
     Unreadable JSON, a wrong type, or a missing ticker, id or timestamp makes a row fail.
     """
-    parsed = parse_lines(lines)
-    value = F.col("value")
-
-    readers = {
-        "news_id": jv.lax_bigint,
-        "timestamp": jv.lax_timestamp,
-        "ticker": jv.lax_string,
-        "action": jv.lax_string,
-        "title": jv.lax_string,
-        "body": jv.lax_string,
-        "teaser": jv.lax_string,
-        "url": jv.lax_string,
-        "authors": jv.lax_strings,
-        "channels": jv.lax_strings,
-        "created_at": jv.lax_timestamp,
-        "updated_at": jv.lax_timestamp,
+    kinds = {
+        "news_id": "integer",
+        "timestamp": "time",
+        "ticker": "text",
+        "action": "text",
+        "title": "text",
+        "body": "text",
+        "teaser": "text",
+        "url": "text",
+        "authors": "texts",
+        "channels": "texts",
+        "created_at": "time",
+        "updated_at": "time",
     }
-    typed = parsed.select(*lines.columns, *[how(jv.field(value, n)).alias(n) for n, how in readers.items()], value)
-    failed = value.isNull() | (F.coalesce(tx.strip("ticker"), F.lit("")) == "")
-    for name in ("news_id", "timestamp", "authors", "channels"):
+    typed = read_fields(parse_lines(lines), {n: jv.field(F.col("value"), n) for n in kinds}, kinds)
+    ticker = tx.strip("ticker")
+    failed = F.col("value").isNull() | F.col("wrong_type") | (F.coalesce(ticker, F.lit("")) == "")
+    for name in ("news_id", "timestamp"):
         failed = failed | F.col(name).isNull()
-    for name in readers:
-        if name not in ("authors", "channels"):
-            failed = failed | jv.rejected(jv.field(value, name), F.col(name))
-    return (
-        typed.withColumn("failed", failed)
-        .withColumn("tickers", F.array(tx.strip("ticker")))
-        .withColumnRenamed("news_id", "id")
-        .drop("value", "ticker")
-    )
+    columns = [F.col(n).alias("id" if n == "news_id" else n) for n in kinds if n != "ticker"]
+    return seal(typed, lines.columns, [*columns, F.array(ticker).alias("tickers"), failed.alias("failed")])
 
 
 def backfill(lines: DataFrame, factory=None, policy: enrich.CallPolicy | None = None, **options) -> DataFrame:

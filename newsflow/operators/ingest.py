@@ -2,33 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import json_values as jv
 from ..functions.tickers import tickers_of
 
-_TEXT = jv.lax_string
-# Output column: field of the message, and how it is read.
+# Output column: field of the message, and what it holds.
 _FIELDS = {
-    "api_version": ("api_version", _TEXT),
-    "kind": ("kind", _TEXT),
-    "id": ("data.id", jv.lax_bigint),
-    "timestamp": ("data.timestamp", jv.lax_timestamp),
-    "action": ("data.action", _TEXT),
-    "content_id": ("data.content.id", jv.lax_bigint),
-    "revision_id": ("data.content.revision_id", jv.lax_bigint),
-    "type": ("data.content.type", _TEXT),
-    "title": ("data.content.title", _TEXT),
-    "body": ("data.content.body", _TEXT),
-    "teaser": ("data.content.teaser", _TEXT),
-    "url": ("data.content.url", _TEXT),
-    "authors": ("data.content.authors", jv.lax_strings),
-    "channels": ("data.content.channels", jv.lax_strings),
-    "securities": ("data.content.securities", jv.coerce_list),
-    "created_at": ("data.content.created_at", jv.lax_timestamp),
-    "updated_at": ("data.content.updated_at", jv.lax_timestamp),
+    "api_version": ("api_version", "text"),
+    "kind": ("kind", "text"),
+    "id": ("data.id", "integer"),
+    "timestamp": ("data.timestamp", "time"),
+    "action": ("data.action", "text"),
+    "content_id": ("data.content.id", "integer"),
+    "revision_id": ("data.content.revision_id", "integer"),
+    "type": ("data.content.type", "text"),
+    "title": ("data.content.title", "text"),
+    "body": ("data.content.body", "text"),
+    "teaser": ("data.content.teaser", "text"),
+    "url": ("data.content.url", "text"),
+    "authors": ("data.content.authors", "texts"),
+    "channels": ("data.content.channels", "texts"),
+    "securities": ("data.content.securities", "list"),
+    "created_at": ("data.content.created_at", "time"),
+    "updated_at": ("data.content.updated_at", "time"),
 }
 _REQUIRED = ("id", "timestamp")
 
@@ -45,6 +44,47 @@ def _struct_of(prefix: str) -> str:
 _SHAPE = _struct_of("")
 
 
+def seal(df: DataFrame, keep: list[str], columns: list[Column]) -> DataFrame:
+    """Select ``keep`` and ``columns`` so that filters on ``columns`` stay above this point.
+
+    Spark copies the definition of a plain column into every filter on it that it moves down, also into
+    the ones it infers for an explode. With columns that stand for a parsed message this parses each
+    message again, several times over. It does not move filters past a generator, so the columns
+    pass through one: a list of one struct.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
+def read_fields(df: DataFrame, values: dict[str, Column], kinds: dict[str, str]) -> DataFrame:
+    """Add one typed column per VARIANT of ``values``, and ``wrong_type``: some value was rejected.
+
+    ``kinds`` says what each holds: text, integer, time, texts (list of text) or list (of anything).
+    """
+    scalars = [name for name, kind in kinds.items() if kind not in ("texts", "list")]
+    items = {name: jv.Sent(F.col(f"_kind_{name}"), F.col(f"_text_{name}")) for name in scalars}
+    split = df.select(
+        "*",
+        *[jv.sent(values[n]).kind.alias(f"_kind_{n}") for n in scalars],
+        *[jv.sent(values[n]).text.alias(f"_text_{n}") for n in scalars],
+        *[jv.lax_strings(values[n]).alias(n) for n, kind in kinds.items() if kind == "texts"],
+        *[jv.coerce_list(values[n]).alias(n) for n, kind in kinds.items() if kind == "list"],
+    )
+    times = [name for name, kind in kinds.items() if kind == "time"]
+    numbered = split.select("*", *[jv.epoch_number(items[n]).alias(f"_number_{n}") for n in times])
+    readers = {"text": jv.lax_string, "integer": jv.lax_bigint}
+    typed = numbered.select(
+        "*",
+        *[readers[kinds[n]](items[n]).alias(n) for n in scalars if n not in times],
+        *[jv.lax_timestamp(items[n], F.col(f"_number_{n}")).alias(n) for n in times],
+    )
+    wrong = [jv.rejected(items[n], F.col(n)) for n in scalars]
+    wrong += [F.col(n).isNull() for n, kind in kinds.items() if kind == "texts"]
+    tests = wrong[0]
+    for test in wrong[1:]:
+        tests = tests | test
+    return typed.select(*df.columns, *kinds, F.coalesce(tests, F.lit(False)).alias("wrong_type"))
+
+
 def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Add the typed message columns, ``tickers`` and ``reason`` (NULL for an accepted message).
 
@@ -59,25 +99,19 @@ def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
         F.col("_value").isNull().alias("_undecoded"),
         F.try_variant_get("_value", "$", _SHAPE).alias("_msg"),
     )
-    sent = {name: F.col(f"_msg.{path}") for name, (path, _) in _FIELDS.items()}
-    typed = shaped.select("*", *[read(sent[name]).alias(name) for name, (_, read) in _FIELDS.items()])
-    wrong = [jv.rejected(sent[n], F.col(n)) for n in _FIELDS if n not in ("authors", "channels")]
-    wrong += [F.col(n).isNull() for n in (*_REQUIRED, "authors", "channels")]
-    invalid = F.col("_msg.data.content").isNull()
-    for test in wrong:
-        invalid = invalid | test
+    typed = read_fields(
+        shaped, {name: F.col(f"_msg.{path}") for name, (path, _) in _FIELDS.items()}, {n: k for n, (_, k) in _FIELDS.items()}
+    )
+    invalid = F.col("_msg.data.content").isNull() | F.col("wrong_type")
+    for name in _REQUIRED:
+        invalid = invalid | F.col(name).isNull()
     reason = (
         F.when(F.col("_undecoded"), F.lit(schema.DECODE_FAILED))
         .when(invalid, F.lit(schema.VALIDATION_FAILED))
         .when(F.size("tickers") == 0, F.lit(schema.NO_SECURITIES))
     )
-    # Exploding a list of one keeps filters on ``reason`` above this point. As a plain column its whole
-    # definition, with every field's reading, would be copied into the filter and evaluated again.
-    return (
-        typed.withColumn("tickers", tickers_of(F.col("securities")))
-        .select("*", F.explode(F.array(reason)).alias("reason"))
-        .select(*kept, *_FIELDS, "tickers", "reason")
-    )
+    found = typed.withColumn("tickers", tickers_of(F.col("securities")))
+    return seal(found, df.columns, [*[F.col(n) for n in _FIELDS], F.col("tickers"), reason.alias("reason")])
 
 
 def accepted(parsed: DataFrame, raw: str = "raw") -> DataFrame:

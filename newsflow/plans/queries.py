@@ -88,7 +88,7 @@ def extract_symbols(spark, sf_dir):
 
 
 def clean_steps(spark, sf_dir):
-    bodies = sample.table(spark, sf_dir, "pages").select("page_id", tx.drop_markup("html").alias("stripped"))
+    bodies = sample.texts(spark, sf_dir, "pages").select("page_id", tx.drop_markup("html").alias("stripped"))
     unescaped = bodies.withColumn("unescaped", tx.unescape("stripped"))
     return unescaped.withColumn("cleaned", tx.tidy_space("unescaped"))
 
@@ -150,11 +150,11 @@ def html_prompts(spark, sf_dir):
 
 
 def word_count(spark, sf_dir):
-    return sample.table(spark, sf_dir, "documents").select("doc_id", tx.word_count("text").alias("words"))
+    return sample.texts(spark, sf_dir, "documents").select("doc_id", tx.word_count("text").alias("words"))
 
 
 def preview(spark, sf_dir):
-    docs = sample.table(spark, sf_dir, "documents")
+    docs = sample.texts(spark, sf_dir, "documents")
     return docs.select(
         "doc_id", tx.preview("text").alias("preview"), F.char_length("text").cast("bigint").alias("n_characters")
     )
@@ -295,7 +295,7 @@ def mon_lag(spark, sf_dir):
 
 
 def mon_cost(spark, sf_dir):
-    docs = sample.table(spark, sf_dir, "documents")
+    docs = sample.texts(spark, sf_dir, "documents")
     count = tx.word_count("text")
     usage = docs.select(
         F.when(F.col("doc_id") % 3 == 0, "small").otherwise("large").alias("model"),

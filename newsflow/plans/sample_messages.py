@@ -8,11 +8,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts. Work per row is heavy, so a file of one split is spread over the cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _ticker(key: Column, factor: int) -> Column:
     return F.concat(F.lit("T"), (key * factor % 20).cast("string"))
 
@@ -25,14 +32,14 @@ def articles(spark: SparkSession, sf_dir: str, source: str = "pages") -> DataFra
     """One article per page or document, with the time and type of the event of the same number."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     if source == "pages":
-        base = table(spark, sf_dir, "pages").select(
+        base = texts(spark, sf_dir, "pages").select(
             F.col("page_id").alias("key"),
             "url",
             F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
             F.col("html").alias("body"),
         )
     else:
-        base = table(spark, sf_dir, "documents").select(
+        base = texts(spark, sf_dir, "documents").select(
             F.col("doc_id").alias("key"),
             F.concat(F.lit("https://news.example/"), "doc_id").alias("url"),
             F.substring("text", 1, 60).alias("title"),
@@ -172,7 +179,7 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legacy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a legacy archive line of its source's file; some unusable by ``doc_id % 10``."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents")
     key = F.col("doc_id")
     good = F.to_json(
         F.struct(

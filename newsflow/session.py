@@ -66,3 +66,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Even out a scan that has fewer splits than the cluster has cores, as with a few unsplittable files.
+
+    A scan with enough splits, the normal case, is returned as it is: no shuffle. Use it on plain
+    scans only, because it asks Spark for the number of partitions.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -40,6 +40,10 @@ def test_reading_fields_happens_once(spark, tmp_path):
     text = plan(ingest.accepted(ingest.parse_messages(landed(spark, tmp_path))))
     filters = [line for line in text.splitlines() if re.search(r"\bFilter\b", line)]
     assert filters and not any("parseJson" in line or "schemaOfVariant" in line for line in filters)
+    # Nor by the filter Spark infers for the fan-out, or by one of the user's.
+    rows = articles_to_records(ingest.accepted(ingest.parse_messages(landed(spark, tmp_path))), None)
+    text = plan(rows.where("news_id = 5"))
+    assert sum("parseJson" in line for line in text.splitlines()) == 1
 
 
 def test_rewrite_is_map_only(spark, tmp_path):
