@@ -1,7 +1,7 @@
 """Typed values out of semi-structured (VARIANT) fields with lax, loss-free coercion.
 
-Every ``lax_*`` function returns NULL both for an absent field and for a value it rejects; ``rejected``
-tells the two apart.
+Every ``lax_*`` function returns NULL both for an absent field and for a value it rejects; the kind that
+was sent tells the two apart.
 """
 
 from __future__ import annotations
@@ -77,11 +77,6 @@ def is_present(value: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
-def rejected(item: Sent, typed: Column) -> Column:
-    """A value was sent but could not be taken as the wanted type."""
-    return item.kind.isNotNull() & (item.kind != "VOID") & typed.isNull()
-
-
 def _is_number(type_name: Column) -> Column:
     return type_name.isin("BIGINT", "DOUBLE") | type_name.startswith("DECIMAL")
 

@@ -56,11 +56,15 @@ def is_blank(c: Column | str) -> Column:
 
 def drop_markup(c: Column | str) -> Column:
     """Turn paragraph, line, block and list markup into line breaks, then drop all other tags."""
-    plain = F.coalesce(_col(c), F.lit(""))
-    text = plain
+    text = F.coalesce(_col(c), F.lit(""))
+    # No tag reaches beyond the last ">". Without that tail every "<" finds its ">", so that even a text
+    # of nothing but "<" takes linear time.
+    tail = F.substring_index(text, ">", -1)
+    head = F.substring(text, F.lit(1), F.length(text) - F.length(tail))
     for pattern, replacement in MARKUP_RULES:
-        text = F.regexp_replace(text, pattern, replacement)
-    return F.when(F.contains(plain, F.lit("<")), text).otherwise(plain)
+        head = F.regexp_replace(head, pattern, replacement)
+    has_tags = F.contains(text, F.lit("<")) & F.contains(text, F.lit(">"))
+    return F.when(has_tags, F.concat(head, tail)).otherwise(text)
 
 
 @F.pandas_udf(T.StringType())

@@ -37,7 +37,7 @@ def lenient_timestamp(text: Column) -> Column:
     local = F.replace(F.rtrim(F.regexp_replace(text, LENIENT_ISO, "$1 $2")), F.lit(","), F.lit("."))
     local = F.when(F.length(local) == 16, F.concat(local, F.lit(":00"))).otherwise(local).try_cast("timestamp")
     offset = F.regexp_replace(text, LENIENT_ISO, "$3$4$5")
-    minutes = F.substring(offset, 2, 2).cast("bigint") * 60 + F.substring(offset, 4, 2).cast("bigint")
+    minutes = F.substring(offset, 2, 2).try_cast("bigint") * 60 + F.substring(offset, 4, 2).try_cast("bigint")
     signed = F.when(F.substring(offset, 1, 1) == "+", minutes).otherwise(-minutes)
     shifted = F.when(offset == "", local).otherwise(
         F.timestamp_micros(F.unix_micros(local) - signed * 60_000_000)

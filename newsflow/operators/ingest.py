@@ -62,10 +62,11 @@ def read_fields(df: DataFrame, values: dict[str, Column], kinds: dict[str, str])
     """
     scalars = [name for name, kind in kinds.items() if kind not in ("texts", "list")]
     items = {name: jv.Sent(F.col(f"_kind_{name}"), F.col(f"_text_{name}")) for name in scalars}
+    sent = {name: jv.sent(values[name]) for name in scalars}
     split = df.select(
         "*",
-        *[jv.sent(values[n]).kind.alias(f"_kind_{n}") for n in scalars],
-        *[jv.sent(values[n]).text.alias(f"_text_{n}") for n in scalars],
+        *[sent[n].kind.alias(f"_kind_{n}") for n in scalars],
+        *[sent[n].text.alias(f"_text_{n}") for n in scalars],
         *[jv.lax_strings(values[n]).alias(n) for n, kind in kinds.items() if kind == "texts"],
         *[jv.coerce_list(values[n]).alias(n) for n, kind in kinds.items() if kind == "list"],
     )
@@ -77,12 +78,10 @@ def read_fields(df: DataFrame, values: dict[str, Column], kinds: dict[str, str])
         *[readers[kinds[n]](items[n]).alias(n) for n in scalars if n not in times],
         *[jv.lax_timestamp(items[n], F.col(f"_number_{n}")).alias(n) for n in times],
     )
-    wrong = [jv.rejected(items[n], F.col(n)) for n in scalars]
-    wrong += [F.col(n).isNull() for n, kind in kinds.items() if kind == "texts"]
-    tests = wrong[0]
-    for test in wrong[1:]:
-        tests = tests | test
-    return typed.select(*df.columns, *kinds, F.coalesce(tests, F.lit(False)).alias("wrong_type"))
+    # Sent, but not of the wanted type; lists have no NULL result otherwise.
+    wrong = [f"(`_kind_{n}` != 'VOID' AND `{n}` IS NULL)" for n in scalars]
+    wrong += [f"`{n}` IS NULL" for n, kind in kinds.items() if kind == "texts"]
+    return typed.select(*df.columns, *kinds, F.coalesce(F.expr(" OR ".join(wrong)), F.lit(False)).alias("wrong_type"))
 
 
 def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:

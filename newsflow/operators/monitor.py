@@ -14,7 +14,7 @@ from .totals import exact_percentiles
 
 # --- fixed values -----------------------------------------------------------------------------
 # Event names are what stands before the first key=value pair, a colon or the end of the message.
-EVENT = r"^(.*?)(?::|\s+\S+=|$)"
+EVENT = r"(?s)^(.*?)(?::|\s+\S+=|\z)"
 SUMMARIZED = r"summarized$"
 SUMMARY_FAILED = r"summarization-failed$"
 THROTTLED = "bedrock-throttled"
@@ -132,6 +132,28 @@ def lag(rows: DataFrame, event_ms: str, ingest_ms: str, groups: tuple[str, ...],
     return middle.join(ends, list(groups))
 
 
+def lag_windows(rows: DataFrame, event_time: str, ingest_time: str, width: str = "1 minute") -> DataFrame:
+    """Delay by window of the ingest time, also for streams (give the input a watermark first).
+
+    The percentiles are approximate: a stream cannot rank its rows exactly, the sketch merges and has a
+    fixed size.
+    """
+    delay = F.unix_millis(ingest_time) - F.unix_millis(event_time)
+    timed = rows.select(F.window(ingest_time, width).alias("_window"), delay.alias("_lag"))
+    ranks = F.percentile_approx("_lag", [0.5, 0.99], 10_000)
+    grouped = timed.groupBy("_window").agg(
+        F.count("*").alias("n"), F.avg("_lag").alias("avg_lag_ms"), F.max("_lag").alias("max_lag_ms"), ranks.alias("_ranks")
+    )
+    return grouped.select(
+        F.col("_window.start").alias("window"),
+        "n",
+        "avg_lag_ms",
+        "max_lag_ms",
+        F.col("_ranks")[0].alias("p50_lag_ms"),
+        F.col("_ranks")[1].alias("p99_lag_ms"),
+    )
+
+
 def rotation(rotated: DataFrame) -> DataFrame:
     """Files, rows and bytes of each ingest window."""
     return rotated.groupBy("ingest_dt", "hour", "part").agg(

@@ -1,4 +1,5 @@
 from .files import (
+    bad_lines,
     list_archive,
     parse_lines,
     read_archive,
@@ -7,4 +8,4 @@ from .files import (
     stream_messages,
 )
 
-__all__ = ["list_archive", "parse_lines", "read_archive", "read_messages", "read_service_log", "stream_messages"]
+__all__ = ["bad_lines", "list_archive", "parse_lines", "read_archive", "read_messages", "read_service_log", "stream_messages"]

@@ -52,7 +52,13 @@ def list_archive(spark: SparkSession, uri: str, glob: str = ARCHIVE_GLOB) -> Dat
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Lenient NDJSON: drop blank lines, add ``value`` (VARIANT, NULL when the line is not JSON)."""
-    return lines.where(~is_blank(line)).withColumn("value", jv.parse_json(strip(line)))
+    text = strip(line)
+    return lines.where(~is_blank(line)).withColumn("value", jv.parse_json(text))
+
+
+def bad_lines(parsed: DataFrame) -> DataFrame:
+    """Lines that are not JSON, with where they stand."""
+    return parsed.where(F.col("value").isNull()).drop("value")
 
 
 def read_service_log(spark: SparkSession, uri: str) -> DataFrame:

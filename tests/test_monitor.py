@@ -75,3 +75,22 @@ def test_lag(spark):
     rows = spark.createDataFrame([("h", 0, 10), ("h", 0, 20), ("h", 5, 35)], "w string, e bigint, i bigint")
     found = monitor.lag(rows, "e", "i", ("w",)).first().asDict()
     assert found == {"w": "h", "n": 3, "p50_lag_ms": 20.0, "p99_lag_ms": 29.8, "avg_lag_ms": 20.0, "max_lag_ms": 30}
+
+
+def test_streaming_rollups_with_a_watermark(spark, tmp_path):
+    from newsflow.operators.monitor import lag_windows, per_minute
+
+    rows = [(f"2025-10-02 18:0{m}:30", f"2025-10-02 18:0{m}:{s}") for m in (1, 2, 9) for s in (40, 50)]
+    typed = spark.createDataFrame(rows, "e string, i string").selectExpr("timestamp(e) e", "timestamp(i) i")
+    path = str(tmp_path / "rows")
+    typed.write.parquet(path)
+    stream = spark.readStream.schema(typed.schema).parquet(path).withWatermark("i", "2 minutes")
+    for name, build in (("lag", lambda df: lag_windows(df, "e", "i")), ("rate", lambda df: per_minute(df, "i"))):
+        query = build(stream).writeStream.format("memory").queryName(name).outputMode("append")
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination()
+    # The last window stays open: it is still within the watermark.
+    assert [tuple(r)[1:] for r in spark.table("lag").orderBy("window").collect()] == [(2, 15000.0, 20000, 10000, 20000)] * 2
+    assert [r.records for r in spark.table("rate").collect()] == [2, 2]
+    batch = lag_windows(typed, "e", "i")
+    assert batch.count() == 3
