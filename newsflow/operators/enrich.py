@@ -132,10 +132,6 @@ def call_column(text: Column, factory: Callable[[], Invoke], policy: CallPolicy)
     return F.pandas_udf(summarize, OUTCOME).asNondeterministic()(text)
 
 
-def prompt_key(text: Column) -> Column:
-    return F.sha2(text, 256)
-
-
 def summarize_articles(
     cleaned: DataFrame,
     factory: Callable[[], Invoke],
@@ -145,22 +141,23 @@ def summarize_articles(
     max_concurrent_calls: int | None = None,
     stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``summary``, ``attempts``, ``error_code``, ``model_used``, ``elapsed_ms`` to cleaned articles.
+    """Add ``summary``, ``prompt_hash`` and the columns of ``OUTCOME`` to cleaned articles.
 
     A blank body makes no call; its summary is the teaser, or NULL. ``text`` is what the service gets,
     by default the article prompt. ``max_concurrent_calls`` spreads the rows evenly over that many
-    partitions, which is the number of calls that can run at one time. ``stored`` (``news_id``,
-    ``prompt_hash``, ``summary``; unique keys) holds earlier results; a match is used instead of a call.
+    partitions, which is the number of calls that can run at one time, and of files a write without
+    rotation makes per window. ``stored`` (see ``summary_store``) holds earlier results; a match is used
+    instead of a call.
     """
     policy = policy or CallPolicy()
     if text is None:
         text = prompts.article_prompt(
             F.col("primary_ticker"), F.col("title"), F.col("body_clean"), F.col("teaser_clean"), policy.max_words
         )
-    articles = cleaned.withColumn("_text", text)
+    articles = cleaned.withColumn("_text", text).withColumn("prompt_hash", F.sha2("_text", 256))
     if stored is not None:
-        known = stored.select(F.col("news_id").alias("id"), F.col("prompt_hash").alias("_key"), F.col("summary").alias("_known"))
-        articles = articles.withColumn("_key", prompt_key(F.col("_text"))).join(known, ["id", "_key"], "left").drop("_key")
+        known = stored.select(F.col("news_id").alias("id"), "prompt_hash", F.col("summary").alias("_known"))
+        articles = articles.join(known, ["id", "prompt_hash"], "left")
     else:
         articles = articles.withColumn("_known", F.lit(None).cast("string"))
     if max_concurrent_calls:
@@ -169,6 +166,7 @@ def summarize_articles(
     no_text = F.when(F.col("_text").isNull(), F.nullif(F.col("teaser_clean"), F.lit("")))
     return called.select(
         *cleaned.columns,
+        "prompt_hash",
         F.coalesce("_known", "_out.summary", no_text).alias("summary"),
         F.coalesce(F.col("_out.attempts"), F.lit(0)).alias("attempts"),
         "_out.error_code",
@@ -187,12 +185,13 @@ def summarize_html(
     return summarize_articles(without_teaser, factory, policy, text=prompt, **options).drop("teaser_clean")
 
 
-def summary_store(summarized: DataFrame, text: Column) -> DataFrame:
-    """Rows to keep for reuse: one summary per article and prompt."""
-    keyed = summarized.where(F.col("summary").isNotNull() & (F.col("attempts") > 0)).select(
-        F.col("id").alias("news_id"), prompt_key(text).alias("prompt_hash"), "summary"
-    )
-    return keyed.groupBy("news_id", "prompt_hash").agg(F.min("summary").alias("summary"))
+def summary_store(summarized: DataFrame) -> DataFrame:
+    """Rows to keep for reuse: one summary per article and prompt, from calls and not from reuse.
+
+    Pass the stored form of the summarized articles (``session.materialize``), or they are called again.
+    """
+    made = summarized.where(F.col("summary").isNotNull() & (F.col("attempts") > 0))
+    return made.groupBy(F.col("id").alias("news_id"), "prompt_hash").agg(F.min("summary").alias("summary"))
 
 
 class LeadingSentences:

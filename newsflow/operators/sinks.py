@@ -27,10 +27,12 @@ def write_windowed(
     minutes: int = times.DEFAULT_WINDOW_MINUTES,
     max_object_bytes: int | None = DEFAULT_MAX_OBJECT_BYTES,
     batch_id: int | None = None,
+    slices: int | None = None,
 ) -> None:
     """Append records under ``uri/ingest_dt=../hour=../part=../seq=..``; ``uri`` decides the store.
 
-    ``seq`` is the file number from the size rotation. ``max_object_bytes=None`` writes without
+    ``seq`` is the file number from the size rotation, which runs on ``slices`` partitions (by default
+    ``spark.sql.shuffle.partitions``) however the rows spread over windows. ``max_object_bytes=None`` writes without
     rotation and without a shuffle, one file per task and window.
 
     With ``batch_id`` there is no rotation either, ``seq`` names the micro-batch, and the write replaces
@@ -44,7 +46,7 @@ def write_windowed(
         placed = placed.withColumn("seq", F.lit(f"batch-{batch_id}"))
         mode = "overwrite"
     elif max_object_bytes:
-        rotated = rotate_files(placed, max_object_bytes, order)
+        rotated = rotate_files(placed, max_object_bytes, order, slices)
         placed = rotated.withColumn("seq", F.format_string("%06d", "file_seq"))
     else:
         placed = placed.withColumn("seq", F.lit("000000"))

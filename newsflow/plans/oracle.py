@@ -195,6 +195,12 @@ ORACLE: dict[str, str] = {
         ELSE coalesce(nullif(regexp_extract(t,'^(.*[.!?])( .*)?$',1),''),t) END AS summary,
         CAST(CASE WHEN n=0 THEN 0 ELSE 1 END AS BIGINT) AS attempts,
         CASE WHEN n>0 THEN 'primary' END AS model_used FROM lead""",
+    "retry_outcomes": f"""WITH {_articles("documents")} SELECT key,
+        CASE WHEN key%7 IN (0,1,5) THEN 'primary 360' WHEN key%7=4 THEN 'fallback 360' END AS summary,
+        CAST(CASE WHEN key%7 IN (1,2,6) THEN 3 WHEN key%7=5 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+        CASE key%7 WHEN 2 THEN 'ThrottlingException' WHEN 3 THEN 'AccessDeniedException' WHEN 6 THEN 'ValueError' END AS error_code,
+        CASE WHEN key%7 IN (0,1,5) THEN 'primary' WHEN key%7=4 THEN 'fallback' END AS model_used
+        FROM article WHERE {_HAS_TICKER}""",
     "prompts": f"""WITH {_cleaned("documents", "blanked")} SELECT key, CASE WHEN trim(body_clean,{_SPACES})<>'' THEN
         {_prompt(prompts.ARTICLE_OPENING, "Article:", "body_clean", prompts.ARTICLE_REQUIREMENTS, 200, _TEASER_LINE)} END
         AS prompt, CAST(360 AS BIGINT) AS max_tokens FROM cleaned""",
@@ -225,6 +231,8 @@ ORACLE: dict[str, str] = {
         WHEN 5 THEN '{{"timestamp":"'||{_ISO}||'Z"'
         WHEN 6 THEN '{{"timestamp":"soon"'||{_REST} WHEN 7 THEN ''
         ELSE '{{"timestamp":'||{_MILLIS}||{_REST} END AS line FROM events""",
+    "lenient_lines": """SELECT event_id AS key, CAST(event_id%8<>5 AS BIGINT) AS is_json FROM events
+        WHERE event_id%8<>7""",
     "legacy_backfill": f"""WITH {_LEGACY} SELECT path, doc_id AS news_id, 'T'||(doc_id%20) AS ticker,
         1704067200000 AS "timestamp", 'Created' AS action, title, content, '' AS authors FROM done WHERE NOT failed""",
     "migration_stats": f"""WITH {_LEGACY}, n AS (SELECT path, failed, {_words("content")} AS words FROM done)
@@ -260,6 +268,9 @@ ORACLE: dict[str, str] = {
     "mon_lag": """WITH l AS (SELECT strftime(ts,'%Y-%m-%d') AS day, CAST(floor(value*1000) AS BIGINT) AS lag FROM events)
         SELECT day, count(*) AS n, round(avg(lag)::DOUBLE,6) AS avg_lag_ms, round(quantile_cont(lag::DOUBLE,0.5),6) AS p50_lag_ms,
         round(quantile_cont(lag::DOUBLE,0.99),6) AS p99_lag_ms, max(lag) AS max_lag_ms FROM l GROUP BY day""",
+    "mon_lag_windows": """WITH l AS (SELECT epoch_us(ts) AS e, epoch_us(ts)+CAST(floor(value) AS BIGINT)*1000000 AS i FROM events)
+        SELECT i//3600000000*3600000 AS window_ms, count(*) AS n, round(avg(i//1000-e//1000)::DOUBLE,6) AS avg_lag_ms,
+        max(i//1000-e//1000) AS max_lag_ms FROM l GROUP BY 1""",
     "mon_cost": f"""WITH u AS (SELECT CASE WHEN doc_id%3=0 THEN 'small' ELSE 'large' END AS model, {_words("text")} AS w
         FROM documents), t AS (SELECT model, count(*) AS calls, CAST(sum(w+100) AS BIGINT) AS tokens_in,
         CAST(sum(least(w,200)) AS BIGINT) AS tokens_out FROM u GROUP BY model)

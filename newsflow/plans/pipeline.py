@@ -49,6 +49,7 @@ def run_batch(
     batch_id: int | None = None,
     minutes: int = DEFAULT_WINDOW_MINUTES,
     max_object_bytes: int | None = sinks.DEFAULT_MAX_OBJECT_BYTES,
+    slices: int | None = None,
     **options,
 ) -> None:
     """Raw messages (``raw``, optional ``ingest_ts``) to windowed NDJSON and a quarantine table.
@@ -65,4 +66,6 @@ def run_batch(
     rows = articles_to_records(
         ingest.accepted(parsed), factory, policy, ("ingest_ts",), store_content=rotate, **options
     )
-    sinks.write_windowed(rows, output, minutes=minutes, max_object_bytes=max_object_bytes, batch_id=batch_id)
+    sinks.write_windowed(
+        rows, output, minutes=minutes, max_object_bytes=max_object_bytes, batch_id=batch_id, slices=slices
+    )

@@ -13,6 +13,7 @@ from ..functions import prompts, times
 from ..functions import text as tx
 from ..functions.tickers import primary_ticker
 from ..operators import archive, enrich, ingest, monitor, records, windows
+from ..sources import parse_lines
 from . import pipeline
 from . import sample_messages as sample
 
@@ -136,6 +137,37 @@ def summarize_extractive(spark, sf_dir):
     return done.select("key", "summary", "attempts", "model_used")
 
 
+class _Unsteady:
+    """Service that fails in ways the first digit of its text chooses."""
+
+    def __call__(self):
+        seen = {}
+
+        def invoke(request):
+            case = request.text[0]
+            seen[request.text] = tries = seen.get(request.text, 0) + 1
+            if case == "1" and tries < 3 or case == "2":
+                raise enrich.ServiceError("ThrottlingException")
+            if case == "3":
+                raise enrich.ServiceError("AccessDeniedException")
+            if case == "4" and request.model == "primary":
+                raise enrich.ServiceError("ValidationException", "needs on-demand throughput")
+            if case == "5" and tries < 2:
+                return " "
+            if case == "6":
+                raise ValueError("unexpected")
+            return f" {request.model} {request.max_tokens} "
+
+        return invoke
+
+
+def retry_outcomes(spark, sf_dir):
+    policy = enrich.CallPolicy(sleep=lambda seconds: None)
+    text = F.concat((F.col("key") % 7).cast("string"), F.lit("|"), F.col("key").cast("string"))
+    done = enrich.summarize_articles(_cleaned(spark, sf_dir, "documents"), _Unsteady(), policy, text=text)
+    return done.select("key", "summary", "attempts", "error_code", "model_used")
+
+
 def article_prompts(spark, sf_dir):
     rows = _with_blank_bodies(spark, sf_dir)
     prompt = prompts.article_prompt(F.col("primary_ticker"), F.col("title"), F.col("body_clean"), F.col("teaser_clean"))
@@ -212,6 +244,11 @@ def rewrite_archive(spark, sf_dir):
     return archive.rewrite_lines(sample.archive_lines(spark, sf_dir))
 
 
+def lenient_lines(spark, sf_dir):
+    parsed = parse_lines(sample.archive_lines(spark, sf_dir))
+    return parsed.select("key", F.col("value").isNotNull().cast("bigint").alias("is_json"))
+
+
 def legacy_backfill(spark, sf_dir):
     rows = archive.backfill(sample.legacy_lines(spark, sf_dir))
     return rows.select("path", "news_id", "ticker", "timestamp", "action", "title", "content", _joined("authors"))
@@ -294,6 +331,14 @@ def mon_lag(spark, sf_dir):
     )
 
 
+def mon_lag_windows(spark, sf_dir):
+    rows = _elapsed(spark, sf_dir).select(
+        "ts", (F.col("ts") + F.make_dt_interval(secs=F.floor("elapsed_ms").cast("decimal(18,6)"))).alias("ingest_ts")
+    )
+    found = monitor.lag_windows(rows, "ts", "ingest_ts", "1 hour")
+    return found.select(F.unix_millis("window").alias("window_ms"), "n", F.round("avg_lag_ms", 6).alias("avg_lag_ms"), "max_lag_ms")
+
+
 def mon_cost(spark, sf_dir):
     docs = sample.texts(spark, sf_dir, "documents")
     count = tx.word_count("text")
@@ -317,6 +362,7 @@ QUERIES = {
     "fallback_content": fallback_content,
     "summary_routing": summary_routing,
     "summarize_extractive": summarize_extractive,
+    "retry_outcomes": retry_outcomes,
     "prompts": article_prompts,
     "html_prompts": html_prompts,
     "word_count": word_count,
@@ -328,6 +374,7 @@ QUERIES = {
     "assign_windows": assign_windows,
     "rotate_files": rotate_files,
     "rewrite_archive": rewrite_archive,
+    "lenient_lines": lenient_lines,
     "legacy_backfill": legacy_backfill,
     "migration_stats": migration_stats,
     "log_fields": log_fields,
@@ -340,6 +387,7 @@ QUERIES = {
     "mon_errors": mon_errors,
     "mon_latency": mon_latency,
     "mon_lag": mon_lag,
+    "mon_lag_windows": mon_lag_windows,
     "mon_rotation": mon_rotation,
     "mon_cost": mon_cost,
 }

@@ -4,9 +4,9 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from newsflow.functions import prompts
 from newsflow.operators import enrich, ingest, records
 from newsflow.operators.enrich import CallPolicy, LeadingSentences, Request, ServiceError, call_service
+from newsflow.session import materialize
 
 from .messages import frame, message
 
@@ -105,11 +105,7 @@ def test_blank_body_outcome(spark, tmp_path):
 def test_stored_summaries_are_reused(spark, tmp_path):
     service = Recorder(tmp_path)
     articles = cleaned(spark, message({"id": 1}), message({"id": 2}, body="other"))
-    prompt = prompts.article_prompt(
-        F.col("primary_ticker"), F.col("title"), F.col("body_clean"), F.col("teaser_clean")
-    )
-    first = enrich.summarize_articles(articles.where("id = 1"), service)
-    store = spark.createDataFrame(enrich.summary_store(first, prompt).collect(), "news_id bigint, prompt_hash string, summary string")
+    store = enrich.summary_store(materialize(enrich.summarize_articles(articles.where("id = 1"), service), "summaries"))
     assert service.calls() == 1
     rows = by_id(enrich.summarize_articles(articles, service, stored=store))
     assert service.calls() == 2
