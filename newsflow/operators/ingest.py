@@ -98,9 +98,8 @@ def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
         F.col("_value").isNull().alias("_undecoded"),
         F.try_variant_get("_value", "$", _SHAPE).alias("_msg"),
     )
-    typed = read_fields(
-        shaped, {name: F.col(f"_msg.{path}") for name, (path, _) in _FIELDS.items()}, {n: k for n, (_, k) in _FIELDS.items()}
-    )
+    values = {name: F.col(f"_msg.{path}") for name, (path, _) in _FIELDS.items()}
+    typed = read_fields(shaped, values, {name: kind for name, (_, kind) in _FIELDS.items()})
     invalid = F.col("_msg.data.content").isNull() | F.col("wrong_type")
     for name in _REQUIRED:
         invalid = invalid | F.col(name).isNull()

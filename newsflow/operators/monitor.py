@@ -119,12 +119,16 @@ def errors(fields: DataFrame) -> DataFrame:
     )
 
 
-def latency(calls: DataFrame, groups: tuple[str, ...], elapsed: str = "elapsed_ms", slices: int | None = None) -> DataFrame:
+def latency(
+    calls: DataFrame, groups: tuple[str, ...], elapsed: str = "elapsed_ms", slices: int | None = None
+) -> DataFrame:
     """Exact median and 99th percentile of the call times, by ``groups``."""
     return exact_percentiles(calls, groups, elapsed, {"p50": 0.5, "p99": 0.99}, slices)
 
 
-def lag(rows: DataFrame, event_ms: str, ingest_ms: str, groups: tuple[str, ...], slices: int | None = None) -> DataFrame:
+def lag(
+    rows: DataFrame, event_ms: str, ingest_ms: str, groups: tuple[str, ...], slices: int | None = None
+) -> DataFrame:
     """Delay between event and ingest time in ms, by ``groups``: count, mean, maximum, median, p99."""
     delayed = rows.withColumn("_lag", (F.col(ingest_ms) - F.col(event_ms)).cast("bigint"))
     ends = delayed.groupBy(*groups).agg(F.avg("_lag").alias("avg_lag_ms"), F.max("_lag").alias("max_lag_ms"))
@@ -142,7 +146,10 @@ def lag_windows(rows: DataFrame, event_time: str, ingest_time: str, width: str =
     timed = rows.select(F.window(ingest_time, width).alias("_window"), delay.alias("_lag"))
     ranks = F.percentile_approx("_lag", [0.5, 0.99], 10_000)
     grouped = timed.groupBy("_window").agg(
-        F.count("*").alias("n"), F.avg("_lag").alias("avg_lag_ms"), F.max("_lag").alias("max_lag_ms"), ranks.alias("_ranks")
+        F.count("*").alias("n"),
+        F.avg("_lag").alias("avg_lag_ms"),
+        F.max("_lag").alias("max_lag_ms"),
+        ranks.alias("_ranks"),
     )
     return grouped.select(
         F.col("_window.start").alias("window"),
@@ -163,9 +170,7 @@ def rotation(rotated: DataFrame) -> DataFrame:
 
 def token_prices(spark: SparkSession, prices=TOKEN_PRICES) -> DataFrame:
     rows = spark.createDataFrame(list(prices), "model STRING, price_in STRING, price_out STRING")
-    return rows.select(
-        "model", F.col("price_in").cast("decimal(10,4)").alias("price_in"), F.col("price_out").cast("decimal(10,4)").alias("price_out")
-    )
+    return rows.select("model", *[F.col(c).cast("decimal(10,4)").alias(c) for c in ("price_in", "price_out")])
 
 
 def cost(usage: DataFrame, prices: DataFrame) -> DataFrame:

@@ -13,8 +13,18 @@ from ..functions.tickers import primary_ticker
 DEFAULT_ACTION = "Created"
 # What the fan-out needs of an article.
 SOURCE_COLUMNS = (
-    "timestamp", "id", "action", "title", "content", "authors", "url", "channels", "created_at", "updated_at", "tickers",
-)
+    "timestamp",
+    "id",
+    "action",
+    "title",
+    "content",
+    "authors",
+    "url",
+    "channels",
+    "created_at",
+    "updated_at",
+    "tickers",
+)
 
 
 def clean_articles(articles: DataFrame) -> DataFrame:

@@ -27,10 +27,11 @@ def running_total(
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows of the group (0 for the first).
 
-    ``total`` names a further column with the sum over the whole group. Group columns must not be NULL. Rows equal in ``order`` are told apart by their arrival, so even
-    a group of identical rows is spread over slices; give rows with such copies as a scan, or a narrow
-    function of one, so that a repeated task finds them in the same order. The sliced rows are written
-    once, because both passes must see the same slices.
+    ``total`` names a further column with the sum over the whole group. Group columns must not be NULL.
+    Rows equal in ``order`` are told apart by their arrival, so even a group of identical rows is spread
+    over slices; give rows with such copies as a scan, or a narrow function of one, so that a repeated
+    task finds them in the same order. The sliced rows are written once, because both passes must see
+    the same slices.
     """
     keys = [*groups, *order, "_arrival"]
     arrived = df.withColumn("_arrival", F.monotonically_increasing_id())

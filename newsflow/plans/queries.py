@@ -83,13 +83,12 @@ def coerce_lists(spark, sf_dir):
 
 def extract_symbols(spark, sf_dir):
     parsed = ingest.parse_messages(sample.messages(spark, sf_dir, "documents"))
-    return parsed.select(
-        "key", _joined("tickers"), _size("tickers").alias("n_tickers"), primary_ticker(F.col("tickers")).alias("primary_ticker")
-    )
+    first = primary_ticker(F.col("tickers")).alias("primary_ticker")
+    return parsed.select("key", _joined("tickers"), _size("tickers").alias("n_tickers"), first)
 
 
 def clean_steps(spark, sf_dir):
-    bodies = sample.texts(spark, sf_dir, "pages").select("page_id", tx.drop_markup("html").alias("stripped"))
+    bodies = sample.heavy(spark, sf_dir, "pages").select("page_id", tx.drop_markup("html").alias("stripped"))
     unescaped = bodies.withColumn("unescaped", tx.unescape("stripped"))
     return unescaped.withColumn("cleaned", tx.tidy_space("unescaped"))
 
@@ -182,11 +181,11 @@ def html_prompts(spark, sf_dir):
 
 
 def word_count(spark, sf_dir):
-    return sample.texts(spark, sf_dir, "documents").select("doc_id", tx.word_count("text").alias("words"))
+    return sample.heavy(spark, sf_dir, "documents").select("doc_id", tx.word_count("text").alias("words"))
 
 
 def preview(spark, sf_dir):
-    docs = sample.texts(spark, sf_dir, "documents")
+    docs = sample.heavy(spark, sf_dir, "documents")
     return docs.select(
         "doc_id", tx.preview("text").alias("preview"), F.char_length("text").cast("bigint").alias("n_characters")
     )
@@ -336,11 +335,12 @@ def mon_lag_windows(spark, sf_dir):
         "ts", (F.col("ts") + F.make_dt_interval(secs=F.floor("elapsed_ms").cast("decimal(18,6)"))).alias("ingest_ts")
     )
     found = monitor.lag_windows(rows, "ts", "ingest_ts", "1 hour")
-    return found.select(F.unix_millis("window").alias("window_ms"), "n", F.round("avg_lag_ms", 6).alias("avg_lag_ms"), "max_lag_ms")
+    mean = F.round("avg_lag_ms", 6).alias("avg_lag_ms")
+    return found.select(F.unix_millis("window").alias("window_ms"), "n", mean, "max_lag_ms")
 
 
 def mon_cost(spark, sf_dir):
-    docs = sample.texts(spark, sf_dir, "documents")
+    docs = sample.heavy(spark, sf_dir, "documents")
     count = tx.word_count("text")
     usage = docs.select(
         F.when(F.col("doc_id") % 3 == 0, "small").otherwise("large").alias("model"),

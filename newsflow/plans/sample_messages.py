@@ -15,8 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of texts. Work per row is heavy, so a file of one split is spread over the cores."""
+def heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with heavy work per row: a file of one split is spread over the cores."""
     return spread(table(spark, sf_dir, name))
 
 
@@ -32,14 +32,14 @@ def articles(spark: SparkSession, sf_dir: str, source: str = "pages") -> DataFra
     """One article per page or document, with the time and type of the event of the same number."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     if source == "pages":
-        base = texts(spark, sf_dir, "pages").select(
+        base = heavy(spark, sf_dir, "pages").select(
             F.col("page_id").alias("key"),
             "url",
             F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
             F.col("html").alias("body"),
         )
     else:
-        base = texts(spark, sf_dir, "documents").select(
+        base = heavy(spark, sf_dir, "documents").select(
             F.col("doc_id").alias("key"),
             F.concat(F.lit("https://news.example/"), "doc_id").alias("url"),
             F.substring("text", 1, 60).alias("title"),
@@ -52,7 +52,7 @@ def articles(spark: SparkSession, sf_dir: str, source: str = "pages") -> DataFra
         key,
         stamp.alias("ingest_ts"),
         F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
-        F.element_at(F.array(F.lit("Created"), F.lit("Updated"), F.lit(""), F.lit(None)), (key % 4 + 1).cast("int")).alias("action"),
+        F.when(key % 4 == 0, "Created").when(key % 4 == 1, "Updated").when(key % 4 == 2, "").alias("action"),
         "title",
         "body",
         F.when(key % 3 != 0, F.concat(F.lit("<p>"), "event_type", F.lit("</p>"))).alias("teaser"),
@@ -95,11 +95,12 @@ def messages(spark: SparkSession, sf_dir: str, source: str = "pages") -> DataFra
         ),
         {"ignoreNullFields": "false"},
     )
+    content = F.replace(content, F.lit('"channels":["Solo"]'), F.lit('"channels":"Solo"'))
     raw = F.concat(
         F.lit('{"api_version":"websocket/v1","kind":"News/v1","data":{"id":'), F.col("key").cast("string"),
         F.lit(',"timestamp":"'), F.col("timestamp"),
         F.lit('","action":'), F.coalesce(F.concat(F.lit('"'), "action", F.lit('"')), F.lit("null")),
-        F.lit(',"content":'), F.replace(F.regexp_replace(content, r"\}$", ""), F.lit('"channels":["Solo"]'), F.lit('"channels":"Solo"')),
+        F.lit(',"content":'), F.regexp_replace(content, r"\}$", ""),
         F.lit(',"securities":'), F.col("securities"), F.lit("}}}"),
     )
     return articles(spark, sf_dir, source).select("key", "ingest_ts", raw.alias("raw"))
@@ -108,17 +109,21 @@ def messages(spark: SparkSession, sf_dir: str, source: str = "pages") -> DataFra
 def faulty_messages(spark: SparkSession, sf_dir: str, source: str = "pages") -> DataFrame:
     """The messages, most of them damaged in one of twelve ways by ``key % 16``."""
     raw, key = F.col("raw"), F.col("key") % 16
+
+    def with_head(fields: str) -> Column:
+        return F.regexp_replace(raw, '"data":.*"content"', f'"data":{{{fields},"content"')
+
     damaged = (
         F.when(key == 0, F.lit("{bad"))
         .when(key == 1, F.lit("5"))
         .when(key == 2, F.regexp_replace(raw, r'"data":\{"id":[0-9]+,', '"data":{'))
         .when(key == 3, F.regexp_replace(raw, '"type":"story"', '"type":7'))
         .when(key == 4, F.regexp_replace(raw, '"url":"[^"]*"', '"url":"u","authors_unknown":1'))
-        .when(key == 5, F.regexp_replace(raw, '"data":.*"content"', '"data":{"id":"12","timestamp":1759428000,"content"'))
-        .when(key == 6, F.regexp_replace(raw, '"data":.*"content"', '"data":{"id":1.5,"timestamp":1759428000,"content"'))
+        .when(key == 5, with_head('"id":"12","timestamp":1759428000'))
+        .when(key == 6, with_head('"id":1.5,"timestamp":1759428000'))
         .when(key == 7, F.concat(raw, F.lit(" x")))
         .when(key == 8, F.regexp_replace(raw, '"revision_id":1', '"revision_id":"one"'))
-        .when(key == 9, F.regexp_replace(raw, '"data":.*"content"', '"data":{"id":1.0,"timestamp":"nope","content"'))
+        .when(key == 9, with_head('"id":1.0,"timestamp":"nope"'))
         .when(key == 10, F.regexp_replace(raw, '"revision_id":1', '"revision_id":true'))
         .when(key == 11, F.lit("[]"))
         .otherwise(raw)
@@ -128,7 +133,7 @@ def faulty_messages(spark: SparkSession, sf_dir: str, source: str = "pages") ->
 
 def service_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a log line."""
-    events = table(spark, sf_dir, "events")
+    events = heavy(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
 
     def text(*parts) -> Column:
@@ -155,7 +160,7 @@ def service_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as an archive line in one of eight shapes by ``event_id % 8``."""
-    events = table(spark, sf_dir, "events")
+    events = heavy(spark, sf_dir, "events")
     key = F.col("event_id")
     stamp = _event_time(F.col("ts"))
     iso = F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -179,7 +184,7 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legacy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a legacy archive line of its source's file; some unusable by ``doc_id % 10``."""
-    docs = texts(spark, sf_dir, "documents")
+    docs = heavy(spark, sf_dir, "documents")
     key = F.col("doc_id")
     good = F.to_json(
         F.struct(
@@ -190,5 +195,6 @@ def legacy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("text").alias("body"),
         )
     )
-    line = F.when(key % 10 == 0, F.lit("{bad")).when(key % 10 == 2, F.regexp_replace(good, "2024-01-01T00", "2024-99-01T00"))
-    return docs.select(F.col("source").alias("path"), key.alias("key"), line.otherwise(good).alias("line"))
+    wrong_time = F.regexp_replace(good, "2024-01-01T00", "2024-99-01T00")
+    line = F.when(key % 10 == 0, F.lit("{bad")).when(key % 10 == 2, wrong_time).otherwise(good)
+    return docs.select(F.col("source").alias("path"), key.alias("key"), line.alias("line"))

@@ -1,3 +1,5 @@
+"""Readers of the text sources."""
+
 from .files import (
     bad_lines,
     list_archive,
@@ -8,4 +10,12 @@ from .files import (
     stream_messages,
 )
 
-__all__ = ["bad_lines", "list_archive", "parse_lines", "read_archive", "read_messages", "read_service_log", "stream_messages"]
+__all__ = [
+    "bad_lines",
+    "list_archive",
+    "parse_lines",
+    "read_archive",
+    "read_messages",
+    "read_service_log",
+    "stream_messages",
+]
