@@ -44,4 +44,4 @@ def rotate_files(
     file's limit may end beyond it, by one row at most.
     """
     counted = running_total(windowed, ["part"], order, "bytes", "bytes_before", slices=slices)
-    return counted.withColumn("file_seq", F.floor(F.col("bytes_before") / F.lit(max_object_bytes)).cast("bigint"))
+    return counted.withColumn("file_seq", F.expr(f"bytes_before div {int(max_object_bytes)}"))
