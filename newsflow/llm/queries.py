@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm.line_dedup import dedup_lines
+from newsflow.llm.near_dedup import near_duplicates
 from newsflow.llm.tables import read
 from newsflow.llm.url_filter import filter_urls, host_and_path
 
@@ -38,7 +39,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op4_line_dedup": op4_line_dedup,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }
