@@ -57,4 +57,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM f GROUP BY doc_id
 """
 
-ORACLE = {"op1_url_filters": URL_SQL, "op4_line_dedup": LINE_SQL}
+# Windows are compared as word sequences; list positions are 1-based.
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS p, w FROM d WHERE len(w) >= 13),
+h AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 12], ' ')) AS k FROM x),
+o AS (SELECT k, min(doc_id) AS owner FROM h GROUP BY k),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p FROM h JOIN o USING (k) WHERE owner < doc_id),
+a AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+r AS (
+  SELECT a.doc_id, count(*) AS n_words, count(g.p) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY a.p) FILTER (WHERE g.p IS NULL), '') AS kept
+  FROM a LEFT JOIN g ON g.doc_id = a.doc_id AND g.p = a.p GROUP BY a.doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)
+"""
+
+ORACLE = {"op1_url_filters": URL_SQL, "op2_substring_dedup": SUBSTRING_SQL, "op4_line_dedup": LINE_SQL}

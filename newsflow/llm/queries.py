@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsflow.llm.line_dedup import dedup_lines
 from newsflow.llm.near_dedup import near_duplicates
+from newsflow.llm.substring_dedup import remove_repeated_passages
 from newsflow.llm.tables import read
 from newsflow.llm.url_filter import filter_urls, host_and_path
 
@@ -34,6 +35,11 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, page_outcomes(spark, sf_dir), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_repeated_passages(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -45,6 +51,7 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }
