@@ -73,4 +73,24 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM d LEFT JOIN r USING (doc_id)
 """
 
-ORACLE = {"op1_url_filters": URL_SQL, "op2_substring_dedup": SUBSTRING_SQL, "op4_line_dedup": LINE_SQL}
+# Windows by the word sequences themselves; an item shorter than 13 words is one window.
+BENCHMARK_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS k
+  FROM (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)
+), m AS (SELECT doc_id, p, n, item_id FROM dw JOIN bw USING (n, k)),
+h AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+ORACLE = {"op1_url_filters": URL_SQL, "op2_substring_dedup": SUBSTRING_SQL, "op4_line_dedup": LINE_SQL, "op6_benchmark_decontamination": BENCHMARK_SQL}
