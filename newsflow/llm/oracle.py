@@ -93,4 +93,15 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
-ORACLE = {"op1_url_filters": URL_SQL, "op2_substring_dedup": SUBSTRING_SQL, "op4_line_dedup": LINE_SQL, "op6_benchmark_decontamination": BENCHMARK_SQL}
+TOP_K_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM (SELECT DISTINCT ON (vec_id) * FROM v WHERE vec_id % 100 = 0) q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLE = {"op1_url_filters": URL_SQL, "op2_substring_dedup": SUBSTRING_SQL, "op4_line_dedup": LINE_SQL, "op6_benchmark_decontamination": BENCHMARK_SQL, "op9_pivot_top_k": TOP_K_SQL}

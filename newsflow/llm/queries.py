@@ -11,7 +11,8 @@ from newsflow.llm.decontaminate import contaminated, contamination
 from newsflow.llm.line_dedup import dedup_lines
 from newsflow.llm.near_dedup import near_duplicates
 from newsflow.llm.substring_dedup import remove_repeated_passages
-from newsflow.llm.tables import read
+from newsflow.llm.tables import materialize, read
+from newsflow.llm.topk import scaled, top_k
 from newsflow.llm.url_filter import filter_urls, host_and_path
 
 URL_RULES = (
@@ -62,10 +63,16 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = materialize(scaled(read(spark, sf_dir, "embeddings").select("vec_id", "embedding")), "vectors")
+    return top_k(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_pivot_top_k": op9_pivot_top_k,
 }
