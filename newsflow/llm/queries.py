@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm.decontaminate import contaminated, contamination
+from newsflow.llm.html_text import LABELLED_PAGES, extract_text
 from newsflow.llm.line_dedup import dedup_lines
 from newsflow.llm.near_dedup import near_duplicates
 from newsflow.llm.substring_dedup import remove_repeated_passages
@@ -24,10 +25,15 @@ URL_RULES = (
 )
 
 
-def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page_id, good): a page shows the document whose number is in its path, and shares that document's labels."""
+def shown_document() -> Column:
+    """A page shows the document whose number is in its path."""
     _, path = host_and_path(F.col("url"))
-    pages = read(spark, sf_dir, "pages").select("page_id", F.regexp_extract(path, r"/(\d{1,18})[^/]*/?$", 1).try_cast("long").alias("doc_id"))
+    return F.regexp_extract(path, r"/(\d{1,18})[^/]*/?$", 1).try_cast("long")
+
+
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, good): a page shares the labels of the document it shows."""
+    pages = read(spark, sf_dir, "pages").select("page_id", shown_document().alias("doc_id"))
     labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")).alias("good"))
     return pages.join(labels, "doc_id").select("page_id", "good")
 
@@ -68,6 +74,17 @@ def op9_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(rows, F.col("vec_id") % 100 == 0)
 
 
+def labelled_pages(spark: SparkSession, sf_dir: str, limit: int = LABELLED_PAGES) -> DataFrame:
+    """(html, text) of at most ``limit`` pages, the first by a hash, with the document each shows."""
+    pages = read(spark, sf_dir, "pages").filter("page_id IS NOT NULL")
+    chosen = pages.select("page_id", shown_document().alias("doc_id")).filter("doc_id IS NOT NULL").orderBy(F.xxhash64("page_id"), "page_id").limit(limit)
+    return pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").join(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("html", "text")
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read(spark, sf_dir, "pages"), labelled_pages(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_substring_dedup": op2_substring_dedup,
@@ -75,4 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_pivot_top_k": op9_pivot_top_k,
+    "op10_html_extraction": op10_html_extraction,
 }
