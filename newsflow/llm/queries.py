@@ -13,6 +13,7 @@ from newsflow.llm.line_dedup import dedup_lines
 from newsflow.llm.near_dedup import near_duplicates
 from newsflow.llm.substring_dedup import remove_repeated_passages
 from newsflow.llm.tables import materialize, read
+from newsflow.llm.token_counts import count_tokens, token_folder, write_token_files
 from newsflow.llm.topk import scaled, top_k
 from newsflow.llm.url_filter import filter_urls, host_and_path
 
@@ -48,6 +49,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_folder(spark)
+    write_token_files(read(spark, sf_dir, "documents").select("doc_id", "text"), folder)
+    return count_tokens(spark, folder).select("doc_id", "n_tokens")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -88,6 +95,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_line_dedup": op4_line_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
