@@ -11,6 +11,7 @@ from newsflow.llm.decontaminate import contaminated, contamination
 from newsflow.llm.html_text import LABELLED_PAGES, extract_text
 from newsflow.llm.line_dedup import dedup_lines
 from newsflow.llm.near_dedup import near_duplicates
+from newsflow.llm.quality_lm import classify
 from newsflow.llm.substring_dedup import remove_repeated_passages
 from newsflow.llm.tables import materialize, read
 from newsflow.llm.token_counts import count_tokens, token_folder, write_token_files
@@ -60,6 +61,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def good_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = classify(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"), good_labels(spark, sf_dir))
+    return judged.select("doc_id", "lang", "perplexity", "tail_perplexity", "kept")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = contamination(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -97,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_pivot_top_k": op9_pivot_top_k,
