@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsflow.llm.decontaminate import contaminated, contamination
 from newsflow.llm.html_text import LABELLED_PAGES, extract_text
 from newsflow.llm.line_dedup import dedup_lines
+from newsflow.llm.mixing import mix_to_targets
 from newsflow.llm.near_dedup import near_duplicates
 from newsflow.llm.quality_lm import classify
 from newsflow.llm.substring_dedup import remove_repeated_passages
@@ -33,6 +34,10 @@ def shown_document() -> Column:
     return F.regexp_extract(path, r"/(\d{1,18})[^/]*/?$", 1).try_cast("long")
 
 
+# Shares of the domains that the labels tell apart, in tokens of the mixture.
+TARGETS = {"good": 0.90, "low": 0.08, "toxic": 0.02}
+
+
 def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, good): a page shares the labels of the document it shows."""
     pages = read(spark, sf_dir, "pages").select("page_id", shown_document().alias("doc_id"))
@@ -86,6 +91,17 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "low")
+    return read(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mix_to_targets(docs, domain_labels(spark, sf_dir), TARGETS)
+    return mixed.select("doc_id", "source", "n_tokens", "rate", "copies")
+
+
 def op9_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialize(scaled(read(spark, sf_dir, "embeddings").select("vec_id", "embedding")), "vectors")
     return top_k(rows, F.col("vec_id") % 100 == 0)
@@ -110,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_mixing": op8_mixing,
     "op9_pivot_top_k": op9_pivot_top_k,
     "op10_html_extraction": op10_html_extraction,
 }
