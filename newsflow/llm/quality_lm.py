@@ -151,10 +151,14 @@ def _totals(table: pa.Table) -> pa.Table:
 
 
 def _discounts(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
-    """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more."""
-    y = n1 / (n1 + 2 * n2) if n1 else 0.5
-    raw = [k - (k + 1) * y * after / of if of else 0.0 for k, of, after in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-    return np.array([0.0, *(min(max(d, 0.0), k) for k, d in enumerate(raw, 1))])
+    """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more.
+
+    Where there are too few counts to estimate one, half the count is taken. No discount is nil: some probability must be
+    left for what was never seen.
+    """
+    y = n1 / (n1 + 2 * n2) if n1 and n2 else None
+    raw = [k - (k + 1) * y * after / of if y and of else k / 2 for k, of, after in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+    return np.array([0.0, *(min(max(d, 0.1), k) for k, d in enumerate(raw, 1))])
 
 
 def _low_orders(pairs: np.ndarray) -> np.ndarray:
