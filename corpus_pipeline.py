@@ -1,23 +1,76 @@
-"""From raw documents to a training mixture: each stage reads what its predecessor kept."""
+"""From raw documents to a training mixture: each stage reads what its predecessor kept.
+
+Defined cases: rows without doc_id pass the filters by their text alone and are never taken as duplicates; rows that
+repeat both doc_id and text are one document after the near-dedup stage. Texts that lose all lines stay as empty ones.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from newsflow.llm.decontaminate import contaminated, contamination
 from newsflow.llm.line_dedup import dedup_lines
-from newsflow.llm.tables import materialize, read
+from newsflow.llm.mixing import mix_to_targets
+from newsflow.llm.near_dedup import near_duplicates
+from newsflow.llm.quality_lm import classify
+from newsflow.llm.queries import TARGETS, domain_labels, good_labels
+from newsflow.llm.tables import broadcast_up_to, materialize, read
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+BROADCAST_ROWS = 500_000
+
+
+def _version() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the (id, version) pairs of ``gone``."""
+    stored = broadcast_up_to(materialize(gone.select("id", "version").distinct(), "gone"), BROADCAST_ROWS)
+    return docs.join(stored, docs["doc_id"].eqNullSafe(stored["id"]) & (_version() == stored["version"]), "left_anti")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = classify(docs, good_labels(spark, sf_dir))
+    return _without(docs, judged.filter("NOT kept").select(F.col("doc_id").alias("id"), "version"))
+
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return dedup_lines(docs).select(docs.columns)
+    done = dedup_lines(docs).select(docs.columns)
+    return done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = near_duplicates(docs)
+    gone = broadcast_up_to(materialize(judged.filter("NOT kept").select(F.col("doc_id").alias("id")).distinct(), "gone"), BROADCAST_ROWS)
+    kept = docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
+    again = F.row_number().over(Window.partitionBy("doc_id", _version()).orderBy("text"))
+    return kept.withColumn("__again", again).filter("doc_id IS NULL OR __again = 1").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = contamination(docs, read(spark, sf_dir, "benchmark"))
+    return _without(docs, judged.filter(contaminated(F.col("n_words"), F.col("n_hit"))))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture: doc_id, source, n_tokens, rate and copies of every document that is left."""
+    return mix_to_targets(docs, domain_labels(spark, sf_dir), TARGETS).select("doc_id", "source", "n_tokens", "rate", "copies")
 
 
-STAGES: list[tuple[str, Stage]] = [("line_dedup", drop_repeated_lines)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", keep_quality),
+    ("line dedup", drop_repeated_lines),
+    ("near dedup", keep_one_of_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
 
+# Perplexities and the fit of the rates are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -25,5 +78,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage but the last is written to the shared folder and read again."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)
