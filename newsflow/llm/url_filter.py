@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.tables import ascii_lower
+from newsflow.llm.tables import ascii_lower, materialize
 
 Rule = tuple[str, str]  # verdict, host followed by the path prefix
 
@@ -67,8 +67,8 @@ def host_reputation(
     labelled: DataFrame, least: float = 2.0, most: float = 1000.0, z: float = 1.96
 ) -> tuple[DataFrame, DataFrame]:
     """From (host, suffix, domain, good) rows: (host, rate, lower, upper) per host, and one row (rate, lower, upper) for
-    hosts without labels. ``upper`` and ``lower`` are the posterior mean plus and minus ``z`` posterior deviations."""
-    hosts = labelled.groupBy("suffix", "domain", "host").agg(F.count("*").alias("n"), F.sum("good").alias("good"))
+    hosts without labels. Each level is stored before the next reads it. ``upper`` and ``lower`` are the posterior mean plus and minus ``z`` posterior deviations."""
+    hosts = materialize(labelled.groupBy("suffix", "domain", "host").agg(F.count("*").alias("n"), F.sum("good").alias("good")), "hosts")
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     # One pseudo-page of each outcome, so that the overall rate is defined without any label.
@@ -78,9 +78,10 @@ def host_reputation(
         s = _strength(groups, F.col("prior"), least, most).scalar()
         return groups.withColumn("s", s).withColumn("rate", (F.col("good") + F.col("s") * F.col("prior")) / (F.col("n") + F.col("s")))
 
-    suffixes = shrink(suffixes.withColumn("prior", overall.scalar())).select("suffix", F.col("rate").alias("prior"))
-    domains = shrink(domains.join(suffixes, "suffix")).select("suffix", "domain", F.col("rate").alias("prior"))
-    hosts = shrink(hosts.join(domains, ["suffix", "domain"]))
+    overall = materialize(overall, "overall")
+    suffixes = materialize(shrink(suffixes.withColumn("prior", overall.scalar())).select("suffix", F.col("rate").alias("prior")), "suffixes")
+    domains = materialize(shrink(domains.join(suffixes, "suffix")).select("suffix", "domain", F.col("rate").alias("prior")), "domains")
+    hosts = materialize(shrink(hosts.join(domains, ["suffix", "domain"])), "hosts")
 
     def bounded(df: DataFrame, size: Column, *keep: str) -> DataFrame:
         sd = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (size + 1))
