@@ -109,9 +109,12 @@ def op9_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_pages(spark: SparkSession, sf_dir: str, limit: int = LABELLED_PAGES) -> DataFrame:
     """(html, text) of at most ``limit`` pages, the first by a hash, with the document each shows."""
-    pages = read(spark, sf_dir, "pages").filter("page_id IS NOT NULL")
-    chosen = pages.select("page_id", shown_document().alias("doc_id")).filter("doc_id IS NOT NULL").orderBy(F.xxhash64("page_id"), "page_id").limit(limit)
-    return pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").join(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("html", "text")
+    pages, docs = read(spark, sf_dir, "pages").filter("page_id IS NOT NULL"), read(spark, sf_dir, "documents")
+    numbered = pages.select("page_id", shown_document().alias("doc_id")).filter("doc_id IS NOT NULL")
+    # Rows of two ids, at most ``limit``: both tables meet them before any text moves.
+    chosen = F.broadcast(materialize(numbered.orderBy(F.xxhash64("page_id"), "page_id").limit(limit), "labelled-pages"))
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("page_id", "text")
+    return pages.select("page_id", "html").join(chosen.select("page_id"), "page_id").join(texts, "page_id").select("html", "text")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
