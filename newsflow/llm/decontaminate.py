@@ -47,11 +47,11 @@ def fingerprints(grams: np.ndarray, valid: np.ndarray, first: np.ndarray, window
         starts[: size - window + 1] = valid[: size - window + 1] & (run[window:] - run[:-window] == window)
         starts[: size - window + 1] &= first[: size - window + 1] == first[window - 1 :]
     least = value.copy()
-    for k in range(1, window):
+    for k in range(1, min(window, size)):
         np.minimum(least[: size - k], value[k:], out=least[: size - k])
     best = np.where(starts, least, U(0))
     cover = best.copy()
-    for k in range(1, window):
+    for k in range(1, min(window, size)):
         np.maximum(cover[k:], best[: size - k], out=cover[k:])
     return np.flatnonzero(valid & (cover == value))
 

@@ -5,7 +5,8 @@ and the lines of a hash that too many documents share are dropped outside the sm
 positions are shuffled for that; each text moves once, to meet its own flags.
 
 Defined cases: a null or empty text is one empty line. A document without doc_id keeps all its lines and is not
-counted. Rows that repeat a doc_id count as one document and each returns its own row. Empty tables give empty results.
+counted. Rows that repeat a doc_id count as one document and each returns its own row. Columns of ``docs`` called n_lines or
+n_dropped are replaced, all others stay. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -44,14 +45,15 @@ def line_flags(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataF
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
     """``docs`` with the text rejoined from the lines that stay, ``n_lines`` before and ``n_dropped``."""
-    flags = line_flags(docs, min_chars, min_docs)
+    flags = line_flags(docs, min_chars, min_docs).toDF("__id", "__version", "__flags")
     text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.join(
-        flags, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("version")), "left"
-    ).withColumn("__lines", F.arrays_zip(F.split(text, "\n", -1).alias("line"), F.col("flags").alias("drop")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__version"))
+    joined = docs.join(flags, same, "left").withColumn(
+        "__lines", F.arrays_zip(F.split(text, "\n", -1).alias("line"), F.col("__flags").alias("drop"))
+    )
     kept = F.transform(F.filter("__lines", lambda x: ~x["drop"]), lambda x: x["line"])
     return joined.select(
-        *[F.array_join(kept, "\n").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        *[F.array_join(kept, "\n").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")],
         F.size("__lines").cast("long").alias("n_lines"),
-        F.size(F.filter("flags", lambda x: x)).cast("long").alias("n_dropped"),
+        F.size(F.filter("__flags", lambda x: x)).cast("long").alias("n_dropped"),
     )
