@@ -144,6 +144,13 @@ def _kinds(page: list[Token]) -> list[tuple[str, str]]:
     return [(("in:" if t.inside else "out:") if marked else "", f"/{t.name}" if t.close else t.name) for t in page]
 
 
+def _unseen(place: str, tag: str) -> float:
+    if not tag:
+        return DEFAULT[place]
+    name = tag.removeprefix("/")
+    return -LEAST if place != "out:" and (name in INLINE or name in ("p", "br")) else TAG[place]
+
+
 def region(page: list[Token], weights: dict[str, float]) -> tuple[int, int]:
     """(start, end) of the contiguous tokens with the highest sum: the linear scan."""
     best, here, start, found = 0.0, 0.0, 0, (0, 0)
@@ -152,7 +159,7 @@ def region(page: list[Token], weights: dict[str, float]) -> tuple[int, int]:
             continue
         if here <= 0:
             here, start = 0.0, i
-        worth = weights.get(place + tag, TAG[place] if tag else DEFAULT[place])
+        worth = weights.get(place + tag, _unseen(place, tag))
         here += worth if tag else worth * len(html.unescape(token.text).split())
         if here >= best and here > 0:
             best, found = here, (start, i + 1)

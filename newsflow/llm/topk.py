@@ -108,8 +108,9 @@ def _searcher(pivots: dict[int, tuple[np.ndarray, np.ndarray]], tops: dict[int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, q_ids, queries, ids, vectors in zip(*(batch[c].to_pylist() for c in ("dim", "q_ids", "queries", "ids", "vectors")), strict=True):
-                unpack = lambda x: np.frombuffer(x, np.int64).reshape(-1, dim)  # noqa: E731,B023
-                found = list(search_block(np.frombuffer(q_ids, np.int64), unpack(queries), np.frombuffer(ids, np.int64), unpack(vectors), *pivots[dim], tops[dim], k))
+                q, one = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64)
+                of_q, of_one = (np.frombuffer(x, np.int64).reshape(len(n), dim) for x, n in ((queries, q), (vectors, one)))
+                found = list(search_block(q, of_q, one, of_one, *pivots[dim], tops[dim], k))
                 yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in range(3)], names=["query_id", "vec_id", "score"])
 
     return run
