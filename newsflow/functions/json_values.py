@@ -19,6 +19,8 @@ INTEGER_TEXT = r"^[+-]?[0-9]++(_[0-9]++)*+(\.0++)?\z"
 NUMBER_TEXT = r"^[+-]?([0-9]++(\.[0-9]*+)?|\.[0-9]++)\z"
 # Epoch numbers beyond this magnitude count milliseconds, up to it seconds.
 EPOCH_SECONDS_LIMIT = 20_000_000_000
+# Characters of one string that the JVM's JSON parser takes at most.
+PARSER_LIMIT = 20_000_000
 # ----------------------------------------------------------------------------------------------
 
 # Follows the message inside a wrapper array. Its presence as second and last element proves that
@@ -35,6 +37,11 @@ def parse_json(raw: Column) -> Column:
     return F.when(complete, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
+def beyond_parser(raw: Column) -> Column:
+    """True if ``raw`` is long enough to hold a string that the JVM's JSON parser refuses."""
+    return F.octet_length(raw) > PARSER_LIMIT
+
+
 def _has_lone_surrogate(raw: Column) -> Column:
     escaped = F.contains(raw, F.lit("\\ud")) | F.contains(raw, F.lit("\\uD"))
     plain = F.regexp_replace(raw, r"\\\\", "")

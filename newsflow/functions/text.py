@@ -102,10 +102,16 @@ def word_count(c: Column | str) -> Column:
     return F.size(words(c)).cast("bigint")
 
 
-def fallback_content(body: Column | str, teaser: Column | str, title: Column | str) -> Column:
-    """Content when there is no summary: start of the body, else teaser, else title, else a constant."""
+def fallback_content(
+    body: Column | str, teaser: Column | str, title: Column | str, chars: int | None = FALLBACK_CHARS
+) -> Column:
+    """Content when there is no summary: the body, else teaser, else title, else a constant.
+
+    Of the body the first ``chars`` characters stay, which is the rule for a failed summary; all of it with None.
+    """
+    start = _col(body) if chars is None else F.substring(_col(body), 1, chars)
     return F.coalesce(
-        F.nullif(F.substring(_col(body), 1, FALLBACK_CHARS), F.lit("")),
+        F.nullif(start, F.lit("")),
         F.nullif(_col(teaser), F.lit("")),
         F.nullif(_col(title), F.lit("")),
         F.lit(NO_CONTENT),

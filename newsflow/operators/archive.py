@@ -16,16 +16,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schema
 from ..functions import json_values as jv
 from ..functions import text as tx
 from ..functions import times
-from ..sources.files import ARCHIVE_GLOB, parse_lines, read_archive
+from ..sources.files import ARCHIVE_GLOB, list_archive, parse_lines, read_archive
 from . import enrich
 from .ingest import read_fields, seal
 from .records import choose_content, clean_articles, explode_tickers
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _KEY = r'(?<!\\)"timestamp"\s*+:'
 _KEY_WITH_TEXT = rf'(?<key>{_KEY}\s*+)"(?<iso>[^"\\]*+)"'
+# What locates a line: the columns of ``read_archive``, or a key of its own.
+_LINE_COLUMNS = ("path", "block", "line_no", "key", "line")
 # ISO spellings that Spark and Python's datetime read alike.
 _PLAIN_ISO = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ](?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:\.[0-9]{1,6})?"
@@ -35,10 +39,9 @@ _PLAIN_ISO = (
 
 def iso_to_millis(text: str) -> int:
     """Epoch milliseconds of any ISO 8601 text Python reads; no offset means UTC."""
-    parsed = datetime.fromisoformat(text[:-1] + "+00:00" if text.endswith("Z") else text)
-    if parsed.tzinfo is None:
-        parsed = parsed.replace(tzinfo=timezone.utc)
-    return int(parsed.timestamp() * 1000)
+    moment = datetime.fromisoformat(text)
+    since = moment.replace(tzinfo=moment.tzinfo or timezone.utc) - _EPOCH
+    return int(since.total_seconds() * 1000)
 
 
 def _replace_top_level(line: str) -> str:
@@ -74,7 +77,7 @@ def rewrite_lines(lines: DataFrame, line: str = "line") -> DataFrame:
 
     Lines without a text value after the key pass untouched and unparsed. The frequent form (the key
     once, plain ISO text) is replaced in the JVM. Other valid objects - the key also nested or
-    repeated, escapes, rare ISO spellings - go to Python, which gets NULL for all other rows.
+    repeated, escapes, rare ISO spellings, values too long for the JVM's parser - go to Python, which gets NULL for all other rows.
     """
     text = F.col(line)
     # The key can also be spelled with escapes.
@@ -84,7 +87,8 @@ def rewrite_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     iso = F.when(F.coalesce(jv.is_string(F.col("_sent")), F.lit(False)), F.regexp_extract(text, _KEY_WITH_TEXT, 2))
     millis = times.epoch_millis(_utc(F.col("_iso")).try_cast("timestamp"))
     plain = F.regexp_replace(text, F.lit(_KEY_WITH_TEXT), F.concat(F.lit("${key}"), F.col("_millis").cast("string")))
-    is_hard = F.col("_iso").isNotNull() & F.col("_millis").isNull()
+    unread = F.col("_sent").isNull() & candidate & jv.beyond_parser(text)
+    is_hard = (F.col("_iso").isNotNull() & F.col("_millis").isNull()) | unread
     # Every step uses the one before more than once, which keeps the optimizer from merging them.
     steps = (
         lines.withColumn("_sent", sent)
@@ -101,40 +105,55 @@ def _utc(iso: Column) -> Column:
 
 
 def _without_outer_blanks(lines: DataFrame) -> DataFrame:
-    """Drop blank lines before the first and after the last line with content of each file."""
+    """Drop blank lines before the first and after the last line with content of each file.
+
+    The lines meet their file's bounds by split, so that one large file is not one task. A file of blank lines only
+    stays as it is.
+    """
     at = F.struct("block", "line_no")
-    used = (
-        lines.where(~tx.is_blank("line")).groupBy("path").agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
+    blocks = lines.groupBy("path", "block").agg(
+        F.min(F.when(~tx.is_blank("line"), at)).alias("_first"), F.max(F.when(~tx.is_blank("line"), at)).alias("_last")
     )
-    return lines.join(used, "path").where(at.between(F.col("_first"), F.col("_last"))).drop("_first", "_last")
+    files = blocks.groupBy("path").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    bounds = blocks.select("path", "block").join(files, "path")
+    inside = F.col("_first").isNull() | at.between(F.col("_first"), F.col("_last"))
+    return lines.join(bounds, ["path", "block"]).where(inside).drop("_first", "_last")
 
 
 def rewrite_archive(
     spark: SparkSession, source: str, target: str, glob: str = ARCHIVE_GLOB, trim_files: bool = False
 ) -> None:
-    """Rewrite all files below ``source`` into ``target/source=<path>/block=<offset>``.
+    """Rewrite all files below ``source`` into ``target/file=<key>``, one folder per file; see ``file_keys``.
 
-    Map-only: no shuffle. Within a folder the lines keep their order, and the blocks of one source file
-    sort by their offset. ``trim_files`` also drops blank lines at both ends of a file, which costs a
-    second pass and a join. The caller swaps the roots when the job has succeeded.
+    Map-only: no shuffle. A split becomes a part file. Spark numbers the splits of a file by their offset, so the part
+    files of a folder, sorted by name, hold the lines in order. ``trim_files`` also drops blank lines at both
+    ends of a file, which costs a second pass and a join; parts are then sorted by offset. The caller swaps the roots
+    when the job has succeeded.
     """
     lines = read_archive(spark, source, glob)
     if trim_files:
-        lines = _without_outer_blanks(lines)
-    out = rewrite_lines(lines).select(
-        F.col("path").alias("source"),
-        F.format_string("%015d", "block").alias("block"),
-        "line_no",
-        "line",
-    )
-    ordered = out.sortWithinPartitions("source", "block", "line_no").drop("line_no")
-    ordered.write.option("lineSep", "\n").partitionBy("source", "block").text(target)
+        placed = _without_outer_blanks(lines).repartitionByRange("path", "block")
+    else:
+        placed = lines
+    out = rewrite_lines(placed).select(_file_key(F.col("path")).alias("file"), "block", "line_no", "line")
+    ordered = out.sortWithinPartitions("file", "block", "line_no").drop("block", "line_no")
+    ordered.write.option("lineSep", "\n").partitionBy("file").text(target)
+
+
+def _file_key(path: Column) -> Column:
+    """Short name for a path of any length."""
+    return F.md5(path.cast("binary"))
+
+
+def file_keys(spark: SparkSession, source: str, glob: str = ARCHIVE_GLOB) -> DataFrame:
+    """(file, path): the folder that ``rewrite_archive`` gives each file. Lists the files, reads none."""
+    return list_archive(spark, source, glob).select(_file_key(F.col("path")).alias("file"), "path")
 
 
 def read_legacy(lines: DataFrame) -> DataFrame:
-    """Legacy rows (one ticker, HTML ``body``) typed as articles; ``failed`` marks unusable ones.
+    """Legacy rows (one ticker, HTML ``body``) typed as articles; ``reason`` says why one is unusable, else NULL.
 
-    Unreadable JSON, a wrong type, or a missing ticker, id or timestamp makes a row fail.
+    ``decode-failed``, ``wrong-type``, or ``missing-`` with the name of the field: ticker, news_id or timestamp.
     """
     kinds = {
         "news_id": "integer",
@@ -152,21 +171,46 @@ def read_legacy(lines: DataFrame) -> DataFrame:
     }
     typed = read_fields(parse_lines(lines), {n: jv.field(F.col("value"), n) for n in kinds}, kinds)
     ticker = tx.strip("ticker")
-    failed = F.col("value").isNull() | F.col("wrong_type") | (F.coalesce(ticker, F.lit("")) == "")
+    reason = F.when(F.col("value").isNull(), schema.DECODE_FAILED).when(F.col("wrong_type"), schema.WRONG_TYPE)
+    reason = reason.when(F.coalesce(ticker, F.lit("")) == "", "missing-ticker")
     for name in ("news_id", "timestamp"):
-        failed = failed | F.col(name).isNull()
+        reason = reason.when(F.col(name).isNull(), f"missing-{name}")
     columns = [F.col(n).alias("id" if n == "news_id" else n) for n in kinds if n != "ticker"]
-    return seal(typed, lines.columns, [*columns, F.array(ticker).alias("tickers"), failed.alias("failed")])
+    return seal(typed, lines.columns, [*columns, F.array(ticker).alias("tickers"), reason.alias("reason")])
 
 
-def backfill(lines: DataFrame, factory=None, policy: enrich.CallPolicy | None = None, **options) -> DataFrame:
-    """Output records of the usable legacy rows, plus ``path``; a missing summary falls back to the text.
+def usable_legacy(legacy: DataFrame) -> DataFrame:
+    """The rows of ``read_legacy`` that go on. Apply before any cleaning."""
+    return legacy.where(F.col("reason").isNull()).drop("reason", "line")
 
-    ``factory`` is the summary service; without one every row gets the fallback content.
+
+def migration_failures(legacy: DataFrame) -> DataFrame:
+    """The rows of ``read_legacy`` that were left out: where they stand (all columns of the lines) and why."""
+    return legacy.where(F.col("reason").isNotNull()).select(*[c for c in legacy.columns if c in _LINE_COLUMNS], "reason")
+
+
+def migrate(
+    lines: DataFrame,
+    factory=None,
+    policy: enrich.CallPolicy | None = None,
+    *,
+    html: bool = False,
+    fallback_chars: int | None = tx.FALLBACK_CHARS,
+    **options,
+) -> DataFrame:
+    """Usable legacy rows as articles with ``content`` and, with a service, the columns of its calls.
+
+    ``html`` sends the raw HTML bodies to the service instead of the cleaned texts; a missing summary falls back to
+    the cleaned text either way.
     """
-    usable = read_legacy(lines).where(~F.col("failed")).drop("failed", "line")
-    cleaned = clean_articles(usable)
+    ready = choose_content(clean_articles(usable_legacy(read_legacy(lines))), fallback_chars=fallback_chars)
     if factory is None:
-        return explode_tickers(choose_content(cleaned), "path")
-    summarized = enrich.summarize_articles(cleaned, factory, policy, **options)
-    return explode_tickers(choose_content(summarized, F.col("summary")), "path")
+        return ready
+    summarize = enrich.summarize_html if html else enrich.summarize_articles
+    done = summarize(ready, factory, policy, **options)
+    return done.withColumn("content", F.coalesce(F.nullif("summary", F.lit("")), "content"))
+
+
+def backfill(lines: DataFrame, factory=None, policy: enrich.CallPolicy | None = None, **options) -> DataFrame:
+    """Output records of the usable legacy rows, plus ``path``; see ``migrate``."""
+    return explode_tickers(migrate(lines, factory, policy, **options), "path")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -110,24 +111,27 @@ def _call_second_model(invoke: Invoke, text: str, policy: CallPolicy, attempt: i
     return Outcome(summary or None, attempt, None if summary else EMPTY_RESPONSE, policy.fallback_model)
 
 
-def call_column(text: Column, factory: Callable[[], Invoke], policy: CallPolicy) -> Column:
+def call_column(text: Column, factory: Callable[[], Invoke], policy: CallPolicy, calls_per_task: int = 1) -> Column:
     """Struct column with the outcome of one call per row; no call where ``text`` is NULL.
 
-    Only ``text`` travels to Python. The function counts as nondeterministic, so the optimizer
+    ``calls_per_task`` calls of a task wait for the service at one time; ``invoke`` must then be thread-safe. Only
+    ``text`` travels to Python. The function counts as nondeterministic, so the optimizer
     neither repeats it nor moves filters past it.
     """
 
     def summarize(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         invoke = factory()
-        for texts in batches:
-            rows = []
-            for t in texts:
-                if t is None:
-                    rows.append((None, 0, None, None, None))
-                    continue
-                started = time.perf_counter()
-                rows.append((*call_service(invoke, t, policy), (time.perf_counter() - started) * 1e3))
-            yield pd.DataFrame(rows, columns=OUTCOME.names)
+
+        def one(t: str | None) -> tuple:
+            if t is None:
+                return None, 0, None, None, None
+            started = time.perf_counter()
+            return *call_service(invoke, t, policy), (time.perf_counter() - started) * 1e3
+
+        with ThreadPoolExecutor(calls_per_task) as pool:
+            for texts in batches:
+                rows = list(pool.map(one, texts) if calls_per_task > 1 else map(one, texts))
+                yield pd.DataFrame(rows, columns=OUTCOME.names)
 
     return F.pandas_udf(summarize, OUTCOME).asNondeterministic()(text)
 
@@ -139,22 +143,28 @@ def summarize_articles(
     *,
     text: Column | None = None,
     max_concurrent_calls: int | None = None,
+    calls_per_task: int = 1,
     stored: DataFrame | None = None,
+    columns: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Add ``summary``, ``prompt_hash`` and the columns of ``OUTCOME`` to cleaned articles.
 
     A blank body makes no call; its summary is the teaser, or NULL. ``text`` is what the service gets,
     by default the article prompt. ``max_concurrent_calls`` spreads the rows evenly over that many
     partitions, which is the number of calls that can run at one time, and of files a write without
-    rotation makes per window. ``stored`` (see ``summary_store``) holds earlier results; a match is used
-    instead of a call.
+    rotation makes per window; ``calls_per_task`` multiplies them without more partitions. ``stored`` (see
+    ``summary_store``) holds earlier results; a match is used instead of a call. ``columns`` are those of the articles
+    that go on (by default all): name them, or the spreading and the match shuffle HTML and cleaned texts as well.
     """
     policy = policy or CallPolicy()
     if text is None:
         text = prompts.article_prompt(
             F.col("primary_ticker"), F.col("title"), F.col("body_clean"), F.col("teaser_clean"), policy.max_words
         )
-    articles = cleaned.withColumn("_text", text).withColumn("prompt_hash", F.sha2("_text", 256))
+    columns = columns or tuple(cleaned.columns)
+    teaser = F.when(text.isNull(), F.nullif("teaser_clean", F.lit("")))
+    articles = cleaned.select(*columns, text.alias("_text"), teaser.alias("_teaser"))
+    articles = articles.withColumn("prompt_hash", F.sha2("_text", 256))
     if stored is not None:
         known = stored.select(F.col("news_id").alias("id"), "prompt_hash", F.col("summary").alias("_known"))
         articles = articles.join(known, ["id", "prompt_hash"], "left")
@@ -162,12 +172,11 @@ def summarize_articles(
         articles = articles.withColumn("_known", F.lit(None).cast("string"))
     if max_concurrent_calls:
         articles = articles.repartition(max_concurrent_calls)
-    called = articles.withColumn("_out", call_column(F.when(F.col("_known").isNull(), F.col("_text")), factory, policy))
-    no_text = F.when(F.col("_text").isNull(), F.nullif(F.col("teaser_clean"), F.lit("")))
+    called = articles.withColumn("_out", call_column(F.when(F.col("_known").isNull(), F.col("_text")), factory, policy, calls_per_task))
     return called.select(
-        *cleaned.columns,
+        *columns,
         "prompt_hash",
-        F.coalesce("_known", "_out.summary", no_text).alias("summary"),
+        F.coalesce("_known", "_out.summary", "_teaser").alias("summary"),
         F.coalesce(F.col("_out.attempts"), F.lit(0)).alias("attempts"),
         "_out.error_code",
         "_out.model_used",
@@ -180,7 +189,9 @@ def summarize_html(
 ) -> DataFrame:
     """As ``summarize_articles`` on the raw HTML body, without the teaser; blank HTML gives NULL."""
     policy = policy or CallPolicy()
-    prompt = prompts.html_prompt(F.col("primary_ticker"), F.col("title"), F.col("body"), policy.max_words)
+    prompt = options.pop("text", None)
+    if prompt is None:
+        prompt = prompts.html_prompt(F.col("primary_ticker"), F.col("title"), F.col("body"), policy.max_words)
     without_teaser = articles.drop("teaser_clean").withColumn("teaser_clean", F.lit(None).cast("string"))
     return summarize_articles(without_teaser, factory, policy, text=prompt, **options).drop("teaser_clean")
 

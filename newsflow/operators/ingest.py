@@ -95,7 +95,7 @@ def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
     # One pass over the value takes it apart; fields keep their own JSON type. NULL if it is no message.
     shaped = decoded.select(
         *kept,
-        F.col("_value").isNull().alias("_undecoded"),
+        F.when(F.col("_value").isNull(), F.when(jv.beyond_parser(F.col(raw)), schema.TOO_LARGE).otherwise(schema.DECODE_FAILED)).alias("_undecoded"),
         F.try_variant_get("_value", "$", _SHAPE).alias("_msg"),
     )
     values = {name: F.col(f"_msg.{path}") for name, (path, _) in _FIELDS.items()}
@@ -104,7 +104,7 @@ def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
     for name in _REQUIRED:
         invalid = invalid | F.col(name).isNull()
     reason = (
-        F.when(F.col("_undecoded"), F.lit(schema.DECODE_FAILED))
+        F.when(F.col("_undecoded").isNotNull(), F.col("_undecoded"))
         .when(invalid, F.lit(schema.VALIDATION_FAILED))
         .when(F.size("tickers") == 0, F.lit(schema.NO_SECURITIES))
     )

@@ -17,6 +17,8 @@ from .totals import exact_percentiles
 EVENT = r"(?s)^(.*?)(?::|\s+\S+=|\z)"
 SUMMARIZED = r"summarized$"
 SUMMARY_FAILED = r"summarization-failed$"
+# Written once per article that got no summary; other events that end like it are single attempts.
+ARTICLE_FAILED = "summarization-failed"
 THROTTLED = "bedrock-throttled"
 RECONNECT = "ws-error"
 MULTI_TICKER = "multi-ticker-article"
@@ -66,10 +68,11 @@ def outcomes(fields: DataFrame) -> DataFrame:
 
 
 def success_rate(fields: DataFrame) -> DataFrame:
-    """Successful summaries, attempts, and their ratio, in one row."""
-    made = F.count_if(F.col("event").rlike(SUMMARIZED))
+    """Summarized articles, articles tried, and their ratio, in one row. Failed attempts count in ``outcomes`` only."""
+    event = F.col("event")
+    made = F.count_if(event.rlike(SUMMARIZED))
     tried = F.count("*")
-    return fields.where(_is_summary_event(F.col("event"))).agg(
+    return fields.where(event.rlike(SUMMARIZED) | (event == ARTICLE_FAILED)).agg(
         made.alias("successes"), tried.alias("attempts"), F.try_divide(made, tried).alias("success_rate")
     )
 
@@ -131,20 +134,33 @@ def lag(
 ) -> DataFrame:
     """Delay between event and ingest time in ms, by ``groups``: count, mean, maximum, median, p99."""
     delayed = rows.withColumn("_lag", (F.col(ingest_ms) - F.col(event_ms)).cast("bigint"))
-    ends = delayed.groupBy(*groups).agg(F.avg("_lag").alias("avg_lag_ms"), F.max("_lag").alias("max_lag_ms"))
-    middle = exact_percentiles(delayed, groups, "_lag", {"p50_lag_ms": 0.5, "p99_lag_ms": 0.99}, slices)
-    return middle.join(ends, list(groups))
+    ranks = {"p50_lag_ms": 0.5, "p99_lag_ms": 0.99}
+    return exact_percentiles(delayed, groups, "_lag", ranks, slices, mean="avg_lag_ms", maximum="max_lag_ms")
 
 
-def lag_windows(rows: DataFrame, event_time: str, ingest_time: str, width: str = "1 minute") -> DataFrame:
-    """Delay by window of the ingest time, also for streams (give the input a watermark first).
+def lag_windows_exact(
+    rows: DataFrame, event_time: str, ingest_time: str, width: str = "1 minute", slices: int | None = None
+) -> DataFrame:
+    """Delay by window of the ingest time, for batch jobs: as ``lag``, with exact percentiles."""
+    timed = rows.select(
+        F.window(ingest_time, width)["start"].alias("window"),
+        F.unix_millis(event_time).alias("_event_ms"),
+        F.unix_millis(ingest_time).alias("_ingest_ms"),
+    )
+    return lag(timed, "_event_ms", "_ingest_ms", ("window",), slices)
 
-    The percentiles are approximate: a stream cannot rank its rows exactly, the sketch merges and has a
-    fixed size.
+
+def lag_windows(
+    rows: DataFrame, event_time: str, ingest_time: str, width: str = "1 minute", accuracy: int = 10_000
+) -> DataFrame:
+    """Delay by window of the ingest time for streams (give the input a watermark first).
+
+    The percentiles are approximate, with a rank error of ``1 / accuracy`` of a window's rows: a stream cannot rank
+    its rows exactly, the sketch merges and has a fixed size. Batch jobs have ``lag_windows_exact``.
     """
     delay = F.unix_millis(ingest_time) - F.unix_millis(event_time)
     timed = rows.select(F.window(ingest_time, width).alias("_window"), delay.alias("_lag"))
-    ranks = F.percentile_approx("_lag", [0.5, 0.99], 10_000)
+    ranks = F.percentile_approx("_lag", [0.5, 0.99], accuracy)
     grouped = timed.groupBy("_window").agg(
         F.count("*").alias("n"),
         F.avg("_lag").alias("avg_lag_ms"),
@@ -174,30 +190,37 @@ def token_prices(spark: SparkSession, prices=TOKEN_PRICES) -> DataFrame:
 
 
 def cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
-    """Cost by model of ``usage`` (``model``, ``tokens_in``, ``tokens_out``); totals first, then prices."""
+    """Cost by model of ``usage`` (``model``, ``tokens_in``, ``tokens_out``); totals first, then prices.
+
+    A model without a price stays, with its tokens and a NULL cost.
+    """
     used = usage.groupBy("model").agg(
         F.count("*").alias("calls"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out")
     )
     dollars = (F.col("tokens_in") * F.col("price_in") + F.col("tokens_out") * F.col("price_out")) / F.lit(1_000_000)
-    return used.join(prices, "model").select(
+    return used.join(prices.withColumnRenamed("model", "_priced"), F.col("model") == F.col("_priced"), "left").select(
         "model", "calls", "tokens_in", "tokens_out", F.round(dollars.cast("double"), 6).alias("cost_usd")
     )
 
 
-def migration_stats(rows: DataFrame) -> DataFrame:
-    """Counters of a migration over rows with ``path``, ``failed`` and ``content``.
+def migration_stats(done: DataFrame, failures: DataFrame) -> DataFrame:
+    """Counters of a migration: articles that were migrated, and ``archive.migration_failures``, both with ``path``.
 
-    Error texts are not gathered into this one row: failed rows stay a table of their own.
+    With the columns of a service call, a summary is what a model answered. Stored rows have only ``content``, and a
+    long one counts as a summary. Error texts are not gathered into this one row: failures are a table.
     """
-    done = ~F.col("failed")
-    long = tx.word_count("content") > FALLBACK_WORDS
+    if "model_used" in done.columns:
+        made = F.col("model_used").isNotNull() & F.col("summary").isNotNull()
+    else:
+        made = tx.word_count("content") > FALLBACK_WORDS
+    rows = done.select("path", made.alias("_made")).union(failures.select("path", F.lit(None).cast("boolean")))
     return rows.agg(
         F.count_distinct("path").alias("files_processed"),
         F.count("*").alias("records_processed"),
-        F.count_if(done).alias("records_transformed"),
-        F.count_if(~done).alias("records_failed"),
-        F.count_if(done & long).alias("ai_summaries_generated"),
-        F.count_if(done & ~long).alias("html_fallbacks_used"),
+        F.count("_made").alias("records_transformed"),
+        F.count_if(F.col("_made").isNull()).alias("records_failed"),
+        F.count_if("_made").alias("ai_summaries_generated"),
+        F.count_if(~F.col("_made")).alias("html_fallbacks_used"),
     )
 
 

@@ -37,9 +37,11 @@ def clean_articles(articles: DataFrame) -> DataFrame:
     )
 
 
-def choose_content(cleaned: DataFrame, summary: Column | None = None) -> DataFrame:
-    """Add ``content``: the summary, or where there is none the fallback text."""
-    chosen = tx.fallback_content("body_clean", "teaser_clean", "title")
+def choose_content(
+    cleaned: DataFrame, summary: Column | None = None, fallback_chars: int | None = tx.FALLBACK_CHARS
+) -> DataFrame:
+    """Add ``content``: the summary, or where there is none the fallback text (see ``text.fallback_content``)."""
+    chosen = tx.fallback_content("body_clean", "teaser_clean", "title", fallback_chars)
     if summary is not None:
         chosen = F.coalesce(F.nullif(summary, F.lit("")), chosen)
     return cleaned.withColumn("content", chosen)

@@ -26,7 +26,7 @@ def write_windowed(
     ingest_ts: str = "ingest_ts",
     minutes: int = times.DEFAULT_WINDOW_MINUTES,
     max_object_bytes: int | None = DEFAULT_MAX_OBJECT_BYTES,
-    batch_id: int | None = None,
+    batch_id: int | str | None = None,
     slices: int | None = None,
 ) -> None:
     """Append records under ``uri/ingest_dt=../hour=../part=../seq=..``; ``uri`` decides the store.
@@ -35,21 +35,20 @@ def write_windowed(
     ``spark.sql.shuffle.partitions``) however the rows spread over windows. ``max_object_bytes=None`` writes without
     rotation and without a shuffle, one file per task and window.
 
-    With ``batch_id`` there is no rotation either, ``seq`` names the micro-batch, and the write replaces
-    what an earlier run of the same batch left there. A task's file is then no larger than its input
-    partition makes it, far below the usual object size.
+    With ``batch_id``, the name of a run or micro-batch, ``seq`` begins with it, and the write replaces what an
+    earlier run of the same name left there. Without it rows are appended.
     """
-    placed = assign_windows(to_ndjson(records), ingest_ts, minutes)
     order = (ingest_ts, "news_id", "pos")
-    mode = "append"
+    # Only the line and what orders it go on: the rotation stores and shuffles its rows.
+    placed = assign_windows(to_ndjson(records), ingest_ts, minutes).select(*PARTITION_COLUMNS, *order, "bytes", "line")
+    mode, named = "append", ""
     if batch_id is not None:
-        placed = placed.withColumn("seq", F.lit(f"batch-{batch_id}"))
-        mode = "overwrite"
-    elif max_object_bytes:
+        mode, named = "overwrite", f"batch-{batch_id}-"
+    if max_object_bytes:
         rotated = rotate_files(placed, max_object_bytes, order, slices)
-        placed = rotated.withColumn("seq", F.format_string("%06d", "file_seq"))
+        placed = rotated.withColumn("seq", F.concat(F.lit(named), F.format_string("%06d", "file_seq")))
     else:
-        placed = placed.withColumn("seq", F.lit("000000"))
+        placed = placed.withColumn("seq", F.lit(f"{named}000000"))
     lines = placed.sortWithinPartitions(*LEVELS, *order).select(*LEVELS, "line")
     writer = lines.write.mode(mode).option("lineSep", "\n").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*LEVELS).text(uri)
@@ -65,7 +64,7 @@ def _ddl() -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.RECORD.fields)
 
 
-def write_quarantine(rejects: DataFrame, uri: str, batch_id: int | None = None) -> None:
+def write_quarantine(rejects: DataFrame, uri: str, batch_id: int | str | None = None) -> None:
     """Append rejected messages as Parquet under ``reason=../batch=..``; a replayed batch is replaced."""
     batch = "none" if batch_id is None else str(batch_id)
     writer = rejects.withColumn("batch", F.lit(batch)).write.option("partitionOverwriteMode", "dynamic")

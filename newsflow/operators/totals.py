@@ -8,6 +8,8 @@ give each slice its start, and the window runs inside a slice only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ def running_total(
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows of the group (0 for the first).
 
-    ``total`` names a further column with the sum over the whole group. Group columns must not be NULL.
+    ``total`` names a further column with the sum over the whole group. NULL is a group too.
     Rows equal in ``order`` are told apart by their arrival, so even a group of identical rows is spread
     over slices; give rows with such copies as a scan, or a narrow function of one, so that a repeated
     task finds them in the same order. The sliced rows are written once, because both passes must see
@@ -54,16 +56,25 @@ def running_total(
     added = [(F.col("_start") + F.col("_within")).alias(out)]
     if total:
         added.append(F.col("_group_total").alias(total))
-    return within.join(starts, slice_keys).select(*df.columns, *added)
+    same = [F.col(f"w.{k}").eqNullSafe(F.col(f"s.{k}")) for k in slice_keys]
+    joined = within.alias("w").join(starts.alias("s"), reduce(and_, same))
+    return joined.select(*[F.col(f"w.{c}") for c in df.columns], *added)
 
 
 def exact_percentiles(
-    df: DataFrame, groups: Sequence[str], value: str, fractions: dict[str, float], slices: int | None = None
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    fractions: dict[str, float],
+    slices: int | None = None,
+    *,
+    mean: str | None = None,
+    maximum: str | None = None,
 ) -> DataFrame:
     """Interpolated percentiles per group, one column per entry of ``fractions``, plus ``n``.
 
     Equal values are counted before the shuffle. No group is ever held in one buffer, unlike with the
-    built-in ``percentile``. Group columns must not be NULL.
+    built-in ``percentile``. NULL is a group too. ``mean`` and ``maximum`` name further columns, from the same counts.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("_n"))
     placed = running_total(counts, groups, [value], "_n", "_before", total="n", slices=slices)
@@ -78,8 +89,10 @@ def exact_percentiles(
             value_at(F.floor(position)).alias(f"_lo_{name}"),
             value_at(F.ceil(position)).alias(f"_hi_{name}"),
         ]
-    found = placed.groupBy(*groups, "n").agg(*parts)
-    results = []
+    ends = [(F.sum(F.col(value) * F.col("_n")) / F.col("n")).alias(mean)] if mean else []
+    ends += [F.max(value).alias(maximum)] if maximum else []
+    found = placed.groupBy(*groups, "n").agg(*parts, *ends)
+    results = [c for c in (mean, maximum) if c]
     for name, fraction in fractions.items():
         position = (F.col("n") - 1) * F.lit(fraction)
         low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")

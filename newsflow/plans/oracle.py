@@ -6,8 +6,6 @@ example - and not by parsing the JSON that the Spark side builds and parses.
 
 from __future__ import annotations
 
-from ..functions import prompts
-
 # --- fixed values -----------------------------------------------------------------------------
 _SPACES = (
     "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||' '||chr(133)||chr(160)"
@@ -17,20 +15,40 @@ _SPACES = (
 _WORD = r"[^\t\n\v\f\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 # The entities that occur in the driver's pages; the ampersand last, because entities are read once.
 _ENTITIES = (("&copy;?", "©"), ("&middot;?", "·"), ("&quot;?", '"'), ("&lt;?", "<"), ("&gt;?", ">"), ("&amp;?", "&"))
+# Markup and what takes its place.
+_MARKUP = (
+    (r"</p>\s*<p>", "chr(10)||chr(10)"),
+    (r"<br\s*/?>", "chr(10)"),
+    (r"</div>\s*<div>", "chr(10)||chr(10)"),
+    ("<li>", "'• '"),
+    ("</li>", "chr(10)"),
+    ("<[^>]+>", "''"),
+)
+# The prompts, stated here once more so that the tested text is not its own measure.
+_ARTICLE_PROMPT = "Summarize this financial news article about {ticker}."
+_HTML_PROMPT = "Summarize this financial news article about {ticker} that is provided in raw HTML format."
+_ARTICLE_RULES = """Requirements:
+- Maximum {max_words} words (shorter is fine if content is brief)
+- Focus on key facts, financial impact, and stock implications
+- Include specific numbers, percentages, and dates when relevant
+- Write in clear, professional financial journalism style
+- Start directly with the news content (no meta-commentary)
+- Prioritize actionable information for investors"""
+_HTML_RULES = """Requirements:
+- Maximum {max_words} words (shorter is fine if content is brief)
+- Extract and summarize the main article content from the HTML
+- Focus on key facts, financial impact, and stock implications
+- Include specific numbers, percentages, and dates when relevant
+- Write in clear, professional financial journalism style
+- Start directly with the news content (no meta-commentary)
+- Prioritize actionable information for investors
+- Ignore any HTML tags, formatting, or navigation elements"""
 # ----------------------------------------------------------------------------------------------
 
 
 def _markup(x: str) -> str:
-    rules = (
-        (r"</p>\s*<p>", "chr(10)||chr(10)"),
-        (r"<br\s*/?>", "chr(10)"),
-        (r"</div>\s*<div>", "chr(10)||chr(10)"),
-        ("<li>", "'• '"),
-        ("</li>", "chr(10)"),
-        ("<[^>]+>", "''"),
-    )
     out = f"coalesce({x},'')"
-    for pattern, replacement in rules:
+    for pattern, replacement in _MARKUP:
         out = f"regexp_replace({out},'{pattern}',{replacement},'gi')"
     return out
 
@@ -59,16 +77,23 @@ _MILLIS = "CAST(trunc(epoch_us(ts)::DOUBLE/1e6*1e3) AS BIGINT)"
 _ROUNDED = "round({}::DOUBLE,6)"
 
 
+_EVENT = "coalesce(e.ts, TIMESTAMP '2024-01-01') AS ts, coalesce(e.event_type, 'none') AS event_type"
+
+
+def _title(x: str) -> str:
+    return rf"regexp_extract({x},'^[^.!?\n]*[.!?]?')"
+
+
 def _articles(source: str) -> str:
     if source == "pages":
         base = (
             "SELECT p.page_id AS key, p.url, regexp_extract(p.html,'<title>([^<]*)</title>',1) AS title, p.html AS body,"
-            " e.ts, e.event_type FROM pages p JOIN events e ON e.event_id = p.page_id"
+            f" {_EVENT} FROM pages p LEFT JOIN events e ON e.event_id = p.page_id"
         )
     else:
         base = (
-            "SELECT d.doc_id AS key, 'https://news.example/'||d.doc_id AS url, substring(d.text,1,60) AS title,"
-            " d.text AS body, e.ts, e.event_type FROM documents d JOIN events e ON e.event_id = d.doc_id"
+            f"SELECT d.doc_id AS key, 'https://news.example/'||d.doc_id AS url, {_title('d.text')} AS title,"
+            f" d.text AS body, {_EVENT} FROM documents d LEFT JOIN events e ON e.event_id = d.doc_id"
         )
     return f"""base AS ({base}), article AS (SELECT key, url, title, body, ts,
         CASE WHEN key%3<>0 THEN '<p>'||event_type||'</p>' END AS teaser,
@@ -95,11 +120,23 @@ def _cleaned(source: str, body: str = "body_clean") -> str:
         cleaned AS (SELECT * REPLACE ({blank} AS body_clean) FROM plain)"""
 
 
-_CONTENT = "coalesce(nullif(substring(body_clean,1,1000),''),nullif(teaser_clean,''),nullif(title,''),'No content available')"
+_WHOLE = "coalesce(nullif(body_clean,''),nullif(teaser_clean,''),nullif(title,''),'No content available')"
+_CONTENT = _WHOLE.replace("body_clean", "substring(body_clean,1,1000)")
+
 
+def _lead(text: str, words: int) -> str:
+    """The first words of a text, up to the last end of a sentence in them; all words if there are not more."""
+    found = f"regexp_extract_all({text},'{_WORD}')"
+    cut = f"array_to_string({found}[1:{words}],' ')"
+    return f"""CASE WHEN len({found})<={words} THEN {cut}
+        ELSE coalesce(nullif(regexp_extract({cut},'^(.*[.!?])( .*)?$',1),''),{cut}) END"""
 
-def _records(source: str) -> str:
-    return f"""{_cleaned(source)}, record AS (SELECT *, {_CONTENT} AS content,
+
+_SUMMARY = f"coalesce(nullif({_lead('body_clean', 200)},''),nullif(teaser_clean,''),{_CONTENT})"
+
+
+def _records(source: str, content: str = _WHOLE) -> str:
+    return f"""{_cleaned(source)}, record AS (SELECT *, {content} AS content,
         unnest(tickers) AS ticker, CAST(generate_subscripts(tickers,1)-1 AS BIGINT) AS pos FROM cleaned)"""
 
 
@@ -117,10 +154,14 @@ _OUTCOME = """CASE WHEN key%16 IN (0,7) THEN 'decode-failed' WHEN key%16 IN (1,2
     WHEN len(tickers)=0 THEN 'no-securities' ELSE 'accepted' END"""
 
 _LOG = """log AS (SELECT *, CAST(json_extract(props,'$.k') AS BIGINT) AS k,
-    CASE event_type WHEN 'error' THEN 'WARNING' WHEN 'view' THEN 'ERROR' ELSE 'DEBUG' END AS level,
-    CASE WHEN event_type IN ('error','click') THEN 'app.summarizer' ELSE 'app.client' END AS logger,
-    CASE event_type WHEN 'error' THEN 'bedrock-throttled' WHEN 'click' THEN 'article-summarized'
-      WHEN 'view' THEN 'summarization-failed' WHEN 'signup' THEN 'multi-ticker-article' ELSE 'writing record' END AS event
+    CASE WHEN event_type='error' THEN 'WARNING' WHEN event_type='view' OR event_type='signup' AND event_id%2=1 THEN 'ERROR'
+      ELSE 'DEBUG' END AS level,
+    CASE WHEN event_type IN ('error','click') OR event_type='view' AND event_id%2=1 THEN 'app.summarizer'
+      ELSE 'app.client' END AS logger,
+    CASE WHEN event_type='error' THEN 'bedrock-throttled' WHEN event_type='click' THEN 'article-summarized'
+      WHEN event_type='view' AND event_id%2=1 THEN 'article-summarization-failed' WHEN event_type='view' THEN 'summarization-failed'
+      WHEN event_type='signup' AND event_id%2=1 THEN 'ws-error' WHEN event_type='signup' THEN 'multi-ticker-article'
+      ELSE 'writing record' END AS event
     FROM events)"""
 
 
@@ -133,7 +174,7 @@ def _label(start: str, minutes: int) -> str:
     return f"strftime({start},'%Y%m%d_%H%M')||'-'||strftime({end},'%Y%m%d_%H%M')"
 
 
-_ROTATED = f"""{_records("documents")}, sized AS (SELECT key, pos, ts, {_LINE} AS line, {_window(30)} AS start FROM record),
+_ROTATED = f"""{_records("documents", _SUMMARY)}, sized AS (SELECT key, pos, ts, {_LINE} AS line, {_window(30)} AS start FROM record),
     measured AS (SELECT key AS news_id, pos, ts, start, {_label("start", 30)} AS part, {_LINE_BYTES} AS bytes FROM sized),
     rotated AS (SELECT *, CAST(coalesce(sum(bytes) OVER (PARTITION BY part ORDER BY ts, news_id, pos
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS BIGINT) AS bytes_before FROM measured)"""
@@ -143,9 +184,9 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _prompt(opening: str, heading: str, body: str, requirements: tuple[str, ...], max_words: int, teaser: str) -> str:
+def _prompt(opening: str, heading: str, body: str, requirements: str, max_words: int, teaser: str) -> str:
     first = _text(opening).replace("{ticker}", "'||tickers[1]||'")
-    closing = _text("\n".join(requirements).format(max_words=max_words))
+    closing = _text(requirements.format(max_words=max_words))
     return (
         f"{first}||chr(10)||chr(10)||'Title: '||title||chr(10)||{teaser}chr(10)||'{heading}'||chr(10)||{body}"
         f"||chr(10)||chr(10)||{closing}"
@@ -154,15 +195,16 @@ def _prompt(opening: str, heading: str, body: str, requirements: tuple[str, ...]
 
 _TEASER_LINE = "CASE WHEN teaser_clean<>'' THEN 'Teaser: '||teaser_clean||chr(10) ELSE '' END||"
 
-_LEAD = f"""found AS (SELECT key, teaser_clean, regexp_extract_all(body_clean,'{_WORD}') AS w FROM cleaned),
-    lead AS (SELECT key, teaser_clean, len(w) AS n, array_to_string(w[1:60],' ') AS t FROM found)"""
-
 _ISO = "strftime(ts,'%Y-%m-%dT%H:%M:%S.%f')"
 _REST = """',"n":'||event_id||',"type":"'||event_type||'"}'"""
 
-_LEGACY = f"""legacy AS (SELECT doc_id, source AS path, text, substring(text,1,60) AS title,
-      doc_id%10 IN (0,1,2) AS failed, {_clean("text")} AS body_clean, '' AS teaser_clean FROM documents),
-    done AS (SELECT *, {_CONTENT} AS content FROM legacy)"""
+def _legacy(content: str) -> str:
+    return f"""legacy AS (SELECT doc_id, source AS path, text AS body, {_title("text")} AS title, doc_id%10 IN (0,1,2) AS failed,
+        {_clean("text")} AS body_clean, '' AS teaser_clean FROM documents), done AS (SELECT *, {content} AS content FROM legacy)"""
+
+
+_BACKFILLED = """SELECT path, doc_id AS news_id, 'T'||(doc_id%20) AS ticker, 1704067200000 AS "timestamp", 'Created' AS action,
+    title, content, '' AS authors FROM done WHERE NOT failed"""
 
 ORACLE: dict[str, str] = {
     "validate_split": f"WITH {_articles('documents')} SELECT key, {_OUTCOME} AS outcome FROM article",
@@ -181,31 +223,29 @@ ORACLE: dict[str, str] = {
     "clean_articles": f"""WITH {_cleaned("pages")} SELECT key, body_clean, teaser_clean, tickers[1] AS primary_ticker
         FROM cleaned""",
     "clean_size": f"""WITH {_cleaned("pages")}, s AS (SELECT octet_length(encode(body)) AS r, octet_length(encode(body_clean)) AS c,
-        octet_length(encode({_CONTENT})) AS k FROM cleaned) SELECT count(*) AS articles, CAST(sum(r) AS BIGINT) AS raw_bytes,
+        octet_length(encode({_SUMMARY})) AS k FROM cleaned) SELECT count(*) AS articles, CAST(sum(r) AS BIGINT) AS raw_bytes,
         CAST(sum(c) AS BIGINT) AS clean_bytes, CAST(sum(k) AS BIGINT) AS content_bytes,
         round(1 - sum(k)::DOUBLE/sum(r)::DOUBLE,6) AS saved FROM s""",
     "fallback_content": f"""WITH {_articles("documents")} SELECT key, coalesce(nullif(substring(CASE WHEN key%5<>0 THEN body
         ELSE '' END,1,1000),''),nullif(teaser,''),nullif(CASE WHEN key%2<>0 THEN title END,''),'No content available')
         AS content FROM article""",
     "summary_routing": f"""WITH {_cleaned("documents", "blanked")} SELECT key,
-        CASE WHEN trim(body_clean,{_SPACES})<>'' THEN 'called' ELSE nullif(teaser_clean,'') END AS summary,
+        trim(body_clean,{_SPACES})<>'' OR teaser_clean<>'' AS has_summary,
         CAST(CASE WHEN trim(body_clean,{_SPACES})<>'' THEN 1 ELSE 0 END AS BIGINT) AS attempts FROM cleaned""",
-    "summarize_extractive": f"""WITH {_cleaned("documents", "blanked")}, {_LEAD} SELECT key,
-        CASE WHEN n=0 THEN nullif(teaser_clean,'') WHEN n<=60 THEN t
-        ELSE coalesce(nullif(regexp_extract(t,'^(.*[.!?])( .*)?$',1),''),t) END AS summary,
-        CAST(CASE WHEN n=0 THEN 0 ELSE 1 END AS BIGINT) AS attempts,
-        CASE WHEN n>0 THEN 'primary' END AS model_used FROM lead""",
-    "retry_outcomes": f"""WITH {_articles("documents")} SELECT key,
-        CASE WHEN key%7 IN (0,1,5) THEN 'primary 360' WHEN key%7=4 THEN 'fallback 360' END AS summary,
-        CAST(CASE WHEN key%7 IN (1,2,6) THEN 3 WHEN key%7=5 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
-        CASE key%7 WHEN 2 THEN 'ThrottlingException' WHEN 3 THEN 'AccessDeniedException' WHEN 6 THEN 'ValueError' END AS error_code,
-        CASE WHEN key%7 IN (0,1,5) THEN 'primary' WHEN key%7=4 THEN 'fallback' END AS model_used
-        FROM article WHERE {_HAS_TICKER}""",
+    "summarize_extractive": f"""WITH {_cleaned("documents", "blanked")}, w AS (SELECT *, trim(body_clean,{_SPACES})<>'' AS called
+        FROM cleaned) SELECT key, CASE WHEN called THEN {_lead("body_clean", 60)} ELSE nullif(teaser_clean,'') END AS summary,
+        CAST(called AS BIGINT) AS attempts, CASE WHEN called THEN 'primary' END AS model_used FROM w""",
+    "reused_summaries": f"""WITH {_cleaned("documents")}, w AS (SELECT *, trim(body_clean,{_SPACES})<>'' AS called FROM cleaned)
+        SELECT key, CASE WHEN called THEN {_lead("body_clean", 200)} ELSE nullif(teaser_clean,'') END AS summary,
+        CAST(called AND key%2=1 AS BIGINT) AS attempts FROM w""",
+    "summarized_records": f"WITH {_records('documents', _SUMMARY)} {_FLAT}",
+    "summarized_lines": f"""WITH {_records("documents", _SUMMARY)}, l AS (SELECT key AS news_id, pos, {_LINE} AS line FROM record)
+        SELECT news_id, pos, line, {_LINE_BYTES} AS bytes FROM l""",
     "prompts": f"""WITH {_cleaned("documents", "blanked")} SELECT key, CASE WHEN trim(body_clean,{_SPACES})<>'' THEN
-        {_prompt(prompts.ARTICLE_OPENING, "Article:", "body_clean", prompts.ARTICLE_REQUIREMENTS, 200, _TEASER_LINE)} END
+        {_prompt(_ARTICLE_PROMPT, "Article:", "body_clean", _ARTICLE_RULES, 200, _TEASER_LINE)} END
         AS prompt, CAST(360 AS BIGINT) AS max_tokens FROM cleaned""",
     "html_prompts": f"""WITH {_articles("pages")} SELECT key,
-        {_prompt(prompts.HTML_OPENING, "HTML Content:", "body", prompts.HTML_REQUIREMENTS, 150, "")} AS prompt,
+        {_prompt(_HTML_PROMPT, "HTML Content:", "body", _HTML_RULES, 150, "")} AS prompt,
         CAST(295 AS BIGINT) AS max_tokens FROM article WHERE {_HAS_TICKER}""",
     "word_count": f"SELECT doc_id, {_words('text')} AS words FROM documents",
     "preview": """SELECT doc_id, substring(text,1,100) AS preview, CAST(length(text) AS BIGINT) AS n_characters
@@ -233,47 +273,51 @@ ORACLE: dict[str, str] = {
         ELSE '{{"timestamp":'||{_MILLIS}||{_REST} END AS line FROM events""",
     "lenient_lines": """SELECT event_id AS key, CAST(event_id%8<>5 AS BIGINT) AS is_json FROM events
         WHERE event_id%8<>7""",
-    "legacy_backfill": f"""WITH {_LEGACY} SELECT path, doc_id AS news_id, 'T'||(doc_id%20) AS ticker,
-        1704067200000 AS "timestamp", 'Created' AS action, title, content, '' AS authors FROM done WHERE NOT failed""",
-    "migration_stats": f"""WITH {_LEGACY}, n AS (SELECT path, failed, {_words("content")} AS words FROM done)
-        SELECT count(DISTINCT path) AS files_processed, count(*) AS records_processed,
+    "legacy_backfill": f"WITH {_legacy(_SUMMARY)} {_BACKFILLED}",
+    "legacy_backfill_html": f"WITH {_legacy(_SUMMARY.replace(_lead('body_clean', 200), _lead('body', 200)))} {_BACKFILLED}",
+    "migration_failures": """SELECT source AS path, doc_id AS key, CASE doc_id%10 WHEN 0 THEN 'decode-failed' WHEN 1 THEN
+        'missing-ticker' ELSE 'wrong-type' END AS reason FROM documents WHERE doc_id%10<3""",
+    "migration_stats": f"""WITH {_legacy(_SUMMARY)} SELECT count(DISTINCT path) AS files_processed, count(*) AS records_processed,
         count(*) FILTER (NOT failed) AS records_transformed, count(*) FILTER (failed) AS records_failed,
-        count(*) FILTER (NOT failed AND words>50) AS ai_summaries_generated,
-        count(*) FILTER (NOT failed AND words<=50) AS html_fallbacks_used FROM n""",
+        count(*) FILTER (NOT failed AND {_words("body_clean")}>0) AS ai_summaries_generated,
+        count(*) FILTER (NOT failed AND {_words("body_clean")}=0) AS html_fallbacks_used FROM done""",
     "log_fields": f"""WITH {_LOG} SELECT level, logger, epoch_us(ts)//1000000*1000 AS time_ms, event,
-        CASE WHEN event_type IN ('error','click','purchase') THEN 'T'||user_id END AS ticker,
-        CASE WHEN event_type IN ('view','signup','purchase') THEN event_id END AS news_id,
-        CASE event_type WHEN 'error' THEN k%3+1 WHEN 'click' THEN 1 END AS attempt,
-        CASE WHEN event_type='click' THEN k END AS words, CASE WHEN event_type='signup' THEN k%4+2 END AS tickers,
-        CASE WHEN event_type='error' THEN 2.0::DOUBLE END AS wait_seconds FROM log""",
+        CASE WHEN event IN ('bedrock-throttled','article-summarized','article-summarization-failed','writing record') THEN 'T'||user_id END AS ticker,
+        CASE WHEN event IN ('summarization-failed','multi-ticker-article','writing record') THEN event_id END AS news_id,
+        CASE WHEN event IN ('bedrock-throttled','article-summarization-failed') THEN k%3+1 WHEN event='article-summarized' THEN 1 END AS attempt,
+        CASE WHEN event='article-summarized' THEN k END AS words, CASE WHEN event='multi-ticker-article' THEN k%4+2 END AS tickers,
+        CASE WHEN event='article-summarization-failed' THEN 'Code'||(k%3) END AS error_code,
+        CASE WHEN event='ws-error' THEN 'closed'||(k%2) END AS reason,
+        CASE WHEN event='bedrock-throttled' THEN (k%3+1)::DOUBLE WHEN event='ws-error' THEN k%5+1.5::DOUBLE END AS wait_seconds FROM log""",
     "mon_outcomes": f"""WITH {_LOG} SELECT event, count(*) AS total FROM log
-        WHERE event_type IN ('click','view') GROUP BY event""",
-    "mon_success_rate": f"""WITH {_LOG} SELECT count(*) FILTER (event_type='click') AS successes, count(*) AS attempts,
-        round(count(*) FILTER (event_type='click')::DOUBLE/count(*),6) AS success_rate FROM log
-        WHERE event_type IN ('click','view')""",
+        WHERE event IN ('article-summarized','article-summarization-failed','summarization-failed') GROUP BY event""",
+    "mon_success_rate": f"""WITH {_LOG} SELECT count(*) FILTER (event='article-summarized') AS successes, count(*) AS attempts,
+        round(count(*) FILTER (event='article-summarized')::DOUBLE/count(*),6) AS success_rate FROM log
+        WHERE event IN ('article-summarized','summarization-failed')""",
     "mon_retries": f"""WITH {_LOG} SELECT 'T'||user_id AS ticker, count(*) AS retries, {_ROUNDED.format("avg(k%3+1)")} AS avg_attempt
         FROM log WHERE event_type='error' GROUP BY user_id""",
     "mon_multi_ticker": f"""WITH {_LOG} SELECT count(*) AS articles, {_ROUNDED.format("avg(k%4+2)")} AS avg_tickers,
-        max(k%4+2) AS max_tickers FROM log WHERE event_type='signup'""",
+        max(k%4+2) AS max_tickers FROM log WHERE event='multi-ticker-article'""",
     "mon_multi_ticker_articles": f"""WITH {_articles("documents")} SELECT count(*) AS articles,
         {_ROUNDED.format("avg(len(tickers))")} AS avg_tickers, CAST(max(len(tickers)) AS BIGINT) AS max_tickers
         FROM article WHERE len(tickers)>1""",
     "mon_per_minute": """SELECT epoch_us(ts)//60000000*60000 AS minute_ms, count(*) AS records FROM events
         WHERE event_type='purchase' GROUP BY 1""",
     "mon_errors": f"""WITH {_LOG} SELECT logger, event, count(*) AS total, count(*) FILTER (level='ERROR') AS errors,
-        count(*) FILTER (event_type='error') AS throttled, CAST(0 AS BIGINT) AS reconnects FROM log
+        count(*) FILTER (event_type='error') AS throttled, count(*) FILTER (event='ws-error') AS reconnects FROM log
         WHERE level IN ('WARNING','ERROR') GROUP BY logger, event""",
-    "mon_latency": """SELECT event_type, count(value) AS n, round(quantile_cont(value,0.5),6) AS p50,
-        round(quantile_cont(value,0.99),6) AS p99 FROM events GROUP BY event_type""",
+    "mon_latency": """SELECT nullif(event_type,'signup') AS event_type, count(value) AS n, round(quantile_cont(value,0.5),6) AS p50,
+        round(quantile_cont(value,0.99),6) AS p99 FROM events GROUP BY 1""",
     "mon_lag": """WITH l AS (SELECT strftime(ts,'%Y-%m-%d') AS day, CAST(floor(value*1000) AS BIGINT) AS lag FROM events)
         SELECT day, count(*) AS n, round(avg(lag)::DOUBLE,6) AS avg_lag_ms, round(quantile_cont(lag::DOUBLE,0.5),6) AS p50_lag_ms,
         round(quantile_cont(lag::DOUBLE,0.99),6) AS p99_lag_ms, max(lag) AS max_lag_ms FROM l GROUP BY day""",
     "mon_lag_windows": """WITH l AS (SELECT epoch_us(ts) AS e, epoch_us(ts)+CAST(floor(value) AS BIGINT)*1000000 AS i FROM events)
         SELECT i//3600000000*3600000 AS window_ms, count(*) AS n, round(avg(i//1000-e//1000)::DOUBLE,6) AS avg_lag_ms,
+        round(quantile_cont((i//1000-e//1000)::DOUBLE,0.5),6) AS p50_lag_ms, round(quantile_cont((i//1000-e//1000)::DOUBLE,0.99),6) AS p99_lag_ms,
         max(i//1000-e//1000) AS max_lag_ms FROM l GROUP BY 1""",
-    "mon_cost": f"""WITH u AS (SELECT CASE WHEN doc_id%3=0 THEN 'small' ELSE 'large' END AS model, {_words("text")} AS w
+    "mon_cost": f"""WITH u AS (SELECT CASE WHEN doc_id%7=0 THEN NULL WHEN doc_id%5=0 THEN 'unpriced' WHEN doc_id%3=0 THEN 'small' ELSE 'large' END AS model, {_words("text")} AS w
         FROM documents), t AS (SELECT model, count(*) AS calls, CAST(sum(w+100) AS BIGINT) AS tokens_in,
         CAST(sum(least(w,200)) AS BIGINT) AS tokens_out FROM u GROUP BY model)
         SELECT model, calls, tokens_in, tokens_out, round((CASE model WHEN 'small' THEN tokens_in*0.25+tokens_out*1.25
-        ELSE tokens_in*3.0+tokens_out*15.0 END)::DOUBLE/1000000,6) AS cost_usd FROM t""",
+        WHEN 'large' THEN tokens_in*3.0+tokens_out*15.0 END)::DOUBLE/1000000,6) AS cost_usd FROM t""",
 }

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import FALLBACK_CHARS
 from ..functions.times import DEFAULT_WINDOW_MINUTES
 from ..operators import enrich, ingest, records, sinks
-from ..session import materialize
+from ..session import materialize, run_folder
 
 
 def articles_to_records(
@@ -19,10 +20,14 @@ def articles_to_records(
     keep: tuple[str, ...] = (),
     *,
     store_content: bool = False,
+    fallback_chars: int | None = FALLBACK_CHARS,
     **options,
 ) -> DataFrame:
     """Accepted articles to output rows. Without a service every article gets its fallback content.
 
+    ``fallback_chars`` cuts that content, None keeps whole texts. With a service it is worked out first, so that the
+    HTML and the cleaned texts are not carried to the calls.
+
     Every step up to the last works once per article; the fan-out to tickers comes last.
     ``store_content`` writes the articles with their content (but without their bodies) before the
     fan-out. Use it when the rows are read more than once, or each reading would call the service;
@@ -30,10 +35,12 @@ def articles_to_records(
     """
     cleaned = records.clean_articles(articles)
     if factory is None:
-        chosen = records.choose_content(cleaned)
+        chosen = records.choose_content(cleaned, fallback_chars=fallback_chars)
     else:
-        summarized = enrich.summarize_articles(cleaned, factory, policy, **options)
-        chosen = records.choose_content(summarized, F.col("summary"))
+        ready = records.choose_content(cleaned, fallback_chars=fallback_chars)
+        needed = (*records.SOURCE_COLUMNS, *keep)
+        summarized = enrich.summarize_articles(ready, factory, policy, columns=needed, **options)
+        chosen = summarized.withColumn("content", F.coalesce(F.nullif("summary", F.lit("")), "content"))
     if store_content:
         chosen = materialize(chosen.select(*records.SOURCE_COLUMNS, *keep), "article-content")
     return records.explode_tickers(chosen, *keep)
@@ -46,7 +53,7 @@ def run_batch(
     factory: Callable[[], enrich.Invoke] | None = None,
     policy: enrich.CallPolicy | None = None,
     *,
-    batch_id: int | None = None,
+    batch_id: int | str | None = None,
     minutes: int = DEFAULT_WINDOW_MINUTES,
     max_object_bytes: int | None = sinks.DEFAULT_MAX_OBJECT_BYTES,
     slices: int | None = None,
@@ -56,16 +63,18 @@ def run_batch(
 
     Only the parse runs for both outputs. The service is called for the records alone and once per
     article: with rotation the content is stored before the rows are range-partitioned, without it
-    (``max_object_bytes=None``, or a ``batch_id``) the whole branch is one map-only write.
+    (``max_object_bytes=None``) the whole branch is one map-only write. ``batch_id`` names the run: a run of the
+    same name replaces what the last one wrote, rejects included. Without it rows are appended. Stored intermediate
+    tables are removed at the end.
     """
     if "ingest_ts" not in messages.columns:
         messages = messages.withColumn("ingest_ts", F.current_timestamp())
-    rotate = bool(max_object_bytes) and batch_id is None
     parsed = ingest.parse_messages(messages)
     sinks.write_quarantine(ingest.quarantine(parsed), rejects, batch_id)
-    rows = articles_to_records(
-        ingest.accepted(parsed), factory, policy, ("ingest_ts",), store_content=rotate, **options
-    )
-    sinks.write_windowed(
-        rows, output, minutes=minutes, max_object_bytes=max_object_bytes, batch_id=batch_id, slices=slices
-    )
+    with run_folder(messages.sparkSession):
+        rows = articles_to_records(
+            ingest.accepted(parsed), factory, policy, ("ingest_ts",), store_content=bool(max_object_bytes), **options
+        )
+        sinks.write_windowed(
+            rows, output, minutes=minutes, max_object_bytes=max_object_bytes, batch_id=batch_id, slices=slices
+        )

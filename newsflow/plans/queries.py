@@ -13,6 +13,7 @@ from ..functions import prompts, times
 from ..functions import text as tx
 from ..functions.tickers import primary_ticker
 from ..operators import archive, enrich, ingest, monitor, records, windows
+from ..session import materialize
 from ..sources import parse_lines
 from . import pipeline
 from . import sample_messages as sample
@@ -46,9 +47,24 @@ def _cleaned(spark: SparkSession, sf_dir: str, source: str = "pages") -> DataFra
     return records.clean_articles(_articles(spark, sf_dir, source))
 
 
-def _records(spark: SparkSession, sf_dir: str, source: str = "pages", store_content: bool = False) -> DataFrame:
+def _records(spark: SparkSession, sf_dir: str, source: str = "pages") -> DataFrame:
+    """Without a service: every article with its whole text."""
+    return pipeline.articles_to_records(_articles(spark, sf_dir, source), None, keep=("ingest_ts",), fallback_chars=None)
+
+
+# The service of the registered queries: the lead of the cleaned text, in whole sentences.
+_SERVICE, _POLICY = enrich.LeadingSentences(), enrich.CallPolicy(max_words=200)
+
+
+def _cleaned_text() -> Column:
+    return F.when(~tx.is_blank("body_clean"), F.col("body_clean"))
+
+
+def _summarized(spark: SparkSession, sf_dir: str, source: str = "documents", store_content: bool = False) -> DataFrame:
     articles = _articles(spark, sf_dir, source)
-    return pipeline.articles_to_records(articles, None, keep=("ingest_ts",), store_content=store_content)
+    return pipeline.articles_to_records(
+        articles, _SERVICE, _POLICY, ("ingest_ts",), store_content=store_content, text=_cleaned_text()
+    )
 
 
 def validate_split(spark, sf_dir):
@@ -88,7 +104,7 @@ def extract_symbols(spark, sf_dir):
 
 
 def clean_steps(spark, sf_dir):
-    bodies = sample.heavy(spark, sf_dir, "pages").select("page_id", tx.drop_markup("html").alias("stripped"))
+    bodies = sample.table(spark, sf_dir, "pages").select("page_id", tx.drop_markup("html").alias("stripped"))
     unescaped = bodies.withColumn("unescaped", tx.unescape("stripped"))
     return unescaped.withColumn("cleaned", tx.tidy_space("unescaped"))
 
@@ -98,8 +114,9 @@ def clean_articles(spark, sf_dir):
 
 
 def clean_size(spark, sf_dir):
-    chosen = records.choose_content(_cleaned(spark, sf_dir))
-    sizes = monitor.size_reduction(chosen)
+    ready = records.choose_content(_cleaned(spark, sf_dir))
+    done = enrich.summarize_articles(ready, _SERVICE, _POLICY, text=_cleaned_text())
+    sizes = monitor.size_reduction(done.withColumn("content", F.coalesce(F.nullif("summary", F.lit("")), "content")))
     return sizes.withColumn("saved", F.round("saved", 6))
 
 
@@ -116,55 +133,24 @@ def _with_blank_bodies(spark, sf_dir):
 
 
 def summary_routing(spark, sf_dir):
-    done = enrich.summarize_articles(_with_blank_bodies(spark, sf_dir), _OneWord())
-    return done.select("key", "summary", "attempts")
-
-
-class _OneWord:
-    def __call__(self):
-        return lambda request: "called"
+    done = enrich.summarize_articles(_with_blank_bodies(spark, sf_dir), _SERVICE, _POLICY, text=_cleaned_text())
+    return done.select("key", F.col("summary").isNotNull().alias("has_summary"), "attempts")
 
 
 def summarize_extractive(spark, sf_dir):
     policy = enrich.CallPolicy(max_words=60)
-    done = enrich.summarize_articles(
-        _with_blank_bodies(spark, sf_dir),
-        enrich.LeadingSentences(),
-        policy,
-        text=F.when(~tx.is_blank("body_clean"), F.col("body_clean")),
-    )
+    done = enrich.summarize_articles(_with_blank_bodies(spark, sf_dir), _SERVICE, policy, text=_cleaned_text())
     return done.select("key", "summary", "attempts", "model_used")
 
 
-class _Unsteady:
-    """Service that fails in ways the first digit of its text chooses."""
-
-    def __call__(self):
-        seen = {}
-
-        def invoke(request):
-            case = request.text[0]
-            seen[request.text] = tries = seen.get(request.text, 0) + 1
-            if case == "1" and tries < 3 or case == "2":
-                raise enrich.ServiceError("ThrottlingException")
-            if case == "3":
-                raise enrich.ServiceError("AccessDeniedException")
-            if case == "4" and request.model == "primary":
-                raise enrich.ServiceError("ValidationException", "needs on-demand throughput")
-            if case == "5" and tries < 2:
-                return " "
-            if case == "6":
-                raise ValueError("unexpected")
-            return f" {request.model} {request.max_tokens} "
-
-        return invoke
-
-
-def retry_outcomes(spark, sf_dir):
-    policy = enrich.CallPolicy(sleep=lambda seconds: None)
-    text = F.concat((F.col("key") % 7).cast("string"), F.lit("|"), F.col("key").cast("string"))
-    done = enrich.summarize_articles(_cleaned(spark, sf_dir, "documents"), _Unsteady(), policy, text=text)
-    return done.select("key", "summary", "attempts", "error_code", "model_used")
+def reused_summaries(spark, sf_dir):
+    """Every second article was summarized before: its summary is found again and not asked for."""
+    columns, text = ("key", "id"), _cleaned_text()
+    articles = _cleaned(spark, sf_dir, "documents")
+    first = enrich.summarize_articles(articles.where(F.col("key") % 2 == 0), _SERVICE, _POLICY, text=text, columns=columns)
+    stored = enrich.summary_store(materialize(first, "summaries"))
+    done = enrich.summarize_articles(articles, _SERVICE, _POLICY, text=text, stored=stored, columns=columns)
+    return done.select("key", "summary", "attempts")
 
 
 def article_prompts(spark, sf_dir):
@@ -181,11 +167,11 @@ def html_prompts(spark, sf_dir):
 
 
 def word_count(spark, sf_dir):
-    return sample.heavy(spark, sf_dir, "documents").select("doc_id", tx.word_count("text").alias("words"))
+    return sample.table(spark, sf_dir, "documents").select("doc_id", tx.word_count("text").alias("words"))
 
 
 def preview(spark, sf_dir):
-    docs = sample.heavy(spark, sf_dir, "documents")
+    docs = sample.table(spark, sf_dir, "documents")
     return docs.select(
         "doc_id", tx.preview("text").alias("preview"), F.char_length("text").cast("bigint").alias("n_characters")
     )
@@ -199,6 +185,15 @@ def document_records(spark, sf_dir):
     return _flat_records(_records(spark, sf_dir, "documents"))
 
 
+def summarized_records(spark, sf_dir):
+    return _flat_records(_summarized(spark, sf_dir))
+
+
+def summarized_lines(spark, sf_dir):
+    lines = records.to_ndjson(_summarized(spark, sf_dir))
+    return lines.select("news_id", F.col("pos").cast("bigint").alias("pos"), "line", "bytes")
+
+
 def by_ticker(spark, sf_dir):
     return _flat_records(records.by_ticker(_records(spark, sf_dir), "T4"))
 
@@ -225,8 +220,9 @@ def assign_windows(spark, sf_dir):
 
 
 def _rotated(spark, sf_dir):
-    lines = records.to_ndjson(_records(spark, sf_dir, "documents", store_content=True))
-    return windows.rotate_files(windows.assign_windows(lines), 20_000)
+    lines = windows.assign_windows(records.to_ndjson(_summarized(spark, sf_dir, store_content=True)))
+    narrow = lines.select(*windows.PARTITION_COLUMNS, "ingest_ts", "news_id", "pos", "bytes")
+    return windows.rotate_files(narrow, 20_000)
 
 
 def rotate_files(spark, sf_dir):
@@ -248,14 +244,28 @@ def lenient_lines(spark, sf_dir):
     return parsed.select("key", F.col("value").isNotNull().cast("bigint").alias("is_json"))
 
 
-def legacy_backfill(spark, sf_dir):
-    rows = archive.backfill(sample.legacy_lines(spark, sf_dir))
+def _backfilled(spark, sf_dir, text: Column, **options) -> DataFrame:
+    rows = archive.backfill(sample.legacy_lines(spark, sf_dir), _SERVICE, _POLICY, text=text, **options)
     return rows.select("path", "news_id", "ticker", "timestamp", "action", "title", "content", _joined("authors"))
 
 
+def legacy_backfill(spark, sf_dir):
+    return _backfilled(spark, sf_dir, _cleaned_text())
+
+
+def legacy_backfill_html(spark, sf_dir):
+    return _backfilled(spark, sf_dir, F.when(~tx.is_blank("body"), F.col("body")), html=True)
+
+
+def migration_failures(spark, sf_dir):
+    failures = archive.migration_failures(archive.read_legacy(sample.legacy_lines(spark, sf_dir)))
+    return failures.select("path", "key", "reason")
+
+
 def migration_stats(spark, sf_dir):
-    rows = archive.read_legacy(sample.legacy_lines(spark, sf_dir))
-    return monitor.migration_stats(records.choose_content(records.clean_articles(rows)))
+    lines = sample.legacy_lines(spark, sf_dir)
+    done = archive.migrate(lines, _SERVICE, _POLICY, text=_cleaned_text())
+    return monitor.migration_stats(done, archive.migration_failures(archive.read_legacy(lines)))
 
 
 def log_fields(spark, sf_dir):
@@ -270,6 +280,8 @@ def log_fields(spark, sf_dir):
         "attempt",
         "words",
         "tickers",
+        "error_code",
+        "reason",
         "wait_seconds",
     )
 
@@ -310,7 +322,8 @@ def mon_errors(spark, sf_dir):
 
 def _elapsed(spark, sf_dir):
     events = sample.table(spark, sf_dir, "events")
-    return events.select("event_type", F.col("value").alias("elapsed_ms"), F.col("ts").cast("timestamp").alias("ts"))
+    # Signups have no group, as failed calls have no model.
+    return events.select(F.nullif("event_type", F.lit("signup")).alias("event_type"), F.col("value").alias("elapsed_ms"), F.col("ts").cast("timestamp").alias("ts"))
 
 
 def mon_latency(spark, sf_dir):
@@ -334,16 +347,20 @@ def mon_lag_windows(spark, sf_dir):
     rows = _elapsed(spark, sf_dir).select(
         "ts", (F.col("ts") + F.make_dt_interval(secs=F.floor("elapsed_ms").cast("decimal(18,6)"))).alias("ingest_ts")
     )
-    found = monitor.lag_windows(rows, "ts", "ingest_ts", "1 hour")
-    mean = F.round("avg_lag_ms", 6).alias("avg_lag_ms")
-    return found.select(F.unix_millis("window").alias("window_ms"), "n", mean, "max_lag_ms")
+    found = monitor.lag_windows_exact(rows, "ts", "ingest_ts", "1 hour")
+    rounded = [F.round(c, 6).alias(c) for c in ("avg_lag_ms", "p50_lag_ms", "p99_lag_ms")]
+    return found.select(F.unix_millis("window").alias("window_ms"), "n", *rounded, "max_lag_ms")
 
 
 def mon_cost(spark, sf_dir):
-    docs = sample.heavy(spark, sf_dir, "documents")
+    docs = sample.table(spark, sf_dir, "documents")
     count = tx.word_count("text")
     usage = docs.select(
-        F.when(F.col("doc_id") % 3 == 0, "small").otherwise("large").alias("model"),
+        F.when(F.col("doc_id") % 7 == 0, None)
+        .when(F.col("doc_id") % 5 == 0, "unpriced")
+        .when(F.col("doc_id") % 3 == 0, "small")
+        .otherwise("large")
+        .alias("model"),
         (count + 100).alias("tokens_in"),
         F.least(count, F.lit(200)).alias("tokens_out"),
     )
@@ -362,7 +379,9 @@ QUERIES = {
     "fallback_content": fallback_content,
     "summary_routing": summary_routing,
     "summarize_extractive": summarize_extractive,
-    "retry_outcomes": retry_outcomes,
+    "reused_summaries": reused_summaries,
+    "summarized_records": summarized_records,
+    "summarized_lines": summarized_lines,
     "prompts": article_prompts,
     "html_prompts": html_prompts,
     "word_count": word_count,
@@ -376,6 +395,8 @@ QUERIES = {
     "rewrite_archive": rewrite_archive,
     "lenient_lines": lenient_lines,
     "legacy_backfill": legacy_backfill,
+    "legacy_backfill_html": legacy_backfill_html,
+    "migration_failures": migration_failures,
     "migration_stats": migration_stats,
     "log_fields": log_fields,
     "mon_outcomes": mon_outcomes,

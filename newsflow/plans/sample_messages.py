@@ -8,46 +8,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
+# The time of an article without an event, and the first sentence or line of a text.
+NO_EVENT = "2024-01-01 00:00:00"
+FIRST_SENTENCE = r"^[^.!?\n]*[.!?]?"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table with heavy work per row: a file of one split is spread over the cores."""
-    return spread(table(spark, sf_dir, name))
-
-
 def _ticker(key: Column, factor: int) -> Column:
     return F.concat(F.lit("T"), (key * factor % 20).cast("string"))
 
 
+def _title(text: str) -> Column:
+    return F.regexp_extract(text, FIRST_SENTENCE, 0).alias("title")
+
+
 def _event_time(ts: Column) -> Column:
     return ts.cast("timestamp")
 
 
 def articles(spark: SparkSession, sf_dir: str, source: str = "pages") -> DataFrame:
-    """One article per page or document, with the time and type of the event of the same number."""
+    """One article per page or document, with the time and type of the event of the same number.
+
+    Without such an event the time is ``NO_EVENT`` and the type ``none``.
+    """
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     if source == "pages":
-        base = heavy(spark, sf_dir, "pages").select(
+        base = table(spark, sf_dir, "pages").select(
             F.col("page_id").alias("key"),
             "url",
             F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
             F.col("html").alias("body"),
         )
     else:
-        base = heavy(spark, sf_dir, "documents").select(
+        base = table(spark, sf_dir, "documents").select(
             F.col("doc_id").alias("key"),
             F.concat(F.lit("https://news.example/"), "doc_id").alias("url"),
-            F.substring("text", 1, 60).alias("title"),
+            _title("text"),
             F.col("text").alias("body"),
         )
     key = F.col("key")
-    rows = base.join(events, F.col("event_id") == key)
-    stamp = _event_time(F.col("ts"))
+    joined = base.join(events, F.col("event_id") == key, "left")
+    rows = joined.withColumn("event_type", F.coalesce("event_type", F.lit("none")))
+    stamp = _event_time(F.coalesce("ts", F.lit(NO_EVENT).cast("timestamp_ntz")))
     return rows.select(
         key,
         stamp.alias("ingest_ts"),
@@ -133,22 +138,26 @@ def faulty_messages(spark: SparkSession, sf_dir: str, source: str = "pages") ->
 
 def service_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a log line."""
-    events = heavy(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
 
     def text(*parts) -> Column:
         return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
     kind, number, user = F.col("event_type"), F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    odd = F.col("event_id") % 2 == 1
     message = (
-        F.when(kind == "error", text("bedrock-throttled ticker=T", user, " attempt=", k % 3 + 1, " retrying_in=2s"))
+        F.when(kind == "error", text("bedrock-throttled ticker=T", user, " attempt=", k % 3 + 1, " retrying_in=", k % 3 + 1, "s"))
         .when(kind == "click", text("article-summarized ticker=T", user, " words=", k, " attempt=1"))
+        # One line per failed attempt, then one for the article.
+        .when((kind == "view") & odd, text("article-summarization-failed ticker=T", user, " error_code=Code", k % 3, " attempt=", k % 3 + 1))
         .when(kind == "view", text("summarization-failed news_id=", number, " using-body-fallback"))
+        .when((kind == "signup") & odd, text("ws-error reason=closed", k % 2, " reconnecting_in=", k % 5 + 1, ".5s"))
         .when(kind == "signup", text("multi-ticker-article news_id=", number, " tickers=", k % 4 + 2))
         .otherwise(text("writing record news_id=", number, " ticker=T", user))
     )
-    level = F.when(kind == "error", "WARNING").when(kind == "view", "ERROR").otherwise("DEBUG")
-    logger = F.when(kind.isin("error", "click"), "app.summarizer").otherwise("app.client")
+    level = F.when(kind == "error", "WARNING").when((kind == "view") | (kind == "signup") & odd, "ERROR").otherwise("DEBUG")
+    logger = F.when(kind.isin("error", "click") | (kind == "view") & odd, "app.summarizer").otherwise("app.client")
     return events.select(
         level.alias("level"),
         logger.alias("logger"),
@@ -160,7 +169,7 @@ def service_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as an archive line in one of eight shapes by ``event_id % 8``."""
-    events = heavy(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     key = F.col("event_id")
     stamp = _event_time(F.col("ts"))
     iso = F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -184,14 +193,14 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legacy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a legacy archive line of its source's file; some unusable by ``doc_id % 10``."""
-    docs = heavy(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     key = F.col("doc_id")
     good = F.to_json(
         F.struct(
             key.alias("news_id"),
             F.lit("2024-01-01T00:00:00Z").alias("timestamp"),
             F.when(key % 10 != 1, F.concat(F.lit("T"), (key % 20).cast("string"))).alias("ticker"),
-            F.substring("text", 1, 60).alias("title"),
+            _title("text"),
             F.col("text").alias("body"),
         )
     )

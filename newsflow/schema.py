@@ -54,3 +54,6 @@ SERVICE_LOG = T.StructType(
 DECODE_FAILED = "decode-failed"
 VALIDATION_FAILED = "validation-failed"
 NO_SECURITIES = "no-securities"
+TOO_LARGE = "too-large"
+# Why a legacy row was not migrated, besides the first of these and missing fields.
+WRONG_TYPE = "wrong-type"

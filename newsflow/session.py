@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 #   timeZone            window labels and ISO text are UTC, whatever the host says
 #   allowDuplicateKeys  a repeated JSON key keeps its last value instead of failing the parse
 #   overwrite mode      a replayed micro-batch replaces only its own partitions
+#   arrow batches       bound what a Python task holds of long bodies (Spark also bounds a batch's bytes)
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 # Settings that only matter for speed; a cluster's own choice wins where it is already set.
@@ -22,7 +27,6 @@ TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -57,22 +61,31 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+_run: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Keep what ``materialize`` stores meanwhile in one folder, and remove it at the end.
+
+    For jobs that write their results inside: a DataFrame that reads the stored tables later would miss them.
+    """
+    folder = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return a scan of it.
 
     Unlike a cache it survives lost executors, and later passes read only the columns they need.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_run.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Even out a scan that has fewer splits than the cluster has cores, as with a few unsplittable files.
-
-    A scan with enough splits, the normal case, is returned as it is: no shuffle. Use it on plain
-    scans only, because it asks Spark for the number of partitions.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

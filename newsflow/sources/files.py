@@ -9,7 +9,8 @@ from .. import schema
 from ..functions import json_values as jv
 from ..functions.text import is_blank, strip
 
-ARCHIVE_GLOB = "*.ndjson"
+# The archives, and what this package writes.
+ARCHIVE_GLOB = "*.{ndjson,txt}"
 
 
 def read_messages(spark: SparkSession, uri: str) -> DataFrame:
@@ -47,7 +48,7 @@ def list_archive(spark: SparkSession, uri: str, glob: str = ARCHIVE_GLOB) -> Dat
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(uri)
     )
-    return files.select("path").orderBy("path")
+    return files.select(F.col("_metadata.file_path").alias("path")).orderBy("path")
 
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:

@@ -28,17 +28,20 @@ def start(
     *,
     available_now: bool = False,
     interval: str = "30 seconds",
+    max_object_bytes: int | None = None,
     **options,
 ) -> StreamingQuery:
     """Start the job on a stream with a ``raw`` column; stop it with ``query.stop()``.
 
-    ``available_now`` handles what is there and ends. Every batch writes files of its own without size
-    rotation, so the write needs no shuffle.
+    ``available_now`` handles what is there and ends. Every batch writes files of its own. By default the write needs
+    no shuffle; ``max_object_bytes`` rotates the files of each batch by size, as the batch job does.
     """
     timed = messages.withColumn("ingest_ts", F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run_batch(batch, output, rejects, factory, policy, batch_id=batch_id, **options)
+        run_batch(
+            batch, output, rejects, factory, policy, batch_id=batch_id, max_object_bytes=max_object_bytes, **options
+        )
 
     writer = timed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

@@ -1,4 +1,5 @@
 import os
+import time
 import uuid
 
 import pytest
@@ -88,7 +89,7 @@ def test_one_call_per_article(spark, tmp_path):
     assert service.calls() == 2
     content = {r.news_id: r.content for r in rows}
     assert len(rows) == 6 and content[1].startswith("summary of")
-    assert content[4].startswith("Tesla beats") and content[5].startswith("Tesla Announces")
+    assert content[4].startswith("More flour") and content[5].startswith("Lighthouse Bakery")
 
 
 def test_blank_body_outcome(spark, tmp_path):
@@ -96,7 +97,7 @@ def test_blank_body_outcome(spark, tmp_path):
     articles = cleaned(spark, message({"id": 1}, body=""), message({"id": 2}, body="", teaser=""))
     rows = by_id(enrich.summarize_articles(articles, service))
     assert [(r.summary, r.attempts, r.model_used) for r in rows] == [
-        ("Tesla beats Q4 estimates with strong deliveries", 0, None),
+        ("More flour from the coast", 0, None),
         (None, 0, None),
     ]
     assert service.calls() == 0
@@ -140,3 +141,70 @@ def test_leading_sentences():
     assert lead("One two. Three four! Five six", 5) == "One two. Three four!"
     assert lead("One two three four", 2) == "One two"
     assert lead(" One\n two ", 5) == "One two"
+
+
+def test_calls_of_a_task_wait_together(spark, tmp_path):
+    class Slow(Recorder):
+        def __call__(self):
+            inner = super().__call__()
+
+            def invoke(request):
+                time.sleep(0.3)
+                return inner(request)
+
+            return invoke
+
+    articles = cleaned(spark, *[message({"id": k}) for k in range(16)])
+    started = time.perf_counter()
+    done = by_id(enrich.summarize_articles(articles, Slow(tmp_path), calls_per_task=16))
+    assert [r.id for r in done] == list(range(16)) and all(r.attempts == 1 for r in done)
+    assert time.perf_counter() - started < 16 * 0.3
+
+
+def test_only_named_columns_are_shuffled(spark, tmp_path):
+    articles = cleaned(spark, message())
+    stored = spark.createDataFrame([(1, "h", "s")], "news_id bigint, prompt_hash string, summary string").hint("merge")
+    done = enrich.summarize_articles(articles, Recorder(tmp_path), stored=stored, columns=("id", "title"))
+    lines = done._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = lines[next(i for i, line in enumerate(lines) if "Exchange" in line) + 1]
+    assert "title" in below and "body" not in below and "teaser_clean#" not in below.split("[")[1].split(",")[0]
+    assert done.columns[:2] == ["id", "title"]
+
+
+def test_moved_retry_outcomes(spark):
+    """A service whose answers depend on its text: every way a call can end, through Spark."""
+    policy = CallPolicy(sleep=lambda seconds: None)
+    articles = cleaned(spark, *[message({"id": k}) for k in range(14)])
+    text = F.concat((F.col("id") % 7).cast("string"), F.lit("|"), F.col("id").cast("string"))
+    done = by_id(enrich.summarize_articles(articles, Unsteady(), policy, text=text))
+    wanted = {
+        0: ("primary 360", 1, None, "primary"), 1: ("primary 360", 3, None, "primary"), 2: (None, 3, "ThrottlingException", None),
+        3: (None, 1, "AccessDeniedException", None), 4: ("fallback 360", 1, None, "fallback"), 5: ("primary 360", 2, None, "primary"),
+        6: (None, 3, "ValueError", None),
+    }
+    # Without a summary there is none here either: the fallback is chosen later.
+    assert [(r.summary, r.attempts, r.error_code, r.model_used) for r in done] == [wanted[r.id % 7] for r in done]
+
+
+class Unsteady:
+    """Service that fails in ways the first digit of its text chooses."""
+
+    def __call__(self):
+        seen = {}
+
+        def invoke(request):
+            case = request.text[0]
+            seen[request.text] = tries = seen.get(request.text, 0) + 1
+            if case == "1" and tries < 3 or case == "2":
+                raise ServiceError("ThrottlingException")
+            if case == "3":
+                raise ServiceError("AccessDeniedException")
+            if case == "4" and request.model == "primary":
+                raise NO_ON_DEMAND
+            if case == "5" and tries < 2:
+                return " "
+            if case == "6":
+                raise ValueError("unexpected")
+            return f" {request.model} {request.max_tokens} "
+
+        return invoke

@@ -15,9 +15,9 @@ def parsed(spark, *raws):
 def test_single_message(spark):
     (row,) = parsed(spark, message())
     assert row.reason is None
-    assert (row.id, row.content_id, row.tickers) == (123456, 99, ["TSLA"])
-    assert row.timestamp == datetime(2025, 10, 2, 18)
-    assert row.authors == ["John Doe", "Jane Smith"] and row.channels == ["News", "Earnings"]
+    assert (row.id, row.content_id, row.tickers) == (4711, 99, ["LHBK"])
+    assert row.timestamp == datetime(2031, 5, 6, 7, 8, 9)
+    assert row.authors == ["Ida Quill", "Tom Reed"] and row.channels == ["Food", "Regional"]
 
 
 SYMBOLS = [
@@ -103,7 +103,7 @@ def test_coerced_values(spark):
         message(title="\U0001f600 é"),
     )
     assert [r.reason for r in rows] == [None] * 6
-    assert [r.id for r in rows] == [123, 1, 1, 1000, 2, 123456]
+    assert [r.id for r in rows] == [123, 1, 1, 1000, 2, 4711]
     assert rows[0].authors == ["Bob"] and rows[0].channels == [] and rows[1].authors == []
     assert rows[5].title == "\U0001f600 é"
 
@@ -163,3 +163,8 @@ def test_timestamps(spark):
             assert (row.us, row.reason) == (None, VALIDATION_FAILED), value
         else:
             assert row.reason is None and row.us == pytest.approx(expected * 1e6, abs=0.5), value
+
+
+def test_message_beyond_the_parser_has_its_own_reason(spark):
+    rows = ingest.parse_messages(frame(spark, message(body="x" * 20_500_000), message(body="x" * 1000))).select("reason").collect()
+    assert [r.reason for r in rows] == ["too-large", None]

@@ -49,7 +49,7 @@ def test_rollups(spark, tmp_path):
         ("article-summarized", 1), ("html-summarized", 1), ("summarized", 1),
         ("article-summarization-failed", 1), ("summarization-failed", 1),
     }
-    assert monitor.success_rate(f).first()[:] == (3, 5, 0.6)
+    assert monitor.success_rate(f).first()[:] == (3, 4, 0.75)
     assert monitor.retries(f).first()[:] == ("AAPL", 2, 1.5)
     assert monitor.multi_ticker_log(f).first()[:] == (1, 2.0, 2)
     found = {(r.logger, r.event): (r.total, r.errors, r.throttled, r.reconnects) for r in monitor.errors(f).collect()}
@@ -94,3 +94,17 @@ def test_streaming_rollups_with_a_watermark(spark, tmp_path):
     assert [r.records for r in spark.table("rate").collect()] == [2, 2]
     batch = lag_windows(typed, "e", "i")
     assert batch.count() == 3
+
+
+def test_unpriced_and_missing_models_stay(spark):
+    usage = spark.createDataFrame([("small", 10, 1), ("other", 5, 1), (None, 4, 0)], "model string, tokens_in bigint, tokens_out bigint")
+    found = {r.model: (r.calls, r.tokens_in, r.cost_usd is None) for r in monitor.cost(usage, monitor.token_prices(spark)).collect()}
+    assert found == {"small": (1, 10, False), "other": (1, 5, True), None: (1, 4, True)}
+
+
+def test_stream_percentiles_close_to_exact(spark):
+    rows = spark.range(1000).selectExpr("timestamp_seconds(id) AS e", "timestamp_seconds(id + id % 97) AS i")
+    sketch = {r.window: r for r in monitor.lag_windows(rows, "e", "i", "5 minutes").collect()}
+    for r in monitor.lag_windows_exact(rows, "e", "i", "5 minutes").collect():
+        assert (sketch[r.window].n, sketch[r.window].max_lag_ms) == (r.n, r.max_lag_ms)
+        assert abs(sketch[r.window].p50_lag_ms - r.p50_lag_ms) <= 1000 and abs(sketch[r.window].avg_lag_ms - r.avg_lag_ms) < 1e-6

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from newsflow.plans.oracle import ORACLE
+from newsflow.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -24,14 +26,15 @@ def comparable(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= contract.queries().keys() and ORACLE.keys() <= contract.oracle_sql().keys()
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, database, name):
     df = contract.queries()[name](spark, SF_DIR)
     relation = database.sql(contract.oracle_sql()[name])

@@ -18,15 +18,15 @@ def test_single(spark):
     rows = output(spark, message()).collect()
     assert len(rows) == 1
     row = rows[0]
-    assert (row.ticker, row.news_id, row.timestamp, row.action) == ("TSLA", 123456, 1759428000000, "Created")
-    assert "exceeded" in row.content and "<" not in row.content
+    assert (row.ticker, row.news_id, row.timestamp, row.action) == ("LHBK", 4711, 1935817689000, "Created")
+    assert "doubled" in row.content and "<" not in row.content
 
 
 def test_two_tickers_share_everything_else(spark):
-    raw = message({"id": 789012}, securities=[{"symbol": "AAPL"}, {"symbol": "MSFT"}])
+    raw = message({"id": 12}, securities=[{"symbol": "AAPL"}, {"symbol": "MSFT"}])
     rows = output(spark, raw).orderBy("pos").collect()
     assert [r.ticker for r in rows] == ["AAPL", "MSFT"]
-    assert {r.news_id for r in rows} == {789012} and len({r.content for r in rows}) == 1
+    assert {r.news_id for r in rows} == {12} and len({r.content for r in rows}) == 1
 
 
 def test_repeated_ticker_gives_repeated_rows(spark):
@@ -50,7 +50,7 @@ def test_defaults(spark):
         .orderBy("news_id")
         .collect()
     )
-    assert rows[0].content == "Tesla beats Q4 estimates with strong deliveries"
+    assert rows[0].content == "More flour from the coast"
     assert rows[1].authors == [] and rows[1].channels == []
     assert [r.action for r in rows[2:]] == ["Created", "Created", "Updated"]
     assert rows[3].content == "No content available" and rows[4].content == rows[4].title
@@ -62,7 +62,7 @@ def test_ndjson_has_every_key_in_order(spark):
     value = json.loads(row.line)
     assert list(value) == RECORD.names
     assert type(value["timestamp"]) is int and value["updated_at"] is None and value["url"] is None
-    assert value["created_at"] == "2025-10-02T17:55:00Z" and value["title"] == 'q"é\n'
+    assert value["created_at"] == "2031-05-06T06:55:00Z" and value["title"] == 'q"é\n'
     assert row.bytes == len((row.line + "\n").encode()) and "\n" not in row.line
 
 
@@ -76,4 +76,4 @@ def test_choose_content_prefers_the_summary(spark):
     cleaned = records.clean_articles(articles)
     summary = F.when(F.col("id") == 1, F.lit("short")).otherwise(F.lit(""))
     rows = records.choose_content(cleaned, summary).orderBy("id").collect()
-    assert rows[0].content == "short" and rows[1].content.startswith("Tesla Motors")
+    assert rows[0].content == "short" and rows[1].content.startswith("Bakers said")

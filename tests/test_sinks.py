@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from newsflow.operators import ingest, records, sinks, windows
 from newsflow.plans.pipeline import articles_to_records, run_batch
+from newsflow.session import run_folder, shared_dir
 
 from .messages import frame, message
 from .test_enrich import Recorder
@@ -32,7 +33,7 @@ def test_layout_and_read_back(spark, tmp_path):
     assert back.count() == 3 and back.where("hour = '18'").count() == 3
     same = [c for c in rows.columns if c not in ("ingest_ts", "pos")]
     assert back.select(same).exceptAll(rows.select(same)).isEmpty()
-    assert back.first().created_at == datetime(2025, 10, 2, 17, 55)
+    assert back.first().created_at == datetime(2031, 5, 6, 6, 55)
     lines = [line for p in files(out) for line in p.read_text().splitlines()]
     assert [json.loads(line)["news_id"] for line in lines] == [0, 1, 2]
 
@@ -57,6 +58,21 @@ def test_file_seq_does_not_depend_on_slices(spark):
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
 
 
+def test_named_runs_rotate_and_replace(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        sinks.write_windowed(record_rows(spark, 40), out, max_object_bytes=1000, batch_id="run")
+    assert len(files(out)) > 10 and sinks.read_records(spark, out).count() == 40
+    assert all(p.parent.name.startswith("seq=batch-run-") for p in files(out))
+
+
+def test_rotation_stores_narrow_rows(spark, tmp_path):
+    with run_folder(spark) as folder:
+        sinks.write_windowed(record_rows(spark, 4), str(tmp_path / "out"))
+        stored = spark.read.parquet(f"{folder}/running-total-*").columns
+    assert not {"content", "title", "authors"} & set(stored) and "line" in stored
+
+
 def test_half_open_windows(spark, tmp_path):
     out = str(tmp_path / "out")
     sinks.write_windowed(record_rows(spark, 1, "2025-10-02 18:29:59.9"), out, max_object_bytes=None)
@@ -73,13 +89,15 @@ def test_batch_job_calls_once_and_can_be_replayed(spark, tmp_path):
     run_batch(batch, out, rejects, service, batch_id=7)
     assert service.calls() == 2
     run_batch(batch, out, rejects, service, batch_id=7)
-    run_batch(batch, out, rejects, service, batch_id=8)
+    run_batch(batch, out, rejects, service, batch_id="eight", max_object_bytes=None)
     # Rotation range-partitions the rows; that must not call the service a second time.
     run_batch(batch, out, rejects, service)
     assert service.calls() == 8
     found = sinks.read_records(spark, out).groupBy("seq").count().collect()
-    assert {(r.seq, r["count"]) for r in found} == {("batch-7", 3), ("batch-8", 3), ("000000", 3)}
+    assert {(r.seq, r["count"]) for r in found} == {("batch-7-000000", 3), ("batch-eight-000000", 3), ("000000", 3)}
+    # Stored intermediate tables are gone.
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("run-*"))
     kept = spark.read.parquet(rejects).groupBy("reason", "batch").count().collect()
     assert {(r.reason, r.batch, r["count"]) for r in kept} == {
-        (reason, b, 1) for reason in ("decode-failed", "no-securities") for b in ("7", "8", "none")
+        (reason, b, 1) for reason in ("decode-failed", "no-securities") for b in ("7", "eight", "none")
     }

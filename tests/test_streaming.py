@@ -48,6 +48,16 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     assert live_kept.count() == 3 and live_kept.exceptAll(batch_kept).isEmpty()
 
 
+def test_stream_rotates_by_size(spark, tmp_path):
+    landing = tmp_path / "landing"
+    out = str(tmp_path / "out")
+    land(landing, "1.json", [message({"id": i}) for i in range(20)])
+    query = start(stream_messages(spark, str(landing)), out, str(tmp_path / "no"), str(tmp_path / "state"), available_now=True, max_object_bytes=1000)
+    query.awaitTermination()
+    found = sinks.read_records(spark, out)
+    assert found.count() == 20 and found.select("seq").distinct().count() > 3
+
+
 def test_replayed_batch_replaces_its_output(spark, tmp_path):
     landing = tmp_path / "landing"
     out, rejects, state = str(tmp_path / "out"), str(tmp_path / "rejects"), tmp_path / "state"

@@ -36,12 +36,13 @@ def test_hot_group_spans_many_slices(spark):
 
 def test_percentiles(spark):
     rng = random.Random(5)
-    values = {"a": [rng.choice([1.5, 2.0, rng.random() * 9]) for _ in range(501)], "b": [4.0], "c": [1.0, 2.0]}
+    values = {None: [7.0, 1.0, 1.0], "a": [rng.choice([1.5, 2.0, rng.random() * 9]) for _ in range(501)], "b": [4.0], "c": [1.0, 2.0]}
     rows = [(g, v) for g, vs in values.items() for v in vs] + [("a", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    found = exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p99": 0.99, "top": 1.0}, slices=3)
+    found = exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p99": 0.99, "top": 1.0}, slices=3, mean="mean", maximum="most")
     rows = {r.g: r for r in found.collect()}
     for group, members in values.items():
         r = rows[group]
         assert r.n == len(members) and np.isclose(r.p50, statistics.median(members))
-        assert np.isclose(r.p99, np.percentile(members, 99)) and r.top == max(members)
+        assert np.isclose(r.p99, np.percentile(members, 99)) and r.top == r.most == max(members)
+        assert np.isclose(r["mean"], np.mean(members))
