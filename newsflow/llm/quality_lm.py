@@ -33,7 +33,8 @@ from newsflow.llm.tables import broadcast_up_to, materialize, text_bytes
 from newsflow.llm.words import SPACED, U, chunks, mix
 
 ORDER = 5
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 16 << 20
+LEAST_GROUPS = 24
 HELD_OUT = 10
 QUANTILE = 0.99
 TAIL = 0.02
@@ -343,14 +344,14 @@ def score(docs: DataFrame, trusted: DataFrame, shards: int | None = None) -> Dat
 
     ``trusted``: (doc_id, held_out) of trusted documents. The model is trained while this is called.
     """
-    groups = max(4, -(-text_bytes(docs) // GROUP_BYTES))
+    groups = max(LEAST_GROUPS, -(-text_bytes(docs) // GROUP_BYTES))
     shards = shards or min(4096, max(12, 2 * groups))
     known = broadcast_up_to(materialize(trusted, "trusted"), BROADCAST_ROWS)
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     model, stored = train(texts.join(known.filter("NOT held_out"), "doc_id", "left_semi"), shards)
     grp = F.pmod(F.xxhash64("doc_id", "version"), F.lit(groups)).cast("int")
     held_out = known.filter("held_out").select("doc_id", F.lit(True).alias("trusted"))
-    dealt = texts.withColumn("grp", grp).join(held_out, "doc_id", "left").select("grp", "doc_id", "version", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text").repartition(groups, "grp")
+    dealt = texts.withColumn("grp", grp).join(held_out, "doc_id", "left").select("grp", "doc_id", "version", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text").repartition(2 * groups, "grp")
     by_group = dealt.groupBy("grp")
     asked = by_group.applyInArrow(_asker(shards), _ASK)
     answers = asked.groupBy("shard").cogroup(stored.groupBy("shard")).applyInArrow(_answerer(model), _ANSWER)
