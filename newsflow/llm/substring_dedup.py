@@ -33,6 +33,7 @@ from newsflow.llm.words import SPACED, U, Words, chunks, covered, mix
 
 PERIOD, COVER = 7, (1, 2, 4)  # every residue modulo 7 is a difference of two cover members
 GROUP_BYTES = 8 << 20
+LEAST_GROUPS = 24
 BUCKET_BYTES = 16 << 20
 
 _ASK = "bucket int, grp int, kind int, keys binary, low binary, high binary"
@@ -247,11 +248,11 @@ def _remove(width: int, buckets: int):
 def remove_repeated_passages(docs: DataFrame, width: int = 13) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and the kept words joined by one space as ``text``."""
     size = text_bytes(docs)
-    groups = max(8, -(-size // GROUP_BYTES))
+    groups = max(LEAST_GROUPS, -(-size // GROUP_BYTES))
     buckets = max(8, -(-3 * size // BUCKET_BYTES))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     grp = F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int")
-    dealt = texts.filter("doc_id IS NOT NULL").select(grp.alias("grp"), "doc_id", "text").repartition(groups, "grp")
+    dealt = texts.filter("doc_id IS NOT NULL").select(grp.alias("grp"), "doc_id", "text").repartition(2 * groups, "grp")
     by_group = dealt.groupBy("grp")
 
     anchors = by_group.applyInArrow(_ask_anchors(width, buckets), _ASK)
