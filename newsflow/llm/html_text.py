@@ -41,12 +41,13 @@ ARTICLE = {"article", "main"}
 CLOSES_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 # Words in class and id attributes that tell what an element is.
-APART_WORDS = set(
-    "ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored sidebar cookie cookies consent gdpr notice "
-    "newsletter subscribe subscription signup login comment comments reply replies respond disqus related recommended share sharing social menu nav navbar "
-    "navigation breadcrumb breadcrumbs footer popup modal overlay widget toolbar pagination pager search searchbox skip masthead topbar copyright".split()
+ALWAYS_APART_WORDS = set(
+    "ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored cookie cookies consent gdpr "
+    "newsletter subscribe subscription signup login comment comments reply replies respond disqus share sharing social breadcrumb breadcrumbs "
+    "popup modal overlay pagination pager".split()
 )
-REMARKS = {"comment", "comments", "reply", "replies", "respond", "disqus"}
+# These may also describe what is around or beside: not on an element that names the article as well.
+APART_WORDS = set("sidebar notice related recommended menu nav navbar navigation footer widget toolbar search searchbox skip masthead topbar copyright".split())
 ARTICLE_WORDS = {"article", "main", "content", "post", "entry", "story", "body", "text"}
 
 # Kinds of tokens that no labelled page shows, and limits of what is learned. On a page with an article element, tokens in
@@ -94,7 +95,7 @@ def _is_apart(token: Token, in_article: bool) -> bool:
         return False
     found = {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTRIBUTE.findall(token.attributes)}
     words = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}"))
-    if words & REMARKS:
+    if words & ALWAYS_APART_WORDS:
         return True
     if name in ARTICLE or words & ARTICLE_WORDS:
         return False

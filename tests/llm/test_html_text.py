@@ -20,6 +20,7 @@ WORDS = "word " * 60
         ('<div class="cookie-notice">n</div><header>site</header><main><p>a</p><aside>s</aside></main>', "a"),
         ('<article class="comment"><p>c</p></article><article><p>a b</p></article>', "a b"),
         ('<p class="ad">bad<p>good words', "good words"),
+        ('<div class="content with-sidebar"><p>a b</p><div class="sponsored-content">s</div><p>c d</p></div>', "a b c d"),
         ("<article><p>a</p><!-- hidden <p>x</p> --><p>b</p></article>", "a b"),
         ("<article><p>a &#x41; &unknown; &copy 1</p>", "a A &unknown; © 1"),
         ('<article><p title="x > y">a</p><p>b <', "a b <"),
