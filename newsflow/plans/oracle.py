@@ -210,7 +210,10 @@ ORACLE: dict[str, str] = {
     "validate_split": f"WITH {_articles('documents')} SELECT key, {_OUTCOME} AS outcome FROM article",
     "quarantine_counts": f"""WITH {_articles("documents")} SELECT {_OUTCOME} AS reason, count(*) AS messages FROM article
         WHERE {_OUTCOME} <> 'accepted' GROUP BY 1""",
-    "typed_messages": f"""WITH {_articles("documents")} SELECT key, CASE WHEN key%16=5 THEN 12 ELSE key END AS id,
+    "typed_messages": f"""WITH {_articles("documents")} SELECT key, 'websocket/v1' AS api_version, 'News/v1' AS kind,
+        CASE WHEN key%16<>5 THEN CASE key%4 WHEN 0 THEN 'Created' WHEN 1 THEN 'Updated' WHEN 2 THEN '' END END AS action,
+        'story' AS type, body, CASE WHEN key%16=4 THEN 'u' ELSE url END AS url, array_to_string(authors,'|') AS authors,
+        array_to_string(channels,'|') AS channels, CAST(n_securities AS BIGINT) AS n_securities, CASE WHEN key%16=5 THEN 12 ELSE key END AS id,
         CASE WHEN key%16=5 THEN 1759428000000000 ELSE epoch_us(ts) END AS timestamp_us, key AS content_id,
         CAST(1 AS BIGINT) AS revision_id, title, teaser, created_at AS created_ms, updated_at AS updated_ms
         FROM article WHERE {_OUTCOME} = 'accepted'""",

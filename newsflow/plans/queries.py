@@ -81,12 +81,21 @@ def typed_messages(spark, sf_dir):
     parsed = ingest.accepted(ingest.parse_messages(sample.faulty_messages(spark, sf_dir, "documents")))
     return parsed.select(
         "key",
+        "api_version",
+        "kind",
         "id",
         F.unix_micros("timestamp").alias("timestamp_us"),
+        "action",
         "content_id",
         "revision_id",
+        "type",
         "title",
+        "body",
         "teaser",
+        "url",
+        _joined("authors"),
+        _joined("channels"),
+        _size("securities").alias("n_securities"),
         F.unix_millis("created_at").alias("created_ms"),
         F.unix_millis("updated_at").alias("updated_ms"),
     )
