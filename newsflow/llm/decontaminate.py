@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.llm.tables import broadcast_up_to, materialize
-from newsflow.llm.words import ALNUM, U, Words, chunks, covered, mix
+from newsflow.llm.words import ALNUM, U, Words, chunks, mix
 
 K = 6
 BROADCAST_ROWS = 1_000_000

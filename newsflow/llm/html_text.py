@@ -211,11 +211,17 @@ def learn_weights(labelled: DataFrame) -> dict[str, float]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(k, inside, n) for page, text in zip(*(batch[c].to_pylist() for c in ("html", "text")), strict=True) for (k, inside), n in count_tokens(page or "", text or "").items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.int64())], names=["kind", "inside", "n"])
-
-    counts = labelled.select("html", "text").mapInArrow(run, "kind string, inside boolean, n long").groupBy("kind").agg(
-        F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("inner"), F.sum(F.when(~F.col("inside"), F.col("n")).otherwise(0)).alias("outer"), F.count("*").alias("pages")
+            pages = zip(*(batch[c].to_pylist() for c in ("html", "text")), strict=True)
+            found = [count_tokens(page or "", text or "") for page, text in pages]
+            rows = [(kind, inside, n) for page in found for (kind, inside), n in page.items()]
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "inside", "n"])
+
+    counted = labelled.select("html", "text").mapInArrow(run, "kind string, inside boolean, n long")
+    counts = counted.groupBy("kind").agg(
+        F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("inner"),
+        F.sum(F.when(~F.col("inside"), F.col("n")).otherwise(0)).alias("outer"),
+        F.count("*").alias("pages"),
     )
     rows = counts.filter("pages >= 2").orderBy(F.desc("pages"), "kind").limit(1000).collect()
     weights = {}
@@ -240,7 +246,9 @@ def extract_text(pages: DataFrame, labelled: DataFrame | None = None) -> DataFra
         for batch in batches:
             found = [extract(page, weights) for page in batch["html"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["page_id"], batch["url"], pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], names=["page_id", "url", "text", "n_chars"]
+                [batch["page_id"], batch["url"], pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())],
+                names=["page_id", "url", "text", "n_chars"],
             )
 
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    wanted = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+    return wanted.mapInArrow(run, "page_id long, url string, text string, n_chars long")

