@@ -5,7 +5,8 @@ order of its own pseudo-random permutation and offers visit number + fraction, s
 to it earliest. The ranks of one element are correlated, which lowers the variance against independent hashes, and a
 text is finished as soon as every slot holds an offer from an earlier visit than the next one.
 
-Documents with equal sets form classes first. Class representatives meet in LSH buckets (bands of signature slots).
+Documents with equal sets form classes first. Class representatives meet in LSH buckets (bands of signature slots,
+as long as the limit allows).
 Each bucket is linked as a star to its smallest member; members that are still in different components are then
 compared inside tasks, block by block, across components only, so a group of copies never becomes rows of all its pairs.
 Every candidate is verified on full sets, rebuilt from the texts. Components of verified links come from star contraction.
@@ -30,7 +31,8 @@ from newsflow.llm.words import SPACED, Words, chunks, mix
 
 U = np.uint64
 SLOTS = 127  # prime, so that (a + j * b) mod SLOTS is a permutation for every step b
-BANDS, ROWS = 25, 5  # a pair of similarity 0.85 shares no band with probability 4e-7
+BANDS, ROWS = 25, 5  # of the limit 0.85, see banding()
+MISSED = 1e-6  # at most, probability that a pair at the limit shares no band
 BROADCAST_ROWS = 500_000
 FAN = 256  # members verified against one pivot in one group
 BLOCK = 512  # members of one bucket that are compared in one group
@@ -71,11 +73,21 @@ def superminhash(text: np.ndarray, hashed: np.ndarray, n_texts: int) -> np.ndarr
     return out.reshape(n_texts, SLOTS)
 
 
-def bands(signatures: np.ndarray) -> np.ndarray:
-    """(n_texts, BANDS) hashes of ROWS slots each."""
-    cells = signatures[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
-    out = np.broadcast_to(np.arange(BANDS, dtype=U), cells.shape[:2])
-    for k in range(ROWS):
+def banding(part: int, whole: int) -> tuple[int, int]:
+    """(bands, rows): the longest bands that a pair at the limit ``part / whole`` misses with probability MISSED at most.
+
+    25 of 5 at 0.85 (4e-7), 31 of 4 at 0.8 (8e-8). Limits below about 0.103 get one row and are missed more often.
+    """
+    fits = [r for r in range(2, SLOTS + 1) if (1 - (part / whole) ** r) ** (SLOTS // r) <= MISSED]
+    rows = max(fits, default=1)
+    return SLOTS // rows, rows
+
+
+def bands(signatures: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """(n_texts, n_bands) hashes of ``rows`` slots each."""
+    cells = signatures[:, : n_bands * rows].reshape(-1, n_bands, rows)
+    out = np.broadcast_to(np.arange(n_bands, dtype=U), cells.shape[:2])
+    for k in range(rows):
         out = mix(out ^ cells[:, :, k])
     return out
 
@@ -83,7 +95,7 @@ def bands(signatures: np.ndarray) -> np.ndarray:
 _SIGNED = "doc_id long, n_shingles long, s1 long, s2 long, sig binary, bands array<long>"
 
 
-def _sign(n: int):
+def _sign(n: int, n_bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in chunks(batch):
@@ -96,7 +108,7 @@ def _sign(n: int):
                     for k in range(2):
                         sums[k, some] = np.add.reduceat(mix(hashed, 11 + k), at)
                 signature = superminhash(text, hashed, len(texts))
-                banded = pa.FixedSizeListArray.from_arrays(pa.array(bands(signature).view(np.int64).ravel()), BANDS)
+                banded = pa.FixedSizeListArray.from_arrays(pa.array(bands(signature, n_bands, rows).view(np.int64).ravel()), n_bands)
                 low = signature.astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -113,9 +125,9 @@ def _sign(n: int):
     return run
 
 
-def sign(docs: DataFrame, n: int = 5) -> DataFrame:
+def sign(docs: DataFrame, n: int = 5, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row: size of the shingle set, its 128-bit fingerprint, low bytes of the signature and band hashes."""
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(_sign(n), _SIGNED)
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(_sign(n, n_bands, rows), _SIGNED)
 
 
 def _close(least: int):
@@ -193,7 +205,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, part: int = 85, whole: int = 10
 
     Two documents are linked if ``whole * |A & B| >= part * |A | B|``. Jobs run while this is called.
     """
-    signed = materialize(sign(docs, n), "signed")
+    signed = materialize(sign(docs, n, *banding(part, whole)), "signed")
     usable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("n_shingles", "s1", "s2").agg(
         F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands")

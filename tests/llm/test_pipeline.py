@@ -1,7 +1,8 @@
 import corpus_pipeline
+from newsflow.llm.near_dedup import banding
 from newsflow.llm.queries import QUERIES
 
-from .helpers import docs
+from .helpers import docs, prose
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -47,3 +48,30 @@ def test_awkward_rows(spark):
 def test_run(spark):
     got = corpus_pipeline.run(spark, FOLDER)
     assert got.columns == ["doc_id", "source", "n_tokens", "rate", "copies"] and got.count() > 50
+
+
+def shingle_set(text):
+    words = text.lower().split()
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+
+def test_near_dedup_stage_equals_brute_force_between_80_and_85(spark):
+    # A copy with its last d of 96 shingles replaced has a similarity of (96 - d) / (96 + d).
+    rows, expected = [], set()
+    for k in range(30):
+        base, d = prose(k, 100), 5 + k % 9
+        copy = [*base[: 100 - d], *(f"new{k}x{i}" for i in range(d))]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+        a, b = (shingle_set(r[1]) for r in rows[-2:])
+        expected |= {2 * k} | ({2 * k + 1} if 100 * len(a & b) < 80 * len(a | b) else set())
+    between = [k for k in range(30) if 80 <= 100 * (96 - (5 + k % 9)) / (96 + 5 + k % 9) < 85]
+    assert len(between) >= 6
+    got = corpus_pipeline.keep_one_of_near_duplicates(spark, docs(spark, rows), FOLDER)
+    assert {r.doc_id for r in got.collect()} == expected
+
+
+def test_bands_follow_the_limit():
+    assert banding(85, 100) == (25, 5) and banding(80, 100) == (31, 4)
+    for part in (20, 50, 70, 80, 90, 95):
+        n, rows = banding(part, 100)
+        assert (1 - (part / 100) ** rows) ** n <= 1e-6 and n * rows <= 127
