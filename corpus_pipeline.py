@@ -47,8 +47,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = near_duplicates(docs, part=NEAR, whole=100)
-    gone = broadcast_up_to(materialize(judged.filter("NOT kept").select(F.col("doc_id").alias("id")).distinct(), "gone"), BROADCAST_ROWS)
-    kept = docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
+    kept = _without(docs, judged.filter("NOT kept").select(F.col("doc_id").alias("id"), "version"))
     again = F.row_number().over(Window.partitionBy("doc_id", _version()).orderBy("text"))
     return kept.withColumn("__again", again).filter("doc_id IS NULL OR __again = 1").select(docs.columns)
 

@@ -13,7 +13,7 @@ Every candidate is verified on full sets, rebuilt from the texts. Components of
 
 Defined cases: a text without words (or null) has an empty set and is linked with nothing; a text of fewer words than a
 shingle is one shingle. A row without doc_id takes no part and has a null component. Rows that repeat a doc_id are
-each judged by their own text. Empty tables give empty results.
+each judged by their own text: of a component the smallest (doc_id, hash of the text) is kept. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.llm.components import components
@@ -92,7 +92,12 @@ def bands(signatures: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.
     return out
 
 
-_SIGNED = "doc_id long, n_shingles long, s1 long, s2 long, sig binary, bands array<long>"
+def version() -> Column:
+    """Hash of a row's text, which tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+_SIGNED = "doc_id long, version long, n_shingles long, s1 long, s2 long, sig binary, bands array<long>"
 
 
 def _sign(n: int, n_bands: int, rows: int):
@@ -112,14 +117,14 @@ def _sign(n: int, n_bands: int, rows: int):
                 low = signature.astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch["doc_id"].slice(part.start, part.stop - part.start),
+                        *(batch[c].slice(part.start, part.stop - part.start) for c in ("doc_id", "version")),
                         pa.array(size.astype(np.int64)),
                         pa.array(sums[0].view(np.int64)),
                         pa.array(sums[1].view(np.int64)),
                         pa.array([row.tobytes() for row in low], pa.binary()),
                         banded.cast(pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "s1", "s2", "sig", "bands"],
+                    names=["doc_id", "version", "n_shingles", "s1", "s2", "sig", "bands"],
                 )
 
     return run
@@ -127,7 +132,7 @@ def _sign(n: int, n_bands: int, rows: int):
 
 def sign(docs: DataFrame, n: int = 5, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row: size of the shingle set, its 128-bit fingerprint, low bytes of the signature and band hashes."""
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(_sign(n, n_bands, rows), _SIGNED)
+    return docs.select("doc_id", version().alias("version"), F.col("text").cast("string")).mapInArrow(_sign(n, n_bands, rows), _SIGNED)
 
 
 def _close(least: int):
@@ -175,17 +180,22 @@ def _verifier(n: int, part: int, whole: int):
     return run
 
 
-def verify(pairs: DataFrame, docs: DataFrame, n: int, part: int, whole: int) -> DataFrame:
+def _texts_of(asked: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """``asked`` with the text of the class ``id``: that of the row which stands for it, not of others with its doc_id."""
+    rows = reps.select(F.col("node").alias("id"), F.col("rep").alias("doc_id"), "version")
+    stored = broadcast_up_to(materialize(asked.join(rows, "id"), "asked"), BROADCAST_ROWS)
+    return docs.select("doc_id", version().alias("version"), "text").join(stored, ["doc_id", "version"])
+
+
+def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     """The (x, y) pairs whose full shingle sets reach ``part / whole``. Texts travel to their pivots x, hot pivots in parts."""
     fans = pairs.groupBy("x").agg(F.ceil(F.count("*") / FAN).cast("int").alias("fans"))
     salt = F.pmod(F.xxhash64("y"), "fans").cast("int").alias("salt")
     every = F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("salt")
     members = pairs.join(fans, "x").select("x", salt, F.lit(1).alias("role"), F.col("y").alias("id"))
     pivots = fans.select("x", every, F.lit(0).alias("role"), F.col("x").alias("id"))
-    asked = broadcast_up_to(materialize(members.union(pivots), "asked"), BROADCAST_ROWS)
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
     return (
-        texts.join(asked, "id")
+        _texts_of(members.union(pivots), reps, docs)
         .select("x", "salt", "role", "id", "text")
         .repartition("x", "salt")
         .sortWithinPartitions("x", "salt", "role", "id")
@@ -195,74 +205,85 @@ def verify(pairs: DataFrame, docs: DataFrame, n: int, part: int, whole: int) ->
 
 def _candidates(pairs: DataFrame, reps: DataFrame, part: int, whole: int) -> DataFrame:
     """Of distinct (x, y) pairs those that set sizes and signatures allow to be links."""
-    of = lambda c: reps.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
+    of = lambda c: reps.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
     sized = pairs.join(of("x"), "x").join(of("y"), "y").filter(whole * F.least("n_x", "n_y") >= part * F.greatest("n_x", "n_y"))
     return sized.select("x", "y", "sig_x", "sig_y").mapInArrow(_close(_least_equal(part, whole)), "x long, y long")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, part: int = 85, whole: int = 100) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept.
+    """Per row of ``docs``: doc_id, version (hash of the text), n_shingles, component_id and kept.
 
-    Two documents are linked if ``whole * |A & B| >= part * |A | B|``. Jobs run while this is called.
+    Two rows are linked if ``whole * |A & B| >= part * |A | B|``. A component keeps its smallest (doc_id, version), and
+    component_id is that doc_id. Jobs run while this is called.
     """
     signed = materialize(sign(docs, n, *banding(part, whole)), "signed")
     usable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("n_shingles", "s1", "s2").agg(
-        F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands")
+        F.min(F.struct("doc_id", "version")).alias("first"), F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands")
     )
-    reps = materialize(classes, "classes")
-    members = reps.select("rep", F.explode("bands").alias("bucket"))
-    stars = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).filter("pivot < last")
+    # A doc_id may stand for several classes, so classes have numbers of their own, which are stored before they are used.
+    numbered = classes.select("*", F.col("first.doc_id").alias("rep"), "first.version", F.monotonically_increasing_id().alias("node")).drop("first")
+    reps = materialize(numbered, "classes")
+    members = reps.select("node", F.explode("bands").alias("bucket"))
+    stars = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot < last")
     met = materialize(members.join(stars.select("bucket", "pivot"), "bucket"), "met")
-    star = met.filter("pivot < rep").select(F.col("pivot").alias("x"), F.col("rep").alias("y")).distinct()
-    links = materialize(verify(materialize(_candidates(star, reps, part, whole), "pairs"), docs, n, part, whole), "verified")
+    star = met.filter("pivot < node").select(F.col("pivot").alias("x"), F.col("node").alias("y")).distinct()
+    links = materialize(verify(materialize(_candidates(star, reps, part, whole), "pairs"), reps, docs, n, part, whole), "verified")
     joined = components(links)
 
-    component = F.coalesce("component", "rep").alias("component")
-    labelled = met.join(joined, met["rep"] == joined["id"], "left").select("bucket", "pivot", "rep", component)
-    more = materialize(_cross_links(materialize(labelled, "labelled"), docs, n, part, whole), "verified")
-    final = components(links.union(more)).select(F.col("id").alias("rep"), "component")
-
-    of_rep = reps.select("n_shingles", "s1", "s2", "rep").join(final, "rep", "left")
-    of_class = of_rep.select("n_shingles", "s1", "s2", F.coalesce("component", "rep").alias("class"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
+    component = F.coalesce("component", "node").alias("component")
+    labelled = met.join(joined, met["node"] == joined["id"], "left").select("bucket", "pivot", "node", component)
+    more = materialize(_cross_links(materialize(labelled, "labelled"), reps, docs, n, part, whole), "verified")
+    final = components(links.union(more)).select(F.col("id").alias("node"), "component")
+
+    # Only components of several classes are looked up; the class that names one is not in ``final`` itself.
+    several = final.union(final.select(F.col("component").alias("node"), "component").distinct())
+    first = several.join(reps.select("node", "rep", "version"), "node").groupBy("component").agg(F.min(F.struct("rep", "version")).alias("first"))
+    firsts = broadcast_up_to(materialize(first, "firsts"), BROADCAST_ROWS)
+    of_node = materialize(several.join(firsts, "component").select("node", "first"), "first-of-class")
+    of_rep = reps.select("n_shingles", "s1", "s2", "node", F.struct("rep", "version").alias("own")).join(of_node, "node", "left")
+    of_class = of_rep.select("n_shingles", "s1", "s2", F.coalesce("first", "own").alias("first"))
+    taking_part = F.col("doc_id").isNotNull()
     return (
-        signed.select("doc_id", "n_shingles", "s1", "s2")
+        signed.select("doc_id", "version", "n_shingles", "s1", "s2")
         .join(of_class, ["n_shingles", "s1", "s2"], "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .select(
+            "doc_id",
+            "version",
+            "n_shingles",
+            F.when(taking_part, F.coalesce("first.rep", "doc_id")).alias("component_id"),
+            (~taking_part | F.col("first").isNull() | ((F.col("doc_id") == F.col("first.rep")) & (F.col("version") == F.col("first.version")))).alias("kept"),
+        )
+        .withColumn("kept", F.coalesce("kept", F.lit(True)))
     )
 
 
-def _cross_links(labelled: DataFrame, docs: DataFrame, n: int, part: int, whole: int) -> DataFrame:
+def _cross_links(labelled: DataFrame, reps: DataFrame, docs: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     """Links within a bucket between different components. Pairs with the pivot are judged already.
 
     Buckets with the same members are taken once. A large bucket is split in blocks of members and each pair of blocks
     is one group, compared inside one task, which returns at most one link per member.
     """
-    rows = labelled.filter("rep <> pivot")
+    rows = labelled.filter("node <> pivot")
     open_ = (
         rows.groupBy("bucket")
         .agg(
             F.min("component").alias("c0"),
             F.max("component").alias("c1"),
             F.count("*").alias("n"),
-            F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"),
+            F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same"),
         )
         .filter("c0 < c1")
         .groupBy("same", "n")
         .agg(F.min("bucket").alias("bucket"))
         .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    placed = rows.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    placed = rows.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     cells = F.transform(others, lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
-    met = placed.select("bucket", F.explode(cells).alias("cell"), F.col("rep").alias("id"), "component")
-    asked = materialize(met.select("bucket", "cell.low", "cell.high", "id", "component"), "asked")
-    asked = broadcast_up_to(asked, BROADCAST_ROWS)
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    met = placed.select("bucket", F.explode(cells).alias("cell"), F.col("node").alias("id"), "component")
     return (
-        texts.join(asked, "id")
+        _texts_of(met.select("bucket", "cell.low", "cell.high", "id", "component"), reps, docs)
         .select("bucket", "low", "high", "id", "component", "text")
         .repartition("bucket", "low", "high")
         .sortWithinPartitions("bucket", "low", "high", "id")

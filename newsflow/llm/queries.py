@@ -88,7 +88,8 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    judged = near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

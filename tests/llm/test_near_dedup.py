@@ -97,3 +97,10 @@ def test_chain_and_star_components(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(1, 41)}, **{k: 100 for k in range(101, 160)}}
+
+
+def test_repeated_ids_are_judged_by_their_own_text(spark):
+    a, b = prose(11, 80), prose(12, 80)
+    rows = [(3, " ".join(a)), (5, " ".join([*a, "end"])), (5, " ".join(b)), (9, " ".join([*b, "end"])), (4, " ".join([*a, "stop"])), (4, " ".join([*a, "halt"]))]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs(spark, rows)).collect())
+    assert got == [(3, 3, True), (4, 3, False), (4, 3, False), (5, 3, False), (5, 5, True), (9, 5, False)]

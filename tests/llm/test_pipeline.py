@@ -75,3 +75,10 @@ def test_bands_follow_the_limit():
     for part in (20, 50, 70, 80, 90, 95):
         n, rows = banding(part, 100)
         assert (1 - (part / 100) ** rows) ** n <= 1e-6 and n * rows <= 127
+
+
+def test_near_dedup_stage_keeps_other_texts_of_an_id(spark):
+    one, other = " ".join(prose(1, 60)), " ".join(prose(2, 60))
+    rows = [(3, one), (5, one), (5, other), (7, f"{other} end"), (8, f"{one} end"), (8, one.upper())]
+    got = corpus_pipeline.keep_one_of_near_duplicates(spark, docs(spark, rows), FOLDER)
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(3, one), (5, other)]
