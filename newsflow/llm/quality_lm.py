@@ -11,10 +11,11 @@ input, while no model has to fit into one place.
 
 Each document gets two perplexities: of the whole text, and of the least likely fiftieth of its words (one at least),
 which a few foreign words in a long text raise. A document is rejected if either is beyond a quantile of its language. The
-quantiles are taken over trusted documents that were held out of training (a tenth, by a hash of the id), on a grid of a
-thousandth of a nat.
+quantiles are taken over all trusted documents, on a grid of a thousandth of a nat. Trusted text is dealt to folds by a hash
+of the text, so copies share one, and counted by fold: a trusted document is scored with all trusted text but its own
+fold, every other document with all of it. An n-gram carries its fold, or the model it is asked of, above its five bytes.
 
-Defined cases: a null or empty text has perplexity 1 and is kept. A language (also null) without held-out documents uses
+Defined cases: a null or empty text has perplexity 1 and is kept. A language (also null) without trusted documents uses
 the quantiles over all of them; without any, everything is kept. A row without doc_id is scored and never trusted. Repeated
 labels must all be good for trust; repeated rows get the same decision.
 """
@@ -35,15 +36,13 @@ from newsflow.llm.words import SPACED, U, chunks, mix
 ORDER = 5
 GROUP_BYTES = 16 << 20
 LEAST_GROUPS = 24
-HELD_OUT = 10
+FOLDS = 5
 QUANTILE = 0.99
 TAIL = 0.02
 GRID = 1000
 BROADCAST_ROWS = 500_000
 
 
-
-
 def _mask(n: int) -> np.uint64:
     return U((1 << (8 * n)) - 1)
 
@@ -79,6 +78,16 @@ def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int
     return order, [(s, int(at[s]), int(at[s + 1])) for s in range(shards) if at[s] < at[s + 1]]
 
 
+def _fold_of(keys: np.ndarray) -> np.ndarray:
+    return (keys >> U(8 * ORDER)).astype(np.int64)
+
+
+def _without_fold(keys: np.ndarray, counts: np.ndarray, fold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams and counts of all folds but one (-1: of all)."""
+    on = _fold_of(keys) != fold
+    return _merge([(keys[on] & _mask(ORDER), counts[on])])
+
+
 def _pack(keys: np.ndarray) -> bytes:
     """Sorted keys as differences, which compress well."""
     return np.diff(keys, prepend=U(0)).tobytes()
@@ -116,9 +125,11 @@ def _counter(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            for _, texts in chunks(batch):
+            for part, texts in chunks(batch):
                 found = _Bytes(texts)
-                parts.append(np.unique(found.keys[found.own], return_counts=True))
+                fold = batch["fold"].slice(part.start, len(texts)).to_numpy().astype(U)
+                keys = found.keys | np.append(np.repeat(fold, found.size + ORDER - 1), np.zeros(ORDER - 1, U)) << U(8 * ORDER)
+                parts.append(np.unique(keys[found.own], return_counts=True))
                 if len(parts) >= 16:
                     parts = [_merge(parts)]
                     if len(parts[0][0]) > 4_000_000:
@@ -134,25 +145,36 @@ def _lower(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(keys & _mask(n), return_counts=True)
 
 
-def _totals(table: pa.Table) -> pa.Table:
-    """Merged counts of a shard, and what the whole model needs of it: counts of counts, and numbers of bytes before pairs."""
-    keys, counts = _merge([(_unpack(k), np.frombuffer(c, np.int64)) for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True)])
-    stats, at, of = [], keys, counts
-    for n in range(ORDER, 2, -1):
-        if n < ORDER:
-            at, of = _lower(at, n)
-        stats += [int((of == k).sum()) for k in (1, 2, 3, 4)]
-    pairs, before = _lower(at, 2)
-    return pa.table(
-        {
-            "shard": table["shard"].slice(0, 1),
-            "keys": [_pack(keys)],
-            "counts": [counts.tobytes()],
-            "stats": pa.array([stats], pa.list_(pa.int64())),
-            "pairs": pa.array([pairs.astype(np.int32)], pa.list_(pa.int32())),
-            "before": pa.array([before], pa.list_(pa.int64())),
-        }
-    )
+def _totals(folds: int):
+    """Merged counts of a shard, and what each whole model needs of it: counts of counts, and numbers of bytes before pairs.
+
+    The models are those without a fold, and at last that of all folds.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, counts = _merge([(_unpack(k), np.frombuffer(c, np.int64)) for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True)])
+        stats, pairs, before = [], [], []
+        for fold in [*range(folds), -1]:
+            at, of = _without_fold(keys, counts, fold)
+            for n in range(ORDER, 2, -1):
+                if n < ORDER:
+                    at, of = _lower(at, n)
+                stats += [int((of == k).sum()) for k in (1, 2, 3, 4)]
+            ends, left = _lower(at, 2)
+            pairs.append(ends.astype(np.int64) | (fold % (folds + 1)) << 16)
+            before.append(left)
+        return pa.table(
+            {
+                "shard": table["shard"].slice(0, 1),
+                "keys": [_pack(keys)],
+                "counts": [counts.tobytes()],
+                "stats": pa.array([stats], pa.list_(pa.int64())),
+                "pairs": pa.array([np.concatenate(pairs).astype(np.int32)], pa.list_(pa.int32())),
+                "before": pa.array([np.concatenate(before)], pa.list_(pa.int64())),
+            }
+        )
+
+    return run
 
 
 def _discounts(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
@@ -180,10 +202,23 @@ def _low_orders(pairs: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """What all shards share: discounts of orders 3 to ORDER, and probabilities by pairs of bytes."""
+    """What all shards share: discounts of orders 3 to ORDER, and probabilities by pairs of bytes.
 
-    def __init__(self, discounts: dict[int, np.ndarray], pairs: np.ndarray):
-        self.discounts, self.pairs = discounts, pairs
+    ``less``: the models that lack one fold each.
+    """
+
+    def __init__(self, discounts: dict[int, np.ndarray], pairs: np.ndarray, less: tuple[Model, ...] = ()):
+        self.discounts, self.pairs, self.less = discounts, pairs, less
+
+    def answers(self, asked: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Log-probabilities of sorted n-grams that carry their model, with the counts by fold of their shard."""
+        out, number = np.zeros(len(asked)), _fold_of(asked)
+        for fold, model in enumerate((*self.less, self)):
+            a, b = np.searchsorted(number, (fold, fold + 1))
+            if a < b:
+                known = _without_fold(keys, counts, fold if fold < len(self.less) else -1)
+                out[a:b] = model.log_probabilities(asked[a:b] & _mask(ORDER), *known)
+        return out
 
     def log_probabilities(self, asked: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Of the last byte of each asked n-gram, with the counts of their shard."""
@@ -217,20 +252,29 @@ class Model:
         return out
 
 
-def train(texts: DataFrame, shards: int) -> tuple[Model, DataFrame]:
-    """The shared part of the model, and its shards as (shard, keys, counts), one row each."""
-    counted = texts.select(F.col("text").cast("string")).mapInArrow(_counter(shards), "shard int, keys binary, counts binary")
+def train(texts: DataFrame, shards: int, folds: int = 0) -> tuple[Model, DataFrame]:
+    """The shared part of the model, and its shards as (shard, keys, counts), one row each.
+
+    ``texts`` has a ``fold`` below ``folds`` if there are any.
+    """
+    fold = F.col("fold").cast("int") if folds else F.lit(0).alias("fold")
+    counted = texts.select(F.col("text").cast("string"), fold).mapInArrow(_counter(shards), "shard int, keys binary, counts binary")
     stored = materialize(
-        counted.groupBy("shard").applyInArrow(_totals, "shard int, keys binary, counts binary, stats array<long>, pairs array<int>, before array<long>"), "lm-shards"
+        counted.groupBy("shard").applyInArrow(_totals(folds), "shard int, keys binary, counts binary, stats array<long>, pairs array<int>, before array<long>"), "lm-shards"
     )
-    sums = stored.select(*[F.sum(F.col("stats")[k]) for k in range(4 * (ORDER - 2))]).first()
-    discounts = {n: _discounts(*(x or 0 for x in sums[4 * (ORDER - n) : 4 * (ORDER - n) + 4])) for n in range(3, ORDER + 1)}
-    pairs = np.zeros((256, 256), np.int64)
-    # at most 65,536 rows: all pairs of bytes
+    each_model = 4 * (ORDER - 2)
+    sums = stored.select(*[F.sum(F.col("stats")[k]) for k in range(each_model * (folds + 1))]).first()
+    pairs = np.zeros((folds + 1, 256, 256), np.int64)
+    # at most 65,536 rows per model: all pairs of bytes
     each = stored.select(F.explode(F.arrays_zip("pairs", "before")).alias("p")).groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.before").alias("n"))
     for row in each.collect():
-        pairs[row.pair >> 8, row.pair & 255] = row.n
-    return Model(discounts, _low_orders(pairs)), stored.select("shard", "keys", "counts")
+        pairs[row.pair >> 16, row.pair >> 8 & 255, row.pair & 255] = row.n
+    models: list[Model] = []
+    for k in range(folds + 1):
+        own = [x or 0 for x in sums[each_model * k : each_model * (k + 1)]]
+        discounts = {n: _discounts(*own[4 * (ORDER - n) : 4 * (ORDER - n) + 4]) for n in range(3, ORDER + 1)}
+        models.append(Model(discounts, _low_orders(pairs[k]), tuple(models) if k == folds else ()))
+    return models[-1], stored.select("shard", "keys", "counts")
 
 
 def _distinct(texts: pa.Table) -> np.ndarray:
@@ -252,7 +296,8 @@ def _asker(shards: int):
     def run(texts: pa.Table) -> pa.Table:
         keys = _distinct(texts)
         order, slices = _by_shard(keys, shards)
-        keys, grp = keys[order], texts["grp"][0].as_py()
+        # a group's documents are all scored by one model
+        keys, grp = keys[order] | U(texts["model"][0].as_py() << (8 * ORDER)), texts["grp"][0].as_py()
         return pa.table(
             {
                 "shard": pa.array([s for s, _, _ in slices], pa.int32()),
@@ -273,7 +318,7 @@ def _answerer(model: Model):
             known = (_unpack(shard["keys"][0].as_py()), np.frombuffer(shard["counts"][0].as_py(), np.int64))
         keys = [_unpack(k) for k in asked["keys"].to_pylist()]
         every, which = np.unique(np.concatenate(keys), return_inverse=True)
-        logs = model.log_probabilities(every, *known).astype(np.float32)[which]
+        logs = model.answers(every, *known).astype(np.float32)[which]
         split = np.split(logs, np.cumsum([len(k) for k in keys])[:-1])
         return pa.table({"grp": asked["grp"], "shard": asked["shard"], "logs": pa.array([x.tobytes() for x in split], pa.binary())})
 
@@ -351,26 +396,32 @@ def _perplexities(found: _Bytes, lookup: _Lookup) -> tuple[np.ndarray, np.ndarra
     return whole, tail
 
 
-def score(docs: DataFrame, trusted: DataFrame, shards: int | None = None) -> DataFrame:
-    """Per row of ``docs``: doc_id, version (hash of the text), lang, trusted (held out of training), n_bytes, nats, tail_nats.
+def score(docs: DataFrame, trusted: DataFrame, shards: int | None = None, folds: int = 0) -> DataFrame:
+    """Per row of ``docs``: doc_id, version (hash of the text), lang, trusted, n_bytes, nats, tail_nats.
 
-    ``trusted``: (doc_id, held_out) of trusted documents. The model is trained while this is called.
+    ``trusted``: doc_id of trusted documents, each once; all of them are counted. With ``folds`` they are scored without
+    their own fold. The model is trained while this is called.
     """
     groups = max(LEAST_GROUPS, -(-text_bytes(docs) // GROUP_BYTES))
     shards = shards or min(4096, max(12, 2 * groups))
-    known = broadcast_up_to(materialize(trusted, "trusted"), BROADCAST_ROWS)
+    known = broadcast_up_to(materialize(trusted.select("doc_id", F.lit(True).alias("known")), "trusted"), BROADCAST_ROWS)
     texts = docs.select(
         "doc_id",
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"),
         F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
-    model, stored = train(texts.join(known.filter("NOT held_out"), "doc_id", "left_semi"), shards)
-    grp = F.pmod(F.xxhash64("doc_id", "version"), F.lit(groups)).cast("int")
-    held_out = known.filter("held_out").select("doc_id", F.lit(True).alias("trusted"))
-    is_trusted = F.coalesce("trusted", F.lit(False)).alias("trusted")
-    marked = texts.withColumn("grp", grp).join(held_out, "doc_id", "left")
-    dealt = marked.select("grp", "doc_id", "version", "lang", is_trusted, "text").repartition(2 * groups, "grp")
+    is_trusted = F.coalesce("known", F.lit(False))
+    fold = F.pmod(F.xxhash64("version"), F.lit(max(folds, 1))).cast("int")
+    of_model = F.when(is_trusted & F.lit(folds > 0), fold).otherwise(F.lit(folds)).alias("model")
+    marked = texts.join(known, "doc_id", "left").select("doc_id", "version", "lang", is_trusted.alias("trusted"), of_model, "text")
+    model, stored = train(marked.filter("trusted").select("text", F.col("model").alias("fold")), shards, folds)
+    # Groups of about the same size; each model has its own.
+    size = {r.model: r.n or 0 for r in marked.groupBy("model").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    share = [max(1, round(groups * size.get(k, 0) / max(sum(size.values()), 1))) for k in range(folds + 1)]
+    first, own = (F.element_at(F.array(*map(F.lit, x)), F.col("model") + 1) for x in ([sum(share[:k]) for k in range(folds + 1)], share))
+    grp = (first + F.pmod(F.xxhash64("doc_id", "version"), own)).cast("int").alias("grp")
+    dealt = marked.select(grp, "model", "doc_id", "version", "lang", "trusted", "text").repartition(2 * sum(share), "grp")
     by_group = dealt.groupBy("grp")
     asked = by_group.applyInArrow(_asker(shards), _ASK)
     answers = asked.groupBy("shard").cogroup(stored.groupBy("shard")).applyInArrow(_answerer(model), _ANSWER)
@@ -396,8 +447,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     ``labels``: (doc_id, good) rows.
     """
     trusted = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.coalesce("good", F.lit(False))).alias("good")).filter("good")
-    trusted = trusted.select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0).alias("held_out"))
-    scored = materialize(score(docs, trusted), "scores")
+    scored = materialize(score(docs, trusted, folds=FOLDS), "scores")
     judged = scored
     for of in ("nats", "tail_nats"):
         limits = _limits(scored, of, quantile)

@@ -101,3 +101,22 @@ def test_no_labels_and_no_documents(spark):
     none = spark.createDataFrame([], "doc_id long, good boolean")
     assert [r.kept for r in lm.classify(docs(spark, [(1, "any text")]), none).collect()] == [True]
     assert lm.classify(docs(spark, []), none).collect() == []
+
+
+def test_trusted_documents_are_scored_without_their_fold(spark):
+    texts = [sentence(k, 20) for k in range(30)]
+    trusted = spark.createDataFrame([(k,) for k in range(30)], "doc_id long")
+    got = {r.doc_id: r for r in lm.score(docs(spark, [*enumerate(texts), (50, texts[3])]), trusted, folds=3).collect()}
+    fold = {r.doc_id: r.f for r in spark.createDataFrame([(k, got[k].version) for k in range(30)], "doc_id long, v long").selectExpr("doc_id", "pmod(xxhash64(v), 3) AS f").collect()}
+    assert set(fold.values()) == {0, 1, 2} and sum(r.trusted for r in got.values()) == 30
+    for doc, known in [(50, texts)] + [(k, [t for j, t in enumerate(texts) if fold[j] != fold[k]]) for k in (0, 1, 2, 7)]:
+        log_p, padded = naive(known), "\n" * 4 + (texts[3] if doc == 50 else texts[doc])
+        assert np.isclose(got[doc].nats, -np.mean([log_p(padded[k : k + 5]) for k in range(len(padded) - 4)]), atol=1e-4), doc
+
+
+def test_limits_of_a_small_language_rest_on_all_its_trusted_documents(spark):
+    # Below 100 trusted documents the quantile is their maximum: none of them is rejected.
+    rows = [(k, sentence(k), "big") for k in range(150)] + [(1000 + k, sentence(5000 + k, 8).replace("a", "u"), "small") for k in range(30)]
+    labels = spark.createDataFrame([(r[0], True) for r in rows], "doc_id long, good boolean")
+    kept = {r.doc_id: r.kept for r in lm.classify(docs(spark, rows), labels).collect()}
+    assert all(kept[1000 + k] for k in range(30))
