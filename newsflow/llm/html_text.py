@@ -4,7 +4,8 @@ A page is a sequence of words and tags. Each kind of token is worth the logarith
 main text of labelled pages; words are kept positive and tags negative. Elements that are no part of an article by their
 markup (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, scripts, styles) count nothing and
 give no text. One linear scan finds the contiguous region with the highest sum, and its text is returned: character
-references decoded, inline tags removed, blocks joined by one space.
+references decoded, inline tags removed, blocks joined by one space. A word of an advert or the like that is only a part of
+a class or beside one that names the article (``tag-social``, ``has-ads``) sets nothing apart that is the article itself.
 
 A page is labelled by the document it shows: blocks whose text occurs in the document are content.
 
@@ -46,6 +47,8 @@ ALWAYS_APART_WORDS = set(
     "newsletter subscribe subscription signup login comment comments reply replies respond disqus share sharing social breadcrumb breadcrumbs "
     "popup modal overlay pagination pager".split()
 )
+# Of these, the ones that say of an article as a whole that it is none; the others may be its topic.
+NO_ARTICLE_WORDS = set("ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored comment comments reply replies respond disqus".split())
 # These may also describe what is around or beside: not on an element that names the article as well.
 APART_WORDS = set("sidebar notice related recommended menu nav navbar navigation footer widget toolbar search searchbox skip masthead topbar copyright".split())
 ARTICLE_WORDS = {"article", "main", "content", "post", "entry", "story", "body", "text"}
@@ -85,6 +88,62 @@ def tokens(page: str) -> list[Token]:
     return out
 
 
+def _attributes(token: Token) -> dict[str, str]:
+    return {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTRIBUTE.findall(token.attributes)}
+
+
+def _names(token: Token) -> list[set[str]]:
+    """The words of each class and of the id."""
+    found = _attributes(token)
+    return [set(re.split(r"[^a-z0-9]+", name)) for name in f"{found.get('class', '')} {found.get('id', '')}".split()]
+
+
+def _names_article(token: Token) -> bool:
+    """By its element, or by a class that is not that of an advert's or a comment's content."""
+    return token.name in ARTICLE or any(name & ARTICLE_WORDS and not name & ALWAYS_APART_WORDS for name in _names(token))
+
+
+def _may_be_article(token: Token) -> bool:
+    """Is a token that is apart so only by words beside others, which may as well tell what an article has or is about?"""
+    if token.name in APART or token.name in RAW or token.name == "header":
+        return False
+    said = [name & ALWAYS_APART_WORDS for name in _names(token)]
+    whole = set().union(*(words for words, name in zip(said, _names(token), strict=True) if words == name))
+    return any(said) and not whole & (NO_ARTICLE_WORDS if _names_article(token) else ALWAYS_APART_WORDS)
+
+
+def _is_the_article(page: list[Token], start: int, stop: int) -> bool:
+    """Is the element in these tokens, which may be the article, the article itself or around it?
+
+    It is if it names or holds an article (or the main heading) and no other article beside it has as many words, or if no
+    other part of the page has words.
+    """
+    own = _words_of(page[start:stop])
+    holds = _names_article(page[start]) or any(_is_clean_article(t) or (t.name == "h1" and not t.close) for t in page[start + 1 : stop])
+    i, beside, rest = 0, 0, 0
+    while i < len(page):
+        token = page[i]
+        if i == start:
+            i = stop
+        elif token.name and not token.close and token.name not in VOID and _is_apart(token, True) and not (i < start < _end(page, i)):
+            i = _end(page, i)
+        elif _is_clean_article(token) and not (i < start < _end(page, i)):
+            words = _words_of(page[i : (end := _end(page, i))])
+            beside, rest, i = max(beside, words), rest + words, end
+        else:
+            rest += _words_of([token])
+            i += 1
+    return own > beside if holds else not rest
+
+
+def _is_clean_article(token: Token) -> bool:
+    return bool(token.name) and not token.close and token.name not in VOID and _names_article(token) and not _is_apart(token, True)
+
+
+def _words_of(page: list[Token]) -> int:
+    return sum(len(t.text.split()) for t in page if not t.name)
+
+
 def _is_apart(token: Token, in_article: bool) -> bool:
     name = token.name
     if name in ("html", "body"):
@@ -93,7 +152,7 @@ def _is_apart(token: Token, in_article: bool) -> bool:
         return True
     if not token.attributes:
         return False
-    found = {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTRIBUTE.findall(token.attributes)}
+    found = _attributes(token)
     words = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}"))
     if words & ALWAYS_APART_WORDS:
         return True
@@ -111,10 +170,12 @@ def set_apart(page: list[Token]) -> None:
         if token.name in ARTICLE and token.close:
             depth = max(depth - 1, 0)
         if token.name and not token.close and token.name not in VOID and _is_apart(token, depth > 0):
-            for k in range(i, end := _end(page, i)):
-                page[k].apart = True
-            i = end
-            continue
+            end = _end(page, i)
+            if not (_may_be_article(token) and _is_the_article(page, i, end)):
+                for k in range(i, end):
+                    page[k].apart = True
+                i = end
+                continue
         token.inside = depth > 0
         if token.name in ARTICLE and not token.close:
             depth += 1

@@ -62,3 +62,26 @@ def test_pages_hold_their_documents(spark):
     for row in pages.collect():
         article = row.html.split("<article>")[1].split("</article>")[0]
         assert extract(f"<article>{article}</article>", {}) == got[row.page_id]
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article class='post tag-social'><p>a b</p></article>", "a b"),
+        ("<main class='content comments-open'><p>a b</p></main>", "a b"),
+        ("<div id='page' class='has-ads'><p>a b</p></div>", "a b"),
+        ("<div id='page' class='has-ads'><nav>m</nav><article><p>a b</p><div class='ad-box'>buy</div></article></div>", "a b"),
+        ("<header>site</header><div class='has-ads'><h1>T U V W X Y</h1><p>a b c d</p></div><p>e f g h</p>", "T U V W X Y a b c d e f g h"),
+        ("<main id='main'><h1>T</h1><article class='post category-newsletter'><p>a b</p></article></main>", "T a b"),
+        ("<article class='post social'><p>a b</p></article>", "a b"),
+        ("<article class='post tag-social'><p>a b c d e f g h</p></article><article class='post'><p>i j k l m n o</p></article>", "a b c d e f g h"),
+        # these are still set apart
+        ("<article><p>a b</p></article><article class='comment-item'><p>c</p></article>", "a b"),
+        ("<article class='post'><p>a b</p><div class='comments-area'><article class='comment-body'><p>c d e f</p></article></div></article>", "a b"),
+        ("<div class='ad-box'>buy</div><p>a b</p>", "a b"),
+        ("<article class='post comment'><p>c</p></article><p>a b</p>", "a b"),
+        ("<div class='content'><p>a b</p><div class='sponsored-content'>s t u v w</div></div>", "a b"),
+    ],
+)
+def test_words_in_classes_do_not_set_the_article_apart(page, text):
+    assert extract(page, {}) == text
