@@ -104,4 +104,22 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLE = {"op1_url_filters": URL_SQL, "op2_substring_dedup": SUBSTRING_SQL, "op4_line_dedup": LINE_SQL, "op6_benchmark_decontamination": BENCHMARK_SQL, "op9_pivot_top_k": TOP_K_SQL}
+# Borders from the digest of the number; the restored text is put together from the lines themselves.
+MIDDLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents
+), h AS (
+  SELECT *, ('0x' || substr(x, 1, 8))::BIGINT % (len(u) + 1) AS b1, ('0x' || substr(x, 9, 8))::BIGINT % (len(u) + 1) AS b2,
+         CASE WHEN text = '' OR text LIKE '%<P>%' OR text LIKE '%<S>%' OR text LIKE '%<M>%' OR ('0x' || substr(x, 17, 8))::BIGINT % 100 >= 100 THEN 'plain'
+              WHEN ('0x' || substr(x, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), s AS (
+  SELECT *, array_to_string(u[1:least(b1, b2)], '') AS p, array_to_string(u[least(b1, b2) + 1:greatest(b1, b2)], '') AS m, array_to_string(u[greatest(b1, b2) + 1:], '') AS e FROM h
+)
+SELECT doc_id, len(u)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || e || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || e || '<M>' || m END) AS output_sha256,
+       sha256(p || m || e) AS restored_sha256
+FROM s
+"""
+
+ORACLE = {"op1_url_filters": URL_SQL, "op2_substring_dedup": SUBSTRING_SQL, "op4_line_dedup": LINE_SQL, "op6_benchmark_decontamination": BENCHMARK_SQL, "op9_pivot_top_k": TOP_K_SQL, "op13_fill_in_middle": MIDDLE_SQL}

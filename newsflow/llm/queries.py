@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm.decontaminate import contaminated, contamination
+from newsflow.llm.fill_middle import cut, digests
 from newsflow.llm.html_text import LABELLED_PAGES, extract_text
 from newsflow.llm.line_dedup import dedup_lines
 from newsflow.llm.mixing import mix_to_targets
@@ -122,6 +123,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(read(spark, sf_dir, "pages"), labelled_pages(spark, sf_dir))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(cut(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_substring_dedup": op2_substring_dedup,
@@ -133,4 +138,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_pivot_top_k": op9_pivot_top_k,
     "op10_html_extraction": op10_html_extraction,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
