@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsflow.llm.decontaminate import contaminated, contamination
 from newsflow.llm.fill_middle import cut, digests
 from newsflow.llm.html_text import LABELLED_PAGES, extract_text
+from newsflow.llm.language_mix import fit, held_out, identify
 from newsflow.llm.line_dedup import dedup_lines
 from newsflow.llm.mixing import mix_to_targets
 from newsflow.llm.near_dedup import near_duplicates
@@ -123,6 +124,13 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(read(spark, sf_dir, "pages"), labelled_pages(spark, sf_dir))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))).select("lang", "text"))
+    judged = identify(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.array_join("languages", ",").alias("languages"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(cut(read(spark, sf_dir, "documents")))
 
@@ -138,5 +146,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_pivot_top_k": op9_pivot_top_k,
     "op10_html_extraction": op10_html_extraction,
+    "op12_language_id": op12_language_id,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
