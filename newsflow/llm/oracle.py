@@ -104,6 +104,32 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+# Prefixes as whole lists of turns; the checksum bit by bit. Turns that tie go by the hash of role and text.
+TRIE_SQL = r"""
+WITH t AS (
+  SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS l
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id
+), c AS (
+  SELECT conv_id, l, conv_id - conv_id % 5 AS elder,
+         xor(list_reduce(list_transform(range(1, len(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT),
+             lambda a, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)), 4294967295), 4294967295) % 9 AS h
+  FROM t
+), s AS (
+  SELECT c.conv_id, list_concat(coalesce(t.l, [])[1:h], c.l[h + 1:]) AS l FROM c LEFT JOIN t ON t.conv_id = c.elder
+), m AS (
+  SELECT conv_id, len(l) AS n, unnest(range(0, len(l) + 1)) AS d, l FROM s
+), p AS (
+  SELECT l[1:d] AS k, d, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d) AS ends FROM m GROUP BY ALL
+), q AS (
+  SELECT p.*, coalesce(n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * strlen(k[-1].t) END AS own
+  FROM p LEFT JOIN (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM p WHERE d > 0 GROUP BY ALL) USING (k)
+), a AS (
+  SELECT k[1:e] AS k, sum(own)::BIGINT AS saved_tokens, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM q) GROUP BY ALL
+)
+SELECT q.conv_id, q.d AS depth, u.conv_id AS parent_conv_id, q.n_convs, q.n_children, n_leaves, saved_tokens, sha256(coalesce(q.ends, '')) AS ends_sha256
+FROM q JOIN a ON a.k = q.k LEFT JOIN p u ON q.d > 0 AND u.k = q.k[1:q.d - 1]
+"""
+
 # Borders from the digest of the number; the restored text is put together from the lines themselves.
 MIDDLE_SQL = r"""
 WITH d AS (
@@ -122,4 +148,12 @@ SELECT doc_id, len(u)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(
 FROM s
 """
 
-ORACLE = {"op1_url_filters": URL_SQL, "op2_substring_dedup": SUBSTRING_SQL, "op4_line_dedup": LINE_SQL, "op6_benchmark_decontamination": BENCHMARK_SQL, "op9_pivot_top_k": TOP_K_SQL, "op13_fill_in_middle": MIDDLE_SQL}
+ORACLE = {
+    "op1_url_filters": URL_SQL,
+    "op2_substring_dedup": SUBSTRING_SQL,
+    "op4_line_dedup": LINE_SQL,
+    "op6_benchmark_decontamination": BENCHMARK_SQL,
+    "op9_pivot_top_k": TOP_K_SQL,
+    "op11_conversation_trie": TRIE_SQL,
+    "op13_fill_in_middle": MIDDLE_SQL,
+}

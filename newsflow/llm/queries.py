@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsflow.llm.conversation_trie import numbered_turns, prefix_trie, regrown
 from newsflow.llm.decontaminate import contaminated, contamination
 from newsflow.llm.fill_middle import cut, digests
 from newsflow.llm.html_text import LABELLED_PAGES, extract_text
@@ -124,6 +125,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(read(spark, sf_dir, "pages"), labelled_pages(spark, sf_dir))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*regrown(numbered_turns(read(spark, sf_dir, "conversations"))))
+
+
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     model = fit(docs.filter(~held_out(F.col("doc_id"))).select("lang", "text"))
@@ -146,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_pivot_top_k": op9_pivot_top_k,
     "op10_html_extraction": op10_html_extraction,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_language_id": op12_language_id,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
