@@ -30,6 +30,7 @@ from newsflow.llm.words import SPACED, U, Words, chunks, mix
 SAMPLE_ROWS = 3000
 BINS = 2048
 SHAPES = 5
+CHUNK_ROWS = 256  # texts whose features are held at once, as a dense matrix
 ROUNDS = 60
 TOLERANCE = 1e-3
 
@@ -108,7 +109,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in chunks(batch):
+            for part, texts in chunks(batch, rows=CHUNK_ROWS):
                 x, _ = features(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(part.start, len(texts)), batch["domain"].slice(part.start, len(texts)), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "domain", "x"]
@@ -125,7 +126,7 @@ def predict(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in chunks(batch):
+            for part, texts in chunks(batch, rows=CHUNK_ROWS):
                 x, count = features(texts)
                 own = [batch[c].slice(part.start, len(texts)) for c in ("doc_id", "source", "version")]
                 posterior = pa.array(list(classifier.posteriors(x).astype(np.float64)), pa.list_(pa.float64()))

@@ -7,7 +7,8 @@ lower orders, down to three bytes. The two lowest orders have at most 65,536 ent
 
 For scoring, documents are dealt to groups; a group sends each distinct n-gram once to its shard, the shard joins them
 with its counts and answers with log-probabilities, and the group adds them up. What is gathered thus grows with the
-input, while no model has to fit into one place.
+input, while no model has to fit into one place. The number of shards does not grow, so questions grow with the groups
+alone; a copy of a shard answers at most ``ASKING_GROUPS`` of them.
 
 Each document gets two perplexities: of the whole text, and of the least likely fiftieth of its words (one at least),
 which a few foreign words in a long text raise. A document is rejected if either is beyond a quantile of its language. The
@@ -34,8 +35,11 @@ from newsflow.llm.tables import broadcast_up_to, materialize, text_bytes
 from newsflow.llm.words import SPACED, U, chunks, mix
 
 ORDER = 5
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 LEAST_GROUPS = 24
+SHARDS = 192
+ASKING_GROUPS = 512  # groups that one task answers from its copy of a shard
+HELD_NGRAMS = 1_000_000  # distinct n-grams that a counting task holds before it hands them on
 FOLDS = 5
 QUANTILE = 0.99
 TAIL = 0.02
@@ -130,9 +134,9 @@ def _counter(shards: int):
                 fold = batch["fold"].slice(part.start, len(texts)).to_numpy().astype(U)
                 keys = found.keys | np.append(np.repeat(fold, found.size + ORDER - 1), np.zeros(ORDER - 1, U)) << U(8 * ORDER)
                 parts.append(np.unique(keys[found.own], return_counts=True))
-                if len(parts) >= 16:
+                if len(parts) >= 6:
                     parts = [_merge(parts)]
-                    if len(parts[0][0]) > 4_000_000:
+                    if len(parts[0][0]) > HELD_NGRAMS:
                         yield flush(parts)
                         parts = []
         yield flush(parts)
@@ -287,12 +291,12 @@ def _distinct(texts: pa.Table) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.zeros(0, U)
 
 
-_ASK = "shard int, grp int, keys binary"
+_ASK = "shard int, part int, grp int, keys binary"
 _ANSWER = "grp int, shard int, logs binary"
 _SCORES = "doc_id long, version long, lang string, trusted boolean, n_bytes long, nats double, tail_nats double"
 
 
-def _asker(shards: int):
+def _asker(shards: int, asking: int):
     def run(texts: pa.Table) -> pa.Table:
         keys = _distinct(texts)
         order, slices = _by_shard(keys, shards)
@@ -301,6 +305,7 @@ def _asker(shards: int):
         return pa.table(
             {
                 "shard": pa.array([s for s, _, _ in slices], pa.int32()),
+                "part": pa.array([grp // asking] * len(slices), pa.int32()),
                 "grp": pa.array([grp] * len(slices), pa.int32()),
                 "keys": pa.array([_pack(keys[a:b]) for _, a, b in slices], pa.binary()),
             }
@@ -396,14 +401,14 @@ def _perplexities(found: _Bytes, lookup: _Lookup) -> tuple[np.ndarray, np.ndarra
     return whole, tail
 
 
-def score(docs: DataFrame, trusted: DataFrame, shards: int | None = None, folds: int = 0) -> DataFrame:
+def score(docs: DataFrame, trusted: DataFrame, shards: int | None = None, folds: int = 0, asking: int = ASKING_GROUPS) -> DataFrame:
     """Per row of ``docs``: doc_id, version (hash of the text), lang, trusted, n_bytes, nats, tail_nats.
 
     ``trusted``: doc_id of trusted documents, each once; all of them are counted. With ``folds`` they are scored without
-    their own fold. The model is trained while this is called.
+    their own fold. A task answers at most ``asking`` groups. The model is trained while this is called.
     """
     groups = max(LEAST_GROUPS, -(-text_bytes(docs) // GROUP_BYTES))
-    shards = shards or min(4096, max(12, 2 * groups))
+    shards = shards or min(SHARDS, max(12, 2 * groups))
     known = broadcast_up_to(materialize(trusted.select("doc_id", F.lit(True).alias("known")), "trusted"), BROADCAST_ROWS)
     texts = docs.select(
         "doc_id",
@@ -423,8 +428,11 @@ def score(docs: DataFrame, trusted: DataFrame, shards: int | None = None, folds:
     grp = (first + F.pmod(F.xxhash64("doc_id", "version"), own)).cast("int").alias("grp")
     dealt = marked.select(grp, "model", "doc_id", "version", "lang", "trusted", "text").repartition(2 * sum(share), "grp")
     by_group = dealt.groupBy("grp")
-    asked = by_group.applyInArrow(_asker(shards), _ASK)
-    answers = asked.groupBy("shard").cogroup(stored.groupBy("shard")).applyInArrow(_answerer(model), _ANSWER)
+    asked = by_group.applyInArrow(_asker(shards, asking), _ASK)
+    # Questions grow with the groups, so each shard is copied for every so many of them, and a task answers a bounded number.
+    parts = F.explode(F.sequence(F.lit(0), F.lit((sum(share) - 1) // asking))).alias("part")
+    copied = stored.select("shard", parts, "keys", "counts")
+    answers = asked.groupBy("shard", "part").cogroup(copied.groupBy("shard", "part")).applyInArrow(_answerer(model), _ANSWER)
     return by_group.cogroup(answers.groupBy("grp")).applyInArrow(_scorer(shards), _SCORES)
 
 

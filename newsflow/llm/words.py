@@ -11,9 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
+CHUNK_ROWS = 1000
+KEPT_POWERS = 1 << 20
 
 _UPPER = slice(ord("A"), ord("Z") + 1)
 
@@ -36,21 +39,26 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 class _Powers:
-    """Powers of an odd base and of its inverse modulo 2^64, grown on demand."""
+    """Powers of an odd base and of its inverse modulo 2^64, grown on demand; those for a very long text are not kept."""
 
     def __init__(self, base: int):
         self.base, self.inverse = base, pow(base, -1, 1 << 64)
         self.up, self.down = np.ones(1, U), np.ones(1, U)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > KEPT_POWERS:
+            return self._powers(self.base, n), self._powers(self.inverse, n)
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up), 1 << 16)
-            for name, base in (("up", self.base), ("down", self.inverse)):
-                steps = np.full(size, U(base))
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps))
+            size = min(max(n, 2 * len(self.up), 1 << 16), KEPT_POWERS)
+            self.up, self.down = self._powers(self.base, size), self._powers(self.inverse, size)
         return self.up[:n], self.down[:n]
 
+    @staticmethod
+    def _powers(base: int, n: int) -> np.ndarray:
+        steps = np.full(n, U(base))
+        steps[0] = 1
+        return np.cumprod(steps, out=steps)
+
 
 _BYTES, _WORDS = _Powers(0xD6E8FEB86659FD93), _Powers(0xA0761D6478BD642F)
 
@@ -104,19 +112,18 @@ class Words:
         return self.data[self.begin[i] : self.end[i]].tobytes()
 
 
-def chunks(batch: pa.RecordBatch | pa.Table, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[slice, list[bytes | None]]]:
-    """Slices of a batch whose texts hold about ``limit`` bytes (one text at least), with the texts as bytes."""
+def chunks(batch: pa.RecordBatch | pa.Table, column: str = "text", limit: int = CHUNK_BYTES, rows: int = CHUNK_ROWS) -> Iterator[tuple[slice, list[bytes | None]]]:
+    """Slices of a batch of at most ``rows`` texts and about ``limit`` bytes (one text at least), with the texts as bytes."""
     array = batch[column]
     array = array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
-    texts = array.cast(pa.binary()).to_pylist()
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or b"")
-        if size >= limit:
-            yield slice(start, i + 1), texts[start : i + 1]
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts)), texts[start:]
+    array = array.cast(pa.binary())
+    upto = np.cumsum(pc.binary_length(array).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(array):
+        before = upto[start - 1] if start else 0
+        stop = min(int(np.searchsorted(upto, before + limit)) + 1, start + rows, len(array))
+        yield slice(start, stop), array.slice(start, stop - start).to_pylist()
+        start = stop
 
 
 def covered(starts: np.ndarray, n: int, size: int) -> np.ndarray:

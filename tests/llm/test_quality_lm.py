@@ -120,3 +120,10 @@ def test_limits_of_a_small_language_rest_on_all_its_trusted_documents(spark):
     labels = spark.createDataFrame([(r[0], True) for r in rows], "doc_id long, good boolean")
     kept = {r.doc_id: r.kept for r in lm.classify(docs(spark, rows), labels).collect()}
     assert all(kept[1000 + k] for k in range(30))
+
+
+def test_scores_do_not_depend_on_how_many_groups_a_task_answers(spark):
+    rows = [(k, sentence(k, 5 + 7 * k % 50)) for k in range(60)]
+    trusted = spark.createDataFrame([(k,) for k in range(0, 60, 2)], "doc_id long")
+    few, many = (sorted(map(repr, lm.score(docs(spark, rows), trusted, folds=3, asking=n).collect())) for n in (4, 10_000))
+    assert few == many and len(few) == 60
