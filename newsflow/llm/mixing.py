@@ -2,22 +2,25 @@
 
 A classifier learned from a labelled table gives every document posterior probabilities of the domains. Each document then
 gets a nonnegative rate (expected number of copies) such that the expected tokens per domain, the sum over documents of
-rate x tokens x posterior, come as close to the targets as least squares allows. The fit is accelerated projected gradient,
+rate x tokens x posterior, come as close to the targets as least squares allows. The fit is preconditioned projected gradient,
 started at the same rate for all. Steps are taken per token, so a rate depends on the posterior alone and long texts
 are not treated apart; a round is one aggregate of a few sums over a narrow table, and the driver keeps only the steps.
 
 The classifier is softmax regression on hashed words and the text's shape. It is fitted on a bounded sample of labelled
-documents (``SAMPLE_ROWS``, the first by a hash of the id); everything else covers all documents.
+documents (``SAMPLE_ROWS`` of those that are in the table, the first by a hash of the id); everything else covers all documents.
 
 Defined cases: a null or empty text has no tokens, its rate follows its posterior like any other. Labels that are null
 in id or domain are left out, of repeated ones the first domain by name counts. Without labels all domains are equally
 likely. Repeated rows and rows without doc_id get the same rate for the same text; whole copies of rows without doc_id
-are drawn by their text. Targets that cannot be reached are met as closely as possible.
+are drawn by their text. Targets that cannot be reached are met as closely as possible, and ``gap`` tells how closely. Texts of
+any length are whole; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +34,10 @@ SAMPLE_ROWS = 3000
 BINS = 2048
 SHAPES = 5
 CHUNK_ROWS = 256  # texts whose features are held at once, as a dense matrix
-ROUNDS = 60
-TOLERANCE = 1e-3
+ROUNDS = 100  # a fit that has not ended by then warns
+TOLERANCE = 1e-3  # of each target
+STATIONARY = 1e-12  # square of the projected gradient, against its start
+STALLED = 1e-7  # share of the squared distance that a round must take away
 
 
 def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -84,8 +89,9 @@ class Classifier:
         return cls(mean, scale, weights, domains)
 
     def posteriors(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8)
-        return _softmax(z @ self.weights[:-1] + self.weights[-1])
+        """Rounded, so that a text gets the same ones in any chunk."""
+        z = np.clip((x - self.mean) / self.scale, -8, 8).astype(np.float64)
+        return np.round(_softmax(z @ self.weights[:-1].astype(np.float64) + self.weights[-1]), 9)
 
 
 def _largest_square(z: np.ndarray) -> float:
@@ -103,20 +109,23 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...], rows: int = SAMPLE_ROWS) -> Classifier:
-    """Fit on the texts of at most ``rows`` labelled documents; ``labels`` is (doc_id, domain)."""
+    """Fit on at most ``rows`` distinct labelled texts of ``docs``, the first by a hash of the id; ``labels`` is (doc_id, domain)."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("domain").isin(*domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    # Labels of other documents must not use up the sample.
+    present = usable.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = materialize(present.orderBy(*order).limit(rows), "sample-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in chunks(batch, rows=CHUNK_ROWS):
                 x, _ = features(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(part.start, len(texts)), batch["domain"].slice(part.start, len(texts)), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "domain", "x"]
-                )
+                yield pa.RecordBatch.from_arrays([batch["domain"].slice(part.start, len(texts)), pa.array([r.tobytes() for r in x], pa.binary())], names=["domain", "x"])
 
-    found = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("doc_id", "domain", "text")
-    sample = sorted(found.mapInArrow(run, "doc_id long, domain string, x binary").collect(), key=lambda r: (r.doc_id, r.x))
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # Copies of a row, however many, are one row before anything leaves the cluster.
+    versions = found.withColumn("version", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "version"])
+    sample = versions.orderBy(*order, "version").limit(rows).select("domain", "text").mapInArrow(run, "domain string, x binary").collect()
     x = np.array([np.frombuffer(r.x, np.float32) for r in sample], np.float32).reshape(len(sample), BINS + SHAPES)
     return Classifier.fit(x, np.array([domains.index(r.domain) for r in sample], np.int64), domains)
 
@@ -136,70 +145,122 @@ def predict(docs: DataFrame, classifier: Classifier) -> DataFrame:
     return wanted.mapInArrow(run, "doc_id long, source string, version long, n_tokens long, posterior array<double>")
 
 
-def _rates(posterior: np.ndarray, start: float, steps: list[tuple[np.ndarray, float]]) -> tuple[np.ndarray, np.ndarray]:
-    """(rate, point ahead) after the steps: each is a change per domain, then momentum."""
-    rate = ahead = np.full(len(posterior), start)
-    for change, momentum in steps:
-        before, rate = rate, np.maximum(ahead - posterior @ change, 0.0)
-        ahead = rate + momentum * (rate - before)
-    return rate, ahead
+def _rates(posterior: np.ndarray, start: float, steps: list[np.ndarray]) -> np.ndarray:
+    """Rates after the steps: each is a change per domain, projected to rates that are not negative."""
+    rate = np.full(len(posterior), start)
+    for change in steps:
+        rate = np.maximum(rate - posterior @ change, 0.0)
+    return rate
 
 
 def _posterior_matrix(batch: pa.RecordBatch, size: int) -> np.ndarray:
     return batch["posterior"].flatten().to_numpy().reshape(batch.num_rows, size)
 
 
-def _sums(size: int, start: float, steps: list[tuple[np.ndarray, float]]):
-    """Per batch one row: tokens per domain at the rates and at the points ahead, and tokens x posterior x posterior."""
+def _sums(size: int, start: float, steps: list[np.ndarray], trials: list[np.ndarray], gradient: np.ndarray):
+    """Per task one row: the projected gradient's square after the steps, and tokens x posterior x posterior of all documents;
+    then for each further step that is tried, tokens per domain, and the same product of the documents with a rate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(1 + size * size + len(trials) * (size + size * size))
         for batch in batches:
             posterior, tokens = _posterior_matrix(batch, size), batch["n_tokens"].to_numpy().astype(np.float64)
-            rate, ahead = _rates(posterior, start, steps)
-            square = (posterior * tokens[:, None]).T @ posterior
-            row = np.concatenate([(tokens * rate) @ posterior, (tokens * ahead) @ posterior, square.ravel()])
-            yield pa.RecordBatch.from_arrays([pa.array([row], pa.list_(pa.float64()))], names=["sums"])
+            weighted = posterior * tokens[:, None]
+            rate = _rates(posterior, start, steps)
+            slope = posterior @ gradient
+            parts = [[(tokens * np.where((rate > 0) | (slope < 0), slope, 0.0) ** 2).sum()], (weighted.T @ posterior).ravel()]
+            for change in trials:
+                moved = np.maximum(rate - posterior @ change, 0.0)
+                free = moved > 0
+                parts += [moved @ weighted, (weighted[free].T @ posterior[free]).ravel()]
+            sums += np.concatenate(parts)
+        yield pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.float64()))], names=["sums"])
 
     return run
 
 
-def fit_rates(predicted: DataFrame, targets: np.ndarray, start: float, rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
-    """Steps of accelerated projected gradient for the least squares of expected tokens against ``targets``.
+def _trials(free: np.ndarray, gradient: np.ndarray, limit: float) -> list[np.ndarray]:
+    """Steps worth trying: the gradient scaled by the inverse of the documents' product matrix (more and less damped), plain
+    steps of the length that suits the documents with a rate, and the short one that always descends."""
+    own = max(float(np.linalg.eigvalsh(free)[-1]), 1e-12 * limit)
+    scaled = [np.linalg.solve(free + damp * own * np.eye(len(gradient)), gradient) for damp in (1e-9, 1e-4, 1e-3, 1e-2, 1e-1)]
+    return [*scaled, scaled[0] / 4, *(gradient * (far / own) for far in (1, 4, 16, 64)), gradient / limit]
 
-    ``predicted`` is read once per round: store it before.
+
+@dataclass
+class Fit:
+    """Steps of the fit, expected tokens per domain at its end, and how it ended."""
+
+    steps: list[np.ndarray]
+    reached: np.ndarray
+    gap: float  # largest distance from a target, as a share of that target
+    rounds: int
+    ended: str  # "targets met", "least squares" (they cannot be met), or "not converged"
+
+
+def fit_rates(predicted: DataFrame, targets: np.ndarray, start: float, rounds: int = ROUNDS) -> Fit:
+    """Projected gradient for the least squares of expected tokens against ``targets``; ``predicted`` is stored and read once per round.
+
+    The gradient is scaled by the inverse of the domains' product matrix over the documents with a rate, so nearly parallel
+    domains do not slow it down. Each round measures some steps at once (see ``_trials``) and keeps the one that comes closest. It
+    ends when every target is met within TOLERANCE of itself, or when the projected gradient vanishes or no step helps any more.
     """
     size = len(targets)
-    steps: list[tuple[np.ndarray, float]] = []
-    scale = max(float(targets.sum()), 1.0)
-    for k in range(rounds):
-        found = predicted.select("n_tokens", "posterior").mapInArrow(_sums(size, start, steps), "sums array<double>")
-        row = found.select(*[F.sum(F.col("sums")[i]) for i in range(2 * size + size * size)]).first()
-        sums = np.array([x or 0.0 for x in row])
-        at_rate, at_ahead, square = sums[:size], sums[size : 2 * size], sums[2 * size :].reshape(size, size)
-        limit = float(np.linalg.eigvalsh(square)[-1])
-        if limit <= 0 or np.abs(at_rate - targets).max() <= TOLERANCE * scale:
+    narrow = predicted.select("n_tokens", "posterior")
+    scale = np.maximum(targets, 1e-3 * max(float(targets.sum()), 1.0))
+
+    def evaluated(steps: list[np.ndarray], trials: list[np.ndarray], gradient: np.ndarray) -> tuple[float, np.ndarray, list]:
+        found = narrow.mapInArrow(_sums(size, start, steps, trials, gradient), "sums array<double>")
+        sums = np.zeros(1 + size * size + len(trials) * (size + size * size))
+        for row in found.select(F.posexplode("sums").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect():
+            sums[row["at"]] = row["x"]
+        each = sums[1 + size * size :].reshape(len(trials), size + size * size)
+        return float(sums[0]), sums[1 : 1 + size * size].reshape(size, size), [(e[:size], e[size:].reshape(size, size)) for e in each]
+
+    steps: list[np.ndarray] = []
+    _, square, [(reached, free)] = evaluated(steps, [np.zeros(size)], np.zeros(size))
+    limit = max(float(np.linalg.eigvalsh(square)[-1]), 1e-300)
+    first, ended = None, "not converged"
+    for _ in range(rounds):
+        gradient = reached - targets
+        if (np.abs(gradient) <= TOLERANCE * scale).all():
+            ended = "targets met"
+            break
+        trials = _trials(free, gradient, limit)
+        norm, _, tried = evaluated(steps, trials, gradient)
+        first = norm if first is None else first
+        errors = [float(((t[0] - targets) ** 2).sum()) for t in tried]
+        best = int(np.argmin(errors))
+        if norm <= STATIONARY * first or errors[best] >= (1 - STALLED) * float((gradient**2).sum()):
+            ended = "least squares"
             break
-        steps.append(((at_ahead - targets) / limit, k / (k + 3)))
-    return steps
+        steps.append(trials[best])
+        reached, free = tried[best]
+    gap = float((np.abs(reached - targets) / scale).max(initial=0.0))
+    if ended == "not converged":
+        warnings.warn(f"rates have not converged after {rounds} rounds, largest gap {gap:.4f} of a target", stacklevel=2)
+    return Fit(steps, reached, gap, len(steps), ended)
 
 
 def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], tokens: float = 1.0) -> DataFrame:
-    """Per row of ``docs``: doc_id, source, version, n_tokens, posterior, rate and copies. Jobs run while this is called.
+    """Per row of ``docs``: doc_id, source, version, n_tokens, posterior, rate, copies and gap. Jobs run while this is called.
 
     ``targets``: share of each domain. The mixture is to hold ``tokens`` times the corpus. ``copies`` is the rate rounded up or
-    down by a hash of the document, so that it is the rate on average.
+    down by a hash of the document, so that it is the rate on average. ``gap``: the largest distance of expected tokens from a
+    target, as a share of that target, the same in every row: beyond TOLERANCE the targets cannot be met (or the fit warned).
     """
     domains = tuple(targets)
     predicted = materialize(predict(docs, fit_classifier(docs, labels, domains)), "posteriors")
     total = predicted.agg(F.sum("n_tokens")).first()[0] or 0
     share = np.array([targets[d] for d in domains], np.float64)
-    steps = fit_rates(predicted, share / share.sum() * total * tokens, tokens)
+    fit = fit_rates(predicted, share / share.sum() * total * tokens, tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rate, _ = _rates(_posterior_matrix(batch, len(domains)), tokens, steps)
+            rate = _rates(_posterior_matrix(batch, len(domains)), tokens, fit.steps)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names=[*batch.schema.names, "rate"])
 
     rated = predicted.mapInArrow(run, "doc_id long, source string, version long, n_tokens long, posterior array<double>, rate double")
     chance = F.pmod(F.xxhash64(F.coalesce("doc_id", "version"), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
-    return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
+    return rated.withColumn("copies", copies.cast("long")).withColumn("gap", F.lit(fit.gap))

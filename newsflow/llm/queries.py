@@ -103,7 +103,7 @@ def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mix_to_targets(docs, domain_labels(spark, sf_dir), TARGETS)
-    return mixed.select("doc_id", "source", "n_tokens", "rate", "copies")
+    return mixed.select("doc_id", "source", "n_tokens", "rate", "copies", "gap")
 
 
 def op9_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
