@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm.decontaminate import contaminated, contamination
@@ -16,12 +16,14 @@ from newsflow.llm.line_dedup import dedup_lines
 from newsflow.llm.mixing import mix_to_targets
 from newsflow.llm.near_dedup import near_duplicates
 from newsflow.llm.quality_lm import classify
-from newsflow.llm.queries import TARGETS, domain_labels, good_labels
+from newsflow.llm.queries import good_labels
 from newsflow.llm.tables import broadcast_up_to, materialize, read
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 BROADCAST_ROWS = 500_000
+# Shares of the languages in the mixture. What tells good from low or toxic text is gone by then, languages are what is left to mix.
+TARGETS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
 NEAR = 80  # hundredths of the shingles that near copies share at least; the op7 query has a limit of its own, 85
 
 
@@ -46,10 +48,16 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = near_duplicates(docs, part=NEAR, whole=100)
-    kept = _without(docs, judged.filter("NOT kept").select(F.col("doc_id").alias("id"), "version"))
-    again = F.row_number().over(Window.partitionBy("doc_id", _version()).orderBy("text"))
-    return kept.withColumn("__again", again).filter("doc_id IS NULL OR __again = 1").select(docs.columns)
+    judged = materialize(near_duplicates(docs, part=NEAR, whole=100).select(F.col("doc_id").alias("id"), "version", "kept"), "judged")
+    kept = _without(docs, judged.filter("NOT kept"))
+    again = materialize(judged.filter("kept AND id IS NOT NULL").groupBy("id", "version").count().filter("count > 1").select("id", "version"), "again")
+    if again.isEmpty():
+        return kept
+    # Only rows that repeat are gathered, and their copies are merged before they travel.
+    mine = (kept["doc_id"] == again["id"]) & (_version() == again["version"])
+    repeated = kept.join(broadcast_up_to(again, BROADCAST_ROWS), mine, "left_semi")
+    one = repeated.groupBy("doc_id", _version().alias("__version")).agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return _without(kept, again).unionByName(one.select("__row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +66,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: doc_id, source, n_tokens, rate and copies of every document that is left."""
-    return mix_to_targets(docs, domain_labels(spark, sf_dir), TARGETS).select("doc_id", "source", "n_tokens", "rate", "copies")
+    """The mixture: doc_id, source, n_tokens, rate and copies of every document that is left, and how far it is from the targets.
+
+    The classifier learns the languages of the documents in ``labels``.
+    """
+    labelled = read(spark, sf_dir, "labels").select("doc_id").distinct()
+    languages = docs.join(labelled, "doc_id", "left_semi").select("doc_id", F.col("lang").alias("domain"))
+    return mix_to_targets(docs, languages, TARGETS).select("doc_id", "source", "n_tokens", "rate", "copies", "gap")
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -70,7 +83,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("mixing", mix_sources),
 ]
 
-# Perplexities and the fit of the rates are beyond SQL; tests hold the first three stages against brute force.
+# Perplexities and the fit of the rates are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
