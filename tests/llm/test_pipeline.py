@@ -1,3 +1,5 @@
+import re
+
 import corpus_pipeline
 from newsflow.llm.near_dedup import banding
 from newsflow.llm.queries import QUERIES
@@ -47,7 +49,39 @@ def test_awkward_rows(spark):
 
 def test_run(spark):
     got = corpus_pipeline.run(spark, FOLDER)
-    assert got.columns == ["doc_id", "source", "n_tokens", "rate", "copies"] and got.count() > 50
+    assert got.columns == ["doc_id", "source", "n_tokens", "rate", "copies", "gap"] and got.count() > 50
+
+
+def test_contamination_stage_equals_brute_force(spark):
+    """A document goes if a twentieth of its words lie in windows of 13 words of a benchmark item (or in a whole shorter one)."""
+    words = lambda text: re.findall(r"[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
+    items = [words(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    windows = {tuple(i[k : k + 13]) for i in items for k in range(max(1, len(i) - 12)) if i}
+    table = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    clean = set()
+    for r in table.collect():
+        own = words(r.text)
+        hit = {j for n in {len(w) for w in windows} for k in range(len(own) - n + 1) if tuple(own[k : k + n]) in windows for j in range(k, k + n)}
+        clean |= set() if hit and 20 * len(hit) >= len(own) else {r.doc_id}
+    assert {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, table, FOLDER).collect()} == clean
+    assert len(clean) < table.count()
+
+
+def test_mixture_meets_its_targets(spark):
+    table = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = corpus_pipeline.mix_sources(spark, table, FOLDER).collect()
+    lang = {r.doc_id: r.lang for r in table.collect()}
+    total = sum(r.n_tokens for r in got)
+    assert got[0].gap < 0.01 and total == sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in table.collect())
+    for name, share in corpus_pipeline.TARGETS.items():
+        assert abs(sum(r.n_tokens * r.rate for r in got if lang[r.doc_id] == name) / total - share) < 0.05
+
+
+def test_repeated_rows_become_one(spark):
+    one, other = " ".join(prose(1, 60)), " ".join(prose(2, 60))
+    rows = [(1, one)] * 5 + [(1, other)] + [(None, one)] * 2 + [(2, " ".join(prose(3, 60)))]
+    got = corpus_pipeline.keep_one_of_near_duplicates(spark, docs(spark, rows), FOLDER)
+    assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "1", "2", "None", "None"]
 
 
 def shingle_set(text):
