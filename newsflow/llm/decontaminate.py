@@ -9,8 +9,8 @@ Only hashes, ids and positions pass the joins. The benchmark side is broadcast u
 joined with a shuffle beyond. Texts are read again only for documents with a hit.
 
 Defined cases: null and empty texts have no words and are clean. An item without words or without item_id matches nothing.
-A document row without doc_id is judged like any other. Rows that repeat a doc_id are judged by their own text, and rows
-that repeat both give one result; repeated item rows count once. Empty tables give empty results, an empty benchmark only clean documents.
+A document row without doc_id is judged like any other. Rows that repeat a doc_id are judged by their own text, rows that
+repeat both get a result each; repeated item rows count once. Very long texts are many windows. Only A-Z is lower-cased. Empty tables give empty results, an empty benchmark only clean documents.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.tables import broadcast_up_to, materialize
+from newsflow.llm.tables import ascii_lower, broadcast_up_to, materialize
 from newsflow.llm.words import ALNUM, U, Words, chunks, mix
 
 K = 6
@@ -173,13 +173,13 @@ def _document_windows(width: int):
 
 def _short_sizes(items: DataFrame, width: int) -> list[int]:
     """The lengths below ``width`` that items have: at most ``width - 1`` numbers."""
-    words = F.size(F.regexp_extract_all(F.lower("text"), F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)")))
+    words = F.size(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)")))
     found = items.select(words.alias("n")).filter((F.col("n") > 0) & (F.col("n") < width)).distinct()
     return sorted(r.n for r in found.collect())
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
-    """Per distinct (doc_id, text) of ``docs``: id, version (hash of the text), n_words, n_hit, items (sorted list of item_ids as strings).
+    """Per row of ``docs``: id, version (hash of the text), n_words, n_hit, items (sorted list of item_ids as strings).
 
     A word is hit if it lies in an occurrence of a window of an item. Jobs run while this is called.
     """
@@ -193,10 +193,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> Dat
     per_doc = materialize(
         hit.filter("hash IS NULL OR known")
         .groupBy("id", "version")
-        .agg(F.max("n_words").alias("n_words"), F.collect_set(F.when(F.col("known"), F.struct("size", "pos"))).alias("hits")),
+        .agg(F.max("n_words").alias("n_words"), F.count_if(F.col("hash").isNull()).cast("int").alias("times"), F.collect_set(F.when(F.col("known"), F.struct("size", "pos"))).alias("hits")),
         "hits",
     )
-    with_hits = broadcast_up_to(per_doc.filter(F.size("hits") > 0).select("id", "version", "hits"), BROADCAST_ROWS // 50)
+    with_hits = broadcast_up_to(per_doc.filter(F.size("hits") > 0).select("id", "version", "hits"), BROADCAST_ROWS, "hits")
     same = texts["id"].eqNullSafe(with_hits["id"]) & (texts["version"] == with_hits["version"])
     windows = texts.join(with_hits, same).select(texts["id"], texts["version"], "text", "hits").mapInArrow(
         _document_windows(width), "id long, version long, pos int, size int, high long, low long"
@@ -207,11 +207,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> Dat
         .agg(F.collect_set("item_id").alias("items")),
         "item-windows",
     )
-    found = windows.join(broadcast_up_to(known, BROADCAST_ROWS), ["size", "high", "low"])
+    found = windows.join(broadcast_up_to(known, BROADCAST_ROWS, "items"), ["size", "high", "low"])
     result = found.groupBy("id", "version").agg(
         F.collect_set(F.struct("pos", "size")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
     ).select("id", "version", _union_length("spans").alias("n_hit"), F.array_sort(F.transform("items", lambda i: i.cast("string"))).alias("items"))
-    left = per_doc.select("id", "version", "n_words")
+    # Rows that repeat both id and text are judged once and returned each.
+    left = per_doc.select("id", "version", "n_words", F.explode(F.array_repeat(F.lit(1), F.col("times"))))
     join = left["id"].eqNullSafe(result["id"]) & (left["version"] == result["version"])
     return left.join(result, join, "left").select(
         left["id"], left["version"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")

@@ -92,7 +92,9 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return judged.select("doc_id", "n_shingles", "component_id", "kept")
+    # Rows that repeat the doc_id of a component are its first document by number, whatever their text.
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return judged.select("doc_id", "n_shingles", "component_id", kept)
 
 
 def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,10 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
-def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast if the (stored) table holds at most ``rows`` rows; beyond, Spark plans a shuffled join."""
-    return F.broadcast(df) if df.count() <= rows else df
+def broadcast_up_to(df: DataFrame, rows: int, entries: str | None = None) -> DataFrame:
+    """Hint a broadcast if the (stored) table holds at most ``rows`` rows; beyond, Spark plans a shuffled join.
+
+    ``entries`` names an array column whose entries count as rows, so that long arrays are not broadcast unseen.
+    """
+    weight = F.size(entries) + 1 if entries else F.lit(1)
+    return F.broadcast(df) if (df.agg(F.sum(weight.cast("long"))).first()[0] or 0) <= rows else df

@@ -30,6 +30,13 @@ def brute_force(rows, items, width=13):
     return out
 
 
+def test_rows_that_repeat_get_a_result_each(spark):
+    bench = spark.createDataFrame([(1, " ".join(prose(0, 20)), 5), (2, "\u212aelvin \u0130s Short", 5)], ITEMS)
+    rows = [(1, " ".join(prose(0, 20)))] * 3 + [(1, "clean text")] * 2 + [(None, None)] * 2 + [(2, "\u212aelvin \u0130s sHORT"), (3, "kelvin is short")]
+    got = [(r.id, r.n_words, r.n_hit) for r in contamination(docs(spark, rows).repartition(4), bench).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [(1, 20, 20)] * 3 + [(1, 2, 0)] * 2 + [(None, 0, 0)] * 2 + [(2, 3, 3), (3, 3, 0)]))
+
+
 def test_against_brute_force(spark):
     long, other = prose(0, 60), prose(1, 30)
     items = [(1, " ".join(long)), (2, "Short item, of six words!"), (3, "one"), (4, None), (5, ""), (6, " ".join(long[20:45])), (7, " ".join(other)), (7, " ".join(other)), (None, "none")]
