@@ -32,10 +32,12 @@ def running_total(
     *,
     total: str | None = None,
     slices: int | None = None,
+    slice_column: str | None = None,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows of the group (0 for the first).
 
-    ``total`` names a further column with the sum over the whole group. NULL is a group too.
+    ``total`` names a further column with the sum over the whole group, ``slice_column`` one with the number of the slice
+    (slices follow the order). NULL is a group too.
     Rows equal in ``order`` are told apart by their arrival, so even a group of identical rows is spread
     over slices; give rows with such copies as a scan, or a narrow function of one, so that a repeated
     task finds them in the same order. The sliced rows are written once while this is called, because both passes
@@ -63,6 +65,8 @@ def running_total(
     added = [(F.col("_start") + F.col("_within")).alias(out)]
     if total:
         added.append(F.col("_group_total").alias(total))
+    if slice_column:
+        added.append(F.col("w._slice").alias(slice_column))
     same = [F.col(f"w.{k}").eqNullSafe(F.col(f"s.{k}")) for k in slice_keys]
     joined = stored.alias("w").join(starts.alias("s"), reduce(and_, same))
     return joined.select(*[F.col(f"w.{c}") for c in df.columns], *added)

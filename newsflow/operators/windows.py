@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import times
-from .totals import running_total
+from .rotation import greedy_files
 
 # --- fixed values -----------------------------------------------------------------------------
 DEFAULT_MAX_OBJECT_BYTES = 512_000_000
@@ -37,11 +37,11 @@ def rotate_files(
     max_object_bytes: int = DEFAULT_MAX_OBJECT_BYTES,
     order: tuple[str, ...] = ("ingest_ts", "news_id", "pos"),
     slices: int | None = None,
+    opened: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``file_seq``: which file of its window a row belongs to, counting from 0.
 
-    The number of whole files filled by the earlier rows of the window, so a row that starts below a
-    file's limit may end beyond it, by one row at most.
+    A file is closed by the first row that finds ``max_object_bytes`` in it, so it ends beyond the limit by less than one
+    row. ``opened`` (part, file_seq, bytes) continues files of earlier runs.
     """
-    counted = running_total(windowed, ["part"], order, "bytes", "bytes_before", slices=slices)
-    return counted.withColumn("file_seq", F.expr(f"bytes_before div {int(max_object_bytes)}"))
+    return greedy_files(windowed, "part", order, "bytes", max_object_bytes, slices=slices, opened=opened)

@@ -174,10 +174,14 @@ def _label(start: str, minutes: int) -> str:
     return f"strftime({start},'%Y%m%d_%H%M')||'-'||strftime({end},'%Y%m%d_%H%M')"
 
 
+# The writer row by row: a file is closed by the first row that finds the limit reached.
 _ROTATED = f"""{_records("documents", _SUMMARY)}, sized AS (SELECT key, pos, ts, {_LINE} AS line, {_window(30)} AS start FROM record),
     measured AS (SELECT key AS news_id, pos, ts, start, {_label("start", 30)} AS part, {_LINE_BYTES} AS bytes FROM sized),
-    rotated AS (SELECT *, CAST(coalesce(sum(bytes) OVER (PARTITION BY part ORDER BY ts, news_id, pos
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS BIGINT) AS bytes_before FROM measured)"""
+    ranked AS (SELECT *, row_number() OVER w AS rn, CAST(coalesce(sum(bytes) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS BIGINT) AS bytes_before
+      FROM measured WINDOW w AS (PARTITION BY part ORDER BY ts, news_id, pos)),
+    rotated AS (SELECT *, CAST(0 AS BIGINT) AS file_seq, CAST(bytes AS BIGINT) AS held FROM ranked WHERE rn = 1 UNION ALL
+      SELECT r.*, CASE WHEN f.held >= 20000 THEN f.file_seq + 1 ELSE f.file_seq END, CASE WHEN f.held >= 20000 THEN r.bytes ELSE f.held + r.bytes END
+      FROM rotated f JOIN ranked r ON r.part = f.part AND r.rn = f.rn + 1)"""
 
 
 def _text(value: str) -> str:
@@ -261,10 +265,9 @@ ORACLE: dict[str, str] = {
     "assign_windows": f"""SELECT event_id, strftime({_window(30)},'%Y-%m-%d') AS ingest_dt, strftime({_window(30)},'%H') AS hour,
         {_label(f"({_window(30)})", 30)} AS part, epoch_ms({_window(45)}) AS start_45,
         {_label(f"({_window(45)})", 45)} AS part_45, {_label("date_trunc('hour',ts)", 120)} AS part_120 FROM events""",
-    "rotate_files": f"""WITH {_ROTATED} SELECT news_id, pos, part, bytes, bytes_before,
-        CAST(bytes_before//20000 AS BIGINT) AS file_seq FROM rotated""",
-    "mon_rotation": f"""WITH {_ROTATED} SELECT strftime(start,'%Y-%m-%d') AS ingest_dt, strftime(start,'%H') AS hour, part,
-        CAST(max(bytes_before//20000)+1 AS BIGINT) AS files, count(*) AS records, CAST(sum(bytes) AS BIGINT) AS bytes
+    "rotate_files": f"""WITH RECURSIVE {_ROTATED} SELECT news_id, pos, part, bytes, bytes_before, file_seq FROM rotated""",
+    "mon_rotation": f"""WITH RECURSIVE {_ROTATED} SELECT strftime(start,'%Y-%m-%d') AS ingest_dt, strftime(start,'%H') AS hour, part,
+        CAST(max(file_seq)+1 AS BIGINT) AS files, count(*) AS records, CAST(sum(bytes) AS BIGINT) AS bytes
         FROM rotated GROUP BY ALL""",
     "rewrite_archive": f"""SELECT event_id AS key, CASE event_id%8
         WHEN 1 THEN '{{"timestamp":'||epoch_us(ts)//1000||{_REST}
