@@ -40,6 +40,10 @@ NO_CONTENT = "No content available"
 _TRIM_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
+# Not a length but the rule for it, see ``fallback_limit``.
+WHERE_SUMMARY_FAILED = "where-summary-failed"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -102,6 +106,11 @@ def word_count(c: Column | str) -> Column:
     return F.size(words(c)).cast("bigint")
 
 
+def fallback_limit(chars: int | str | None, called: bool) -> int | None:
+    """Characters that a fallback may have: where no service was called no summary failed, and bodies stay whole."""
+    return (FALLBACK_CHARS if called else None) if chars == WHERE_SUMMARY_FAILED else chars
+
+
 def fallback_content(
     body: Column | str, teaser: Column | str, title: Column | str, chars: int | None = FALLBACK_CHARS
 ) -> Column:

@@ -195,15 +195,15 @@ def migrate(
     policy: enrich.CallPolicy | None = None,
     *,
     html: bool = False,
-    fallback_chars: int | None = tx.FALLBACK_CHARS,
+    fallback_chars: int | str | None = tx.WHERE_SUMMARY_FAILED,
     **options,
 ) -> DataFrame:
     """Usable legacy rows as articles with ``content`` and, with a service, the columns of its calls.
 
     ``html`` sends the raw HTML bodies to the service instead of the cleaned texts; a missing summary falls back to
-    the cleaned text either way.
+    the cleaned text either way, cut to ``fallback_chars``; without a service bodies stay whole.
     """
-    ready = choose_content(clean_articles(usable_legacy(read_legacy(lines))), fallback_chars=fallback_chars)
+    ready = choose_content(clean_articles(usable_legacy(read_legacy(lines))), fallback_chars=tx.fallback_limit(fallback_chars, factory is not None))
     if factory is None:
         return ready
     summarize = enrich.summarize_html if html else enrich.summarize_articles

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import FALLBACK_CHARS
+from ..functions.text import WHERE_SUMMARY_FAILED, fallback_limit
 from ..functions.times import DEFAULT_WINDOW_MINUTES
-from ..operators import enrich, ingest, records, sinks
+from ..operators import enrich, ingest, objects, records, sinks
 from ..session import materialize, run_folder
 
 
@@ -20,13 +20,13 @@ def articles_to_records(
     keep: tuple[str, ...] = (),
     *,
     store_content: bool = False,
-    fallback_chars: int | None = FALLBACK_CHARS,
+    fallback_chars: int | str | None = WHERE_SUMMARY_FAILED,
     **options,
 ) -> DataFrame:
     """Accepted articles to output rows. Without a service every article gets its fallback content.
 
-    ``fallback_chars`` cuts that content, None keeps whole texts. With a service it is worked out first, so that the
-    HTML and the cleaned texts are not carried to the calls.
+    ``fallback_chars`` cuts that content, None keeps whole texts; by default only content that stands for a failed summary
+    is cut. With a service it is worked out first, so that the HTML and the cleaned texts are not carried to the calls.
 
     Every step up to the last works once per article; the fan-out to tickers comes last.
     ``store_content`` writes the articles with their content (but without their bodies) before the
@@ -34,10 +34,10 @@ def articles_to_records(
     range partitioning counts as two readings, because it samples its input first.
     """
     cleaned = records.clean_articles(articles)
+    ready = records.choose_content(cleaned, fallback_chars=fallback_limit(fallback_chars, factory is not None))
     if factory is None:
-        chosen = records.choose_content(cleaned, fallback_chars=fallback_chars)
+        chosen = ready
     else:
-        ready = records.choose_content(cleaned, fallback_chars=fallback_chars)
         needed = (*records.SOURCE_COLUMNS, *keep)
         summarized = enrich.summarize_articles(ready, factory, policy, columns=needed, **options)
         chosen = summarized.withColumn("content", F.coalesce(F.nullif("summary", F.lit("")), "content"))
@@ -57,6 +57,7 @@ def run_batch(
     minutes: int = DEFAULT_WINDOW_MINUTES,
     max_object_bytes: int | None = sinks.DEFAULT_MAX_OBJECT_BYTES,
     slices: int | None = None,
+    writer: str | None = None,
     **options,
 ) -> None:
     """Raw messages (``raw``, optional ``ingest_ts``) to windowed NDJSON and a quarantine table.
@@ -65,7 +66,8 @@ def run_batch(
     article: with rotation the content is stored before the rows are range-partitioned, without it
     (``max_object_bytes=None``) the whole branch is one map-only write. ``batch_id`` names the run: a run of the
     same name replaces what the last one wrote, rejects included. Without it rows are appended. Stored intermediate
-    tables are removed at the end.
+    tables are removed at the end. ``writer`` writes files under names of their own instead (see ``objects``), and a
+    numbered run goes on with the files that the last one left open.
     """
     if "ingest_ts" not in messages.columns:
         messages = messages.withColumn("ingest_ts", F.current_timestamp())
@@ -73,8 +75,12 @@ def run_batch(
     sinks.write_quarantine(ingest.quarantine(parsed), rejects, batch_id)
     with run_folder(messages.sparkSession):
         rows = articles_to_records(
-            ingest.accepted(parsed), factory, policy, ("ingest_ts",), store_content=bool(max_object_bytes), **options
+            ingest.accepted(parsed), factory, policy, ("ingest_ts",), store_content=bool(max_object_bytes or writer), **options
         )
+        if writer:
+            limit, carry = max_object_bytes or sinks.DEFAULT_MAX_OBJECT_BYTES, isinstance(batch_id, int)
+            objects.write_objects(rows, output, writer=writer, minutes=minutes, max_object_bytes=limit, run=batch_id, carry=carry, slices=slices)
+            return
         sinks.write_windowed(
             rows, output, minutes=minutes, max_object_bytes=max_object_bytes, batch_id=batch_id, slices=slices
         )

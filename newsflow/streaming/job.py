@@ -34,7 +34,8 @@ def start(
     """Start the job on a stream with a ``raw`` column; stop it with ``query.stop()``.
 
     ``available_now`` handles what is there and ends. Every batch writes files of its own. By default the write needs
-    no shuffle; ``max_object_bytes`` rotates the files of each batch by size, as the batch job does.
+    no shuffle; ``max_object_bytes`` rotates the files of each batch by size, as the batch job does. With ``writer`` batches
+    fill up the files that earlier ones left open (see ``objects.write_objects``).
     """
     timed = messages.withColumn("ingest_ts", F.current_timestamp())
 
