@@ -8,11 +8,14 @@ overwrite what it reads.
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
 from json.decoder import scanstring
+from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +23,11 @@ from .. import schema
 from ..functions import json_values as jv
 from ..functions import text as tx
 from ..functions import times
+from ..session import materialize
 from ..sources.files import ARCHIVE_GLOB, list_archive, parse_lines, read_archive
 from . import enrich
 from .ingest import read_fields, seal
+from .objects import PART_MARK, write_keyed
 from .records import choose_content, clean_articles, explode_tickers
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -30,6 +35,8 @@ _KEY = r'(?<!\\)"timestamp"\s*+:'
 _KEY_WITH_TEXT = rf'(?<key>{_KEY}\s*+)"(?<iso>[^"\\]*+)"'
 # What locates a line: the columns of ``read_archive``, or a key of its own.
 _LINE_COLUMNS = ("path", "block", "line_no", "key", "line")
+_MANIFEST = "path string, size long, modified timestamp, key string, state string"
+FILES_PER_JOB = 10_000
 # ISO spellings that Spark and Python's datetime read alike.
 _PLAIN_ISO = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ](?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:\.[0-9]{1,6})?"
@@ -150,6 +157,86 @@ def file_keys(spark: SparkSession, source: str, glob: str = ARCHIVE_GLOB) -> Dat
     return list_archive(spark, source, glob).select(_file_key(F.col("path")).alias("file"), "path")
 
 
+def _listing(spark: SparkSession, source: str, glob: str) -> DataFrame:
+    """(path, size, modified, key): the archive files and their paths below ``source``. Reads no content."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(source)
+    found = files.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    return found.withColumn("key", _relative(spark, F.col("path"), source))
+
+
+def _relative(spark: SparkSession, path: Column, source: str) -> Column:
+    """The part of a file's URI below ``source``, as a plain path."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(source)
+    base = re.sub("^file:/+", "file:/", root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().toString())
+    below = F.substring(F.regexp_replace(path, "^file:/+", "file:/"), len(base) + 2, 1 << 20)
+    return F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B")))
+
+
+def manifest(spark: SparkSession, target: str) -> DataFrame | None:
+    """The files that ``rewrite_changed`` has dealt with, of the last run that finished: path, size, modified, key, state."""
+    last = _last_version(spark, target)
+    return spark.read.schema(_MANIFEST).parquet(f"{target}/_manifest/v={last}") if last else None
+
+
+def _last_version(spark: SparkSession, target: str) -> int:
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_manifest")
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return 0
+    versions = [s.getPath() for s in system.listStatus(root)]
+    done = [int(p.getName()[2:]) for p in versions if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max(done, default=0)
+
+
+def rewrite_changed(spark: SparkSession, source: str, target: str, glob: str = ARCHIVE_GLOB) -> DataFrame:
+    """Rewrite the files below ``source`` that are new or changed since the last run, each under its own path below ``target``.
+
+    Returns the manifest of this run: ``state`` is ``rewritten``, ``unchanged``, or ``gone`` for a file that the source no longer has (its
+    rewritten form stays). Map-only; a file of several splits becomes one file per split, ``<name>.at-<offset>.<ending>``, which
+    sort in order. Rewritten files appear when all of a job's files are complete, and the manifest is committed after them: if
+    a run stops between, the next one rewrites the same files once more, with the same result.
+    """
+    listed = materialize(_listing(spark, source, glob), "archive-files")
+    known = manifest(spark, target)
+    known = materialize(known.filter("state <> 'gone'").drop("state"), "known-files") if known is not None else listed.limit(0)
+    same = ["path", "size", "modified"]
+    changed = materialize(listed.join(known, same, "left_anti").orderBy("path"), "changed-files")
+    # Names only, and so many files at a time.
+    for batch in _batches(changed.select("path").toLocalIterator(prefetchPartitions=True), FILES_PER_JOB):
+        _rewrite_files(spark, batch, source, target)
+    fresh = changed.select(*same, "key", F.lit("rewritten").alias("state"))
+    kept = listed.join(known.select(*same), same, "left_semi").select(*same, "key", F.lit("unchanged").alias("state"))
+    gone = known.join(listed.select("path"), "path", "left_anti").select(*same, "key", F.lit("gone").alias("state"))
+    version = _last_version(spark, target) + 1
+    fresh.union(kept).union(gone).write.mode("overwrite").parquet(f"{target}/_manifest/v={version}")
+    return manifest(spark, target)
+
+
+def _batches(rows: Iterable[Row], size: int) -> Iterator[list[str]]:
+    batch = []
+    for row in rows:
+        batch.append(row.path)
+        if len(batch) == size:
+            yield batch
+            batch = []
+    if batch:
+        yield batch
+
+
+def _rewrite_files(spark: SparkSession, paths: list[str], source: str, target: str) -> None:
+    names = [unquote(p) for p in paths]
+    lines = spark.read.option("lineSep", "\n").text(names).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        (F.col("_metadata.file_block_length") < F.col("_metadata.file_size")).alias("is_split"),
+        F.col("value").alias("line"),
+    )
+    own = _relative(spark, F.col("path"), source)
+    part = F.regexp_replace(own, r"\.([^./]*)$", F.concat(F.lit(PART_MARK), F.lpad(F.col("block").cast("string"), 15, "0"), F.lit(".$1")))
+    key = F.when(F.col("is_split"), part).otherwise(own)
+    write_keyed(rewrite_lines(lines).select(key.alias("key"), "line"), target)
+
+
 def read_legacy(lines: DataFrame) -> DataFrame:
     """Legacy rows (one ticker, HTML ``body``) typed as articles; ``reason`` says why one is unusable, else NULL.
 

@@ -55,10 +55,11 @@ def seal(df: DataFrame, keep: list[str], columns: list[Column]) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*columns))))
 
 
-def read_fields(df: DataFrame, values: dict[str, Column], kinds: dict[str, str]) -> DataFrame:
+def read_fields(df: DataFrame, values: dict[str, Column], kinds: dict[str, str], paths: dict[str, str] | None = None, required: tuple[str, ...] = ()) -> DataFrame:
     """Add one typed column per VARIANT of ``values``, and ``wrong_type``: some value was rejected.
 
-    ``kinds`` says what each holds: text, integer, time, texts (list of text) or list (of anything).
+    ``kinds`` says what each holds: text, integer, time, texts (list of text) or list (of anything). With ``paths`` the
+    column ``errors`` lists the rejected fields, and those of ``required`` that are missing.
     """
     scalars = [name for name, kind in kinds.items() if kind not in ("texts", "list")]
     items = {name: jv.Sent(F.col(f"_kind_{name}"), F.col(f"_text_{name}")) for name in scalars}
@@ -67,6 +68,7 @@ def read_fields(df: DataFrame, values: dict[str, Column], kinds: dict[str, str])
         "*",
         *[sent[n].kind.alias(f"_kind_{n}") for n in scalars],
         *[sent[n].text.alias(f"_text_{n}") for n in scalars],
+        *[jv.kind(values[n]).alias(f"_kind_{n}") for n, kind in kinds.items() if kind == "texts" and paths],
         *[jv.lax_strings(values[n]).alias(n) for n, kind in kinds.items() if kind == "texts"],
         *[jv.coerce_list(values[n]).alias(n) for n, kind in kinds.items() if kind == "list"],
     )
@@ -79,16 +81,27 @@ def read_fields(df: DataFrame, values: dict[str, Column], kinds: dict[str, str])
         *[jv.lax_timestamp(items[n], F.col(f"_number_{n}")).alias(n) for n in times],
     )
     # Sent, but not of the wanted type; lists have no NULL result otherwise.
-    wrong = [f"(`_kind_{n}` != 'VOID' AND `{n}` IS NULL)" for n in scalars]
-    wrong += [f"`{n}` IS NULL" for n, kind in kinds.items() if kind == "texts"]
-    return typed.select(*df.columns, *kinds, F.coalesce(F.expr(" OR ".join(wrong)), F.lit(False)).alias("wrong_type"))
+    wrong = {n: f"(`_kind_{n}` != 'VOID' AND `{n}` IS NULL)" for n in scalars}
+    wrong |= {n: f"`{n}` IS NULL" for n, kind in kinds.items() if kind == "texts"}
+    wrong_type = F.coalesce(F.expr(" OR ".join(wrong.values())), F.lit(False)).alias("wrong_type")
+    if not paths:
+        return typed.select(*df.columns, *kinds, wrong_type)
+    found = [F.when(F.expr(f"`{n}` IS NULL" if n in required else text), _error(paths[n], F.col(f"_kind_{n}"), kinds[n])) for n, text in wrong.items()]
+    return typed.select(*df.columns, *kinds, wrong_type, F.array_compact(F.array(*found)).alias("errors"))
+
+
+def _error(path: str, kind: Column, wanted: str) -> Column:
+    """What was sent for a field, by its kind alone (STRING, not its length), and what was wanted."""
+    sent = F.coalesce(F.nullif(F.regexp_extract(kind, "^[A-Z]+", 0), F.lit("VOID")), F.lit("missing"))
+    return F.struct(F.lit(path).alias("field"), sent.alias("sent"), F.lit(wanted).alias("wanted"))
 
 
 def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Add the typed message columns, ``tickers`` and ``reason`` (NULL for an accepted message).
+    """Add the typed message columns, ``tickers``, ``reason`` (NULL for an accepted message) and ``errors``.
 
     Keeps all rows and all columns of ``df``. A present optional field of the wrong type rejects the
-    whole message, as does a missing required one. Values are read only once the JSON is valid.
+    whole message, as does a missing required one. Values are read only once the JSON is valid. ``errors`` lists, for a message
+    that failed validation, every field at fault: its path, the kind that was sent, and the kind that was wanted.
     """
     kept = [F.col(c) for c in df.columns]
     decoded = df.select(*kept, jv.parse_json(F.col(raw)).alias("_value"))
@@ -97,9 +110,11 @@ def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
         *kept,
         F.when(F.col("_value").isNull(), F.when(jv.beyond_parser(F.col(raw)), schema.TOO_LARGE).otherwise(schema.DECODE_FAILED)).alias("_undecoded"),
         F.try_variant_get("_value", "$", _SHAPE).alias("_msg"),
+        jv.kind(F.col("_value")).alias("_whole"),
     )
     values = {name: F.col(f"_msg.{path}") for name, (path, _) in _FIELDS.items()}
-    typed = read_fields(shaped, values, {name: kind for name, (_, kind) in _FIELDS.items()})
+    kinds, paths = ({name: field[k] for name, field in _FIELDS.items()} for k in (1, 0))
+    typed = read_fields(shaped, values, kinds, paths, _REQUIRED)
     invalid = F.col("_msg.data.content").isNull() | F.col("wrong_type")
     for name in _REQUIRED:
         invalid = invalid | F.col(name).isNull()
@@ -108,15 +123,17 @@ def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
         .when(invalid, F.lit(schema.VALIDATION_FAILED))
         .when(F.size("tickers") == 0, F.lit(schema.NO_SECURITIES))
     )
-    found = typed.withColumn("tickers", tickers_of(F.col("securities")))
-    return seal(found, df.columns, [*[F.col(n) for n in _FIELDS], F.col("tickers"), reason.alias("reason")])
+    no_content = F.when(F.col("_msg.data.content").isNull(), _error("data.content", F.lit("VOID"), "object"))
+    listed = F.when(F.col("_msg").isNull(), F.array(_error("$", F.col("_whole"), "object"))).otherwise(F.array_compact(F.concat("errors", F.array(no_content))))
+    found = typed.select("*", tickers_of(F.col("securities")).alias("tickers"), F.when(F.col("_undecoded").isNull() & invalid, listed).alias("_listed"))
+    return seal(found, df.columns, [*[F.col(n) for n in _FIELDS], F.col("tickers"), reason.alias("reason"), F.col("_listed").alias("errors")])
 
 
 def accepted(parsed: DataFrame, raw: str = "raw") -> DataFrame:
     """Articles that go on: valid, with at least one ticker. Apply before any cleaning or summary."""
-    return parsed.where(F.col("reason").isNull()).drop(raw, "reason")
+    return parsed.where(F.col("reason").isNull()).drop(raw, "reason", "errors")
 
 
 def quarantine(parsed: DataFrame, raw: str = "raw") -> DataFrame:
-    """Messages that were left out, with the reason; nothing is lost silently."""
-    return parsed.where(F.col("reason").isNotNull()).select(F.col(raw).alias("raw"), "reason")
+    """Messages that were left out, with the reason and the fields at fault; nothing is lost silently."""
+    return parsed.where(F.col("reason").isNotNull()).select(F.col(raw).alias("raw"), "reason", "errors")

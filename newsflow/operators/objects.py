@@ -14,6 +14,7 @@ to the limit.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,6 +36,7 @@ MARKER = "uploading.marker"
 FILE_NAME = "{writer}-seq={seq:06d}{piece}.ndjson"
 # ----------------------------------------------------------------------------------------------
 STAGING, MANIFESTS = "_staging", "_manifests"
+PART_MARK = ".at-"  # before the offset of a part of a larger file
 _COLUMNS = "prefix string, file_seq long, line string"
 
 
@@ -81,6 +83,8 @@ class ObjectWriter(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str]):
         self.uri, self.name, self.run = options["path"], options["name"], options["run"]
         self.carry = options["carry"] == "true"
+        # The folder of a row is the whole name of its file.
+        self.keyed = options.get("keyed") == "true"
 
     def _staging(self) -> str:
         return f"{STAGING}/{self.run}"
@@ -129,10 +133,12 @@ class ObjectWriter(DataSourceArrowWriter):
                 carried = held[prefix][1] if prefix in held and held[prefix][0] == number else 0
                 last[prefix] = [number, size + carried]
         piece = f".{self.run}" if self.carry else ""
-        moves = [[path, f"{prefix}/{FILE_NAME.format(writer=self.name, seq=number + 1, piece=piece)}", size] for prefix, number, path, size in staged]
+        name = lambda prefix, number: prefix if self.keyed else f"{prefix}/{FILE_NAME.format(writer=self.name, seq=number + 1, piece=piece)}"
+        moves = [[path, name(prefix, number), size] for prefix, number, path, size in staged]
         earlier = _read_json(system, _manifest(root, self.run)) or {}
         kept = {to for _, to, _ in moves}
-        note = {"run": self.run, "files": [m[1:] for m in moves], "moves": moves, "gone": [f for f, _ in earlier.get("files", []) if f not in kept], "open": held | last}
+        gone = [f for f, _ in (earlier.get("files", []) if not self.keyed else _other_parts(system, root, kept)) if f not in kept]
+        note = {"run": self.run, "files": [m[1:] for m in moves], "moves": moves, "gone": gone, "open": {} if self.keyed else held | last}
         _write_text(system, f"{_manifest(root, self.run)}.pending", json.dumps(note))
         _finish(system, root, note)
 
@@ -141,6 +147,20 @@ class ObjectWriter(DataSourceArrowWriter):
         _delete(system, f"{root}/{self._staging()}")
 
 
+def _whole(key: str) -> str:
+    return re.sub(re.escape(PART_MARK) + r"\d{15}(\.[^./]*)$", r"\1", key)
+
+
+def _other_parts(system: fs.FileSystem, root: str, keys: set[str]) -> Iterator[tuple[str, int]]:
+    """Files of the same wholes as ``keys``: what is left of an earlier form that had other parts."""
+    wholes = {_whole(k) for k in keys}
+    for folder in sorted({k.rpartition("/")[0] for k in keys}):
+        for found in system.get_file_info(fs.FileSelector(f"{root}/{folder}", allow_not_found=True)):
+            key = f"{folder}/{found.base_name}".lstrip("/")
+            if found.type == fs.FileType.File and _whole(key) in wholes:
+                yield key, found.size
+
+
 def _delete(system: fs.FileSystem, path: str) -> None:
     kind = system.get_file_info(path).type
     if kind == fs.FileType.Directory:
@@ -166,7 +186,7 @@ def _manifest_before(system: fs.FileSystem, root: str, run: str) -> dict | None:
 
 def _finish(system: fs.FileSystem, root: str, note: dict) -> None:
     """Make the files of a note visible. May be repeated: files that are moved already are left alone."""
-    folders = sorted({to.rsplit("/", 1)[0] for _, to, _ in note["moves"]})
+    folders = sorted({to.rpartition("/")[0] or "." for _, to, _ in note["moves"]})
     for folder in folders:
         _write_text(system, f"{root}/{folder}/{MARKER}", "")
     for path, to, _ in note["moves"]:
@@ -230,6 +250,17 @@ def write_objects(
     files.select("prefix", "file_seq", "line").write.format(ObjectFiles.name()).options(**options).mode("append").save()
 
 
+def write_keyed(rows: DataFrame, uri: str) -> None:
+    """Write (key, line) rows as one file per ``key``, a path below ``uri``, in the order they are in; all rows of a key must be in
+    one task and follow each other. Files that are there already are replaced, each as a whole."""
+    rows.sparkSession.dataSource.register(ObjectFiles)
+    recover(uri)
+    run = uuid.uuid4().hex
+    options = {"path": uri, "name": run, "run": run, "carry": "false", "keyed": "true"}
+    shaped = rows.select(F.col("key").alias("prefix"), F.lit(0).cast("long").alias("file_seq"), "line")
+    shaped.write.format(ObjectFiles.name()).options(**options).mode("append").save()
+
+
 def read_objects(spark: SparkSession, uri: str) -> DataFrame:
     """Written records with the ``part`` and ``file_seq`` that their path names."""
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.RECORD.fields)

@@ -214,6 +214,10 @@ ORACLE: dict[str, str] = {
     "validate_split": f"WITH {_articles('documents')} SELECT key, {_OUTCOME} AS outcome FROM article",
     "quarantine_counts": f"""WITH {_articles("documents")} SELECT {_OUTCOME} AS reason, count(*) AS messages FROM article
         WHERE {_OUTCOME} <> 'accepted' GROUP BY 1""",
+    "quarantine_errors": f"""WITH {_articles("documents")} SELECT 'validation-failed' AS reason, field, sent, wanted, count(*) AS messages
+        FROM article JOIN (VALUES (1,'$','BIGINT','object'), (11,'$','ARRAY','object'), (2,'data.id','missing','integer'), (3,'data.content.type','BIGINT','text'),
+        (6,'data.id','DECIMAL','integer'), (8,'data.content.revision_id','STRING','integer'), (9,'data.timestamp','STRING','time')) AS e(k, field, sent, wanted)
+        ON k = key%16 GROUP BY ALL""",
     "typed_messages": f"""WITH {_articles("documents")} SELECT key, 'websocket/v1' AS api_version, 'News/v1' AS kind,
         CASE WHEN key%16<>5 THEN CASE key%4 WHEN 0 THEN 'Created' WHEN 1 THEN 'Updated' WHEN 2 THEN '' END END AS action,
         'story' AS type, body, CASE WHEN key%16=4 THEN 'u' ELSE url END AS url, array_to_string(authors,'|') AS authors,
@@ -279,6 +283,8 @@ ORACLE: dict[str, str] = {
         ELSE '{{"timestamp":'||{_MILLIS}||{_REST} END AS line FROM events""",
     "lenient_lines": """SELECT event_id AS key, CAST(event_id%8<>5 AS BIGINT) AS is_json FROM events
         WHERE event_id%8<>7""",
+    "bad_line_numbers": """SELECT file, line_number FROM (SELECT event_id%8 AS kind, event_id%3 AS file, row_number() OVER (PARTITION BY event_id%3
+        ORDER BY event_id) AS line_number FROM events) WHERE kind=5""",
     "legacy_backfill": f"WITH {_legacy(_SUMMARY)} {_BACKFILLED}",
     "legacy_backfill_html": f"WITH {_legacy(_SUMMARY.replace(_lead('body_clean', 200), _lead('body', 200)))} {_BACKFILLED}",
     "migration_failures": """SELECT source AS path, doc_id AS key, CASE doc_id%10 WHEN 0 THEN 'decode-failed' WHEN 1 THEN

@@ -6,6 +6,8 @@ with ``|`` and timestamps shown as epoch milliseconds, so that both engines give
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ from ..functions import prompts, times
 from ..functions import text as tx
 from ..functions.tickers import primary_ticker
 from ..operators import archive, enrich, ingest, monitor, records, windows
-from ..session import materialize
-from ..sources import parse_lines
+from ..session import materialize, shared_dir
+from ..sources import bad_lines, number_lines, parse_lines, read_archive
 from . import pipeline
 from . import sample_messages as sample
 
@@ -77,6 +79,12 @@ def quarantine_counts(spark, sf_dir):
     return rejects.groupBy("reason").agg(F.count("*").alias("messages"))
 
 
+def quarantine_errors(spark, sf_dir):
+    rejects = ingest.quarantine(ingest.parse_messages(sample.faulty_messages(spark, sf_dir, "documents")))
+    errors = rejects.select("reason", F.explode("errors").alias("e")).select("reason", "e.*")
+    return errors.groupBy("reason", "field", "sent", "wanted").agg(F.count("*").alias("messages"))
+
+
 def typed_messages(spark, sf_dir):
     parsed = ingest.accepted(ingest.parse_messages(sample.faulty_messages(spark, sf_dir, "documents")))
     return parsed.select(
@@ -253,6 +261,15 @@ def lenient_lines(spark, sf_dir):
     return parsed.select("key", F.col("value").isNotNull().cast("bigint").alias("is_json"))
 
 
+def bad_line_numbers(spark, sf_dir):
+    """Archive files of the events, three of them; every line that is not JSON with its file and number."""
+    lines = sample.archive_lines(spark, sf_dir).select("line", "key", (F.col("key") % 3).alias("file"))
+    folder = f"{shared_dir(spark)}/archive-{uuid.uuid4().hex}"
+    lines.repartition("file").sortWithinPartitions("file", "key").select("file", "line").write.partitionBy("file").option("lineSep", "\n").text(folder)
+    bad = bad_lines(parse_lines(number_lines(read_archive(spark, folder))))
+    return bad.select(F.regexp_extract("path", r"/file=(\d+)/", 1).cast("bigint").alias("file"), "line_number")
+
+
 def _backfilled(spark, sf_dir, text: Column, **options) -> DataFrame:
     rows = archive.backfill(sample.legacy_lines(spark, sf_dir), _SERVICE, _POLICY, text=text, **options)
     return rows.select("path", "news_id", "ticker", "timestamp", "action", "title", "content", _joined("authors"))
@@ -379,6 +396,7 @@ def mon_cost(spark, sf_dir):
 QUERIES = {
     "validate_split": validate_split,
     "quarantine_counts": quarantine_counts,
+    "quarantine_errors": quarantine_errors,
     "typed_messages": typed_messages,
     "coerce_lists": coerce_lists,
     "extract_symbols": extract_symbols,
@@ -403,6 +421,7 @@ QUERIES = {
     "rotate_files": rotate_files,
     "rewrite_archive": rewrite_archive,
     "lenient_lines": lenient_lines,
+    "bad_line_numbers": bad_line_numbers,
     "legacy_backfill": legacy_backfill,
     "legacy_backfill_html": legacy_backfill_html,
     "migration_failures": migration_failures,

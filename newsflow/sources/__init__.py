@@ -3,6 +3,7 @@
 from .files import (
     bad_lines,
     list_archive,
+    number_lines,
     parse_lines,
     read_archive,
     read_messages,
@@ -13,6 +14,7 @@ from .files import (
 __all__ = [
     "bad_lines",
     "list_archive",
+    "number_lines",
     "parse_lines",
     "read_archive",
     "read_messages",

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import json_values as jv
 from ..functions.text import is_blank, strip
+from ..session import materialize
 
 # The archives, and what this package writes.
 ARCHIVE_GLOB = "*.{ndjson,txt}"
+# Splits of all files up to this number are broadcast; beyond, the join is shuffled.
+BROADCAST_SPLITS = 500_000
 
 
 def read_messages(spark: SparkSession, uri: str) -> DataFrame:
@@ -43,6 +46,21 @@ def read_archive(spark: SparkSession, uri: str, glob: str = ARCHIVE_GLOB) -> Dat
     )
 
 
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Add ``line_number``: where a line stands in its file, counted from 1 with blank lines, to what ``read_archive`` gives.
+
+    Two passes over the files, none of which takes a file as a whole: the splits' numbers of lines are summed up first
+    (one row per split), then each line adds its place in its split. Keep all lines up to here.
+    """
+    splits = lines.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("line_no").alias("first"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialize(splits.select("path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "line-starts")
+    if starts.count() <= BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
+    number = F.col("start") + F.col("line_no") - F.col("first") + 1
+    return lines.join(starts, ["path", "block"]).select(*lines.columns, number.alias("line_number"))
+
+
 def list_archive(spark: SparkSession, uri: str, glob: str = ARCHIVE_GLOB) -> DataFrame:
     """Paths of the archive files in order. Lists the files without reading their content."""
     files = (
@@ -58,7 +76,7 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def bad_lines(parsed: DataFrame) -> DataFrame:
-    """Lines that are not JSON, with where they stand."""
+    """Lines that are not JSON, with where they stand: all columns of the lines, see ``number_lines``."""
     return parsed.where(F.col("value").isNull()).drop("value")
 
 

@@ -168,3 +168,26 @@ def test_timestamps(spark):
 def test_message_beyond_the_parser_has_its_own_reason(spark):
     rows = ingest.parse_messages(frame(spark, message(body="x" * 20_500_000), message(body="x" * 1000))).select("reason").collect()
     assert [r.reason for r in rows] == ["too-large", None]
+
+
+ERRORS = [
+    (message(), None),
+    ("{bad", None),
+    (message(securities=[]), None),
+    ("5", [("$", "BIGINT", "object")]),
+    ('{"data":7}', [("data.id", "missing", "integer"), ("data.timestamp", "missing", "time"), ("data.content", "missing", "object")]),
+    (message({"content": DROP}), [("data.content", "missing", "object")]),
+    (message({"id": DROP}), [("data.id", "missing", "integer")]),
+    (message({"id": None, "timestamp": True}), [("data.id", "missing", "integer"), ("data.timestamp", "BOOLEAN", "time")]),
+    (message({"id": 1.5}, title=5, authors=[5, "A"]), [("data.id", "DECIMAL", "integer"), ("data.content.title", "BIGINT", "text"), ("data.content.authors", "ARRAY", "texts")]),
+    (message(channels={"a": 1}), [("data.content.channels", "OBJECT", "texts")]),
+]
+
+
+def test_errors_name_every_field_at_fault(spark):
+    frames = frame(spark, *[raw for raw, _ in ERRORS])
+    rows = ingest.parse_messages(frames).select("raw", "reason", "errors").collect()
+    got = {r.raw: r["errors"] and {tuple(e) for e in r["errors"]} for r in rows}
+    assert got == {raw: errors and set(errors) for raw, errors in ERRORS}
+    kept = ingest.quarantine(ingest.parse_messages(frames)).collect()
+    assert all((r["errors"] is not None) == (r.reason == VALIDATION_FAILED) for r in kept)
