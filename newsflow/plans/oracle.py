@@ -318,6 +318,12 @@ ORACLE: dict[str, str] = {
     "mon_errors": f"""WITH {_LOG} SELECT logger, event, count(*) AS total, count(*) FILTER (level='ERROR') AS errors,
         count(*) FILTER (event_type='error') AS throttled, count(*) FILTER (event='ws-error') AS reconnects FROM log
         WHERE level IN ('WARNING','ERROR') GROUP BY logger, event""",
+    "mon_log_counts": f"""WITH {_LOG}, o AS (SELECT event, count(*) AS outcomes FROM log
+        WHERE event IN ('article-summarized','article-summarization-failed','summarization-failed') GROUP BY event),
+        e AS (SELECT logger, event, count(*) AS total, count(*) FILTER (level='ERROR') AS errors, count(*) FILTER (event_type='error') AS throttled,
+        count(*) FILTER (event='ws-error') AS reconnects FROM log WHERE level IN ('WARNING','ERROR') GROUP BY logger, event) SELECT * FROM e LEFT JOIN o USING (event)""",
+    "mon_latency_rollup": """SELECT epoch_ms(date_trunc('day',ts)) AS start_ms, count(*) AS n, max(value) AS highest, round(avg(value),6) AS mean,
+        quantile_disc(value,0.5) AS p50, quantile_disc(value,0.99) AS p99 FROM events WHERE value IS NOT NULL GROUP BY 1""",
     "mon_latency": """SELECT nullif(event_type,'signup') AS event_type, count(value) AS n, round(quantile_cont(value,0.5),6) AS p50,
         round(quantile_cont(value,0.99),6) AS p99 FROM events GROUP BY 1""",
     "mon_lag": """WITH l AS (SELECT strftime(ts,'%Y-%m-%d') AS day, CAST(floor(value*1000) AS BIGINT) AS lag FROM events)

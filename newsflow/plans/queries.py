@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import prompts, times
 from ..functions import text as tx
 from ..functions.tickers import primary_ticker
-from ..operators import archive, enrich, ingest, monitor, records, windows
+from ..operators import archive, enrich, ingest, monitor, records, rollups, windows
 from ..session import materialize, shared_dir
 from ..sources import bad_lines, number_lines, parse_lines, read_archive
 from . import pipeline
@@ -378,6 +378,19 @@ def mon_lag_windows(spark, sf_dir):
     return found.select(F.unix_millis("window").alias("window_ms"), "n", *rounded, "max_lag_ms")
 
 
+def mon_latency_rollup(spark, sf_dir):
+    """Sketches per minute, merged to hours and then to days."""
+    minutes = rollups.distributions(_elapsed(spark, sf_dir), "ts", "elapsed_ms", ("event_type",))
+    hours = rollups.rolled_up(minutes, ("event_type",), "1 hour")
+    days = rollups.quantiles(rollups.rolled_up(hours, (), "1 day"), {"p50": 0.5, "p99": 0.99})
+    return days.select(F.unix_millis("start").alias("start_ms"), "n", "highest", F.round("mean", 6).alias("mean"), "p50", "p99")
+
+
+def mon_log_counts(spark, sf_dir):
+    counts = rollups.log_counts(monitor.log_fields(sample.service_logs(spark, sf_dir)))
+    return rollups.errors(counts).join(rollups.outcomes(counts).withColumnRenamed("total", "outcomes"), "event", "left")
+
+
 def mon_cost(spark, sf_dir):
     docs = sample.table(spark, sf_dir, "documents")
     count = tx.word_count("text")
@@ -437,6 +450,8 @@ QUERIES = {
     "mon_latency": mon_latency,
     "mon_lag": mon_lag,
     "mon_lag_windows": mon_lag_windows,
+    "mon_latency_rollup": mon_latency_rollup,
+    "mon_log_counts": mon_log_counts,
     "mon_rotation": mon_rotation,
     "mon_cost": mon_cost,
 }
