@@ -6,8 +6,8 @@ triangle inequality holds. Distances of all rows to the pivots are computed once
 largest |d(q, p) - d(x, p)| over the pivots is a lower bound of d(q, x). Rows are evaluated in the order of their
 bounds, a batch at a time, until the next bound says that no later row can reach the k-th score so far.
 
-Rows and queries are packed in blocks and every block of queries meets every block of rows: the search itself is over
-all rows. Each meeting returns k rows per query at most, and they are merged per query. The pivots are a fixed number of
+Rows, with their distances to the pivots, and queries are packed in blocks and stored; every block of queries meets every block of
+rows: the search itself is over all rows. Each meeting returns k rows per query at most, and they are merged per query. The pivots are a fixed number of
 rows, the least by a hash, so neither they nor the norm grow with the data.
 
 Defined cases: a vector that is null, or holds a null or a non-finite component, takes no part, neither does a row
@@ -24,12 +24,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsflow.llm.tables import materialize
+
 PIVOTS = 32
 ROWS_PER_BLOCK = 4096
 QUERIES_PER_BLOCK = 512
 FIRST = 64  # candidates evaluated before the first test; doubled from then on
 
-_BLOCK = "dim int, block int, ids binary, vectors binary"
+BROADCAST_BYTES = 32 << 20  # of packed queries
+BLOCKS_PER_TASK = 16
+
+_BLOCK = "dim int, block int, ids binary, vectors binary, distances binary"
+Pivots = dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 def scaled(vectors: DataFrame, factor: int = 1024) -> DataFrame:
@@ -39,26 +45,34 @@ def scaled(vectors: DataFrame, factor: int = 1024) -> DataFrame:
     return vectors.filter(whole).select("vec_id", F.size(x).alias("dim"), F.transform(x, lambda c: F.floor(c.cast("double") * factor).cast("long")).alias("v"))
 
 
-def _blocks(rows: DataFrame, per_block: int) -> DataFrame:
-    """Rows packed in blocks of about ``per_block``, by a hash of the id."""
+def _blocks(rows: DataFrame, per_block: int, pivots: Pivots | None = None, tops: dict[int, float] | None = None) -> tuple[DataFrame, int]:
+    """Rows packed in blocks of about ``per_block``, by a hash of the id, and the number of blocks (per dimension).
+
+    With ``pivots`` the distances of all rows to them are part of the block: the pivot table.
+    """
     count = max(1, -(-rows.count() // per_block))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
 
     def pack(table: pa.Table) -> pa.Table:
         dim = table["dim"][0].as_py()
         ids = table["vec_id"].to_numpy()
-        vectors = table["v"].combine_chunks().flatten().to_numpy().reshape(len(ids), dim)
         order = np.argsort(ids, kind="stable")
+        vectors = np.ascontiguousarray(table["v"].combine_chunks().flatten().to_numpy().reshape(len(ids), dim)[order])
+        distances = b""
+        if pivots is not None:
+            whole = vectors.astype(np.float64)
+            distances = _distances(whole, (whole**2).sum(axis=1), pivots[dim][1], tops[dim]).tobytes()
         return pa.table(
             {
                 "dim": pa.array([dim], pa.int32()),
                 "block": table["block"].slice(0, 1),
                 "ids": [ids[order].tobytes()],
-                "vectors": [np.ascontiguousarray(vectors[order]).tobytes()],
+                "vectors": [vectors.tobytes()],
+                "distances": [distances],
             }
         )
 
-    return rows.withColumn("block", block).groupBy("dim", "block").applyInArrow(pack, _BLOCK)
+    return materialize(rows.withColumn("block", block).groupBy("dim", "block").applyInArrow(pack, _BLOCK), "vector-blocks"), count
 
 
 def _distances(vectors: np.ndarray, norms: np.ndarray, pivots: np.ndarray, top: float) -> np.ndarray:
@@ -72,10 +86,11 @@ def _query_distances(queries: np.ndarray, pivots: np.ndarray, top: float) -> np.
     return np.sqrt(np.maximum((queries**2).sum(axis=1)[:, None] + top - 2 * (queries @ pivots.T), 0))
 
 
-def search_block(q_ids, queries, ids, vectors, pivot_ids, pivots, top, k):
-    """k best (query id, id, score) of one block of rows for each query of one block; see the module's text."""
-    rows = vectors.astype(np.float64)
-    table = _distances(rows, (rows**2).sum(axis=1), pivots, top)
+def search_block(q_ids, queries, ids, vectors, table, pivot_ids, pivots, top, k):
+    """k best (query id, id, score) of one block of rows for each query of one block; see the module's text.
+
+    ``table``: distances of the rows to the pivots.
+    """
     asked = queries.astype(np.float64)
     to_pivots, squares = _query_distances(asked, pivots, top), (asked**2).sum(axis=1)
     seen = queries @ pivots.astype(np.int64).T
@@ -104,13 +119,15 @@ def search_block(q_ids, queries, ids, vectors, pivot_ids, pivots, top, k):
             yield q, one, score
 
 
-def _searcher(pivots: dict[int, tuple[np.ndarray, np.ndarray]], tops: dict[int, float], k: int):
+def _searcher(pivots: Pivots, tops: dict[int, float], k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for dim, q_ids, queries, ids, vectors in zip(*(batch[c].to_pylist() for c in ("dim", "q_ids", "queries", "ids", "vectors")), strict=True):
+            for at in range(batch.num_rows):
+                dim, q_ids, queries, ids, vectors, distances = (batch[c][at].as_py() for c in ("dim", "q_ids", "queries", "ids", "vectors", "distances"))
                 q, one = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64)
                 of_q, of_one = (np.frombuffer(x, np.int64).reshape(len(n), dim) for x, n in ((queries, q), (vectors, one)))
-                found = list(search_block(q, of_q, one, of_one, *pivots[dim], tops[dim], k))
+                table = np.frombuffer(distances).reshape(len(one), -1)
+                found = list(search_block(q, of_q, one, of_one, table, *pivots[dim], tops[dim], k))
                 yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in range(3)], names=["query_id", "vec_id", "score"])
 
     return run
@@ -121,12 +138,28 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, pivots: int = PIVOTS)
     products with the other rows. Jobs run while this is called."""
     square = F.aggregate("v", F.lit(0.0).cast("double"), lambda a, c: a + c.cast("double") * c.cast("double"))
     tops = {r.dim: float(r.top) for r in rows.groupBy("dim").agg(F.max(square).alias("top")).collect()}
-    chosen: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    chosen: Pivots = {}
     for dim in tops:
         least = rows.filter(F.col("dim") == dim).select("vec_id", "v").dropDuplicates(["vec_id"]).orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
         chosen[dim] = (np.array([r.vec_id for r in least]), np.array([r.v for r in least], np.float64).reshape(len(least), dim))
-    queries = _blocks(rows.filter(is_query).groupBy("vec_id", "dim").agg(F.min("v").alias("v")), QUERIES_PER_BLOCK).select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("queries"))
-    meetings = _blocks(rows, ROWS_PER_BLOCK).join(queries, "dim").repartition(F.xxhash64("ids"), F.xxhash64("q_ids"))
-    found = meetings.select("dim", "q_ids", "queries", "ids", "vectors").mapInArrow(_searcher(chosen, tops, k), "query_id long, vec_id long, score long")
+    packed, q_blocks = _blocks(rows.filter(is_query).groupBy("vec_id", "dim").agg(F.min("v").alias("v")), QUERIES_PER_BLOCK)
+    queries = packed.select("dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("queries"))
+    blocks, n_blocks = _blocks(rows, ROWS_PER_BLOCK, chosen, tops)
+    found = _meetings(blocks, n_blocks, queries, q_blocks).select("dim", "q_ids", "queries", "ids", "vectors", "distances")
+    found = found.mapInArrow(_searcher(chosen, tops, k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _meetings(blocks: DataFrame, n_blocks: int, queries: DataFrame, q_blocks: int) -> DataFrame:
+    """Every block of rows with every block of queries of its dimension.
+
+    Queries of few bytes are sent to all tasks, and rows travel once. Beyond that a task gets one block of queries and some blocks of rows.
+    """
+    size = queries.agg(F.sum(F.octet_length("queries") + F.octet_length("q_ids"))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return blocks.repartition(n_blocks, "dim", "block").join(F.broadcast(queries), "dim")
+    salts = -(-n_blocks // BLOCKS_PER_TASK)
+    salted = queries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = blocks.withColumn("salt", F.pmod("block", F.lit(salts))).withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+    return spread.repartition(salts * q_blocks, "dim", "q_block", "salt").join(salted.hint("shuffle_hash"), ["dim", "q_block", "salt"])

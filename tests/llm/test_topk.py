@@ -32,6 +32,14 @@ def test_against_brute_force(spark, monkeypatch):
     assert search(spark, rows, k=3, pivots=4) == brute_force(rows, 3)
 
 
+def test_meetings_without_a_broadcast(spark, monkeypatch):
+    for name, value in (("ROWS_PER_BLOCK", 50), ("QUERIES_PER_BLOCK", 2), ("BROADCAST_BYTES", 0), ("BLOCKS_PER_TASK", 3)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(2)
+    rows = [(k, rng.normal(size=4 + k % 2).tolist()) for k in range(0, 1400, 2)] + [(k, rng.normal(size=4).tolist()) for k in range(1, 400, 2)]
+    assert search(spark, rows) == brute_force(rows, 10)
+
+
 def test_few_rows_and_lengths(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, 1.0]), (100, [1.0]), (101, [2.0]), (200, [])]
     assert search(spark, rows) == brute_force(rows, 10)
@@ -63,6 +71,8 @@ def test_stops_early():
 
     ids = np.arange(5000)
     top = float((vectors.astype(float) ** 2).sum(axis=1).max())
-    got = list(topk.search_block(ids[:1], vectors[:1], ids, vectors.view(Counting), ids[100:132], vectors[100:132].astype(float), top, 10))
+    pivots = vectors[100:132].astype(float)
+    table = topk._distances(vectors.astype(float), (vectors.astype(float) ** 2).sum(axis=1), pivots, top)
+    got = list(topk.search_block(ids[:1], vectors[:1], ids, vectors.view(Counting), table, ids[100:132], pivots, top, 10))
     wanted = sorted(((-int(v @ vectors[0]), i) for i, v in enumerate(vectors) if i), key=lambda x: x)[:10]
     assert [(-int(s), i) for _, i, s in got] == wanted and Counting.seen < 500
