@@ -48,7 +48,8 @@ def greedy_files(
     """
     if limit < 1:
         raise ValueError("a file holds at least one byte")
-    placed = materialize(running_total(df, [window], order, size, "bytes_before", slices=slices, slice_column="_slice"), "placed")
+    # Stored by the running total already; the offsets are read from there as narrow columns.
+    placed = running_total(df, [window], order, size, "bytes_before", slices=slices, slice_column="_slice")
     offsets = placed.select(_key(window).alias("part"), F.col("_slice").cast("long").alias("unit"), F.col("bytes_before").alias("low"))
     begin = _begin(offsets.select("part").distinct(), window, opened)
 
