@@ -11,6 +11,8 @@ summaries before using it twice (``session.materialize``), and pass stored summa
 
 from __future__ import annotations
 
+import random
+import threading
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import prompts
+from .summary_store import SummaryStore
 
 # --- fixed values -----------------------------------------------------------------------------
 RETRYABLE_CODES = ("ThrottlingException", "ServiceUnavailableException", "TooManyRequestsException")
@@ -39,6 +42,8 @@ OUTCOME = T.StructType(
         T.StructField("error_code", T.StringType()),
         T.StructField("model_used", T.StringType()),
         T.StructField("elapsed_ms", T.DoubleType()),
+        T.StructField("throttled", T.LongType()),
+        T.StructField("waited_ms", T.DoubleType()),
     ]
 )
 
@@ -69,11 +74,21 @@ Invoke = Callable[[Request], str]
 
 @dataclass(frozen=True)
 class CallPolicy:
+    """``jitter`` lengthens each wait by a random part of up to that fraction, so that tasks throttled together do not come
+    back together. ``adaptive`` lets each task find out how many open calls the service bears (see ``OpenCalls``).
+    ``max_throttled`` throttled answers per article do not count as attempts: each waits a second for the next."""
+
     model: str = "primary"
     fallback_model: str | None = "fallback"
     max_words: int = prompts.DEFAULT_MAX_WORDS
     max_retries: int = DEFAULT_MAX_RETRIES
     sleep: Callable[[float], None] = time.sleep
+    jitter: float = 0.0
+    adaptive: bool = False
+    max_throttled: int = 0
+
+    def wait(self, seconds: float) -> None:
+        self.sleep(seconds * (1 + self.jitter * random.random()))
 
     def request(self, text: str, model: str | None = None) -> Request:
         return Request(text, model or self.model, self.max_words, prompts.max_tokens(self.max_words))
@@ -81,8 +96,9 @@ class CallPolicy:
 
 def call_service(invoke: Invoke, text: str, policy: CallPolicy) -> Outcome:
     """Call until there is text, the error is final, or the attempts are used up. Never raises."""
-    error = EMPTY_RESPONSE
-    for attempt in range(1, policy.max_retries + 1):
+    error, attempt, spared = EMPTY_RESPONSE, 0, policy.max_throttled
+    while attempt < policy.max_retries:
+        attempt += 1
         try:
             summary = invoke(policy.request(text)).strip()
         except ServiceError as exc:
@@ -91,6 +107,10 @@ def call_service(invoke: Invoke, text: str, policy: CallPolicy) -> Outcome:
                 return _call_second_model(invoke, text, policy, attempt)
             if error not in RETRYABLE_CODES:
                 return Outcome(None, attempt, error, None)
+            if spared:
+                spared, attempt = spared - 1, attempt - 1
+                policy.wait(1)
+                continue
         except Exception as exc:  # one bad article must not fail its task
             error = type(exc).__name__
         else:
@@ -99,7 +119,7 @@ def call_service(invoke: Invoke, text: str, policy: CallPolicy) -> Outcome:
             error = EMPTY_RESPONSE
             continue  # an empty answer is asked again at once
         if attempt < policy.max_retries:
-            policy.sleep(2 ** (attempt - 1))
+            policy.wait(2 ** (attempt - 1))
     return Outcome(None, policy.max_retries, error, None)
 
 
@@ -111,22 +131,78 @@ def _call_second_model(invoke: Invoke, text: str, policy: CallPolicy, attempt: i
     return Outcome(summary or None, attempt, None if summary else EMPTY_RESPONSE, policy.fallback_model)
 
 
+class OpenCalls:
+    """How many calls of a task may be open: one more after each round of answers, half as many after a throttled one.
+
+    Starts with one and never exceeds ``most``. Calls that were open when the limit was halved do not halve it again. Turns
+    are given in the order of asking, so a call waits for those of fewer than ``most`` other threads. A call that
+    sleeps before its next attempt is not open.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.limit, self.open = most, 1.0, 0
+        self._asked = self._started = self._halved_at = 0
+        self._turn = threading.Condition()
+
+    def enter(self) -> int:
+        with self._turn:
+            mine, self._asked = self._asked, self._asked + 1
+            self._turn.wait_for(lambda: self._started == mine and self.open < int(self.limit))
+            self.open += 1
+            self._started += 1
+            self._turn.notify_all()
+            return mine
+
+    def leave(self, number: int, throttled: bool) -> None:
+        with self._turn:
+            self.open -= 1
+            if not throttled:
+                self.limit = min(self.most, self.limit + 1 / self.limit)
+            elif number >= self._halved_at:
+                self.limit, self._halved_at = max(1.0, self.limit / 2), self._started
+            self._turn.notify_all()
+
+
+class _Watched:
+    """A service for one article: its calls take turns, and throttled answers and waits for a turn are counted."""
+
+    def __init__(self, invoke: Invoke, calls: OpenCalls | None):
+        self.invoke, self.calls, self.throttled, self.waited = invoke, calls, 0, 0.0
+
+    def __call__(self, request: Request) -> str:
+        asked = time.perf_counter()
+        number = self.calls.enter() if self.calls else 0
+        self.waited += time.perf_counter() - asked if self.calls else 0
+        throttled = False
+        try:
+            return self.invoke(request)
+        except ServiceError as exc:
+            throttled = exc.code in RETRYABLE_CODES
+            raise
+        finally:
+            self.throttled += throttled
+            if self.calls:
+                self.calls.leave(number, throttled)
+
+
 def call_column(text: Column, factory: Callable[[], Invoke], policy: CallPolicy, calls_per_task: int = 1) -> Column:
     """Struct column with the outcome of one call per row; no call where ``text`` is NULL.
 
-    ``calls_per_task`` calls of a task wait for the service at one time; ``invoke`` must then be thread-safe. Only
-    ``text`` travels to Python. The function counts as nondeterministic, so the optimizer
+    ``calls_per_task`` calls of a task wait for the service at one time, with an adaptive policy at most so many; ``invoke``
+    must then be thread-safe. ``elapsed_ms`` leaves out ``waited_ms``, the wait for a turn. Only ``text`` travels to Python. The function counts as nondeterministic, so the optimizer
     neither repeats it nor moves filters past it.
     """
 
     def summarize(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        invoke = factory()
+        invoke, calls = factory(), OpenCalls(calls_per_task) if policy.adaptive else None
 
         def one(t: str | None) -> tuple:
             if t is None:
-                return None, 0, None, None, None
-            started = time.perf_counter()
-            return *call_service(invoke, t, policy), (time.perf_counter() - started) * 1e3
+                return None, 0, None, None, None, 0, None
+            started, watched = time.perf_counter(), _Watched(invoke, calls)
+            outcome = call_service(watched, t, policy)
+            elapsed = time.perf_counter() - started - watched.waited
+            return *outcome, elapsed * 1e3, watched.throttled, watched.waited * 1e3
 
         with ThreadPoolExecutor(calls_per_task) as pool:
             for texts in batches:
@@ -144,7 +220,7 @@ def summarize_articles(
     text: Column | None = None,
     max_concurrent_calls: int | None = None,
     calls_per_task: int = 1,
-    stored: DataFrame | None = None,
+    stored: DataFrame | SummaryStore | None = None,
     columns: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Add ``summary``, ``prompt_hash`` and the columns of ``OUTCOME`` to cleaned articles.
@@ -153,7 +229,8 @@ def summarize_articles(
     by default the article prompt. ``max_concurrent_calls`` spreads the rows evenly over that many
     partitions, which is the number of calls that can run at one time, and of files a write without
     rotation makes per window; ``calls_per_task`` multiplies them without more partitions. ``stored`` (see
-    ``summary_store``) holds earlier results; a match is used instead of a call. ``columns`` are those of the articles
+    ``summary_store``) holds earlier results; a match is used instead of a call. A table is joined as it is, a ``SummaryStore`` of
+    any size stays where it is. ``columns`` are those of the articles
     that go on (by default all): name them, or the spreading and the match shuffle HTML and cleaned texts as well.
     """
     policy = policy or CallPolicy()
@@ -165,7 +242,9 @@ def summarize_articles(
     teaser = F.when(text.isNull(), F.nullif("teaser_clean", F.lit("")))
     articles = cleaned.select(*columns, text.alias("_text"), teaser.alias("_teaser"))
     articles = articles.withColumn("prompt_hash", F.sha2("_text", 256))
-    if stored is not None:
+    if isinstance(stored, SummaryStore):
+        articles = stored.attach(articles)
+    elif stored is not None:
         known = stored.select(F.col("news_id").alias("id"), "prompt_hash", F.col("summary").alias("_known"))
         articles = articles.join(known, ["id", "prompt_hash"], "left")
     else:
@@ -181,6 +260,8 @@ def summarize_articles(
         "_out.error_code",
         "_out.model_used",
         "_out.elapsed_ms",
+        F.coalesce(F.col("_out.throttled"), F.lit(0)).alias("throttled"),
+        "_out.waited_ms",
     )
 
 

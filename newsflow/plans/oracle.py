@@ -339,3 +339,5 @@ ORACLE: dict[str, str] = {
         SELECT model, calls, tokens_in, tokens_out, round((CASE model WHEN 'small' THEN tokens_in*0.25+tokens_out*1.25
         WHEN 'large' THEN tokens_in*3.0+tokens_out*15.0 END)::DOUBLE/1000000,6) AS cost_usd FROM t""",
 }
+# The same rows, however the summaries are stored.
+ORACLE["store_summaries"] = ORACLE["reused_summaries"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import prompts, times
 from ..functions import text as tx
 from ..functions.tickers import primary_ticker
-from ..operators import archive, enrich, ingest, monitor, records, rollups, windows
+from ..operators import archive, enrich, ingest, monitor, records, rollups, summary_store, windows
 from ..session import materialize, shared_dir
 from ..sources import bad_lines, number_lines, parse_lines, read_archive
 from . import pipeline
@@ -170,6 +170,19 @@ def reused_summaries(spark, sf_dir):
     return done.select("key", "summary", "attempts")
 
 
+def store_summaries(spark, sf_dir):
+    """As ``reused_summaries``, from a bucketed store that was filled in two changes and compacted."""
+    columns, text = ("key", "id"), _cleaned_text()
+    articles = _cleaned(spark, sf_dir, "documents")
+    first = enrich.summarize_articles(articles.where(F.col("key") % 2 == 0), _SERVICE, _POLICY, text=text, columns=columns)
+    made = enrich.summary_store(materialize(first, "summaries"))
+    store = summary_store.create_store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", buckets=8)
+    for half in (0, 2):
+        store.add(made.where(F.col("news_id") % 4 == half))
+    done = enrich.summarize_articles(articles, _SERVICE, _POLICY, text=text, stored=store.compact(), columns=columns)
+    return done.select("key", "summary", "attempts")
+
+
 def article_prompts(spark, sf_dir):
     rows = _with_blank_bodies(spark, sf_dir)
     prompt = prompts.article_prompt(F.col("primary_ticker"), F.col("title"), F.col("body_clean"), F.col("teaser_clean"))
@@ -420,6 +433,7 @@ QUERIES = {
     "summary_routing": summary_routing,
     "summarize_extractive": summarize_extractive,
     "reused_summaries": reused_summaries,
+    "store_summaries": store_summaries,
     "summarized_records": summarized_records,
     "summarized_lines": summarized_lines,
     "prompts": article_prompts,

@@ -80,12 +80,13 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, *by: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return a scan of it.
 
-    Unlike a cache it survives lost executors, and later passes read only the columns they need.
+    Unlike a cache it survives lost executors, and later passes read only the columns they need; of the columns in ``by``
+    each value has files of its own.
     """
     spark = df.sparkSession
     path = f"{_run.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,5 @@
 import os
+import threading
 import time
 import uuid
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsflow.operators import enrich, ingest, records
-from newsflow.operators.enrich import CallPolicy, LeadingSentences, Request, ServiceError, call_service
+from newsflow.operators.enrich import CallPolicy, LeadingSentences, OpenCalls, Request, ServiceError, call_service
 from newsflow.session import materialize
 
 from .messages import frame, message
@@ -208,3 +209,101 @@ class Unsteady:
             return f" {request.model} {request.max_tokens} "
 
         return invoke
+
+
+class Crowded:
+    """Service that turns calls away beyond ``room`` at a time."""
+
+    def __init__(self, room):
+        self.room = room
+
+    def __call__(self):
+        lock, here = threading.Lock(), [0]
+
+        def invoke(request):
+            with lock:
+                here[0] += 1
+                full = here[0] > self.room
+            try:
+                time.sleep(0.01)
+                if full:
+                    raise THROTTLE
+                return "done"
+            finally:
+                with lock:
+                    here[0] -= 1
+
+        return invoke
+
+
+def test_adaptive_calls_find_the_room(spark):
+    articles = cleaned(spark, *[message({"id": k}) for k in range(200)]).coalesce(1)
+    outcomes = {}
+    for adaptive in (False, True):
+        policy = CallPolicy(adaptive=adaptive, max_throttled=20, jitter=0.5, sleep=lambda seconds: time.sleep(seconds / 50))
+        outcomes[adaptive] = by_id(enrich.summarize_articles(articles, Crowded(4), policy, calls_per_task=16))
+    fixed, found = (sum(r.throttled for r in outcomes[a]) for a in (False, True))
+    assert found < fixed / 2
+    assert all(r.summary == "done" for r in outcomes[True])
+    assert all(r.attempts == 1 and r.waited_ms >= 0 for r in outcomes[True])
+    assert all(r.waited_ms == 0 for r in outcomes[False])
+
+
+def test_limit_of_open_calls():
+    calls = OpenCalls(8)
+    for _ in range(40):
+        calls.leave(calls.enter(), False)
+    assert calls.limit == 8
+    numbers = [calls.enter() for _ in range(8)]
+    for number in numbers:  # one crowd halves the limit once
+        calls.leave(number, True)
+    assert calls.limit == 4
+    calls.leave(calls.enter(), True)
+    calls.leave(calls.enter(), True)
+    calls.leave(calls.enter(), True)
+    assert calls.limit == 1
+    calls.leave(calls.enter(), False)
+    assert calls.limit == 2
+
+
+def test_turns_are_given_in_order():
+    calls, order = OpenCalls(1), []
+
+    def call(k):
+        number = calls.enter()
+        order.append(k)
+        calls.leave(number, False)
+
+    first, threads = calls.enter(), []
+    for k in range(5):
+        threads.append(threading.Thread(target=call, args=(k,)))
+        threads[-1].start()
+        time.sleep(0.02)
+    assert order == []
+    calls.leave(first, False)
+    for thread in threads:
+        thread.join(5)
+    assert order == list(range(5))
+
+
+def test_throttled_answers_that_do_not_count():
+    slept, steps = [], iter([THROTTLE, THROTTLE, THROTTLE, "", THROTTLE, "ok"])
+
+    def invoke(request):
+        step = next(steps)
+        if isinstance(step, Exception):
+            raise step
+        return step
+
+    assert tuple(call_service(invoke, "text", CallPolicy(sleep=slept.append, max_throttled=3))) == ("ok", 3, None, "primary")
+    assert slept == [1, 1, 1, 2]
+
+
+def test_jitter_lengthens_waits():
+    slept = []
+
+    def invoke(request):
+        raise THROTTLE
+
+    call_service(invoke, "text", CallPolicy(sleep=slept.append, jitter=0.5))
+    assert 1 <= slept[0] <= 1.5 and 2 <= slept[1] <= 3
