@@ -112,9 +112,9 @@ def exact_percentiles(
     """Interpolated percentiles per group, one column per entry of ``fractions``, plus ``n``.
 
     Equal values are counted before the shuffle. No group is ever held in one buffer, unlike with the
-    built-in ``percentile``. NULL is a group too. ``mean`` and ``maximum`` name further columns, from the same counts.
+    built-in ``percentile``. NULL is a group too; NULL values do not count, and a group of nothing else has ``n`` 0. ``mean`` and ``maximum`` name further columns, from the same counts.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("_n"))
+    counts = df.groupBy(*groups, value).agg(F.count(value).alias("_n"))
     placed = running_total(counts, groups, [value], "_n", "_before", total="n", slices=slices)
 
     def value_at(rank):
@@ -127,7 +127,7 @@ def exact_percentiles(
             value_at(F.floor(position)).alias(f"_lo_{name}"),
             value_at(F.ceil(position)).alias(f"_hi_{name}"),
         ]
-    ends = [(F.sum(F.col(value) * F.col("_n")) / F.col("n")).alias(mean)] if mean else []
+    ends = [(F.sum(F.col(value) * F.col("_n")) / F.nullif("n", F.lit(0))).alias(mean)] if mean else []
     ends += [F.max(value).alias(maximum)] if maximum else []
     found = placed.groupBy(*groups, "n").agg(*parts, *ends)
     results = [c for c in (mean, maximum) if c]

@@ -55,3 +55,12 @@ def test_percentiles(spark):
         assert r.n == len(members) and np.isclose(r.p50, statistics.median(members))
         assert np.isclose(r.p99, np.percentile(members, 99)) and r.top == r.most == max(members)
         assert np.isclose(r["mean"], np.mean(members))
+
+
+def test_groups_without_values(spark):
+    rows = [("a", 1.0), ("a", None), ("a", 3.0), ("b", None), ("b", None), (None, None), (None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    found = exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p99": 0.99}, slices=3, mean="mean", maximum="most")
+    got = {r.g: (r.n, r.p50, r.mean, r.most) for r in found.collect()}
+    assert got == {"a": (2, 2.0, 2.0, 3.0), "b": (0, None, None, None), None: (1, 2.0, 2.0, 2.0)}
+    assert exact_percentiles(df.where("false"), ["g"], "v", {"p50": 0.5}).collect() == []
