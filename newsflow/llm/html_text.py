@@ -267,24 +267,22 @@ def count_tokens(source: str, document: str) -> Counter:
 def learn_weights(labelled: DataFrame) -> dict[str, float]:
     """Weights from (html, text) rows: log-odds of each kind of token, words positive and tags negative.
 
-    Only the counts per kind leave the tasks; kinds that fewer than two pages show are left out.
+    Only the counts per kind leave the tasks; kinds that fewer than two pages show are left out. How many there are is bounded
+    by the labelled sample alone.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages = zip(*(batch[c].to_pylist() for c in ("html", "text")), strict=True)
             found = [count_tokens(page or "", text or "") for page, text in pages]
-            rows = [(kind, inside, n) for page in found for (kind, inside), n in page.items()]
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["kind", "inside", "n"])
-
-    counted = labelled.select("html", "text").mapInArrow(run, "kind string, inside boolean, n long")
-    counts = counted.groupBy("kind").agg(
-        F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("inner"),
-        F.sum(F.when(~F.col("inside"), F.col("n")).otherwise(0)).alias("outer"),
-        F.count("*").alias("pages"),
-    )
-    rows = counts.filter("pages >= 2").orderBy(F.desc("pages"), "kind").limit(1000).collect()
+            # One row per page and kind, so that a kind's rows are the pages that show it.
+            rows = [(kind, page[kind, True], page[kind, False]) for page in found for kind in sorted({k for k, _ in page})]
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "inner", "outer"])
+
+    counted = labelled.select("html", "text").mapInArrow(run, "kind string, inner long, outer long")
+    counts = counted.groupBy("kind").agg(F.sum("inner").alias("inner"), F.sum("outer").alias("outer"), F.count("*").alias("pages"))
+    rows = counts.filter("pages >= 2").collect()
     weights = {}
     for marked in (False, True):
         own = [r for r in rows if r.kind.startswith(("in:", "out:")) == marked]

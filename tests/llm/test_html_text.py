@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from newsflow.llm.html_text import count_tokens, extract, extract_text, learn_weights
+from newsflow.llm.html_text import _kinds, _unseen, count_tokens, extract, extract_text, learn_weights, region, set_apart, tokens
 from newsflow.llm.queries import labelled_pages
 
 WORDS = "word " * 60
@@ -42,6 +44,33 @@ def test_weights_have_their_signs(spark):
     assert weights[""] > 0 and all(w < 0 for kind, w in weights.items() if kind) and weights["div"] < weights.get("p", 0)
 
 
+def test_kinds_are_of_two_pages_and_not_cut(spark):
+    """A kind that one page shows in both places is a kind of one page; more than a thousand kinds stay."""
+    many = "".join(f"<x{k}>" for k in range(1100))
+    twice = "<once></once>"
+    rows = [(f"{many}{twice if k == 0 else ''}<p>{WORDS}{k}</p>{twice if k == 0 else ''}{many}<p>{k}{WORDS}</p>", f"{WORDS}{k} {k}{WORDS}") for k in range(2)]
+    weights = learn_weights(spark.createDataFrame(rows, "html string, text string"))
+    assert all(f"x{k}" in weights for k in range(1100)) and "once" not in weights
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_region_has_the_greatest_sum(seed):
+    """Against all pairs of borders."""
+    draw = random.Random(seed)
+    names = ["p", "div", "li", "a", "b", "nav", "article", "br"]
+    pieces = [f"<{draw.choice(('', '/'))}{draw.choice(names)}>" if draw.random() < 0.6 else "word " * draw.randint(1, 6) for _ in range(draw.randint(0, 60))]
+    weights = {"": draw.uniform(0.1, 2)} | {name: -draw.uniform(0.05, 4) for name in draw.sample(names, 4)}
+    page = tokens("".join(pieces))
+    set_apart(page)
+    worth = []
+    for token, (place, tag) in zip(page, _kinds(page), strict=True):
+        one = weights.get(place + tag, _unseen(place, tag))
+        worth.append(0.0 if token.apart else one if tag else one * len(token.text.split()))
+    best = max((sum(worth[i:j]) for i in range(len(worth)) for j in range(i + 1, len(worth) + 1)), default=0.0)
+    start, end = region(page, weights)
+    assert sum(worth[start:end]) == pytest.approx(max(best, 0.0))
+
+
 def test_labels_need_text():
     assert not count_tokens("<p>short</p>", "short") and count_tokens(f"<p>{WORDS}</p>", WORDS)
 
