@@ -212,6 +212,13 @@ def call_column(text: Column, factory: Callable[[], Invoke], policy: CallPolicy,
     return F.pandas_udf(summarize, OUTCOME).asNondeterministic()(text)
 
 
+def default_text(policy: CallPolicy) -> Column:
+    """What the service gets of a cleaned article: the article prompt, NULL for a blank body."""
+    return prompts.article_prompt(
+        F.col("primary_ticker"), F.col("title"), F.col("body_clean"), F.col("teaser_clean"), policy.max_words
+    )
+
+
 def summarize_articles(
     cleaned: DataFrame,
     factory: Callable[[], Invoke],
@@ -235,9 +242,7 @@ def summarize_articles(
     """
     policy = policy or CallPolicy()
     if text is None:
-        text = prompts.article_prompt(
-            F.col("primary_ticker"), F.col("title"), F.col("body_clean"), F.col("teaser_clean"), policy.max_words
-        )
+        text = default_text(policy)
     columns = columns or tuple(cleaned.columns)
     teaser = F.when(text.isNull(), F.nullif("teaser_clean", F.lit("")))
     articles = cleaned.select(*columns, text.alias("_text"), teaser.alias("_teaser"))

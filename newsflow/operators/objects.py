@@ -9,6 +9,9 @@ is done. A failed job leaves nothing visible. A driver that stops between the no
 A run of the same ``run`` replaces what it wrote before. With ``carry`` a numbered run goes on with the file that the run
 before left open: the file then has a piece per run, ``<writer>-seq=NNNNNN.<run>.ndjson``, and many small runs fill it up
 to the limit.
+
+Rejected messages may go along: their files lie below ``_quarantine/reason=<reason>``, which readers of the records skip. They are
+rotated, carried, replaced and committed with the records, so both become visible or neither.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ MARKER = "uploading.marker"
 FILE_NAME = "{writer}-seq={seq:06d}{piece}.ndjson"
 # ----------------------------------------------------------------------------------------------
 STAGING, MANIFESTS = "_staging", "_manifests"
+QUARANTINE = "_quarantine"
+REJECTED = "raw string, reason string, errors array<struct<field: string, sent: string, wanted: string>>"
 PART_MARK = ".at-"  # before the offset of a part of a larger file
 _COLUMNS = "prefix string, file_seq long, line string"
 
@@ -211,10 +216,11 @@ def recover(uri: str) -> list[str]:
 
 
 def open_files(spark: SparkSession, uri: str, run: int) -> DataFrame:
-    """(part, file_seq, bytes) of the file that the run before ``run`` left open in each window: one row per window."""
+    """(part, file_seq, bytes) of the file that the run before ``run`` left open in each window: one row per window, and one
+    per reason of rejects."""
     system, root = _opened(uri)
     before = _manifest_before(system, root, str(run)) or {"open": {}}
-    rows = [(prefix.rsplit("/part=", 1)[1], number, size) for prefix, (number, size) in before["open"].items()]
+    rows = [(prefix.rpartition("/part=")[2], number, size) for prefix, (number, size) in before["open"].items()]
     return spark.createDataFrame(rows, "part string, file_seq long, bytes long")
 
 
@@ -229,9 +235,12 @@ def write_objects(
     run: int | str | None = None,
     carry: bool = False,
     slices: int | None = None,
+    rejects: DataFrame | None = None,
 ) -> None:
     """Write records as one file per window and file number; ``uri`` is any that Arrow's file systems open.
 
+    ``rejects`` (raw, reason, errors and ``ingest_ts``) are written and committed with them, one file per reason and number.
+
     ``run`` names what a later run of the same name replaces; without it the files carry a name of their own. ``carry`` needs a
     number, like that of a micro-batch, and continues open files.
     """
@@ -243,13 +252,38 @@ def write_objects(
     name = writer if carry else f"{writer}-{uuid.uuid4().hex if run is None else run}"
     order = (ingest_ts, "news_id", "pos")
     placed = assign_windows(to_ndjson(records), ingest_ts, minutes).select(*PARTITION_COLUMNS, *order, "bytes", "line")
+    if rejects is not None:
+        placed = placed.unionByName(_placed_rejects(rejects, ingest_ts))
     rotated = rotate_files(placed, max_object_bytes, order, slices, open_files(spark, uri, run) if carry else None)
-    prefix = F.concat(F.lit("ingest_dt="), F.translate("ingest_dt", "-", "/"), F.lit("/hour="), "hour", F.lit("/part="), "part").alias("prefix")
+    window = F.concat(F.lit("ingest_dt="), F.translate("ingest_dt", "-", "/"), F.lit("/hour="), "hour", F.lit("/part="), "part")
+    prefix = F.coalesce(window, "part").alias("prefix")  # rejects have no window
     files = rotated.select(prefix, "file_seq", "line", *order).repartition("prefix", "file_seq").sortWithinPartitions("prefix", "file_seq", *order)
     options = {"path": uri, "name": name, "run": str(name if run is None else run), "carry": str(carry).lower()}
     files.select("prefix", "file_seq", "line").write.format(ObjectFiles.name()).options(**options).mode("append").save()
 
 
+def _placed_rejects(rejects: DataFrame, ingest_ts: str) -> DataFrame:
+    """Rejects as rows for the rotation: the folder of their reason takes the place of the window, a hash that of the order."""
+    line = F.to_json(F.struct("raw", "reason", "errors"), {"ignoreNullFields": "false"})
+    none = F.lit(None).cast("string")
+    return rejects.select(
+        none.alias("ingest_dt"),
+        none.alias("hour"),
+        F.concat(F.lit(f"{QUARANTINE}/reason="), "reason").alias("part"),
+        ingest_ts,
+        F.xxhash64("raw").alias("news_id"),
+        F.lit(0).alias("pos"),
+        (F.octet_length(line) + 1).cast("bigint").alias("bytes"),
+        line.alias("line"),
+    )
+
+
+def read_rejects(spark: SparkSession, uri: str) -> DataFrame:
+    """Rejected messages that were written with the records: raw, reason, errors."""
+    reader = spark.read.schema(REJECTED).option("lineSep", "\n").option("recursiveFileLookup", True).option("pathGlobFilter", "*.ndjson")
+    return reader.json(f"{uri.rstrip('/')}/{QUARANTINE}")
+
+
 def write_keyed(rows: DataFrame, uri: str) -> None:
     """Write (key, line) rows as one file per ``key``, a path below ``uri``, in the order they are in; all rows of a key must be in
     one task and follow each other. Files that are there already are replaced, each as a whole."""

@@ -21,7 +21,7 @@ from ..plans.pipeline import run_batch
 def start(
     messages: DataFrame,
     output: str,
-    rejects: str,
+    rejects: str | None,
     checkpoint: str,
     factory: Callable[[], enrich.Invoke] | None = None,
     policy: enrich.CallPolicy | None = None,
@@ -35,7 +35,8 @@ def start(
 
     ``available_now`` handles what is there and ends. Every batch writes files of its own. By default the write needs
     no shuffle; ``max_object_bytes`` rotates the files of each batch by size, as the batch job does. With ``writer`` batches
-    fill up the files that earlier ones left open (see ``objects.write_objects``).
+    fill up the files that earlier ones left open (see ``objects.write_objects``), and with ``rejects=None`` the rejects of a batch are
+    committed with its records.
     """
     timed = messages.withColumn("ingest_ts", F.current_timestamp())
 
