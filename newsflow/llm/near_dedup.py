@@ -8,7 +8,8 @@ text is finished as soon as every slot holds an offer from an earlier visit than
 Documents with equal sets form classes first. Class representatives meet in LSH buckets (bands of signature slots,
 as long as the limit allows).
 Each bucket is linked as a star to its smallest member; members that are still in different components are then
-compared inside tasks, block by block, across components only, so a group of copies never becomes rows of all its pairs.
+compared inside tasks, block by block, those outside the bucket's largest component with all others, so a group of copies
+never becomes rows of all its pairs.
 Every candidate is verified on full sets, rebuilt from the texts. Components of verified links come from star contraction.
 
 Defined cases: a text without words (or null) has an empty set and is linked with nothing; a text of fewer words than a
@@ -259,31 +260,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, part: int = 85, whole: int = 10
 
 
 def _cross_links(labelled: DataFrame, reps: DataFrame, docs: DataFrame, n: int, part: int, whole: int) -> DataFrame:
-    """Links within a bucket between different components. Pairs with the pivot are judged already.
-
-    Buckets with the same members are taken once. A large bucket is split in blocks of members and each pair of blocks
-    is one group, compared inside one task, which returns at most one link per member.
-    """
-    rows = labelled.filter("node <> pivot")
-    open_ = (
-        rows.groupBy("bucket")
-        .agg(
-            F.min("component").alias("c0"),
-            F.max("component").alias("c1"),
-            F.count("*").alias("n"),
-            F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same"),
-        )
-        .filter("c0 < c1")
-        .groupBy("same", "n")
-        .agg(F.min("bucket").alias("bucket"))
-        .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    placed = rows.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    cells = F.transform(others, lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
-    met = placed.select("bucket", F.explode(cells).alias("cell"), F.col("node").alias("id"), "component")
+    """Links within a bucket between different components. Pairs with the pivot are judged already."""
     return (
-        _texts_of(met.select("bucket", "cell.low", "cell.high", "id", "component"), reps, docs)
+        _texts_of(_cells(labelled), reps, docs)
         .select("bucket", "low", "high", "id", "component", "text")
         .repartition("bucket", "low", "high")
         .sortWithinPartitions("bucket", "low", "high", "id")
@@ -291,6 +270,34 @@ def _cross_links(labelled: DataFrame, reps: DataFrame, docs: DataFrame, n: int,
     )
 
 
+def _cells(labelled: DataFrame) -> DataFrame:
+    """(bucket, low, high, id, component): the members that are compared with each other, by cell.
+
+    Buckets with the same members are taken once. The members of a bucket's largest component are not compared among
+    themselves: they meet only the others, each in as many cells as there are blocks of others, mostly one. The others meet
+    each other and them, so any two of different components share a cell. A cell holds two blocks, one task compares
+    it and returns at most one link per member. Texts sent grow with the bucket times the number of blocks of others.
+    """
+    rows = labelled.filter("node <> pivot")
+    sizes = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same"))
+    largest = F.max(F.struct("n", "component")).alias("largest")
+    buckets = sizes.groupBy("bucket").agg(largest, F.sum("n").alias("n"), F.sum("same").alias("same")).filter("largest.n < n")
+    open_ = buckets.groupBy("same", "n").agg(F.min(F.struct("bucket", "largest")).alias("first"))
+    blocks = open_.select(
+        "first.bucket",
+        F.col("first.largest.component").alias("main"),
+        F.ceil(F.col("first.largest.n") / BLOCK).cast("int").alias("main_blocks"),
+        F.ceil((F.col("n") - F.col("first.largest.n")) / BLOCK).cast("int").alias("other_blocks"),
+    )
+    hashed, in_main = F.xxhash64("node"), F.col("component") == F.col("main")
+    block = F.when(in_main, F.col("other_blocks") + F.pmod(hashed, "main_blocks")).otherwise(F.pmod(hashed, "other_blocks")).cast("int")
+    placed = rows.join(blocks, "bucket").withColumn("block", block)
+    met = F.sequence(F.lit(0), F.col("other_blocks") + F.when(in_main, 0).otherwise(F.col("main_blocks")) - 1)
+    # The pairs within a block of others are compared in each of its cells with another block.
+    cells = F.transform(F.filter(met, lambda o: o != F.col("block")), lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
+    return placed.select("bucket", F.explode(cells).alias("cell"), F.col("node").alias("id"), "component").select("bucket", "cell.low", "cell.high", "id", "component")
+
+
 def _cross_verifier(n: int, part: int, whole: int):
     def links(members: list[tuple[int, int, np.ndarray]]) -> Iterator[tuple[int, int]]:
         ids, component = [m[0] for m in members], np.array([m[1] for m in members])

@@ -1,7 +1,8 @@
 import numpy as np
 
 from newsflow.llm.components import components
-from newsflow.llm.near_dedup import SLOTS, _intersections, bands, near_duplicates, shingles, superminhash
+from newsflow.llm import near_dedup
+from newsflow.llm.near_dedup import SLOTS, _cells, _intersections, bands, near_duplicates, shingles, superminhash
 from newsflow.llm.words import SPACED, Words
 
 from .helpers import docs, edited, prose
@@ -104,3 +105,30 @@ def test_repeated_ids_are_judged_by_their_own_text(spark):
     rows = [(3, " ".join(a)), (5, " ".join([*a, "end"])), (5, " ".join(b)), (9, " ".join([*b, "end"])), (4, " ".join([*a, "stop"])), (4, " ".join([*a, "halt"]))]
     got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs(spark, rows)).collect())
     assert got == [(3, 3, True), (4, 3, False), (4, 3, False), (5, 3, False), (5, 5, True), (9, 5, False)]
+
+
+def test_cells_hold_all_pairs_of_different_components_and_no_more_texts(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    # bucket: component of each member; the pivot is 0 everywhere
+    buckets = {1: [0] * 500 + [7, 7, 8, 9], 2: [5] * 20 + [6] * 20 + [7] * 3, 3: [4] * 30, 4: [1, 2], 5: list(range(40))}
+    rows = [(b, 1000 * b, 1000 * b + k, c) for b, components_ in buckets.items() for k, c in enumerate([0, *components_])]
+    got = _cells(spark.createDataFrame(rows, "bucket long, pivot long, node long, component long")).collect()
+    cells, sent = {}, {}
+    for r in got:
+        cells.setdefault((r.bucket, r.low, r.high), []).append((r.id, r.component))
+        sent[r.bucket] = sent.get(r.bucket, 0) + 1
+    met = {frozenset((x, y)) for members in cells.values() for x, cx in members for y, cy in members if cx != cy}
+    wanted = {frozenset((1000 * b + i + 1, 1000 * b + j + 1)) for b, cs in buckets.items() for i, x in enumerate(cs) for j, y in enumerate(cs) if x != y}
+    assert met == wanted
+    # One text of each of the 500 members, and the others once per block of them; a bucket of one component sends nothing.
+    assert sent[1] == 500 + 4 * 63 and 3 not in sent and sent[4] == 2
+
+
+def test_many_copies_in_two_groups_and_some_between(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    one = prose(21, 150)
+    two = edited(one, 9, 3)
+    rows = [(k, " ".join(edited(one, 60, k))) for k in range(0, 300, 2)] + [(k, " ".join(edited(two, 60, k))) for k in range(1, 120, 2)]
+    rows += [(400 + k, " ".join([w if k % 7 > i % 7 else v for i, (v, w) in enumerate(zip(one, two, strict=True))])) for k in range(30)]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs(spark, rows)).collect()}
+    assert got == brute_force(rows)
