@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import html
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,9 +72,14 @@ def drop_markup(c: Column | str) -> Column:
     return F.when(has_tags, F.concat(head, tail)).otherwise(text)
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _unescape(texts: pa.Array) -> pa.Array:
+    # Only texts with a reference become Python strings, one at a time: a batch may be large.
+    found = pc.fill_null(pc.match_substring(texts, "&"), False)
+    if not pc.any(found).as_py():
+        return texts
+    changed = pa.array((html.unescape(t.as_py()) for t in texts.filter(found)), texts.type)
+    return pc.replace_with_mask(texts, found, changed)
 
 
 def unescape(c: Column | str) -> Column:

@@ -19,7 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +46,7 @@ OUTCOME = T.StructType(
         T.StructField("waited_ms", T.DoubleType()),
     ]
 )
+_ARROW_TYPES = {T.StringType(): pa.string(), T.LongType(): pa.int64(), T.DoubleType(): pa.float64()}
 
 
 class ServiceError(Exception):
@@ -190,10 +191,11 @@ def call_column(text: Column, factory: Callable[[], Invoke], policy: CallPolicy,
 
     ``calls_per_task`` calls of a task wait for the service at one time, with an adaptive policy at most so many; ``invoke``
     must then be thread-safe. ``elapsed_ms`` leaves out ``waited_ms``, the wait for a turn. Only ``text`` travels to Python. The function counts as nondeterministic, so the optimizer
-    neither repeats it nor moves filters past it.
+    neither repeats it nor moves filters past it. A batch of texts stays as Arrow sends it; with one call at a time one text
+    at a time becomes a Python string.
     """
 
-    def summarize(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def summarize(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         invoke, calls = factory(), OpenCalls(calls_per_task) if policy.adaptive else None
 
         def one(t: str | None) -> tuple:
@@ -205,11 +207,13 @@ def call_column(text: Column, factory: Callable[[], Invoke], policy: CallPolicy,
             return *outcome, elapsed * 1e3, watched.throttled, watched.waited * 1e3
 
         with ThreadPoolExecutor(calls_per_task) as pool:
-            for texts in batches:
+            for batch in batches:
+                texts = (t.as_py() for t in batch)
                 rows = list(pool.map(one, texts) if calls_per_task > 1 else map(one, texts))
-                yield pd.DataFrame(rows, columns=OUTCOME.names)
+                columns = [pa.array([row[k] for row in rows], _ARROW_TYPES[f.dataType]) for k, f in enumerate(OUTCOME)]
+                yield pa.StructArray.from_arrays(columns, OUTCOME.names)
 
-    return F.pandas_udf(summarize, OUTCOME).asNondeterministic()(text)
+    return F.arrow_udf(summarize, OUTCOME).asNondeterministic()(text)
 
 
 def default_text(policy: CallPolicy) -> Column:

@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 #   timeZone            window labels and ISO text are UTC, whatever the host says
 #   allowDuplicateKeys  a repeated JSON key keeps its last value instead of failing the parse
 #   overwrite mode      a replayed micro-batch replaces only its own partitions
-#   arrow batches       bound what a Python task holds of long bodies (Spark also bounds a batch's bytes)
+#   arrow batches       bound what a Python task holds, by rows and for long bodies by bytes (Spark's own limit is 64 MB)
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 # Settings that only matter for speed; a cluster's own choice wins where it is already set.

@@ -1,6 +1,7 @@
 import os
 import threading
 import time
+import tracemalloc
 import uuid
 
 import pytest
@@ -135,6 +136,20 @@ def test_failing_service_falls_back(spark):
     assert row.error_code == "AccessDeniedException" and row.content == row.body_clean
 
 
+class Held:
+    """Service that answers with the most bytes that Python objects of its task have held so far."""
+
+    def __call__(self):
+        tracemalloc.start()
+        return lambda request: str(tracemalloc.get_traced_memory()[1])
+
+
+def test_a_call_task_holds_one_small_batch(spark):
+    texts = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("0123456789"), 10_000).alias("text"))
+    done = texts.select(enrich.call_column(F.col("text"), Held(), CallPolicy()).alias("out")).select("out.*").collect()
+    assert len(done) == 300 and max(int(r.summary) for r in done) < 20_000_000  # two batches; the texts have 30,000,000
+
+
 def test_leading_sentences():
     def lead(text, words):
         return LeadingSentences.invoke(Request(text, "m", words, 0))
