@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import prompts
-from .summary_store import SummaryStore
+from .summary_store import SummaryStore, attach_table
 
 # --- fixed values -----------------------------------------------------------------------------
 RETRYABLE_CODES = ("ThrottlingException", "ServiceUnavailableException", "TooManyRequestsException")
@@ -233,6 +233,7 @@ def summarize_articles(
     calls_per_task: int = 1,
     stored: DataFrame | SummaryStore | None = None,
     columns: tuple[str, ...] | None = None,
+    read_again: bool = False,
 ) -> DataFrame:
     """Add ``summary``, ``prompt_hash`` and the columns of ``OUTCOME`` to cleaned articles.
 
@@ -242,7 +243,8 @@ def summarize_articles(
     rotation makes per window; ``calls_per_task`` multiplies them without more partitions. ``stored`` (see
     ``summary_store``) holds earlier results; a match is used instead of a call. A table is joined as it is, a ``SummaryStore`` of
     any size stays where it is. ``columns`` are those of the articles
-    that go on (by default all): name them, or the spreading and the match shuffle HTML and cleaned texts as well.
+    that go on (by default all): name them, or the spreading and the match shuffle HTML and cleaned texts as well. ``read_again`` says that ``cleaned`` is a stored
+    table: then a table of earlier results is matched without shuffling the texts (see ``summary_store.attach_table``).
     """
     policy = policy or CallPolicy()
     if text is None:
@@ -253,6 +255,8 @@ def summarize_articles(
     articles = articles.withColumn("prompt_hash", F.sha2("_text", 256))
     if isinstance(stored, SummaryStore):
         articles = stored.attach(articles)
+    elif stored is not None and read_again:
+        articles = attach_table(articles, stored)
     elif stored is not None:
         known = stored.select(F.col("news_id").alias("id"), "prompt_hash", F.col("summary").alias("_known"))
         articles = articles.join(known, ["id", "prompt_hash"], "left")

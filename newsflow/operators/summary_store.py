@@ -30,6 +30,7 @@ MANIFEST = "generation INT, buckets INT, blocks BIGINT"
 BITS_PER_KEY = 8
 # Rows of the filter that may be broadcast, each of 40 bytes; a store of more blocks does without the filter.
 BROADCAST_BLOCKS = 1 << 20
+DEFAULT_BLOCKS = 1 << 18
 
 
 def _words(news_id: Column, prompt_hash: Column) -> list[Column]:
@@ -46,6 +47,28 @@ def _words(news_id: Column, prompt_hash: Column) -> list[Column]:
     return words
 
 
+def _block(news_id: Column, prompt_hash: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(news_id, prompt_hash), F.lit(blocks).cast("long"))
+
+
+def _filter(keys: DataFrame, blocks: int) -> DataFrame:
+    """The Bloom filter of ``keys``: one row per block that holds any."""
+    key = [F.col(k) for k in KEYS]
+    bits = keys.select(_block(*key, blocks).alias("block"), *[c.alias(w) for c, w in zip(_words(*key), WORDS, strict=True)])
+    return bits.groupBy("block").agg(*[F.bit_or(w).alias(w) for w in WORDS])
+
+
+def _ask(articles: DataFrame, known: DataFrame, blocks: int) -> DataFrame:
+    """Add ``_maybe``: the filter ``known``, which is broadcast, may hold (id, prompt_hash)."""
+    key = (F.col("id").cast("long"), F.col("prompt_hash"))
+    sent = F.broadcast(known.select(F.col("block").alias("_block"), *[F.col(w).alias(f"_{w}") for w in WORDS]))
+    hit = F.lit(True)
+    for word, name in zip(_words(*key), WORDS, strict=True):
+        hit = hit & (F.col(f"_{name}").bitwiseAND(word) == word)
+    met = articles.withColumn("_at", _block(*key, blocks)).join(sent, F.col("_at") == F.col("_block"), "left")
+    return met.select(*articles.columns, (F.col("prompt_hash").isNotNull() & F.coalesce(hit, F.lit(False))).alias("_maybe"))
+
+
 @dataclass(frozen=True)
 class SummaryStore:
     spark: SparkSession
@@ -72,7 +95,7 @@ class SummaryStore:
         return self
 
     def _block(self, news_id: Column, prompt_hash: Column) -> Column:
-        return F.pmod(F.xxhash64(news_id, prompt_hash), F.lit(self.blocks).cast("long"))
+        return _block(news_id, prompt_hash, self.blocks)
 
     def rows(self) -> DataFrame:
         """One summary per key; keeps to the buckets, so neither this nor a match on the keys moves the store."""
@@ -93,9 +116,7 @@ class SummaryStore:
         self._write_rows(new)
 
     def _write_known(self, keys: DataFrame) -> None:
-        key = [F.col(k) for k in KEYS]
-        bits = keys.select(self._block(*key).alias("block"), *[c.alias(w) for c, w in zip(_words(*key), WORDS, strict=True)])
-        bits.groupBy("block").agg(*[F.bit_or(w).alias(w) for w in WORDS]).write.mode("append").parquet(self._folder("known"))
+        _filter(keys, self.blocks).write.mode("append").parquet(self._folder("known"))
 
     def _write_rows(self, rows: DataFrame) -> None:
         # Dealt as the buckets are, so that each bucket gets one file per change.
@@ -133,13 +154,7 @@ class SummaryStore:
         """
         asked = articles.withColumn("_maybe", F.col("prompt_hash").isNotNull())
         if self.blocks <= BROADCAST_BLOCKS:
-            key = (F.col("id").cast("long"), F.col("prompt_hash"))
-            known = F.broadcast(self.known().select(F.col("block").alias("_block"), *[F.col(w).alias(f"_{w}") for w in WORDS]))
-            hit = F.lit(True)
-            for word, name in zip(_words(*key), WORDS, strict=True):
-                hit = hit & (F.col(f"_{name}").bitwiseAND(word) == word)
-            met = articles.withColumn("_at", self._block(*key)).join(known, F.col("_at") == F.col("_block"), "left")
-            asked = met.select(*articles.columns, (F.col("prompt_hash").isNotNull() & F.coalesce(hit, F.lit(False))).alias("_maybe"))
+            asked = _ask(articles, self.known(), self.blocks)
         stored = materialize(asked, "asked-articles", "_maybe")
         maybe = stored.where("_maybe").drop("_maybe")
         keys = maybe.select(F.col("id").cast("long").alias("news_id"), "prompt_hash").distinct()
@@ -152,12 +167,34 @@ class SummaryStore:
         return matched.unionByName(unknown)
 
 
+def attach_table(articles: DataFrame, table: DataFrame, blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+    """Add ``_known``, the summary that ``table`` (news_id, prompt_hash, summary) has of (id, prompt_hash), to ``articles``.
+
+    ``articles`` are read three times: pass a stored table. Their ``_text`` is shuffled only where a Bloom filter of the
+    keys was wrong; it is NULL where there is a summary. Of a table of many more than 25 keys per block the filter knows
+    little, and the texts are shuffled.
+    """
+    rows = table.select(F.col("news_id").cast("long").alias("_news_id"), F.col("prompt_hash").alias("_hash"), F.col("summary").alias("_known"))
+    known = materialize(_filter(table.select(F.col("news_id").cast("long"), "prompt_hash"), blocks), "known")
+    asked = _ask(articles, known, blocks)
+    maybe, unknown = asked.where("_maybe").drop("_maybe"), asked.where("NOT _maybe").drop("_maybe")
+    same = (F.col("id").cast("long") == F.col("_news_id")) & (F.col("prompt_hash") == F.col("_hash"))
+    kept = [c for c in articles.columns if c != "_text"]
+    matched = materialize(maybe.select(*kept).join(rows, same, "left").select(*kept, "_known"), "matched-articles")
+    none = F.lit(None).cast("string")
+    found = matched.where(F.col("_known").isNotNull()).withColumn("_text", none).select(*articles.columns, "_known")
+    left = matched.where(F.col("_known").isNull()).select(F.col("id").alias("_id"), F.col("prompt_hash").alias("_hash")).distinct()
+    # NULL ids are in the filter's reach as well, but match nothing in the table.
+    missed = maybe.join(left, F.col("id").eqNullSafe(F.col("_id")) & (F.col("prompt_hash") == F.col("_hash")), "left_semi")
+    return unknown.unionByName(missed).withColumn("_known", none).unionByName(found)
+
+
 def _clear(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def create_store(spark: SparkSession, root: str, buckets: int = 200, blocks: int = 1 << 18) -> SummaryStore:
+def create_store(spark: SparkSession, root: str, buckets: int = 200, blocks: int = DEFAULT_BLOCKS) -> SummaryStore:
     """A new store below ``root``.
 
     ``buckets``: about the size of all summaries by 200 MB, and no fewer than ``spark.sql.shuffle.partitions``, or Spark

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsflow.operators import enrich, summary_store
-from newsflow.operators.summary_store import create_store, open_store
+from newsflow.operators.summary_store import attach_table, create_store, open_store
+
+from newsflow.session import materialize
 
 from .messages import message
 from .test_enrich import Recorder, by_id, cleaned
@@ -122,3 +124,27 @@ def test_summaries_come_from_the_store(spark, tmp_path):
     done = by_id(enrich.summarize_articles(articles, service, stored=store))
     assert service.calls() == 2 and [r.attempts for r in done] == [0, 1, 0]
     assert done[0].summary.startswith("summary of") and done[2].summary == "More flour from the coast"
+
+
+@pytest.mark.parametrize("blocks", [1, 4096])
+def test_a_table_is_matched_without_moving_texts(spark, blocks):
+    articles = asked(spark, [*range(200), 7, 150])
+    odd = articles.limit(1).select(F.lit(None).cast("long").alias("id"), "prompt_hash", "_text")
+    none = asked(spark, [1]).withColumn("prompt_hash", F.lit(None).cast("string"))
+    other = asked(spark, [1]).withColumn("prompt_hash", F.lit("other"))
+    articles = materialize(articles.unionByName(odd).unionByName(none).unionByName(other), "articles")
+    table = made(spark, range(60)).hint("merge")
+    found = attach_table(articles, table, blocks)
+    rows = sorted((str(r.id), r._known or "", r._text or "") for r in found.collect())
+    wanted = [(str(n), f"s{n}" if n < 60 else "", "" if n < 60 else "text") for n in [*range(200), 7, 150]]
+    assert rows == sorted([*wanted, ("None", "", "text"), ("1", "", "text"), ("1", "", "text")])
+
+
+def test_texts_stay_where_the_filter_decides(spark, tmp_path):
+    """Bytes that the match of 400 texts of 10 KB shuffles, half of them known."""
+    texts = materialize(asked(spark, range(400)).select("id", "prompt_hash", F.lit("").alias("_teaser"), F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(160)), lambda k: F.sha2(F.concat(F.col("id"), k), 256))).alias("body")), "texts")
+    table = made(spark, range(200)).select("news_id", F.lit("other").alias("prompt_hash"), "summary").hint("merge")
+    done = enrich.summarize_articles(texts.withColumn("teaser_clean", F.lit("")), enrich.LeadingSentences(), text=F.col("body"), stored=table, columns=("id",), read_again=True)
+    plan = done._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [plan[k + 1] for k, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    assert done.count() == 400 and not any("_text" in line or "body" in line for line in below)
