@@ -77,7 +77,12 @@ class Classifier:
         if not len(x):
             return cls(np.zeros(BINS + SHAPES), np.ones(BINS + SHAPES), np.zeros((BINS + SHAPES + 1, len(domains))), domains)
         mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
-        z = np.concatenate([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))], axis=1).astype(np.float32)
+        # One matrix, worked on in place: this runs in the driver.
+        z = np.ones((len(x), x.shape[1] + 1), np.float32)
+        own = z[:, :-1]
+        np.subtract(x, mean, out=own)
+        np.divide(own, scale, out=own)
+        np.clip(own, -8, 8, out=own)
         wanted = np.eye(len(domains), dtype=np.float32)[domain]
         weights = np.zeros((z.shape[1], len(domains)), np.float32)
         ahead, before = weights, weights
@@ -108,6 +113,20 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _pack(x: np.ndarray) -> pa.RecordBatch:
+    """Rows of features as the places and values that are not nil: most words of a text's row are."""
+    at = [np.flatnonzero(row) for row in x]
+    packed = [[k.astype(np.uint16).tobytes() for k in at], [row[k].tobytes() for row, k in zip(x, at, strict=True)]]
+    return pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in packed], names=["at", "x"])
+
+
+def _unpack(rows: list, width: int) -> np.ndarray:
+    out = np.zeros((len(rows), width), np.float32)
+    for own, row in zip(out, rows, strict=True):
+        own[np.frombuffer(row["at"], np.uint16)] = np.frombuffer(row["x"], np.float32)
+    return out
+
+
 def fit_classifier(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...], rows: int = SAMPLE_ROWS) -> Classifier:
     """Fit on at most ``rows`` distinct labelled texts of ``docs``, the first by a hash of the id; ``labels`` is (doc_id, domain)."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("domain").isin(*domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
@@ -119,15 +138,14 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in chunks(batch, rows=CHUNK_ROWS):
-                x, _ = features(texts)
-                yield pa.RecordBatch.from_arrays([batch["domain"].slice(part.start, len(texts)), pa.array([r.tobytes() for r in x], pa.binary())], names=["domain", "x"])
+                packed = _pack(features(texts)[0])
+                yield pa.RecordBatch.from_arrays([batch["domain"].slice(part.start, len(texts)), *packed.columns], names=["domain", "at", "x"])
 
     found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     # Copies of a row, however many, are one row before anything leaves the cluster.
     versions = found.withColumn("version", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "version"])
-    sample = versions.orderBy(*order, "version").limit(rows).select("domain", "text").mapInArrow(run, "domain string, x binary").collect()
-    x = np.array([np.frombuffer(r.x, np.float32) for r in sample], np.float32).reshape(len(sample), BINS + SHAPES)
-    return Classifier.fit(x, np.array([domains.index(r.domain) for r in sample], np.int64), domains)
+    sample = versions.orderBy(*order, "version").limit(rows).select("domain", "text").mapInArrow(run, "domain string, at binary, x binary").collect()
+    return Classifier.fit(_unpack(sample, BINS + SHAPES), np.array([domains.index(r.domain) for r in sample], np.int64), domains)
 
 
 def predict(docs: DataFrame, classifier: Classifier) -> DataFrame:

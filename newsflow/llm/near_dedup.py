@@ -235,7 +235,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, part: int = 85, whole: int = 10
     component = F.coalesce("component", "node").alias("component")
     labelled = met.join(joined, met["node"] == joined["id"], "left").select("bucket", "pivot", "node", component)
     more = materialize(_cross_links(materialize(labelled, "labelled"), reps, docs, n, part, whole), "verified")
-    final = components(links.union(more)).select(F.col("id").alias("node"), "component")
+    # The components found stand for their links: each is a star already.
+    final = (joined if more.isEmpty() else components(joined.union(more))).select(F.col("id").alias("node"), "component")
 
     # Only components of several classes are looked up; the class that names one is not in ``final`` itself.
     several = final.union(final.select(F.col("component").alias("node"), "component").distinct())

@@ -436,17 +436,20 @@ def score(docs: DataFrame, trusted: DataFrame, shards: int | None = None, folds:
     return by_group.cogroup(answers.groupBy("grp")).applyInArrow(_scorer(shards), _SCORES)
 
 
-def _limits(scored: DataFrame, of: str, quantile: float) -> DataFrame:
-    """(lang, limit, everywhere) by language, and one row for all languages: exact quantiles on the grid.
+def _limits(scored: DataFrame, quantile: float) -> DataFrame:
+    """(everywhere, lang, nats, tail_nats) by language, and one row for all languages: exact quantiles on the grid.
 
     Counts per grid cell come first, so the running sums see a few thousand rows per language at most.
     """
-    held = scored.filter("trusted AND n_bytes > 0").select("lang", F.round(F.col(of) * GRID).cast("long").alias("cell"))
-    own = held.groupBy("lang", "cell").agg(F.count("*").alias("n")).withColumn("everywhere", F.lit(False))
-    cells = own.union(own.groupBy("cell").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string"), "cell", "n", F.lit(True)))
-    part = Window.partitionBy("everywhere", "lang")
+    measures = ("nats", "tail_nats")
+    each = F.explode(F.array(*[F.struct(F.lit(of).alias("of"), F.round(F.col(of) * GRID).cast("long").alias("cell")) for of in measures])).alias("x")
+    held = scored.filter("trusted AND n_bytes > 0").select("lang", each).select("lang", "x.*")
+    own = held.groupBy("lang", "of", "cell").agg(F.count("*").alias("n")).withColumn("everywhere", F.lit(False))
+    cells = own.union(own.groupBy("of", "cell").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string"), "of", "cell", "n", F.lit(True)))
+    part = Window.partitionBy("everywhere", "lang", "of")
     ranked = cells.withColumn("upto", F.sum("n").over(part.orderBy("cell"))).withColumn("total", F.sum("n").over(part))
-    return ranked.filter(F.col("upto") >= quantile * F.col("total")).groupBy("everywhere", "lang").agg(F.min("cell").alias("limit"))
+    reached = ranked.filter(F.col("upto") >= quantile * F.col("total"))
+    return reached.groupBy("everywhere", "lang").agg(*[F.min(F.when(F.col("of") == of, F.col("cell"))).alias(of) for of in measures])
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -456,14 +459,13 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     """
     trusted = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.coalesce("good", F.lit(False))).alias("good")).filter("good")
     scored = materialize(score(docs, trusted, folds=FOLDS), "scores")
-    judged = scored
-    for of in ("nats", "tail_nats"):
-        limits = _limits(scored, of, quantile)
-        mine = limits.filter("NOT everywhere").select(F.col("lang").alias("l"), F.col("limit").alias(f"{of}_own"))
-        general = limits.filter("everywhere").select("limit").scalar()
-        judged = judged.join(F.broadcast(mine), F.col("lang").eqNullSafe(F.col("l")), "left").drop("l")
-        judged = judged.withColumn(f"{of}_limit", F.coalesce(f"{of}_own", general))
-    within = lambda of: F.coalesce(F.round(F.col(of) * GRID) <= F.col(f"{of}_limit"), F.lit(True))
+    # Stored: a row per language, which is looked up by language and for all of them.
+    limits = materialize(_limits(scored, quantile), "limits")
+    mine = limits.filter("NOT everywhere").select(F.col("lang").alias("l"), F.col("nats").alias("nats_own"), F.col("tail_nats").alias("tail_nats_own"))
+    judged = scored.join(F.broadcast(mine), F.col("lang").eqNullSafe(F.col("l")), "left")
+    general = limits.filter("everywhere")
+    limit = lambda of: F.coalesce(f"{of}_own", general.select(of).scalar())
+    within = lambda of: F.coalesce(F.round(F.col(of) * GRID) <= limit(of), F.lit(True))
     return judged.select(
         "doc_id",
         "version",

@@ -30,6 +30,13 @@ def test_classifier_on_held_out_rows(spark):
     assert right.mean() > 0.95
 
 
+def test_sampled_features_travel_without_their_zeros():
+    x, _ = mixing.features([r[1].encode() for r in rows_of(50, 2)] + [b"", None])
+    packed = mixing._pack(x)
+    assert packed.nbytes * 10 < x.nbytes
+    assert np.array_equal(mixing._unpack(packed.to_pylist(), x.shape[1]), x)
+
+
 def test_expected_tokens_meet_targets(spark):
     rows = rows_of(800, 1)
     mixed = mixing.mix_to_targets(docs(spark, rows), labels(spark, [(r[0], r[2]) for r in rows[:300]]), TARGETS, tokens=2.0).collect()

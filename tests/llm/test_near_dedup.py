@@ -1,5 +1,6 @@
 import numpy as np
 
+from newsflow.llm import components as rounds
 from newsflow.llm.components import components
 from newsflow.llm import near_dedup
 from newsflow.llm.near_dedup import SLOTS, _cells, _intersections, bands, near_duplicates, shingles, superminhash
@@ -100,6 +101,39 @@ def test_chain_and_star_components(spark):
     assert got == {**{k: 0 for k in range(1, 41)}, **{k: 100 for k in range(101, 160)}}
 
 
+def stored_tables(monkeypatch, module):
+    """Plans of what ``module`` stores from now on."""
+    plans, store = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, label, *by: plans.append((label, df._jdf.queryExecution().executedPlan().toString())) or store(df, label, *by))
+    return plans
+
+
+def test_stars_need_no_round_and_rounds_of_few_links_no_shuffled_join(spark, monkeypatch):
+    plans = stored_tables(monkeypatch, rounds)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = [(0, k) for k in range(1, 30)] + [(k, 50) for k in range(51, 60)]
+        got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+        assert got == {**{k: 0 for k in range(1, 30)}, **{k: 50 for k in range(51, 60)}} and len(plans) == 1
+        chain = spark.createDataFrame([(k, k + 1) for k in range(9)], "a long, b long")
+        few = {r.id: r.component for r in components(chain).collect()}
+        assert len(plans) > 2 and not any("SortMergeJoin" in plan for _, plan in plans)
+        monkeypatch.setattr(rounds, "BROADCAST_LINKS", 0)
+        assert {r.id: r.component for r in components(chain).collect()} == few == {k: 0 for k in range(1, 10)}
+        assert "SortMergeJoin" in plans[-1][1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_components_are_found_once_where_no_link_is_missing(spark, monkeypatch):
+    base = prose(4, 150)
+    calls, found = [], near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda links: calls.append(1) or found(links))
+    rows = [(k, " ".join(edited(base, 140, k))) for k in range(8)] + [(20, "one two")]
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs(spark, rows)).collect()} == brute_force(rows)
+    assert len(calls) == 1
+
+
 def test_repeated_ids_are_judged_by_their_own_text(spark):
     a, b = prose(11, 80), prose(12, 80)
     rows = [(3, " ".join(a)), (5, " ".join([*a, "end"])), (5, " ".join(b)), (9, " ".join([*b, "end"])), (4, " ".join([*a, "stop"])), (4, " ".join([*a, "halt"]))]

@@ -122,6 +122,21 @@ def test_limits_of_a_small_language_rest_on_all_its_trusted_documents(spark):
     assert all(kept[1000 + k] for k in range(30))
 
 
+def test_limits_are_found_once_and_stored(spark):
+    rows = [(k, sentence(k), "big") for k in range(40)] + [(100 + k, sentence(900 + k), None) for k in range(20)] + [(200, sentence(3).upper(), "other"), (201, None, "big")]
+    trusted = set(range(0, 40, 2)) | set(range(100, 110))
+    labels = spark.createDataFrame([(k, True) for k in trusted], "doc_id long, good boolean")
+    judged = lm.classify(docs(spark, rows), labels, quantile=0.6)
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+    got, lang = {r.doc_id: r for r in judged.collect()}, {r[0]: r[2] for r in rows}
+    cells = {k: [round(1000 * np.log(p)) for p in (r.perplexity, r.tail_perplexity)] for k, r in got.items()}
+    for k, r in got.items():
+        same = [d for d in trusted if lang[d] == lang[k]] or list(trusted)
+        limits = [sorted(cells[d][m] for d in same)[int(np.ceil(0.6 * len(same))) - 1] for m in (0, 1)]
+        assert r.kept == (k == 201 or all(c <= x for c, x in zip(cells[k], limits, strict=True))), k
+
+
 def test_scores_do_not_depend_on_how_many_groups_a_task_answers(spark):
     rows = [(k, sentence(k, 5 + 7 * k % 50)) for k in range(60)]
     trusted = spark.createDataFrame([(k,) for k in range(0, 60, 2)], "doc_id long")
